@@ -56,32 +56,45 @@ def check_scores(
     model_name: str,
     max_null_fraction: float = 0.05,
     key: str = KEY_COLUMN,
+    duplicates: bool = True,
 ) -> DataFrame:
-    """Rows scored vs rows in, NULL predictions, duplicate and NULL keys."""
+    """Rows scored vs rows in, NULL predictions, duplicate and NULL keys.
+
+    Without ``duplicates`` this is one scan with no shuffle (use it when the
+    strict merge, which fails on a duplicate key, follows anyway).
+    """
     pred = F.col(prediction_column(model_name))
-    per_key = scores.groupBy(F.col(key).alias("k")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(pred.isNull()).alias("nn")
-    )
-    agg = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum("nn"), F.lit(0)).alias("nulls"),
-        F.count_if(F.col("k").isNotNull() & (F.col("n") > 1)).alias("dups"),
-        F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
-    )
+    k = F.col(key)
+    if duplicates:
+        per_key = scores.groupBy(k.alias("k")).agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(pred.isNull()).alias("nn")
+        )
+        agg = per_key.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum("nn"), F.lit(0)).alias("nulls"),
+            F.count_if(F.col("k").isNotNull() & (F.col("n") > 1)).alias("dups"),
+            F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
+        )
+    else:
+        agg = scores.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(pred.isNull()).alias("nulls"),
+            F.count_if(k.isNull()).alias("null_keys"),
+        )
     rows_in = features.select(F.count(F.lit(1))).scalar()
-    rows, nulls, dups, null_keys = (F.col(c) for c in ("rows", "nulls", "dups", "null_keys"))
+    rows, nulls, null_keys = (F.col(c) for c in ("rows", "nulls", "null_keys"))
     frac = F.when(rows > 0, nulls / rows).otherwise(F.lit(0.0))
-    return _explode(
-        agg,
-        [
-            _row("row_count", "rows", rows, rows_in, rows == rows_in),
-            _row("null_predictions", "null_rows", nulls, None, F.lit(True)),
-            _row("null_predictions", "null_fraction", frac, max_null_fraction,
-                 frac <= F.lit(max_null_fraction)),
-            _row("duplicate_ids", "ids", dups, 0, dups == 0),
-            _row("null_ids", "rows", null_keys, 0, null_keys == 0),
-        ],
-    )
+    out = [
+        _row("row_count", "rows", rows, rows_in, rows == rows_in),
+        _row("null_predictions", "null_rows", nulls, None, F.lit(True)),
+        _row("null_predictions", "null_fraction", frac, max_null_fraction,
+             frac <= F.lit(max_null_fraction)),
+    ]
+    if duplicates:
+        dups = F.col("dups")
+        out.append(_row("duplicate_ids", "ids", dups, 0, dups == 0))
+    out.append(_row("null_ids", "rows", null_keys, 0, null_keys == 0))
+    return _explode(agg, out)
 
 
 # --- V2: schema against the contract ---------------------------------------------------------
@@ -199,24 +212,12 @@ def join_check_rows(join_counts: DataFrame, names=("model_1", "model_2")) -> Dat
 # --- V5: ensemble validity -----------------------------------------------------------------------
 
 
-def check_ensemble(
-    merged: DataFrame,
-    model_1: str = "model_1",
-    model_2: str = "model_2",
-    ensemble: Ensemble = mean_ensemble,
-    eps: float = 1e-9,
-) -> DataFrame:
-    """One row: rows, null_mismatch, rule_mismatch, out_of_range.
-
-    null_mismatch: ensemble NULL exactly when an input is NULL, else counted.
-    rule_mismatch: |ensemble - rule(s1, s2)| > eps.
-    out_of_range: ensemble outside [min(s1, s2), max(s1, s2)] (+- eps).
-    """
+def _ensemble_aggs(model_1, model_2, ensemble, eps) -> list[Column]:
     s1, s2 = F.col(score_column(model_1)), F.col(score_column(model_2))
     e = F.col("ensemble_score")
     any_null = s1.isNull() | s2.isNull()
     rule = ensemble([s1, s2])
-    return merged.agg(
+    return [
         F.count(F.lit(1)).alias("rows"),
         F.count_if(e.isNull() != any_null).alias("null_mismatch"),
         F.count_if(e.isNotNull() & ~any_null & (F.abs(e - rule) > F.lit(eps))).alias(
@@ -227,10 +228,26 @@ def check_ensemble(
             & ~any_null
             & ((e < F.least(s1, s2) - F.lit(eps)) | (e > F.greatest(s1, s2) + F.lit(eps)))
         ).alias("out_of_range"),
-    )
+    ]
+
+
+def check_ensemble(
+    merged: DataFrame,
+    model_1: str = "model_1",
+    model_2: str = "model_2",
+    ensemble: Ensemble = mean_ensemble,
+    eps: float = 1e-9,
+) -> DataFrame:
+    """One row: rows, null_mismatch, rule_mismatch, out_of_range.
+
+    null_mismatch: ensemble NULL exactly when an input is NULL, else counted.
+    rule_mismatch: |ensemble - rule(s1, s2)| > eps.
+    out_of_range: ensemble outside [min(s1, s2), max(s1, s2)] (+- eps).
+    """
+    return merged.agg(*_ensemble_aggs(model_1, model_2, ensemble, eps))
 
 
-def ensemble_check_rows(ens: DataFrame, expected_rows: Column | None = None) -> DataFrame:
+def _ensemble_rows(expected_rows=None) -> list[Column]:
     c = F.col
     rows = [
         _row("ensemble", "null_mismatch", c("null_mismatch"), 0, c("null_mismatch") == 0),
@@ -238,16 +255,19 @@ def ensemble_check_rows(ens: DataFrame, expected_rows: Column | None = None) ->
         _row("ensemble", "out_of_range", c("out_of_range"), 0, c("out_of_range") == 0),
     ]
     if expected_rows is not None:
-        rows.append(_row("join_completeness", "merged_rows", c("rows"), expected_rows,
-                         c("rows") == expected_rows))
-    return _explode(ens, rows)
+        exp = expected_rows if isinstance(expected_rows, Column) else F.lit(expected_rows)
+        rows.append(_row("join_completeness", "merged_rows", c("rows"), exp, c("rows") == exp))
+    return rows
+
+
+def ensemble_check_rows(ens: DataFrame, expected_rows=None) -> DataFrame:
+    return _explode(ens, _ensemble_rows(expected_rows))
 
 
 # --- V6: quality metrics -------------------------------------------------------------------------
 
 
-def quality_metrics(df: DataFrame, columns: Sequence[str], digits: int | None = 6) -> DataFrame:
-    """(column, metric, value) for rows, nulls, min, max, mean, stddev - one pass."""
+def _quality_aggs(columns: Sequence[str]) -> list[Column]:
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, name in enumerate(columns):
         c = F.col(f"`{name}`")
@@ -258,17 +278,46 @@ def quality_metrics(df: DataFrame, columns: Sequence[str], digits: int | None =
             F.avg(c).alias(f"_mean_{i}"),
             F.stddev(c).alias(f"_stddev_{i}"),
         ]
-    one = df.agg(*aggs)
-    rows = []
+    return aggs
+
+
+def _quality_values(columns: Sequence[str], digits: int | None):
     for i, name in enumerate(columns):
         for metric in QUALITY_METRICS:
             v = F.col("_rows") if metric == "rows" else F.col(f"_{metric}_{i}")
             v = v.cast("double")
             if digits is not None:
                 v = F.round(v, digits)
-            rows.append(F.struct(F.lit(name).alias("column"), F.lit(metric).alias("metric"),
-                                 v.alias("value")))
-    return one.select(F.inline(F.array(*rows)))
+            yield name, metric, v
+
+
+def quality_metrics(df: DataFrame, columns: Sequence[str], digits: int | None = 6) -> DataFrame:
+    """(column, metric, value) for rows, nulls, min, max, mean, stddev - one pass."""
+    rows = [
+        F.struct(F.lit(name).alias("column"), F.lit(metric).alias("metric"), v.alias("value"))
+        for name, metric, v in _quality_values(columns, digits)
+    ]
+    return df.agg(*_quality_aggs(columns)).select(F.inline(F.array(*rows)))
+
+
+def merged_checks_one_pass(
+    merged: DataFrame,
+    model_1: str = "model_1",
+    model_2: str = "model_2",
+    ensemble: Ensemble = mean_ensemble,
+    eps: float = 1e-9,
+    expected_rows=None,
+    digits: int | None = 6,
+) -> DataFrame:
+    """Ensemble validity (V5) and quality metrics (V6) as check rows from
+    a single aggregation over the merged run."""
+    cols = [score_column(model_1), score_column(model_2), "ensemble_score"]
+    one = merged.agg(*_ensemble_aggs(model_1, model_2, ensemble, eps), *_quality_aggs(cols))
+    rows = _ensemble_rows(expected_rows) + [
+        _row("quality", f"{name}.{metric}", v, None, F.lit(True))
+        for name, metric, v in _quality_values(cols, digits)
+    ]
+    return _explode(one, rows)
 
 
 def quality_check_rows(metrics: DataFrame) -> DataFrame:

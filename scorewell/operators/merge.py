@@ -10,7 +10,7 @@ below the exchange, so NULL keys never reach the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from scorewell.contracts import (
@@ -75,6 +75,127 @@ def merge_scores(
     return joined.select(cols)
 
 
+class MergeMetrics:
+    """Join-completeness counts observed while ``merge_unique`` runs.
+
+    Same fields as ``check_join``: n1, n2, matched, only_1, only_2, dup_ids,
+    expected_rows.  NULL-key rows are counted map-side on each input (they
+    are never shuffled) and, as in ``check_join``, form one unmatched group
+    per side.
+    """
+
+    FIELDS = ("n1", "n2", "matched", "only_1", "only_2", "dup_ids", "expected_rows")
+
+    def __init__(self):
+        self.groups = Observation()
+        self.nulls_1 = Observation()
+        self.nulls_2 = Observation()
+
+    @staticmethod
+    def _read(obs: Observation) -> dict:
+        try:
+            return dict(obs.get)
+        except Exception:  # noqa: BLE001 - node pruned from an empty plan
+            return {}
+
+    def get(self) -> dict:
+        g = self._read(self.groups)
+        z1 = int(self._read(self.nulls_1).get("nulls", 0) or 0)
+        z2 = int(self._read(self.nulls_2).get("nulls", 0) or 0)
+        out = {f: int(g.get(f, 0) or 0) for f in self.FIELDS}
+        out["n1"] += z1
+        out["n2"] += z2
+        out["only_1"] += int(z1 > 0)
+        out["only_2"] += int(z2 > 0)
+        out["dup_ids"] += int(z1 > 1 or z2 > 1)
+        return out
+
+
+def merge_unique(
+    scores_1: DataFrame,
+    scores_2: DataFrame,
+    model_1: str = "model_1",
+    model_2: str = "model_2",
+    run_id: str | None = None,
+    ensemble: Ensemble = mean_ensemble,
+    now=None,
+    key: str = KEY_COLUMN,
+    metrics: MergeMetrics | None = None,
+) -> DataFrame:
+    """The merge for inputs whose keys must be unique: one shuffle, no join.
+
+    Both thin sides are unioned and grouped by key (map-side partial
+    aggregation), and a key present on both sides yields one row - the
+    same rows as the inner join when keys are unique.  A key seen twice on
+    either side fails the job while it runs (``raise_error`` names the key),
+    so duplicates can never multiply rows.  NULL keys never match and are
+    dropped before the shuffle.  ``metrics`` (a ``MergeMetrics``) receives
+    the join-completeness counts from the same job.
+    """
+    for side, name in ((scores_1, "first score set"), (scores_2, "second score set")):
+        if key not in side.columns:
+            raise ValueError(f"Join key '{key}' not found in {name}")
+    if model_1 == model_2:
+        raise ValueError("the two models must have different names")
+    s1n, t1n = score_column(model_1), timestamp_column(model_1)
+    s2n, t2n = score_column(model_2), timestamp_column(model_2)
+    left = score_view(scores_1, model_1, key)
+    right = score_view(scores_2, model_2, key)
+    t1type, t2type = left.schema[t1n].dataType, right.schema[t2n].dataType
+    k = F.col(key)
+    if metrics is not None:
+        left = left.observe(metrics.nulls_1, F.count_if(k.isNull()).alias("nulls"))
+        right = right.observe(metrics.nulls_2, F.count_if(k.isNull()).alias("nulls"))
+    tagged = left.where(k.isNotNull()).select(
+        k.alias(KEY_COLUMN), F.lit(1).alias("_side"), F.col(s1n), F.col(t1n),
+        F.lit(None).cast("double").alias(s2n), F.lit(None).cast(t2type).alias(t2n),
+    ).unionByName(right.where(k.isNotNull()).select(
+        k.alias(KEY_COLUMN), F.lit(2).alias("_side"),
+        F.lit(None).cast("double").alias(s1n), F.lit(None).cast(t1type).alias(t1n),
+        F.col(s2n), F.col(t2n),
+    ))
+    grouped = tagged.groupBy(KEY_COLUMN).agg(
+        F.count_if(F.col("_side") == 1).alias("_n1"),
+        F.count_if(F.col("_side") == 2).alias("_n2"),
+        F.first(s1n, ignorenulls=True).alias(s1n),
+        F.first(t1n, ignorenulls=True).alias(t1n),
+        F.first(s2n, ignorenulls=True).alias(s2n),
+        F.first(t2n, ignorenulls=True).alias(t2n),
+    )
+    n1, n2 = F.col("_n1"), F.col("_n2")
+    if metrics is not None:
+        grouped = grouped.observe(
+            metrics.groups,
+            F.coalesce(F.sum(n1), F.lit(0)).cast("bigint").alias("n1"),
+            F.coalesce(F.sum(n2), F.lit(0)).cast("bigint").alias("n2"),
+            F.count_if((n1 > 0) & (n2 > 0)).alias("matched"),
+            F.count_if((n1 > 0) & (n2 == 0)).alias("only_1"),
+            F.count_if((n2 > 0) & (n1 == 0)).alias("only_2"),
+            F.count_if((n1 > 1) | (n2 > 1)).alias("dup_ids"),
+            F.coalesce(F.sum(F.when((n1 > 0) & (n2 > 0), n1 * n2)), F.lit(0)).cast("bigint")
+            .alias("expected_rows"),
+        )
+    both = grouped.where((n1 > 0) & (n2 > 0))
+    guard = F.when(
+        (n1 > 1) | (n2 > 1),
+        F.raise_error(F.concat(F.lit("duplicate id in merge inputs: "), F.col(KEY_COLUMN))),
+    )
+    s1 = F.coalesce(guard.cast("double"), F.col(s1n))
+    s2 = F.col(s2n)
+    cols = [
+        F.col(KEY_COLUMN),
+        s1.alias(s1n),
+        s2,
+        ensemble([s1, s2]).alias("ensemble_score"),
+        F.col(t1n),
+        F.col(t2n),
+        as_timestamp(now).alias("merge_timestamp"),
+    ]
+    if run_id is not None:
+        cols.append(F.lit(check_run_id(run_id)).alias(RUN_COLUMN))
+    return both.select(cols)
+
+
 def unmatched(
     scores_1: DataFrame,
     scores_2: DataFrame,

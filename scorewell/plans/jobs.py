@@ -22,17 +22,14 @@ from scorewell.contracts import (
 )
 from scorewell.functions.columns import Ensemble, mean_ensemble
 from scorewell.operators.checks import (
-    check_ensemble,
     check_join,
     check_scores,
-    ensemble_check_rows,
     gate,
     join_check_rows,
-    quality_check_rows,
-    quality_metrics,
+    merged_checks_one_pass,
     report,
 )
-from scorewell.operators.merge import merge_scores
+from scorewell.operators.merge import MergeMetrics, merge_scores, merge_unique
 from scorewell.operators.score import score_frame
 from scorewell.sources.catalog import (
     ensure_database,
@@ -107,8 +104,10 @@ def merge_job(
     """Read both score sets of the run, join on ``id``, write the merged run.
 
     Guards: the merged run is skipped when done; both inputs must have rows
-    (error names table and run); in ``strict`` mode a duplicate key on
-    either side fails the run before anything is written.
+    (error names table and run); in ``strict`` mode (one shuffle, see
+    ``merge_unique``) a duplicate key on either side fails the write job
+    itself, so nothing is committed; ``details['join']`` then holds the
+    join-completeness counts observed by the same job.
     """
     check_run_id(run_id)
     t1, t2, tm = tables or (f"{model_1}_scores", f"{model_2}_scores", MERGED_TABLE)
@@ -119,15 +118,15 @@ def merge_job(
     require_rows(s1, f"{t1} for run_id={run_id}")
     require_rows(s2, f"{t2} for run_id={run_id}")
     details = {}
+    metrics = None
     if strict:
-        counts = check_join(s1, s2).first().asDict()
-        details["join"] = counts
-        if counts["dup_ids"]:
-            raise ValueError(
-                f"{counts['dup_ids']} duplicate id(s) in the inputs of run {run_id}; "
-                "the join would multiply rows (pass strict=False to allow)"
-            )
-    merged = merge_scores(s1, s2, model_1, model_2, ensemble=ensemble, now=now)
+        # One shuffle: the merge itself fails on a duplicate key and reports
+        # the join-completeness counts as observations of the same job.
+        metrics = MergeMetrics()
+        merged = merge_unique(s1, s2, model_1, model_2, ensemble=ensemble, now=now,
+                              metrics=metrics)
+    else:
+        merged = merge_scores(s1, s2, model_1, model_2, ensemble=ensemble, now=now)
     merged = merged.withColumns(
         {
             c: F.col(c).cast("timestamp")
@@ -135,7 +134,17 @@ def merge_job(
         }
     )
     ensure_database(spark, database, location=location)
-    rows = write_run(merged, tm, run_id, contract=merged_contract(model_1, model_2))
+    try:
+        rows = write_run(merged, tm, run_id, contract=merged_contract(model_1, model_2))
+    except Exception as e:  # noqa: BLE001
+        if "duplicate id in merge inputs" in str(e):
+            raise ValueError(
+                f"duplicate id(s) in the inputs of run {run_id} ({t1}, {t2}); the join would "
+                "multiply rows (pass strict=False to allow)"
+            ) from e
+        raise
+    if metrics is not None:
+        details["join"] = metrics.get()
     return JobResult(tm, run_id, rows, False, details)
 
 
@@ -192,23 +201,27 @@ def run_pipeline(
                         force=force)
         jobs.append(job)
         scores = read_run(spark, qualified(db, mr.table_name), run_id)
+        # In strict mode the merge itself fails on a duplicate key, so the
+        # per-model check needs no shuffle.
         checks = check_scores(_features(spark, mr.features), scores, mr.model.name,
-                              max_null_fraction=cfg.max_null_fraction)
+                              max_null_fraction=cfg.max_null_fraction,
+                              duplicates=not cfg.strict)
         model_reports.append(report(run_id, mr.model.name, checks).checkpoint())
     model_checks = model_reports[0].unionByName(model_reports[1])
     gate(model_checks)
 
     n1, n2 = m1.model.name, m2.model.name
     tables = (m1.table_name, m2.table_name, cfg.merged_table)
-    jobs.append(merge_job(spark, db, run_id, n1, n2, tables=tables, ensemble=cfg.ensemble,
-                          now=now, force=force, strict=cfg.strict))
+    merge = merge_job(spark, db, run_id, n1, n2, tables=tables, ensemble=cfg.ensemble,
+                      now=now, force=force, strict=cfg.strict)
+    jobs.append(merge)
 
     s1 = read_run(spark, qualified(db, tables[0]), run_id)
     s2 = read_run(spark, qualified(db, tables[1]), run_id)
     merged = read_run(spark, qualified(db, tables[2]), run_id)
-    merged_checks = report(run_id, "merged", *merged_check_frames(s1, s2, merged, n1, n2,
-                                                                  cfg.ensemble, cfg.eps))
-    merged_checks = merged_checks.checkpoint()
+    counts = merge.details.get("join")
+    merged_checks = report(run_id, "merged", *merged_check_frames(
+        s1, s2, merged, n1, n2, cfg.ensemble, cfg.eps, join_counts=counts)).checkpoint()
     full = model_checks.unionByName(merged_checks)
     if cfg.report_table:
         write_run(full.drop("run_id"), qualified(db, cfg.report_table), run_id,
@@ -218,16 +231,24 @@ def run_pipeline(
 
 
 def merged_check_frames(s1, s2, merged, n1="model_1", n2="model_2", ensemble=mean_ensemble,
-                        eps=1e-9) -> list[DataFrame]:
-    """V4 (join completeness), V5 (ensemble validity + row count), V6 (quality)."""
-    join_counts = check_join(s1, s2)
-    expected = join_counts.select("expected_rows").scalar()
+                        eps=1e-9, join_counts: dict | None = None) -> list[DataFrame]:
+    """V4 (join completeness), then V5 (ensemble validity + row count) and V6
+    (quality) from one aggregation over the merged run.
+
+    ``join_counts`` - the counts the strict merge observed - avoids a second
+    pass over the inputs; without them V4 is one aggregation shuffle.
+    """
+    spark = merged.sparkSession
+    if join_counts is not None:
+        counts = spark.createDataFrame([join_counts]).select(
+            *[F.col(c).cast("bigint") for c in MergeMetrics.FIELDS])
+        expected = F.lit(int(join_counts["expected_rows"]))
+    else:
+        counts = check_join(s1, s2)
+        expected = counts.select("expected_rows").scalar()
     return [
-        join_check_rows(join_counts, (n1, n2)),
-        ensemble_check_rows(check_ensemble(merged, n1, n2, ensemble, eps), expected),
-        quality_check_rows(
-            quality_metrics(merged, [f"{n1}_score", f"{n2}_score", "ensemble_score"])
-        ),
+        join_check_rows(counts, (n1, n2)),
+        merged_checks_one_pass(merged, n1, n2, ensemble, eps, expected_rows=expected),
     ]
 
 
