@@ -358,3 +358,10 @@ def gate(checks: DataFrame, max_report: int = 100) -> None:
     failed = checks.where(~F.coalesce(F.col("passed"), F.lit(False))).limit(max_report).collect()
     if failed:
         raise ValidationError([r.asDict() for r in failed])
+
+
+def gate_rows(rows) -> None:
+    """``gate`` over check rows already collected (a bounded list)."""
+    failed = [r.asDict() for r in rows if not r["passed"]]
+    if failed:
+        raise ValidationError(failed)

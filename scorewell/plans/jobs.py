@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scorewell.contracts import (
     check_run_id,
@@ -24,7 +25,7 @@ from scorewell.functions.columns import Ensemble, mean_ensemble
 from scorewell.operators.checks import (
     check_join,
     check_scores,
-    gate,
+    gate_rows,
     join_check_rows,
     merged_checks_one_pass,
     report,
@@ -115,17 +116,18 @@ def merge_job(
     if not force and run_exists(spark, tm, run_id):
         return JobResult(tm, run_id, None, True)
     s1, s2 = read_run(spark, t1, run_id), read_run(spark, t2, run_id)
-    require_rows(s1, f"{t1} for run_id={run_id}")
-    require_rows(s2, f"{t2} for run_id={run_id}")
     details = {}
     metrics = None
     if strict:
         # One shuffle: the merge itself fails on a duplicate key and reports
-        # the join-completeness counts as observations of the same job.
+        # the join-completeness counts (and so empty inputs) as observations
+        # of the same job.
         metrics = MergeMetrics()
         merged = merge_unique(s1, s2, model_1, model_2, ensemble=ensemble, now=now,
                               metrics=metrics)
     else:
+        require_rows(s1, f"{t1} for run_id={run_id}")
+        require_rows(s2, f"{t2} for run_id={run_id}")
         merged = merge_scores(s1, s2, model_1, model_2, ensemble=ensemble, now=now)
     merged = merged.withColumns(
         {
@@ -144,7 +146,13 @@ def merge_job(
             ) from e
         raise
     if metrics is not None:
-        details["join"] = metrics.get()
+        counts = metrics.get()
+        details["join"] = counts
+        # Empty inputs are caught from the same job's counts: the merged run
+        # then holds no rows, so it is not done, and we fail naming the input.
+        for n, t in ((counts["n1"], t1), (counts["n2"], t2)):
+            if n == 0:
+                raise ValueError(f"No data found in {t} for run_id={run_id}")
     return JobResult(tm, run_id, rows, False, details)
 
 
@@ -187,15 +195,16 @@ def run_pipeline(
 ) -> PipelineResult:
     """Score each model -> validate each -> merge -> validate merged -> gate.
 
-    Check rows are computed once each (checkpointed to the shared checkpoint
-    folder - they are a few rows) and, when ``report_table`` is set, stored
-    in that table's run partition.  Raises ``ValidationError`` on failure.
+    Check rows are computed once (one job per stage; they are a bounded
+    handful, so they are collected for the gate) and, when ``report_table``
+    is set, stored in that table's run partition.  Raises
+    ``ValidationError`` on failure.
     """
     check_run_id(run_id)
     db = cfg.database
     ensure_database(spark, db, location=cfg.location)
     m1, m2 = cfg.models
-    jobs, model_reports = [], []
+    jobs, model_frames = [], []
     for mr in (m1, m2):
         job = score_job(spark, mr.model, mr.features, db, mr.table_name, run_id, now=now,
                         force=force)
@@ -206,9 +215,10 @@ def run_pipeline(
         checks = check_scores(_features(spark, mr.features), scores, mr.model.name,
                               max_null_fraction=cfg.max_null_fraction,
                               duplicates=not cfg.strict)
-        model_reports.append(report(run_id, mr.model.name, checks).checkpoint())
-    model_checks = model_reports[0].unionByName(model_reports[1])
-    gate(model_checks)
+        model_frames.append(report(run_id, mr.model.name, checks))
+    # Check rows are a bounded handful: one job computes both models' checks.
+    model_rows = model_frames[0].unionByName(model_frames[1]).collect()
+    gate_rows(model_rows)
 
     n1, n2 = m1.model.name, m2.model.name
     tables = (m1.table_name, m2.table_name, cfg.merged_table)
@@ -220,13 +230,13 @@ def run_pipeline(
     s2 = read_run(spark, qualified(db, tables[1]), run_id)
     merged = read_run(spark, qualified(db, tables[2]), run_id)
     counts = merge.details.get("join")
-    merged_checks = report(run_id, "merged", *merged_check_frames(
-        s1, s2, merged, n1, n2, cfg.ensemble, cfg.eps, join_counts=counts)).checkpoint()
-    full = model_checks.unionByName(merged_checks)
+    merged_rows = report(run_id, "merged", *merged_check_frames(
+        s1, s2, merged, n1, n2, cfg.ensemble, cfg.eps, join_counts=counts)).collect()
+    full = spark.createDataFrame(model_rows + merged_rows, schema=report_schema())
     if cfg.report_table:
         write_run(full.drop("run_id"), qualified(db, cfg.report_table), run_id,
                   contract=report_contract())
-    gate(merged_checks)
+    gate_rows(merged_rows)
     return PipelineResult(run_id, jobs, full, merged)
 
 
@@ -252,9 +262,14 @@ def merged_check_frames(s1, s2, merged, n1="model_1", n2="model_2", ensemble=mea
     ]
 
 
-def report_contract():
-    from pyspark.sql import types as T
+def report_schema():
+    """Check rows as produced by ``report``: run_id, scope, then the check columns."""
+    fields = {f.name: f for f in report_contract().fields}
+    return T.StructType([fields[c] for c in ("run_id", "scope", "check", "metric", "value",
+                                               "threshold", "passed")])
+
 
+def report_contract():
     return T.StructType(
         [
             T.StructField("scope", T.StringType()),
