@@ -34,6 +34,7 @@ from scorewell.operators.merge import MergeMetrics, merge_scores, merge_unique
 from scorewell.operators.score import score_frame
 from scorewell.sources.catalog import (
     ensure_database,
+    ensure_table,
     qualified,
     read_run,
     require_rows,
@@ -79,13 +80,16 @@ def score_job(
     """
     check_run_id(run_id)
     target = qualified(database, table)
+    contract = score_contract(model.name)
+    # Declare the table first (over its files, if an earlier process wrote
+    # them) so "done" is judged on every run already stored.
+    ensure_database(spark, database, location=location)
+    ensure_table(spark, target, contract)
     if not force and run_exists(spark, target, run_id):
         return JobResult(target, run_id, None, True)
     frame = score_frame(_features(spark, features), model, now=now)
     frame = frame.withColumn("scoring_timestamp", F.col("scoring_timestamp").cast("timestamp"))
-    ensure_database(spark, database, location=location)
-    rows = write_run(frame, target, run_id, contract=score_contract(model.name),
-                     rebalance=rebalance)
+    rows = write_run(frame, target, run_id, contract=contract, rebalance=rebalance)
     return JobResult(target, run_id, rows, False)
 
 
@@ -113,6 +117,10 @@ def merge_job(
     check_run_id(run_id)
     t1, t2, tm = tables or (f"{model_1}_scores", f"{model_2}_scores", MERGED_TABLE)
     t1, t2, tm = (qualified(database, t) for t in (t1, t2, tm))
+    ensure_database(spark, database, location=location)
+    for t, contract in ((t1, score_contract(model_1)), (t2, score_contract(model_2)),
+                        (tm, merged_contract(model_1, model_2))):
+        ensure_table(spark, t, contract)
     if not force and run_exists(spark, tm, run_id):
         return JobResult(tm, run_id, None, True)
     s1, s2 = read_run(spark, t1, run_id), read_run(spark, t2, run_id)
@@ -135,7 +143,6 @@ def merge_job(
             for c in (timestamp_column(model_1), timestamp_column(model_2), "merge_timestamp")
         }
     )
-    ensure_database(spark, database, location=location)
     try:
         rows = write_run(merged, tm, run_id, contract=merged_contract(model_1, model_2))
     except Exception as e:  # noqa: BLE001

@@ -80,7 +80,12 @@ def ensure_table(
     location: str | None = None,
     partition: str = RUN_COLUMN,
 ) -> None:
-    """Create the Parquet/Snappy table partitioned by run, or check the existing one."""
+    """Create the Parquet/Snappy table partitioned by run, or check the existing one.
+
+    The table always gets an explicit location (default: under its
+    database's location), so a later process with its own catalog session
+    can declare it again over the same files and see every earlier run.
+    """
     if table_exists(spark, table):
         have = {f.name: f.dataType for f in spark.table(table).schema.fields}
         want = {f.name: f.dataType for f in contract.fields}
@@ -89,6 +94,10 @@ def ensure_table(
         return
     if partition not in {f.name for f in contract.fields}:
         raise ValueError(f"contract has no partition column {partition!r}")
+    if location is None:
+        db, name = _split(table)
+        db_uri = spark.catalog.getDatabase(db or spark.catalog.currentDatabase()).locationUri
+        location = f"{db_uri.rstrip('/')}/{name}"
     sql = (
         f"CREATE TABLE IF NOT EXISTS {_quoted(table)} ({column_ddl(contract)}) USING parquet "
         "OPTIONS ('compression' = 'snappy', 'partitionOverwriteMode' = 'dynamic') "
@@ -97,6 +106,13 @@ def ensure_table(
     if location:
         sql += f" LOCATION {_sql_string(location, 'location')}"
     spark.sql(sql)
+    # Register runs already on storage (written by an earlier process); the
+    # catalog tracks partitions, so a fresh declaration starts with none.
+    try:
+        spark.sql(f"ALTER TABLE {_quoted(table)} RECOVER PARTITIONS")
+    except Exception as e:  # noqa: BLE001
+        if "does not exist" not in str(e):  # a new table has no folder yet
+            raise
 
 
 # --- K7 / A1 / R1: existence, rows of a run, "done" ---------------------------------------
