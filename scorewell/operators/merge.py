@@ -79,36 +79,21 @@ class MergeMetrics:
     """Join-completeness counts observed while ``merge_unique`` runs.
 
     Same fields as ``check_join``: n1, n2, matched, only_1, only_2, dup_ids,
-    expected_rows.  NULL-key rows are counted map-side on each input (they
-    are never shuffled) and, as in ``check_join``, form one unmatched group
-    per side.
+    expected_rows.  They are observed after the shuffle, in the stage that
+    writes, so a re-run map stage (lost executor) cannot count twice.
     """
 
     FIELDS = ("n1", "n2", "matched", "only_1", "only_2", "dup_ids", "expected_rows")
 
     def __init__(self):
-        self.groups = Observation()
-        self.nulls_1 = Observation()
-        self.nulls_2 = Observation()
+        self.observation = Observation()
 
-    @staticmethod
-    def _read(obs: Observation) -> dict:
+    def get(self) -> dict:
         try:
-            return dict(obs.get)
+            got = dict(self.observation.get)
         except Exception:  # noqa: BLE001 - node pruned from an empty plan
-            return {}
-
-    def get(self) -> dict:
-        g = self._read(self.groups)
-        z1 = int(self._read(self.nulls_1).get("nulls", 0) or 0)
-        z2 = int(self._read(self.nulls_2).get("nulls", 0) or 0)
-        out = {f: int(g.get(f, 0) or 0) for f in self.FIELDS}
-        out["n1"] += z1
-        out["n2"] += z2
-        out["only_1"] += int(z1 > 0)
-        out["only_2"] += int(z2 > 0)
-        out["dup_ids"] += int(z1 > 1 or z2 > 1)
-        return out
+            got = {}
+        return {f: int(got.get(f, 0) or 0) for f in self.FIELDS}
 
 
 def merge_unique(
@@ -124,13 +109,14 @@ def merge_unique(
 ) -> DataFrame:
     """The merge for inputs whose keys must be unique: one shuffle, no join.
 
-    Both thin sides are unioned and grouped by key (map-side partial
-    aggregation), and a key present on both sides yields one row - the
-    same rows as the inner join when keys are unique.  A key seen twice on
-    either side fails the job while it runs (``raise_error`` names the key),
-    so duplicates can never multiply rows.  NULL keys never match and are
-    dropped before the shuffle.  ``metrics`` (a ``MergeMetrics``) receives
-    the join-completeness counts from the same job.
+    Both thin sides are unioned and grouped by key, and a key present on
+    both sides yields one row - the same rows as the inner join when keys
+    are unique.  Map-side partial aggregation collapses any heavy key
+    (NULL included) to one row per task before the shuffle.  A non-NULL key
+    seen twice on either side fails the job while it runs (``raise_error``
+    names the key), so duplicates never multiply rows; NULL keys never
+    match.  ``metrics`` (a ``MergeMetrics``) receives the join-completeness
+    counts of ``check_join`` from the same job.
     """
     for side, name in ((scores_1, "first score set"), (scores_2, "second score set")):
         if key not in side.columns:
@@ -143,13 +129,10 @@ def merge_unique(
     right = score_view(scores_2, model_2, key)
     t1type, t2type = left.schema[t1n].dataType, right.schema[t2n].dataType
     k = F.col(key)
-    if metrics is not None:
-        left = left.observe(metrics.nulls_1, F.count_if(k.isNull()).alias("nulls"))
-        right = right.observe(metrics.nulls_2, F.count_if(k.isNull()).alias("nulls"))
-    tagged = left.where(k.isNotNull()).select(
+    tagged = left.select(
         k.alias(KEY_COLUMN), F.lit(1).alias("_side"), F.col(s1n), F.col(t1n),
         F.lit(None).cast("double").alias(s2n), F.lit(None).cast(t2type).alias(t2n),
-    ).unionByName(right.where(k.isNotNull()).select(
+    ).unionByName(right.select(
         k.alias(KEY_COLUMN), F.lit(2).alias("_side"),
         F.lit(None).cast("double").alias(s1n), F.lit(None).cast(t1type).alias(t1n),
         F.col(s2n), F.col(t2n),
@@ -162,28 +145,28 @@ def merge_unique(
         F.first(s2n, ignorenulls=True).alias(s2n),
         F.first(t2n, ignorenulls=True).alias(t2n),
     )
-    n1, n2 = F.col("_n1"), F.col("_n2")
+    g, n1, n2 = F.col(KEY_COLUMN), F.col("_n1"), F.col("_n2")
     if metrics is not None:
         grouped = grouped.observe(
-            metrics.groups,
+            metrics.observation,
             F.coalesce(F.sum(n1), F.lit(0)).cast("bigint").alias("n1"),
             F.coalesce(F.sum(n2), F.lit(0)).cast("bigint").alias("n2"),
-            F.count_if((n1 > 0) & (n2 > 0)).alias("matched"),
-            F.count_if((n1 > 0) & (n2 == 0)).alias("only_1"),
-            F.count_if((n2 > 0) & (n1 == 0)).alias("only_2"),
+            F.count_if(g.isNotNull() & (n1 > 0) & (n2 > 0)).alias("matched"),
+            F.count_if((n1 > 0) & ((n2 == 0) | g.isNull())).alias("only_1"),
+            F.count_if((n2 > 0) & ((n1 == 0) | g.isNull())).alias("only_2"),
             F.count_if((n1 > 1) | (n2 > 1)).alias("dup_ids"),
-            F.coalesce(F.sum(F.when((n1 > 0) & (n2 > 0), n1 * n2)), F.lit(0)).cast("bigint")
+            F.coalesce(F.sum(F.when(g.isNotNull(), n1 * n2)), F.lit(0)).cast("bigint")
             .alias("expected_rows"),
         )
-    both = grouped.where((n1 > 0) & (n2 > 0))
+    both = grouped.where(g.isNotNull() & (n1 > 0) & (n2 > 0))
     guard = F.when(
         (n1 > 1) | (n2 > 1),
-        F.raise_error(F.concat(F.lit("duplicate id in merge inputs: "), F.col(KEY_COLUMN))),
+        F.raise_error(F.concat(F.lit("duplicate id in merge inputs: "), g)),
     )
     s1 = F.coalesce(guard.cast("double"), F.col(s1n))
     s2 = F.col(s2n)
     cols = [
-        F.col(KEY_COLUMN),
+        g,
         s1.alias(s1n),
         s2,
         ensemble([s1, s2]).alias("ensemble_score"),
@@ -204,17 +187,19 @@ def unmatched(
 ) -> DataFrame:
     """(id, missing_from): every row whose key has no partner on the other side.
 
-    Rows with a NULL key can never match; they are routed around the
-    anti-join so a heavy NULL group never lands in one shuffle partition.
+    Each anti-join probes the other side's *distinct* keys (pre-aggregated
+    map-side, so a heavy key is one row there); a heavy key on the probing
+    side is split by AQE's skew handling.  Rows with a NULL key can never
+    match; they bypass the join entirely.
     """
     k1 = scores_1.select(F.col(key).alias(KEY_COLUMN))
     k2 = scores_2.select(F.col(key).alias(KEY_COLUMN))
     present_1 = k1.where(F.col(KEY_COLUMN).isNotNull())
     present_2 = k2.where(F.col(KEY_COLUMN).isNotNull())
-    only_1 = present_1.join(present_2, on=KEY_COLUMN, how="left_anti").unionByName(
+    only_1 = present_1.join(present_2.distinct(), on=KEY_COLUMN, how="left_anti").unionByName(
         k1.where(F.col(KEY_COLUMN).isNull())
     )
-    only_2 = present_2.join(present_1, on=KEY_COLUMN, how="left_anti").unionByName(
+    only_2 = present_2.join(present_1.distinct(), on=KEY_COLUMN, how="left_anti").unionByName(
         k2.where(F.col(KEY_COLUMN).isNull())
     )
     return only_1.withColumn("missing_from", F.lit(names[1])).unionByName(

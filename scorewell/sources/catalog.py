@@ -210,14 +210,17 @@ def write_run(
     _check_frame(df, data_columns(target), table)
 
     obs = Observation(unique_name("rows"))
+    if rebalance:
+        df = df.hint("rebalance")
+    # Observed in the writing stage (above any rebalance exchange): counted
+    # once even when a lost executor forces an earlier stage to re-run.
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     view = unique_name("_scorewell_write")
     observed.createOrReplaceTempView(view)
-    hint = "/*+ REBALANCE */ " if rebalance else ""
     try:
         spark.sql(
             f"INSERT OVERWRITE {_quoted(table)} PARTITION (`{RUN_COLUMN}` = :run_id) "
-            f"BY NAME SELECT {hint}* FROM `{view}`",
+            f"BY NAME SELECT * FROM `{view}`",
             args={"run_id": run_id},
         )
     finally:
@@ -234,7 +237,8 @@ def write_runs(df: DataFrame, table: str, contract: T.StructType | None = None,
     target = spark.table(table).schema
     _check_frame(df, [f.name for f in target.fields], table)
     obs = Observation(unique_name("rows"))
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    # Cluster files by run; AQE splits a heavy run into advisory-size parts.
+    observed = df.hint("rebalance", RUN_COLUMN).observe(obs, F.count(F.lit(1)).alias("rows"))
     view = unique_name("_scorewell_write")
     observed.createOrReplaceTempView(view)
     try:
