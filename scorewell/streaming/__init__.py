@@ -1,0 +1,7 @@
+"""Streaming operators: none.
+
+The reference pipeline is a daily batch job (no stream source, watermark or
+stateful operator anywhere), so there is nothing to build here.  Incremental
+work is expressed as runs: one run-partition per execution, written
+idempotently by ``scorewell.plans.jobs``.
+"""
