@@ -97,6 +97,20 @@ def check_scores(
     return _explode(agg, out)
 
 
+def duplicate_keys(df: DataFrame, key: str = KEY_COLUMN) -> DataFrame:
+    """(id, copies) for every non-NULL key present more than once.
+
+    A grouped count with map-side partial aggregation: a heavy key reaches
+    the shuffle as one row per task.
+    """
+    return (
+        df.where(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias(KEY_COLUMN))
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .where(F.col("copies") > 1)
+    )
+
+
 # --- V2: schema against the contract ---------------------------------------------------------
 
 

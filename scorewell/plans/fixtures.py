@@ -50,6 +50,19 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lineitem_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feature set whose key repeats: (order, line number) is not unique."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"),
+                    F.col("l_linenumber").cast("string")).alias("id"),
+        F.col("l_shipdate").alias("timestamp"),
+        F.col("l_extendedprice").alias("f_price"),
+        F.col("l_quantity").alias("f_priority"),
+        F.month("l_shipdate").cast("double").alias("f_month"),
+    )
+
+
 def model_2_features(features_df: DataFrame) -> DataFrame:
     return features_df.where(F.col("id").cast("bigint") % 10 != 3)
 

@@ -198,6 +198,8 @@ ORACLES: dict[str, str] = {
     + "SELECT id, 'model_2' AS missing_from FROM a ANTI JOIN b USING (id) UNION ALL "
     "SELECT id, 'model_1' AS missing_from FROM b ANTI JOIN a USING (id)",
     "join_completeness": JOINED + "SELECT * FROM jc",
+    "duplicate_keys": "SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) "
+    "AS id, count(*) AS copies FROM lineitem GROUP BY 1 HAVING count(*) > 1",
     "quality_metrics": MERGED + _union(_quality_rows(False)),
     "write_run_first": BASE
     + f"SELECT id, model_1_prediction, {NOW} AS scoring_timestamp, 'model_1' AS model_name, "

@@ -22,6 +22,7 @@ from scorewell.operators.checks import (
     check_join,
     check_schema,
     check_scores,
+    duplicate_keys,
     ensemble_check_rows,
     join_check_rows,
     quality_check_rows,
@@ -141,6 +142,11 @@ def q_unmatched_ids(spark, sf):
     return unmatched(s1, s2)
 
 
+def q_duplicate_keys(spark, sf):
+    scores = score_frame(fx.lineitem_features(spark, sf), fx.MODEL_1, now=fx.NOW)
+    return duplicate_keys(scores)
+
+
 def q_join_completeness(spark, sf):
     _, s1, s2 = _scores(spark, sf)
     return check_join(s1, s2)
@@ -326,6 +332,7 @@ QUERIES: dict[str, Query] = {
     "ensemble_weighted": q_ensemble_weighted,
     "unmatched_ids": q_unmatched_ids,
     "join_completeness": q_join_completeness,
+    "duplicate_keys": q_duplicate_keys,
     "quality_metrics": q_quality_metrics,
     "write_run_first": q_write_run_first,
     "write_run_idempotent": q_write_run_idempotent,

@@ -186,3 +186,19 @@ def test_unknown_model_or_stage(spark):
         resolve(reg, "m", "Staging")
     with pytest.raises(ValueError, match="No model found for x in stage Production"):
         resolve(reg, "x", "Production")
+
+
+def test_lineitem_duplicates_reported_and_strict_merge_refuses(spark, db):
+    from scorewell.operators.checks import duplicate_keys
+    from scorewell.plans import fixtures as fx
+    from tests.conftest import SF_SMALL
+
+    f = fx.lineitem_features(spark, SF_SMALL)
+    dups = duplicate_keys(score_frame(f, fx.MODEL_1, now=NOW))
+    n_rows, n_keys = f.count(), f.select("id").distinct().count()
+    assert dups.agg(F.sum(F.col("copies") - 1)).first()[0] == n_rows - n_keys > 0
+    score_job(spark, fx.MODEL_1, f, db, "model_1_scores", "r1", now=NOW)
+    score_job(spark, fx.MODEL_2, f, db, "model_2_scores", "r1", now=NOW)
+    with pytest.raises(ValueError, match="duplicate id"):
+        merge_job(spark, db, "r1", now=NOW)
+    assert not run_exists(spark, f"{db}.merged_model_scores", "r1")
