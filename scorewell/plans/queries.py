@@ -40,7 +40,7 @@ from scorewell.plans.jobs import (
     run_pipeline,
     score_job,
 )
-from scorewell.session import scratch_location, unique_name
+from scorewell.session import checkpoint_root, scratch_location, unique_name
 from scorewell.sources.catalog import (
     ensure_database,
     read_run,
@@ -62,10 +62,16 @@ def _features(spark, sf):
     return fx.features(spark, sf)
 
 
-def _scores(spark, sf):
+def _scores(spark, sf, reuse: bool = False):
+    """Features and both score sets.  ``reuse``: the score sets are read by
+    several checks, so score once and cut the lineage with a reliable
+    checkpoint (thin rows, written under the shared checkpoint folder)."""
     f = _features(spark, sf)
     s1 = score_frame(f, fx.MODEL_1, now=fx.NOW)
     s2 = score_frame(fx.model_2_features(f), fx.MODEL_2, now=fx.NOW)
+    if reuse:
+        checkpoint_root(spark)
+        s1, s2 = s1.checkpoint(), s2.checkpoint()
     return f, s1, s2
 
 
@@ -281,8 +287,8 @@ def q_pipeline(spark, sf):
 # --- validation ----------------------------------------------------------------------------------
 
 
-def _score_checks(spark, sf):
-    f, s1, s2 = _scores(spark, sf)
+def _score_checks(spark, sf, scored=None):
+    f, s1, s2 = scored or _scores(spark, sf)
     return [
         report(fx.RUN, "model_1", check_scores(f, s1, "model_1")),
         report(fx.RUN, "model_2", check_scores(fx.model_2_features(f), s2, "model_2")),
@@ -313,9 +319,10 @@ def q_validate_merged(spark, sf):
 
 
 def q_validation_report(spark, sf):
-    _, s1, s2 = _scores(spark, sf)
+    scored = _scores(spark, sf, reuse=True)
+    _, s1, s2 = scored
     merged = merge_scores(s1, s2, run_id=fx.RUN, now=fx.NOW)
-    a, b = _score_checks(spark, sf)
+    a, b = _score_checks(spark, sf, scored)
     return a.unionByName(b).unionByName(report(fx.RUN, "merged", *merged_check_frames(s1, s2, merged)))
 
 
