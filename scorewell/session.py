@@ -31,23 +31,46 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (e.g. 1000 executors, ~100 TB of features):
+# start with many shuffle partitions and let AQE coalesce them to the
+# advisory size; larger input splits for the map-only scoring stage.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64MB",
+    "spark.sql.files.maxPartitionBytes": "512MB",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+}
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "scorewell",
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Build (or reuse) a session with the scorewell defaults."""
+    """Build (or reuse) a session with the scorewell defaults.
+
+    Explicit ``conf`` / ``shuffle_partitions`` always apply.  The SQL
+    defaults of ``DEFAULT_CONF`` are set on the session only where the
+    context's conf (spark-submit, spark-defaults) leaves them unset.
+    """
+    explicit = dict(conf or {})
+    if shuffle_partitions is not None:
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = dict(DEFAULT_CONF)
-    if shuffle_partitions is not None:
-        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    settings.update(conf or {})
-    for key, value in settings.items():
+    builder = builder.config("spark.ui.enabled", "false")
+    for key, value in explicit.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    submitted = spark.sparkContext.getConf()
+    for key, value in DEFAULT_CONF.items():
+        if key.startswith("spark.sql.") and key not in explicit and not submitted.contains(key):
+            spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
