@@ -79,8 +79,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
     Order: the context's checkpoint dir, then ``spark.checkpoint.dir`` from
-    the session conf; only when both are unset (local tests) do we create a
-    private temporary folder and register it as the checkpoint dir.
+    the session conf.  Only a local-mode session (tests) with neither set
+    gets a private temporary folder; on a cluster that would be one
+    machine's disk, so there it is an error.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
@@ -89,6 +90,10 @@ def checkpoint_root(spark: SparkSession) -> str:
             "spark.checkpoint.dir", None
         )
         if not root:
+            if not sc.master.startswith("local"):
+                raise ValueError(
+                    "spark.checkpoint.dir is not set: set it to a folder shared by the cluster"
+                )
             root = tempfile.mkdtemp(prefix="scorewell-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

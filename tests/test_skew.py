@@ -1,0 +1,60 @@
+"""A key holding a third of all rows: results stay whole and exact, and the
+grouped operators pre-aggregate it map-side."""
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from scorewell.functions.models import LinearModel
+from scorewell.operators.checks import check_join, duplicate_keys
+from scorewell.operators.merge import MergeMetrics, merge_unique, unmatched
+from scorewell.operators.score import score_frame
+
+M1 = LinearModel.of("model_1", {"x": 0.5})
+M2 = LinearModel.of("model_2", {"x": 0.25})
+NOW = "2026-01-01 12:00:00"
+
+
+def keyed(spark, n, hot_key, hot_share, prefix):
+    """n rows; a third (hot_share) of them carry hot_key, the rest are unique."""
+    df = spark.range(n).select(
+        F.when(F.col("id") % int(1 / hot_share) == 0, F.lit(hot_key))
+        .otherwise(F.concat(F.lit(prefix), F.col("id").cast("string"))).alias("id"),
+        F.col("id").cast("double").alias("x"),
+    )
+    return df.repartition(8)
+
+
+def test_hot_key_on_one_side_only(spark):
+    left = keyed(spark, 3000, "hot", 1 / 3, "k")   # 1000 rows of "hot"
+    right = keyed(spark, 300, "cold", 1 / 3, "k")  # "hot" absent on the right
+    s1, s2 = score_frame(left, M1, now=NOW), score_frame(right, M2, now=NOW)
+    um = Counter((r["id"], r["missing_from"]) for r in unmatched(s1, s2).collect())
+    assert um[("hot", "model_2")] == 1000          # every row kept, none dropped
+    jc = check_join(s1, s2).first()
+    l_keys = {r["id"] for r in s1.select("id").distinct().collect()}
+    r_keys = {r["id"] for r in s2.select("id").distinct().collect()}
+    assert jc["matched"] == len(l_keys & r_keys)
+    assert jc["only_1"] == len(l_keys - r_keys) and jc["only_2"] == len(r_keys - l_keys)
+    dups = {r["id"]: r["copies"] for r in duplicate_keys(s1).collect()}
+    assert dups == {"hot": 1000}
+
+
+def test_hot_duplicate_fails_strict_merge_and_counts_are_observed(spark):
+    left = keyed(spark, 3000, "hot", 1 / 3, "a")
+    right = keyed(spark, 300, "hot", 1 / 3, "a")
+    mm = MergeMetrics()
+    with pytest.raises(Exception, match="duplicate id in merge inputs: hot"):
+        merge_unique(score_frame(left, M1, now=NOW), score_frame(right, M2, now=NOW),
+                     metrics=mm).collect()
+
+
+def test_grouped_operators_aggregate_before_the_shuffle(spark):
+    s = score_frame(keyed(spark, 3000, "hot", 1 / 3, "k"), M1, now=NOW)
+    for df in (duplicate_keys(s), check_join(s, s),
+               merge_unique(s.where("id != 'hot'"), score_frame(
+                   keyed(spark, 300, "x", 1 / 3, "k").where("id != 'x'"), M2, now=NOW))):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        # a partial (map-side) HashAggregate sits below the Exchange
+        assert "partial_" in plan and plan.count("HashAggregate") >= 2
