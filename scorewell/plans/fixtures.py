@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from scorewell.functions.columns import run_id_of
 from scorewell.functions.models import LinearModel
+from scorewell.sources.features import read_features
 
 # Model weights (powers of two), pinned clock and run ids used
 # by the checked queries.
@@ -37,7 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    o = read_features(spark, f"{sf_dir.rstrip('/')}/orders.parquet", id_col="o_orderkey")
     return o.select(
         F.col("o_orderkey").cast("string").alias("id"),
         F.col("o_orderdate").alias("timestamp"),
