@@ -1,9 +1,11 @@
 """The scoring workload expressed over the driver's TPC-H-like tables.
 
-* features: one row per order (``orders``), key ``id``; ``f_price`` is NULL
-  for every 97th key so NULL predictions occur;
-* model 1: linear; model 2: logistic, scored through the pandas-UDF path and
-  only for keys with ``id % 10 <> 3`` so the merge is incomplete on purpose;
+* features: one row per order (``orders``), key ``id``; a total price under
+  ``MIN_PRICE`` is outside the models' input range and counts as missing, so
+  ``f_price`` is NULL there and NULL predictions occur (about 2% of orders);
+* model 1: linear, all orders; model 2: logistic, scored through the
+  pandas-UDF path and only for priorities 1-4 (``5-LOW`` orders are out of
+  its scope, about a fifth), so the merge is incomplete on purpose;
 * registry: ``part`` read as (brand = name, type = stage, size = version);
 * runs: ``events.ts`` truncated to the day.
 """
@@ -31,6 +33,10 @@ MODEL_2 = MODEL_2_LINEAR.as_python()
 NOW = "2026-01-01 12:00:00"
 RUN = "20260101_120000"
 RUN_B = "20260102_120000"
+# The models' valid price range starts here; model 2 scores
+# priorities up to this one.
+MIN_PRICE = 10000.0
+MODEL_2_MAX_PRIORITY = 4.0
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,7 +49,7 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("id"),
         F.col("o_orderdate").alias("timestamp"),
         F.when(F.col("o_orderstatus") == "F", F.lit(1)).otherwise(F.lit(0)).alias("label"),
-        F.when(F.col("o_orderkey") % 97 == 0, F.lit(None).cast("double"))
+        F.when(F.col("o_totalprice") < F.lit(MIN_PRICE), F.lit(None).cast("double"))
         .otherwise(F.col("o_totalprice"))
         .alias("f_price"),
         F.substring("o_orderpriority", 1, 1).cast("double").alias("f_priority"),
@@ -65,7 +71,8 @@ def lineitem_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_2_features(features_df: DataFrame) -> DataFrame:
-    return features_df.where(F.col("id").cast("bigint") % 10 != 3)
+    """The orders in model 2's scope: priorities 1-4."""
+    return features_df.where(F.col("f_priority") <= F.lit(MODEL_2_MAX_PRIORITY))
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,13 +15,13 @@ RUN_B = f"'{fx.RUN_B}'"
 F_CTE = """f AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderdate AS "timestamp",
          CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label,
-         CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_totalprice END AS f_price,
+         CASE WHEN o_totalprice < 10000.0 THEN NULL ELSE o_totalprice END AS f_price,
          CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS f_priority,
          CAST(month(o_orderdate) AS DOUBLE) AS f_month
   FROM orders)"""
 A_CTE = """a AS (
   SELECT id, f_price*0.0009765625 + f_priority*0.5 + f_month*0.25 AS model_1_prediction FROM f)"""
-F2_CTE = """f2 AS (SELECT * FROM f WHERE CAST(id AS BIGINT) % 10 <> 3)"""
+F2_CTE = """f2 AS (SELECT * FROM f WHERE f_priority <= 4.0)"""
 B_CTE = """b AS (
   SELECT id, 1.0/(1.0+exp(-(f_price*0.00000762939453125 - f_priority*0.25 + f_month*0.125)))
          AS model_2_prediction FROM f2)"""
@@ -218,7 +218,7 @@ ORACLES: dict[str, str] = {
                  count(*) AS n FROM f GROUP BY 1)""",
         """r2 AS (SELECT strftime(date_trunc('year', "timestamp"), '%Y%m%d_%H%M%S') AS run_id,
                  count(*) AS n FROM f
-          WHERE CAST(id AS BIGINT) % 10 <> 3 AND "timestamp" < TIMESTAMP '1999-01-01'
+          WHERE f_priority <= 4.0 AND "timestamp" < TIMESTAMP '1999-01-01'
           GROUP BY 1)""",
     )
     + "SELECT r1.run_id AS run_id, r1.n AS model_1_scores, r2.n AS model_2_scores "
