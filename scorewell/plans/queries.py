@@ -29,7 +29,7 @@ from scorewell.operators.checks import (
     quality_metrics,
     report,
 )
-from scorewell.operators.merge import MergeMetrics, merge_scores, merge_unique, unmatched
+from scorewell.operators.merge import MergeMetrics, merge_unique, unmatched
 from scorewell.operators.score import score, score_frame, stamp
 from scorewell.plans import fixtures as fx
 from scorewell.plans.jobs import (
@@ -76,8 +76,10 @@ def _scores(spark, sf, reuse: bool = False):
 
 
 def _merged(spark, sf, **kw):
+    """The merge of both score sets as the merge job runs it: one shuffle,
+    no join, so no key can multiply rows (a duplicate key fails the job)."""
     _, s1, s2 = _scores(spark, sf)
-    return merge_scores(s1, s2, run_id=fx.RUN, now=fx.NOW, **kw)
+    return merge_unique(s1, s2, run_id=fx.RUN, now=fx.NOW, **kw)
 
 
 def _scratch_db(spark, label) -> str:

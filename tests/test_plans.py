@@ -88,3 +88,13 @@ def test_unmatched_routes_null_keys_around_the_join(spark):
     s2 = score_frame(fx.model_2_features(f), fx.MODEL_2, now=fx.NOW)
     p = unmatched(s1, s2)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" in p and "isnull(" in p
+
+
+def test_registered_merges_have_no_join(spark):
+    """The checked merge queries pair no rows: one aggregation shuffle."""
+    from scorewell.plans.queries import QUERIES
+
+    for name in ("merge_scores", "ensemble_mean", "ensemble_weighted", "quality_metrics"):
+        p = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+        assert "Join" not in p, name
+        assert "HashAggregate" in p, name
