@@ -137,13 +137,16 @@ def merge_unique(
         F.lit(None).cast("double").alias(s1n), F.lit(None).cast(t1type).alias(t1n),
         F.col(s2n), F.col(t2n),
     ))
+    # Each side contributes at most one row to a key that is kept (more fail
+    # below), so max() picks that row's value: one fixed-width buffer per
+    # column, where first(ignorenulls) needs two.
     grouped = tagged.groupBy(KEY_COLUMN).agg(
         F.count_if(F.col("_side") == 1).alias("_n1"),
         F.count_if(F.col("_side") == 2).alias("_n2"),
-        F.first(s1n, ignorenulls=True).alias(s1n),
-        F.first(t1n, ignorenulls=True).alias(t1n),
-        F.first(s2n, ignorenulls=True).alias(s2n),
-        F.first(t2n, ignorenulls=True).alias(t2n),
+        F.max(s1n).alias(s1n),
+        F.max(t1n).alias(t1n),
+        F.max(s2n).alias(s2n),
+        F.max(t2n).alias(t2n),
     )
     g, n1, n2 = F.col(KEY_COLUMN), F.col("_n1"), F.col("_n2")
     if metrics is not None:
