@@ -3,7 +3,8 @@ ensemble validity, quality metrics, and the gate over all of them.
 
 Every check is one aggregation over the data (partial aggregation on the
 map side, so a hot key collapses to one row per task) followed by a JVM-side
-reshape into check rows::
+reshape into check rows - one SQL ``stack`` over the one-row aggregate,
+however many checks there are::
 
     check STRING, metric STRING, value DOUBLE, threshold DOUBLE, passed BOOLEAN
 
@@ -32,19 +33,47 @@ CHECK_COLUMNS = ["check", "metric", "value", "threshold", "passed"]
 QUALITY_METRICS = ("rows", "nulls", "min", "max", "mean", "stddev")
 
 
-def _row(check: str, metric: str, value: Column, threshold, passed: Column) -> Column:
-    thr = threshold if isinstance(threshold, Column) else F.lit(threshold)
-    return F.struct(
-        F.lit(check).alias("check"),
-        F.lit(metric).alias("metric"),
-        value.cast("double").alias("value"),
-        thr.cast("double").alias("threshold"),
-        passed.alias("passed"),
+# A check row as SQL over a one-row frame of aggregates:
+# (check, metric, value, threshold, passed).  ``threshold`` is a SQL
+# expression (str), a number, or None for NULL.
+CheckRow = tuple
+
+
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _number(value) -> str:
+    if value is None:
+        return "CAST(NULL AS DOUBLE)"
+    if isinstance(value, str):
+        return value
+    return f"CAST({float(value)!r} AS DOUBLE)"
+
+
+def _stack(one_row: DataFrame, rows: Sequence[CheckRow]) -> DataFrame:
+    """Check rows from a one-row frame of aggregates: a single ``stack``."""
+    args = []
+    for check, metric, value, threshold, passed in rows:
+        args += [_text(check), _text(metric), f"CAST({value} AS DOUBLE)",
+                 f"CAST({_number(threshold)} AS DOUBLE)", f"CAST({passed} AS BOOLEAN)"]
+    return one_row.selectExpr(
+        f"stack({len(rows)}, {', '.join(args)}) AS (`check`, metric, value, threshold, passed)"
     )
 
 
-def _explode(one_row: DataFrame, rows: list[Column]) -> DataFrame:
-    return one_row.select(F.inline(F.array(*rows)))
+def _with_expected(one_row: DataFrame, expected_rows) -> tuple[DataFrame, str | None]:
+    """``expected_rows`` (a number or a scalar-subquery Column) as SQL."""
+    if expected_rows is None:
+        return one_row, None
+    if isinstance(expected_rows, Column):
+        return one_row.withColumn("_expected_rows", expected_rows), "`_expected_rows`"
+    return one_row, str(int(expected_rows))
 
 
 # --- V1 / V3 (+ key health) -------------------------------------------------------------
@@ -81,20 +110,19 @@ def check_scores(
             F.count_if(pred.isNull()).alias("nulls"),
             F.count_if(k.isNull()).alias("null_keys"),
         )
-    rows_in = features.select(F.count(F.lit(1))).scalar()
-    rows, nulls, null_keys = (F.col(c) for c in ("rows", "nulls", "null_keys"))
-    frac = F.when(rows > 0, nulls / rows).otherwise(F.lit(0.0))
+    # Rows in: a scalar subquery over the features, run with the check.
+    agg = agg.withColumn("rows_in", features.select(F.count(F.lit(1))).scalar())
+    frac = "CASE WHEN `rows` > 0 THEN `nulls` / `rows` ELSE 0.0 END"
     out = [
-        _row("row_count", "rows", rows, rows_in, rows == rows_in),
-        _row("null_predictions", "null_rows", nulls, None, F.lit(True)),
-        _row("null_predictions", "null_fraction", frac, max_null_fraction,
-             frac <= F.lit(max_null_fraction)),
+        ("row_count", "rows", "`rows`", "`rows_in`", "`rows` = `rows_in`"),
+        ("null_predictions", "null_rows", "`nulls`", None, "true"),
+        ("null_predictions", "null_fraction", frac, max_null_fraction,
+         f"{frac} <= {_number(max_null_fraction)}"),
     ]
     if duplicates:
-        dups = F.col("dups")
-        out.append(_row("duplicate_ids", "ids", dups, 0, dups == 0))
-    out.append(_row("null_ids", "rows", null_keys, 0, null_keys == 0))
-    return _explode(agg, out)
+        out.append(("duplicate_ids", "ids", "`dups`", 0, "`dups` = 0"))
+    out.append(("null_ids", "rows", "`null_keys`", 0, "`null_keys` = 0"))
+    return _stack(agg, out)
 
 
 def duplicate_keys(df: DataFrame, key: str = KEY_COLUMN) -> DataFrame:
@@ -211,14 +239,13 @@ def check_join(scores_1: DataFrame, scores_2: DataFrame, key: str = KEY_COLUMN)
 
 
 def join_check_rows(join_counts: DataFrame, names=("model_1", "model_2")) -> DataFrame:
-    c = F.col
-    return _explode(
+    return _stack(
         join_counts,
         [
-            _row("join_completeness", "matched", c("matched"), 1, c("matched") >= 1),
-            _row("join_completeness", f"only_{names[0]}", c("only_1"), None, F.lit(True)),
-            _row("join_completeness", f"only_{names[1]}", c("only_2"), None, F.lit(True)),
-            _row("join_completeness", "duplicate_ids", c("dup_ids"), 0, c("dup_ids") == 0),
+            ("join_completeness", "matched", "matched", 1, "matched >= 1"),
+            ("join_completeness", f"only_{names[0]}", "only_1", None, "true"),
+            ("join_completeness", f"only_{names[1]}", "only_2", None, "true"),
+            ("join_completeness", "duplicate_ids", "dup_ids", 0, "dup_ids = 0"),
         ],
     )
 
@@ -261,57 +288,58 @@ def check_ensemble(
     return merged.agg(*_ensemble_aggs(model_1, model_2, ensemble, eps))
 
 
-def _ensemble_rows(expected_rows=None) -> list[Column]:
-    c = F.col
+def _ensemble_rows(expected: str | None = None) -> list[CheckRow]:
     rows = [
-        _row("ensemble", "null_mismatch", c("null_mismatch"), 0, c("null_mismatch") == 0),
-        _row("ensemble", "rule_mismatch", c("rule_mismatch"), 0, c("rule_mismatch") == 0),
-        _row("ensemble", "out_of_range", c("out_of_range"), 0, c("out_of_range") == 0),
+        ("ensemble", "null_mismatch", "null_mismatch", 0, "null_mismatch = 0"),
+        ("ensemble", "rule_mismatch", "rule_mismatch", 0, "rule_mismatch = 0"),
+        ("ensemble", "out_of_range", "out_of_range", 0, "out_of_range = 0"),
     ]
-    if expected_rows is not None:
-        exp = expected_rows if isinstance(expected_rows, Column) else F.lit(expected_rows)
-        rows.append(_row("join_completeness", "merged_rows", c("rows"), exp, c("rows") == exp))
+    if expected is not None:
+        rows.append(("join_completeness", "merged_rows", "`rows`", expected,
+                     f"`rows` = {expected}"))
     return rows
 
 
 def ensemble_check_rows(ens: DataFrame, expected_rows=None) -> DataFrame:
-    return _explode(ens, _ensemble_rows(expected_rows))
+    ens, expected = _with_expected(ens, expected_rows)
+    return _stack(ens, _ensemble_rows(expected))
 
 
 # --- V6: quality metrics -------------------------------------------------------------------------
 
 
 def _quality_aggs(columns: Sequence[str]) -> list[Column]:
-    aggs = [F.count(F.lit(1)).alias("_rows")]
+    aggs = ["count(1) AS _rows"]
     for i, name in enumerate(columns):
-        c = F.col(f"`{name}`")
+        c = _ident(name)
         aggs += [
-            F.count_if(c.isNull()).alias(f"_nulls_{i}"),
-            F.min(c).alias(f"_min_{i}"),
-            F.max(c).alias(f"_max_{i}"),
-            F.avg(c).alias(f"_mean_{i}"),
-            F.stddev(c).alias(f"_stddev_{i}"),
+            f"count_if({c} IS NULL) AS _nulls_{i}",
+            f"min({c}) AS _min_{i}",
+            f"max({c}) AS _max_{i}",
+            f"avg({c}) AS _mean_{i}",
+            f"stddev({c}) AS _stddev_{i}",
         ]
-    return aggs
+    return [F.expr(a) for a in aggs]
 
 
 def _quality_values(columns: Sequence[str], digits: int | None):
+    """(column, metric, SQL value over the aggregates of ``_quality_aggs``)."""
     for i, name in enumerate(columns):
         for metric in QUALITY_METRICS:
-            v = F.col("_rows") if metric == "rows" else F.col(f"_{metric}_{i}")
-            v = v.cast("double")
+            v = "_rows" if metric == "rows" else f"_{metric}_{i}"
+            v = f"CAST({v} AS DOUBLE)"
             if digits is not None:
-                v = F.round(v, digits)
+                v = f"round({v}, {int(digits)})"
             yield name, metric, v
 
 
 def quality_metrics(df: DataFrame, columns: Sequence[str], digits: int | None = 6) -> DataFrame:
     """(column, metric, value) for rows, nulls, min, max, mean, stddev - one pass."""
-    rows = [
-        F.struct(F.lit(name).alias("column"), F.lit(metric).alias("metric"), v.alias("value"))
-        for name, metric, v in _quality_values(columns, digits)
-    ]
-    return df.agg(*_quality_aggs(columns)).select(F.inline(F.array(*rows)))
+    args = [a for name, metric, v in _quality_values(columns, digits)
+            for a in (_text(name), _text(metric), v)]
+    return df.agg(*_quality_aggs(columns)).selectExpr(
+        f"stack({len(args) // 3}, {', '.join(args)}) AS (`column`, metric, value)"
+    )
 
 
 def merged_checks_one_pass(
@@ -327,11 +355,12 @@ def merged_checks_one_pass(
     a single aggregation over the merged run."""
     cols = [score_column(model_1), score_column(model_2), "ensemble_score"]
     one = merged.agg(*_ensemble_aggs(model_1, model_2, ensemble, eps), *_quality_aggs(cols))
-    rows = _ensemble_rows(expected_rows) + [
-        _row("quality", f"{name}.{metric}", v, None, F.lit(True))
+    one, expected = _with_expected(one, expected_rows)
+    rows = _ensemble_rows(expected) + [
+        ("quality", f"{name}.{metric}", v, None, "true")
         for name, metric, v in _quality_values(cols, digits)
     ]
-    return _explode(one, rows)
+    return _stack(one, rows)
 
 
 def quality_check_rows(metrics: DataFrame) -> DataFrame:
@@ -351,10 +380,11 @@ def quality_check_rows(metrics: DataFrame) -> DataFrame:
 def report(run_id: str, scope: str, *frames: DataFrame) -> DataFrame:
     """Union check rows with (run_id, scope) in front."""
     check_run_id(run_id)
+    head = [f"{_text(run_id)} AS {_ident(RUN_COLUMN)}", f"{_text(scope)} AS scope"]
+    head += [_ident(c) for c in CHECK_COLUMNS]
     out = None
     for f in frames:
-        f = f.select(F.lit(run_id).alias(RUN_COLUMN), F.lit(scope).alias("scope"),
-                     *[F.col(c) for c in CHECK_COLUMNS])
+        f = f.selectExpr(*head)
         out = f if out is None else out.unionByName(f)
     return out
 

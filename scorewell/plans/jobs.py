@@ -272,8 +272,8 @@ def merged_check_frames(s1, s2, merged, n1="model_1", n2="model_2", ensemble=mea
     """
     spark = merged.sparkSession
     if join_counts is not None:
-        counts = spark.createDataFrame([join_counts]).select(
-            *[F.col(c).cast("bigint") for c in MergeMetrics.FIELDS])
+        counts = spark.range(1).selectExpr(
+            *[f"CAST({int(join_counts[c])} AS BIGINT) AS {c}" for c in MergeMetrics.FIELDS])
         expected = F.lit(int(join_counts["expected_rows"]))
     else:
         counts = check_join(s1, s2)
