@@ -96,7 +96,8 @@ def score_job(
     if rebalance is None:
         # Planning only (no job): the number of input splits of the scan.
         rebalance = frame.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
-    rows = write_run(frame, target, run_id, contract=contract, rebalance=rebalance)
+    # The table was declared above; the write checks the frame against it.
+    rows = write_run(frame, target, run_id, rebalance=rebalance)
     return JobResult(target, run_id, rows, False)
 
 
@@ -151,7 +152,7 @@ def merge_job(
         }
     )
     try:
-        rows = write_run(merged, tm, run_id, contract=merged_contract(model_1, model_2))
+        rows = write_run(merged, tm, run_id)  # declared above with its contract
     except Exception as e:  # noqa: BLE001
         if "duplicate id in merge inputs" in str(e):
             raise ValueError(

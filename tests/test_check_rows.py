@@ -1,0 +1,36 @@
+"""Check rows are built as SQL over one-row aggregates: names with quotes,
+backslashes or backticks survive as data, and values are exact."""
+
+import math
+
+from pyspark.sql import types as T
+
+from scorewell.operators.checks import join_check_rows, quality_metrics, report
+
+
+def test_quality_metrics_with_awkward_column_names(spark):
+    names = ["it's", "a\\b", "x`y"]
+    schema = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
+    df = spark.createDataFrame([(1.0, 2.0, 0.5), (3.0, None, 0.5), (None, None, None)], schema)
+    got = {(r["column"], r["metric"]): r["value"] for r in quality_metrics(df, names).collect()}
+    assert set(c for c, _ in got) == set(names)
+    assert got[("it's", "rows")] == 3.0 and got[("it's", "nulls")] == 1.0
+    assert got[("it's", "min")] == 1.0 and got[("it's", "max")] == 3.0
+    assert got[("it's", "mean")] == 2.0 and got[("it's", "stddev")] == round(math.sqrt(2), 6)
+    assert got[("a\\b", "nulls")] == 2.0 and got[("a\\b", "stddev")] is None
+    assert got[("x`y", "mean")] == 0.5 and got[("x`y", "stddev")] == 0.0
+
+
+def test_join_check_rows_and_report_columns(spark):
+    counts = spark.createDataFrame(
+        [(5, 4, 3, 2, 1, 1, 4)], "n1 long, n2 long, matched long, only_1 long, only_2 long, "
+        "dup_ids long, expected_rows long")
+    rows = report("20260101_000000", "merged", join_check_rows(counts, ("m_a", "m_b"))).collect()
+    assert [r["metric"] for r in rows] == ["matched", "only_m_a", "only_m_b", "duplicate_ids"]
+    by = {r["metric"]: r for r in rows}
+    assert by["matched"]["value"] == 3.0 and by["matched"]["threshold"] == 1.0
+    assert by["matched"]["passed"] is True
+    assert by["only_m_a"]["threshold"] is None and by["only_m_a"]["passed"] is True
+    assert by["duplicate_ids"]["passed"] is False
+    assert {r["run_id"] for r in rows} == {"20260101_000000"}
+    assert {r["scope"] for r in rows} == {"merged"}
