@@ -155,46 +155,44 @@ def check_schema(
     actual = {f.name: f.dataType for f in df.schema.fields}
     expected = {f.name: f.dataType for f in contract.fields}
     names = [f.name for f in contract.fields] + [c for c in df.columns if c not in expected]
+    retyped = [n for n in names if n in expected and n in actual and expected[n] != actual[n]]
+    if retyped:
+        # One aggregation counts the values that do not cast to the contract.
+        aggs = []
+        for i, name in enumerate(retyped):
+            c = F.col(_ident(name))
+            aggs.append(F.count_if(c.isNotNull() & c.try_cast(expected[name]).isNull())
+                        .alias(f"_bad_{i}"))
+        base = df.agg(*aggs)
+    else:
+        # Same types throughout: the answer is in the schemas, no data is read.
+        base = df.sparkSession.range(1)
+    bad_col = {name: f"`_bad_{i}`" for i, name in enumerate(retyped)}
 
-    bad_aggs = {}
-    for name in names:
-        if name in expected and name in actual and expected[name] != actual[name]:
-            c = F.col(f"`{name}`")
-            bad_aggs[name] = F.count_if(c.isNotNull() & c.try_cast(expected[name]).isNull())
-    agg = df.agg(F.count(F.lit(1)).alias("_rows"),
-                 *[v.alias(f"_bad_{i}") for i, v in enumerate(bad_aggs.values())])
-    bad_col = {name: F.col(f"_bad_{i}") for i, name in enumerate(bad_aggs)}
-
-    def s(x):
-        return F.lit(x).cast("string")
+    def text(x):
+        return "CAST(NULL AS STRING)" if x is None else _text(x)
 
-    rows = []
+    args = []
     for name in names:
         exp = expected[name].simpleString() if name in expected else None
         act = actual[name].simpleString() if name in actual else None
         if exp is None:
             status = "carried" if name in allow_extra else "unexpected"
-            bad, ok = F.lit(None).cast("bigint"), F.lit(status == "carried")
-            status_col = F.lit(status)
+            bad, ok, status_sql = "NULL", str(status == "carried").lower(), _text(status)
         elif act is None:
-            bad, ok, status_col = F.lit(None).cast("bigint"), F.lit(False), F.lit("missing")
+            bad, ok, status_sql = "NULL", "false", _text("missing")
         elif name in bad_col:
             bad = bad_col[name]
-            ok = bad == 0
-            status_col = F.when(bad == 0, F.lit("cast")).otherwise(F.lit("bad_values"))
+            ok = f"{bad} = 0"
+            status_sql = f"CASE WHEN {bad} = 0 THEN 'cast' ELSE 'bad_values' END"
         else:
-            bad, ok, status_col = F.lit(0).cast("bigint"), F.lit(True), F.lit("ok")
-        rows.append(
-            F.struct(
-                F.lit(name).alias("column"),
-                s(exp).alias("expected"),
-                s(act).alias("actual"),
-                status_col.alias("status"),
-                bad.cast("bigint").alias("bad_values"),
-                ok.alias("passed"),
-            )
-        )
-    return agg.select(F.inline(F.array(*rows)))
+            bad, ok, status_sql = "0", "true", _text("ok")
+        args += [_text(name), text(exp), text(act), status_sql, f"CAST({bad} AS BIGINT)",
+                 f"CAST({ok} AS BOOLEAN)"]
+    return base.selectExpr(
+        f"stack({len(names)}, {', '.join(args)}) "
+        "AS (`column`, expected, actual, status, bad_values, passed)"
+    )
 
 
 def schema_check_rows(schema_diff: DataFrame) -> DataFrame:

@@ -25,11 +25,13 @@ from scorewell.contracts import (
 from scorewell.functions.columns import Ensemble, mean_ensemble
 from scorewell.operators.checks import (
     check_join,
+    check_schema,
     check_scores,
     gate_rows,
     join_check_rows,
     merged_checks_one_pass,
     report,
+    schema_check_rows,
 )
 from scorewell.operators.merge import MergeMetrics, merge_scores, merge_unique
 from scorewell.operators.score import score_frame
@@ -229,8 +231,10 @@ def run_pipeline(
         checks = check_scores(_features(spark, mr.features), scores, mr.model.name,
                               max_null_fraction=cfg.max_null_fraction,
                               duplicates=not cfg.strict)
+        # The stored run against its contract (V2): read from the schemas.
+        schema = schema_check_rows(check_schema(scores, score_contract(mr.model.name)))
         # Check rows are a bounded handful.
-        return job, report(run_id, mr.model.name, checks).collect()
+        return job, report(run_id, mr.model.name, checks, schema).collect()
 
     # The two models' branches are independent (as in the reference's
     # schedule): their jobs run concurrently on the cluster.

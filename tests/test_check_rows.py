@@ -34,3 +34,58 @@ def test_join_check_rows_and_report_columns(spark):
     assert by["duplicate_ids"]["passed"] is False
     assert {r["run_id"] for r in rows} == {"20260101_000000"}
     assert {r["scope"] for r in rows} == {"merged"}
+
+
+def test_check_schema_statuses(spark):
+    from scorewell.operators.checks import check_schema
+
+    contract = T.StructType([
+        T.StructField("id", T.StringType()), T.StructField("score", T.DoubleType()),
+        T.StructField("n", T.IntegerType()), T.StructField("gone", T.StringType()),
+    ])
+    df = spark.createDataFrame(
+        [("a", "1.5", 3, "x", 1.0), ("b", "oops", 4, "y", 2.0), ("c", None, 5, "z", 3.0)],
+        "id string, score string, n long, extra string, kept double")
+    got = {r["column"]: r.asDict() for r in check_schema(df, contract, allow_extra=["kept"])
+           .collect()}
+    assert list(got) == ["id", "score", "n", "gone", "extra", "kept"]
+    assert got["id"]["status"] == "ok" and got["id"]["passed"] and got["id"]["bad_values"] == 0
+    assert got["score"]["status"] == "bad_values" and got["score"]["bad_values"] == 1
+    assert not got["score"]["passed"]
+    assert got["n"]["status"] == "cast" and got["n"]["passed"] and got["n"]["actual"] == "bigint"
+    assert got["gone"]["status"] == "missing" and not got["gone"]["passed"]
+    assert got["gone"]["actual"] is None and got["gone"]["bad_values"] is None
+    assert got["extra"]["status"] == "unexpected" and not got["extra"]["passed"]
+    assert got["kept"]["status"] == "carried" and got["kept"]["passed"]
+
+
+def test_check_schema_reads_no_data_when_types_match(spark):
+    from scorewell.operators.checks import check_schema
+
+    contract = T.StructType([T.StructField("id", T.StringType())])
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").selectExpr(
+        "CAST(o_orderkey AS STRING) AS id")
+    out = check_schema(df, contract)
+    assert "FileScan" not in out._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in out.collect()] == [("id", "string", "string", "ok", 0, True)]
+
+
+def test_pipeline_report_has_schema_rows_per_model(spark, db):
+    from pyspark.sql import functions as F
+
+    from scorewell.plans import fixtures as fx
+    from scorewell.plans.jobs import ModelRun, PipelineConfig, run_pipeline
+    from tests.conftest import SF_SMALL
+
+    f = fx.features(spark, SF_SMALL)
+    cfg = PipelineConfig(database=db, models=(ModelRun(fx.MODEL_1, f),
+                                              ModelRun(fx.MODEL_2, fx.model_2_features(f))))
+    run_pipeline(spark, cfg, fx.RUN, now=fx.NOW)
+    rows = (spark.table(f"{db}.validation_report").where(F.col("check") == "schema")
+            .collect())
+    for model in ("model_1", "model_2"):
+        metrics = sorted(r["metric"] for r in rows if r["scope"] == model)
+        assert metrics == sorted(f"{c}:ok" for c in ("id", f"{model}_prediction",
+                                                     "scoring_timestamp", "model_name",
+                                                     "run_id"))
+    assert all(r["passed"] for r in rows)
