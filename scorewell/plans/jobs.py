@@ -40,7 +40,6 @@ from scorewell.sources.catalog import (
     ensure_table,
     qualified,
     read_run,
-    require_rows,
     run_exists,
     write_run,
 )
@@ -121,8 +120,10 @@ def merge_job(
     Guards: the merged run is skipped when done; both inputs must have rows
     (error names table and run); in ``strict`` mode (one shuffle, see
     ``merge_unique``) a duplicate key on either side fails the write job
-    itself, so nothing is committed; ``details['join']`` then holds the
-    join-completeness counts observed by the same job.
+    itself, so nothing is committed, and ``details['join']`` holds the
+    join-completeness counts observed by the same job.  Otherwise the join
+    runs, and ``details['join']`` holds the same counts from one aggregation
+    before it (``expected_rows`` = the rows the join will write).
     """
     check_run_id(run_id)
     t1, t2, tm = tables or (f"{model_1}_scores", f"{model_2}_scores", MERGED_TABLE)
@@ -144,8 +145,14 @@ def merge_job(
         merged = merge_unique(s1, s2, model_1, model_2, ensemble=ensemble, now=now,
                               metrics=metrics)
     else:
-        require_rows(s1, f"{t1} for run_id={run_id}")
-        require_rows(s2, f"{t2} for run_id={run_id}")
+        # Before the join, one aggregation of the keys (no join) gives the
+        # join-completeness counts: empty inputs fail here, and
+        # ``expected_rows`` is the size the join will have (n1 * n2 per key).
+        counts = check_join(s1, s2).first().asDict()
+        details["join"] = counts
+        for n, t in ((counts["n1"], t1), (counts["n2"], t2)):
+            if n == 0:
+                raise ValueError(f"No data found in {t} for run_id={run_id}")
         merged = merge_scores(s1, s2, model_1, model_2, ensemble=ensemble, now=now)
     merged = merged.withColumns(
         {
