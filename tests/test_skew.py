@@ -58,3 +58,19 @@ def test_grouped_operators_aggregate_before_the_shuffle(spark):
         plan = df._jdf.queryExecution().sparkPlan().toString()
         # a partial (map-side) HashAggregate sits below the Exchange
         assert "partial_" in plan and plan.count("HashAggregate") >= 2
+
+
+def test_hot_null_key_passes_strict_merge_whole(spark):
+    """A third of the rows with a NULL id on both sides: the strict merge does
+    not fail (NULL never matches), keeps every matched row and reports the
+    same counts as check_join."""
+    left = keyed(spark, 3000, None, 1 / 3, "k")
+    right = keyed(spark, 600, None, 1 / 3, "k")
+    s1, s2 = score_frame(left, M1, now=NOW), score_frame(right, M2, now=NOW)
+    mm = MergeMetrics()
+    rows = merge_unique(s1, s2, now=NOW, metrics=mm).collect()
+    l_keys = {r["id"] for r in s1.where("id IS NOT NULL").select("id").collect()}
+    r_keys = {r["id"] for r in s2.where("id IS NOT NULL").select("id").collect()}
+    assert sorted(r["id"] for r in rows) == sorted(l_keys & r_keys)
+    assert mm.get() == check_join(s1, s2).first().asDict()
+    assert mm.get()["n1"] == 3000 and mm.get()["n2"] == 600
