@@ -230,7 +230,7 @@ ORACLES: dict[str, str] = {
     "skip_existing_run": BASE
     + f"SELECT {RUN} AS run_id, count(*) AS \"rows\", true AS second_call_skipped FROM a",
     "merge_job": MERGED_JOB,
-    "pipeline": MERGED_JOB,
+    "daily_run": MERGED_JOB,
     "validate_scores": _with(F_CTE, A_CTE, F2_CTE, B_CTE, *SCORE_CHECK_CTES)
     + _union(SCORE_CHECK_ROWS),
     "validate_schema": _schema_sql(),

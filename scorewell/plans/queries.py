@@ -357,7 +357,7 @@ QUERIES: dict[str, Query] = {
     "score_job": q_score_job,
     "skip_existing_run": q_skip_existing_run,
     "merge_job": q_merge_job,
-    "pipeline": q_pipeline,
+    "daily_run": q_pipeline,
     "validate_scores": q_validate_scores,
     "validate_schema": q_validate_schema,
     "validate_merged": q_validate_merged,
