@@ -31,7 +31,14 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_table(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from scorewell.llm.licenses import scan
+
+    return scan(table(spark, sf_dir, "documents")).drop("detections")
+
+
 QUERIES = {
+    "op7_license_scan": op7_license_scan,
     "op1_mix_sources": op1_mix_sources,
     "op5_warc": op5_warc,
     "op9_token_files": op9_token_files,
