@@ -37,7 +37,21 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from scorewell.llm.langid import language_table
+
+    return language_table(table(spark, sf_dir, "documents"))
+
+
+def op8_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from scorewell.llm.hmm_lm import score_table
+
+    return score_table(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op8_hmm_scores": op8_hmm_scores,
+    "op2_language_id": op2_language_id,
     "op7_license_scan": op7_license_scan,
     "op1_mix_sources": op1_mix_sources,
     "op5_warc": op5_warc,
