@@ -49,7 +49,14 @@ def op8_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_table(table(spark, sf_dir, "documents"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from scorewell.llm.secrets_crf import scan
+
+    return scan(table(spark, sf_dir, "documents")).drop("secrets")
+
+
 QUERIES = {
+    "op10_secret_scan": op10_secret_scan,
     "op8_hmm_scores": op8_hmm_scores,
     "op2_language_id": op2_language_id,
     "op7_license_scan": op7_license_scan,
