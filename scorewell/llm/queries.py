@@ -55,7 +55,14 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents")).drop("secrets")
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from scorewell.llm.lsh_forest import nearest_table
+
+    return nearest_table(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op6_nearest": op6_nearest,
     "op10_secret_scan": op10_secret_scan,
     "op8_hmm_scores": op8_hmm_scores,
     "op2_language_id": op2_language_id,
