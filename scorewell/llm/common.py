@@ -77,14 +77,14 @@ SPACED[0] = 255
 ALNUM = byte_table(lambda c: c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A)
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_POWERS = np.ones(64, np.uint64)
+_POWERS = np.ones(0, np.uint64)
 
 
 def _powers(n: int) -> np.ndarray:
     global _POWERS
     if n > len(_POWERS):
         with np.errstate(over="ignore"):
-            p = np.full(max(n, 2 * len(_POWERS)), _BASE, np.uint64)
+            p = np.full(max(n, 64, 2 * len(_POWERS)), _BASE, np.uint64)
             p[0] = 1
             _POWERS = np.multiply.accumulate(p)
     return _POWERS
