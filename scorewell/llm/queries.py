@@ -61,7 +61,14 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_table(table(spark, sf_dir, "embeddings"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from scorewell.llm.decontam import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op4_decontaminate": op4_decontaminate,
     "op6_nearest": op6_nearest,
     "op10_secret_scan": op10_secret_scan,
     "op8_hmm_scores": op8_hmm_scores,

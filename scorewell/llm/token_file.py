@@ -25,6 +25,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from hashlib import blake2b
 from itertools import chain
 
 import numpy as np
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewell.llm import files
-from scorewell.llm.common import blank_text, slices, written
+from scorewell.llm.common import SPACED, blank_text, slices, utf8, words, written
 from scorewell.session import scratch_location
 
 CHUNK = 1 << 16
@@ -43,14 +44,20 @@ FOOTER = struct.Struct("<qqq8s")
 #: Appended to each document.
 END_ID = 2
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 2_000_000
 
 # --- encoding ------------------------------------------------------------------------------
 
-#: Anything but characters up to U+024F, whose lower case is one character and whose words
-#: don't depend on their neighbours; the capital I with a dot and the separators 1C-1F are out too.
-_ODD = re.compile("[^\x00-\x1b\x20-įı-ɏ]|<\\|")
-_SPACE = re.compile("[ \t\r\n]+")
+#: A run of letters, all of whose lower cases are single characters that don't depend on
+#: their neighbours, and a full stop or comma after it: two pre-tokens.
+_STOPPED = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+[.,]")
+_PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
+
+
+def _gather(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The pieces flat[start : start + length], one after the other."""
+    before = np.cumsum(length) - length
+    return flat[np.repeat(start - before, length) + np.arange(int(length.sum()))]
 
 
 class Encoder:
@@ -58,7 +65,9 @@ class Encoder:
 
     The tokenizer splits at white space before anything else, so a text's ids
     are those of its words one after the other; each distinct word is encoded
-    by the library once while it stays in the cache.
+    by the library once while it stays in the cache.  The tokenizer ignores
+    case, so words that differ in the case of A-Z are one, except where a
+    special token may stand (words with a ``<``).
     """
 
     def __init__(self, path: str):
@@ -66,67 +75,83 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.stops = {c: self._one(c) for c in ".,"}
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.start = np.zeros(1024, np.int64)
-        self.length = np.zeros(1024, np.int64)
-        self.flat = np.zeros(4096, np.uint32)
-        self.used = 0
-
-    @staticmethod
-    def words(text: str) -> list[str]:
-        if _ODD.search(text):
-            return [w for w in _SPACE.split(text) if w]
-        return text.lower().split()
-
-    def _ids(self, words: list[str]) -> Iterator[list[int]]:
-        return (e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False))
-
-    def learn(self, words: list[str]) -> None:
-        # A run of letters and the punctuation after it are separate pre-tokens.
-        plain = {w: w[:-1] for w in words if w[-1] in ".," and w[:-1].isalpha() and not _ODD.search(w)}
-        stems = [*dict.fromkeys(s for s in plain.values() if s not in self.index)]
-        known = {*plain, *stems}
-        own = [w for w in words if w not in known]
-        for group in (stems, own):
-            for w, ids in zip(group, self._ids(group), strict=True):
-                self._add(w, ids)
-        ends = {c: ids for c, ids in zip(".,", self._ids([".", ","]), strict=True)}
-        for w, s in plain.items():
-            at = self.index[s]
-            self._add(w, [*self.flat[self.start[at] : self.start[at] + self.length[at]], *ends[w[-1]]])
-
-    def _add(self, word: str, ids: list[int]) -> None:
-        if word in self.index:
-            return
-        k, n = len(self.index), len(ids)
-        if k == len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
-        while self.used + n > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.index[word], self.start[k], self.length[k] = k, self.used, n
-        self.flat[self.used : self.used + n] = ids
-        self.used += n
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.known = np.zeros(0, np.uint64)  # hashes, sorted
+        self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def _one(self, word: str) -> list[int]:
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each) of runs of letters: one pre-token each, so that one
+        id of each ends a word and many can be encoded as one text."""
+        texts = [" ".join(words[k : k + 500]) for k in range(0, len(words), 500)]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(e.ids for e in found), np.uint32)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words):
+            each = [self._one(w) for w in words]
+            return np.array([*chain.from_iterable(each)], np.uint32), np.array([len(x) for x in each], np.int64)
+        return ids, np.diff(ends, prepend=0)
+
+    def _add(self, hashes: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
+        """Adds pieces under hashes that aren't in the cache."""
+        order = np.argsort(hashes)
+        at = np.searchsorted(self.known, hashes[order])
+        self.start = np.insert(self.start, at, (len(self.flat) + np.cumsum(n) - n)[order])
+        self.length = np.insert(self.length, at, n[order])
+        self.known = np.insert(self.known, at, hashes[order])
+        self.flat = np.concatenate([self.flat, ids])
+
+    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
+        """Adds words that aren't in the cache, each once."""
+        plain, stopped, odd = [], [], []
+        for k, w in enumerate(texts):
+            (plain if _PLAIN.fullmatch(w) else stopped if _STOPPED.fullmatch(w) else odd).append(k)
+        stems = [texts[k] for k in plain] + [texts[k][:-1] for k in stopped]
+        if stems:
+            h = words(*utf8(pa.array(stems)), SPACED)[0]
+            uniq, where = np.unique(h, return_index=True)
+            new = ~np.isin(uniq, self.known, assume_unique=True)
+            if new.any():
+                self._add(uniq[new], *self._letters([stems[k] for k in where[new].tolist()]))
+        if stopped:
+            at = np.searchsorted(self.known, h[len(plain) :])
+            comma = np.array([texts[k][-1] == "," for k in stopped])
+            n_stop = np.where(comma, len(self.stops[","]), len(self.stops["."]))
+            flat = np.concatenate([self.flat, np.array([*self.stops["."], *self.stops[","]], np.uint32)])
+            stop_at = len(self.flat) + np.where(comma, len(self.stops["."]), 0)
+            start, n = np.stack([self.start[at], stop_at], axis=1), np.stack([self.length[at], n_stop], axis=1)
+            self._add(hashes[stopped], _gather(flat, start.ravel(), n.ravel()), n.sum(axis=1))
+        if odd:
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast([texts[k] for k in odd], add_special_tokens=False)]
+            self._add(hashes[odd], np.array([*chain.from_iterable(ids)], np.uint32), np.array([len(x) for x in ids], np.int64))
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each)."""
-        split = [self.words(t) for t in texts]
-        if len(self.index) > CACHE_WORDS:
+        data, offsets = utf8(column)
+        h, s, e, first = words(data, offsets, SPACED)
+        for at in np.flatnonzero(data == 60):  # <
+            k = int(np.searchsorted(s, at, "right")) - 1
+            h[k] = int.from_bytes(blake2b(data[s[k] : e[k]].tobytes(), digest_size=8).digest(), "big")
+        if len(self.known) > CACHE_WORDS:
             self.clear()
-        new = {*chain.from_iterable(split)}.difference(self.index)
-        if new:
-            self.learn([*new])
-        n = np.array([len(x) for x in split], np.int64)
-        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(split)), np.int64, int(n.sum()))
-        lens = self.length[at]
-        before = np.cumsum(lens) - lens
-        ids = self.flat[np.repeat(self.start[at] - before, lens) + np.arange(int(lens.sum()))]
+        uniq, where, at = np.unique(h, return_index=True, return_inverse=True)
+        new = ~np.isin(uniq, self.known, assume_unique=True)
+        if new.any():
+            raw = data.tobytes()
+            self._learn(uniq[new], [raw[s[k] : e[k]].decode() for k in where[new].tolist()])
+        place = np.searchsorted(self.known, uniq)[at]
+        lens = self.length[place]
         sums = np.concatenate([[0], np.cumsum(lens)])
-        ends = np.cumsum(n)
-        return ids, sums[ends] - sums[ends - n]
+        return _gather(self.flat, self.start[place], lens), np.diff(sums[first])
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -243,7 +268,7 @@ def write_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_
         out, first, coder, part = None, None, encoder(tokenizer), TaskContext.get().partitionId()
         for batch in batches:
             for rows in slices(batch, "text") if batch.num_rows else ():
-                ids, lens = coder.encode(rows.column("text").to_pylist())
+                ids, lens = coder.encode(rows.column("text"))
                 with_end = np.insert(ids, np.cumsum(lens), end_id)
                 if out is None:
                     uri, stream = files.create(folder, f"part-{part:06d}")
