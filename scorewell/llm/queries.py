@@ -67,7 +67,14 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from scorewell.llm.jaccard_join import component_table
+
+    return component_table(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_decontaminate": op4_decontaminate,
     "op6_nearest": op6_nearest,
     "op10_secret_scan": op10_secret_scan,
