@@ -282,14 +282,18 @@ def spread(members: DataFrame, sets: DataFrame, level: int, s: Settings) -> Data
     draw = F.pmod(F.xxhash64("region", "node", F.lit(level)), F.lit(1 << 30))
     chunks = F.ceil(F.col("size") / F.lit(s.chunk)).cast("int")
     drawn = members.where(draw < F.lit(float(s.pivots << 30)) / F.col("size"))
-    pivots = drawn.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).join(sets, "node")
-    points = members.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int")).join(sets, "node")
+    pivots = drawn.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).join(sets, "node").select(
+        *[F.col(c).alias(f"pivot_{c}") for c in ("region", "chunk", "node", "tokens")]
+    )
+    points = members.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int")).join(sets, "node").select(
+        *[F.col(c).alias(c) for c in ("region", "chunk", "node", "tokens")]
+    )
 
     def run(x: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         out = []
-        p = p.sort_values("node")
+        p = p.sort_values("pivot_node")
         if len(x) and len(p):
-            mine, theirs, names = as_sets(x["tokens"].tolist()), as_sets(p["tokens"].tolist()), p["node"].to_numpy()
+            mine, theirs, names = as_sets(x["tokens"].tolist()), as_sets(p["pivot_tokens"].tolist()), p["pivot_node"].to_numpy()
             for region, node, tokens in zip(x["region"], x["node"], mine, strict=True):
                 d = np.array([distance(tokens, y) for y in theirs])
                 home = int(d.argmin())
@@ -298,7 +302,7 @@ def spread(members: DataFrame, sets: DataFrame, level: int, s: Settings) -> Data
                     out.append((region, node, int(names[k]), float(d[k]), k == home))
         return pd.DataFrame(out, columns=["region", "node", "pivot", "d", "home"])
 
-    both = points.groupBy("region", "chunk").cogroup(pivots.groupBy("region", "chunk"))
+    both = points.groupBy("region", "chunk").cogroup(pivots.groupBy("pivot_region", "pivot_chunk"))
     return written(both.applyInPandas(run, SPREAD), "jaccard-spread")
 
 
