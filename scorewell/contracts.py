@@ -17,19 +17,21 @@ KEY_COLUMN = "id"
 # Metadata columns of a feature set: everything else is a model input.
 FEATURE_METADATA = ("id", "timestamp", "label")
 
-_IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
-_RUN_ID = re.compile(r"^[A-Za-z0-9_\-]+$")
+# Run ids are partition values: letters, digits, - and _ only.
+RUN_ID_PATTERN = r"[A-Za-z0-9_\-]+"
+_IDENT = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
+_RUN_ID = re.compile(RUN_ID_PATTERN)
 
 
 def check_identifier(name: str, what: str = "identifier") -> str:
-    if not isinstance(name, str) or not _IDENT.match(name):
+    if not isinstance(name, str) or not _IDENT.fullmatch(name):
         raise ValueError(f"invalid {what}: {name!r}")
     return name
 
 
 def check_run_id(run_id: str) -> str:
     """Run ids are partition values; refuse anything but [A-Za-z0-9_-]."""
-    if not isinstance(run_id, str) or not _RUN_ID.match(run_id):
+    if not isinstance(run_id, str) or not _RUN_ID.fullmatch(run_id):
         raise ValueError(f"invalid run_id: {run_id!r}")
     return run_id
 

@@ -46,7 +46,10 @@ def nan_to_null(c: Column) -> Column:
 
 
 def as_timestamp(now) -> Column:
-    """``now`` as a column: None -> current_timestamp(); str -> TIMESTAMP_NTZ."""
+    """``now`` as a column: None -> current_timestamp(); str -> TIMESTAMP_NTZ.
+
+    An aware datetime is stored as its UTC wall-clock time, as in run ids.
+    """
     if now is None:
         return F.current_timestamp()
     if isinstance(now, Column):
@@ -54,6 +57,8 @@ def as_timestamp(now) -> Column:
     if isinstance(now, str):
         return F.lit(now).cast("timestamp_ntz")
     if isinstance(now, _dt.datetime):
+        if now.tzinfo is not None:
+            now = now.astimezone(_dt.timezone.utc)
         return F.lit(now.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
     raise TypeError(f"unsupported timestamp value: {now!r}")
 

@@ -23,6 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from scorewell.contracts import FEATURE_METADATA, check_identifier
@@ -102,10 +103,6 @@ class LinearModel:
             z = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
         return nan_to_null(z)
 
-    def predict_frame(self, pdf: pd.DataFrame) -> np.ndarray:
-        """The same arithmetic on a pandas batch (used by the UDF path)."""
-        return _linear_predictor(self.weights, self.bias, self.link)(pdf)
-
     def as_python(self) -> "PythonModel":
         """This model run through the pandas-UDF path (same results)."""
         return PythonModel(
@@ -157,8 +154,13 @@ class PythonModel:
             raise ValueError(f"model {self.name!r}: no feature columns")
         require_features(df, names, self.name)
         udf = _make_udf(names, self.predict, self.loader)
-        # DECIMAL / integer inputs become DOUBLE before crossing to Python.
-        return nan_to_null(udf(*[F.col(c).cast("double") for c in names]))
+        # DECIMAL becomes DOUBLE before crossing to Python; everything else,
+        # strings included, reaches the model as it is.
+        kinds = {f.name: f.dataType for f in df.schema.fields}
+        inputs = [
+            F.col(c).cast("double") if isinstance(kinds[c], T.DecimalType) else F.col(c) for c in names
+        ]
+        return nan_to_null(udf(*inputs))
 
 
 def _make_udf(names, predict, loader):

@@ -86,9 +86,13 @@ def check_scores(
     max_null_fraction: float = 0.05,
     key: str = KEY_COLUMN,
     duplicates: bool = True,
+    rows_in: int | None = None,
 ) -> DataFrame:
     """Rows scored vs rows in, NULL predictions, duplicate and NULL keys.
 
+    ``rows_in``: how many features the scoring write read, if it counted them;
+    else they are counted here.
+
     Without ``duplicates`` this is one scan with no shuffle (use it when the
     strict merge, which fails on a duplicate key, follows anyway).
     """
@@ -110,8 +114,9 @@ def check_scores(
             F.count_if(pred.isNull()).alias("nulls"),
             F.count_if(k.isNull()).alias("null_keys"),
         )
-    # Rows in: a scalar subquery over the features, run with the check.
-    agg = agg.withColumn("rows_in", features.select(F.count(F.lit(1))).scalar())
+    # Without a count: a scalar subquery over the features, run with the check.
+    given = features.select(F.count(F.lit(1))).scalar() if rows_in is None else F.lit(rows_in)
+    agg = agg.withColumn("rows_in", given)
     frac = "CASE WHEN `rows` > 0 THEN `nulls` / `rows` ELSE 0.0 END"
     out = [
         ("row_count", "rows", "`rows`", "`rows_in`", "`rows` = `rows_in`"),
@@ -215,7 +220,8 @@ def check_join(scores_1: DataFrame, scores_2: DataFrame, key: str = KEY_COLUMN)
     One shuffle of the two key columns (tagged by side) with map-side
     partial counts - no join, and a hot key collapses before the shuffle.
     ``expected_rows`` = sum over matched keys of n1 * n2 (the merge's size).
-    A NULL key never matches, so it counts as unmatched on each side.
+    A NULL key never matches, so it counts as unmatched on each side, and
+    its rows are no duplicates.
     """
     tagged = scores_1.select(F.col(key).alias("k"), F.lit(1).alias("side")).unionByName(
         scores_2.select(F.col(key).alias("k"), F.lit(2).alias("side"))
@@ -230,12 +236,20 @@ def check_join(scores_1: DataFrame, scores_2: DataFrame, key: str = KEY_COLUMN)
         F.count_if(k.isNotNull() & (n1 > 0) & (n2 > 0)).alias("matched"),
         F.count_if((n1 > 0) & ((n2 == 0) | k.isNull())).alias("only_1"),
         F.count_if((n2 > 0) & ((n1 == 0) | k.isNull())).alias("only_2"),
-        F.count_if((n1 > 1) | (n2 > 1)).alias("dup_ids"),
+        F.count_if(k.isNotNull() & ((n1 > 1) | (n2 > 1))).alias("dup_ids"),
         F.coalesce(F.sum(F.when(k.isNotNull(), n1 * n2)), F.lit(0)).cast("bigint")
         .alias("expected_rows"),
     )
 
 
+def input_counts(scores_1: DataFrame, scores_2: DataFrame) -> DataFrame:
+    """One row (n1, n2): the rows of each side; no data column is read."""
+    sides = scores_1.select(F.lit(1).alias("side")).unionByName(scores_2.select(F.lit(2).alias("side")))
+    return sides.agg(
+        F.count_if(F.col("side") == 1).alias("n1"), F.count_if(F.col("side") == 2).alias("n2")
+    )
+
+
 def join_check_rows(join_counts: DataFrame, names=("model_1", "model_2")) -> DataFrame:
     return _stack(
         join_counts,
@@ -395,9 +409,9 @@ class ValidationError(RuntimeError):
         super().__init__("validation failed: " + "; ".join(lines))
 
 
-def gate(checks: DataFrame, max_report: int = 100) -> None:
-    """Raise ValidationError listing failed checks (at most ``max_report``)."""
-    failed = checks.where(~F.coalesce(F.col("passed"), F.lit(False))).limit(max_report).collect()
+def gate(checks: DataFrame) -> None:
+    """Raise ValidationError listing all failed checks (bounded by the number of checks)."""
+    failed = checks.where(~F.coalesce(F.col("passed"), F.lit(False))).collect()
     if failed:
         raise ValidationError([r.asDict() for r in failed])
 

@@ -22,7 +22,7 @@ from scorewell.contracts import (
     timestamp_column,
 )
 from scorewell.functions.columns import Ensemble, as_timestamp, mean_ensemble
-from scorewell.sources.catalog import require_columns
+from scorewell.sources.catalog import observed, require_columns
 
 
 def score_view(df: DataFrame, model_name: str, key: str = KEY_COLUMN) -> DataFrame:
@@ -54,7 +54,7 @@ def merge_scores(
     """
     for side, name in ((scores_1, "first score set"), (scores_2, "second score set")):
         if key not in side.columns:
-            raise ValueError(f"Join key '{key}' not found in {name}")
+            raise ValueError(f"the {name} has no key column {key!r}")
     if model_1 == model_2:
         raise ValueError("the two models must have different names")
     left = score_view(scores_1, model_1, key)
@@ -89,10 +89,7 @@ class MergeMetrics:
         self.observation = Observation()
 
     def get(self) -> dict:
-        try:
-            got = dict(self.observation.get)
-        except Exception:  # noqa: BLE001 - node pruned from an empty plan
-            got = {}
+        got = observed(self.observation)
         return {f: int(got.get(f, 0) or 0) for f in self.FIELDS}
 
 
@@ -113,14 +110,14 @@ def merge_unique(
     both sides yields one row - the same rows as the inner join when keys
     are unique.  Map-side partial aggregation collapses any heavy key
     (NULL included) to one row per task before the shuffle.  A non-NULL key
-    seen twice on either side fails the job while it runs (``raise_error``
-    names the key), so duplicates never multiply rows; NULL keys never
-    match.  ``metrics`` (a ``MergeMetrics``) receives the join-completeness
+    seen twice on either side, matched or not, fails the job while it runs
+    (``raise_error`` names the key), so duplicates never multiply rows; NULL
+    keys never match.  ``metrics`` (a ``MergeMetrics``) receives the join-completeness
     counts of ``check_join`` from the same job.
     """
     for side, name in ((scores_1, "first score set"), (scores_2, "second score set")):
         if key not in side.columns:
-            raise ValueError(f"Join key '{key}' not found in {name}")
+            raise ValueError(f"the {name} has no key column {key!r}")
     if model_1 == model_2:
         raise ValueError("the two models must have different names")
     s1n, t1n = score_column(model_1), timestamp_column(model_1)
@@ -157,17 +154,19 @@ def merge_unique(
             F.count_if(g.isNotNull() & (n1 > 0) & (n2 > 0)).alias("matched"),
             F.count_if((n1 > 0) & ((n2 == 0) | g.isNull())).alias("only_1"),
             F.count_if((n2 > 0) & ((n1 == 0) | g.isNull())).alias("only_2"),
-            F.count_if((n1 > 1) | (n2 > 1)).alias("dup_ids"),
+            F.count_if(g.isNotNull() & ((n1 > 1) | (n2 > 1))).alias("dup_ids"),
             F.coalesce(F.sum(F.when(g.isNotNull(), n1 * n2)), F.lit(0)).cast("bigint")
             .alias("expected_rows"),
         )
-    both = grouped.where(g.isNotNull() & (n1 > 0) & (n2 > 0))
-    guard = F.when(
-        (n1 > 1) | (n2 > 1),
-        F.raise_error(F.concat(F.lit("duplicate id in merge inputs: "), g)),
+    # The check is part of the filter, before the match is looked at: it sees
+    # one-sided duplicates and runs whichever columns a caller selects.
+    duplicate = F.raise_error(F.concat(F.lit("duplicate id in merge inputs: "), g)).cast("boolean")
+    both = grouped.where(
+        F.when(g.isNotNull() & ((n1 > 1) | (n2 > 1)), duplicate).otherwise(
+            g.isNotNull() & (n1 > 0) & (n2 > 0)
+        )
     )
-    s1 = F.coalesce(guard.cast("double"), F.col(s1n))
-    s2 = F.col(s2n)
+    s1, s2 = F.col(s1n), F.col(s2n)
     cols = [
         g,
         s1.alias(s1n),
@@ -188,23 +187,22 @@ def unmatched(
     names: tuple[str, str] = ("model_1", "model_2"),
     key: str = KEY_COLUMN,
 ) -> DataFrame:
-    """(id, missing_from): every row whose key has no partner on the other side.
+    """(id, missing_from, copies): every key without a partner on the other side.
 
-    Each anti-join probes the other side's *distinct* keys (pre-aggregated
-    map-side, so a heavy key is one row there); a heavy key on the probing
-    side is split by AQE's skew handling.  Rows with a NULL key can never
-    match; they bypass the join entirely.
+    One shuffle of the two key columns, tagged by side and counted before it,
+    so a heavy key (NULL included) is one row per task.  ``copies`` is how many
+    rows have the key.  A NULL key never matches: it is missing from each
+    side that the other has it on.
     """
-    k1 = scores_1.select(F.col(key).alias(KEY_COLUMN))
-    k2 = scores_2.select(F.col(key).alias(KEY_COLUMN))
-    present_1 = k1.where(F.col(KEY_COLUMN).isNotNull())
-    present_2 = k2.where(F.col(KEY_COLUMN).isNotNull())
-    only_1 = present_1.join(present_2.distinct(), on=KEY_COLUMN, how="left_anti").unionByName(
-        k1.where(F.col(KEY_COLUMN).isNull())
+    tagged = scores_1.select(F.col(key).alias(KEY_COLUMN), F.lit(1).alias("_side")).unionByName(
+        scores_2.select(F.col(key).alias(KEY_COLUMN), F.lit(2).alias("_side"))
     )
-    only_2 = present_2.join(present_1.distinct(), on=KEY_COLUMN, how="left_anti").unionByName(
-        k2.where(F.col(KEY_COLUMN).isNull())
+    per_key = tagged.groupBy(KEY_COLUMN).agg(
+        F.count_if(F.col("_side") == 1).alias("_n1"), F.count_if(F.col("_side") == 2).alias("_n2")
     )
-    return only_1.withColumn("missing_from", F.lit(names[1])).unionByName(
-        only_2.withColumn("missing_from", F.lit(names[0]))
+    k, n1, n2 = F.col(KEY_COLUMN), F.col("_n1"), F.col("_n2")
+    sides = F.array(
+        F.struct(F.lit(names[1]).alias("missing_from"), F.when(k.isNull() | (n2 == 0), n1).otherwise(0).alias("copies")),
+        F.struct(F.lit(names[0]).alias("missing_from"), F.when(k.isNull() | (n1 == 0), n2).otherwise(0).alias("copies")),
     )
+    return per_key.select(KEY_COLUMN, F.inline(sides)).where(F.col("copies") > 0)

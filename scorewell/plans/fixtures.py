@@ -3,9 +3,9 @@
 * features: one row per order (``orders``), key ``id``; a total price under
   ``MIN_PRICE`` is outside the models' input range and counts as missing, so
   ``f_price`` is NULL there and NULL predictions occur (about 2% of orders);
-* model 1: linear, all orders; model 2: logistic, scored through the
-  pandas-UDF path and only for priorities 1-4 (``5-LOW`` orders are out of
-  its scope, about a fifth), so the merge is incomplete on purpose;
+* model 1: linear, over all orders; model 2: logistic, through the pandas-UDF
+  path, over all of ``lineitem`` grouped by order.  A few orders have no line
+  items, so the merge is incomplete by itself;
 * registry: ``part`` read as (brand = name, type = stage, size = version);
 * runs: ``events.ts`` truncated to the day.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewell.functions.columns import run_id_of
-from scorewell.functions.models import LinearModel
+from scorewell.functions.models import LinearModel, PythonModel
 from scorewell.sources.features import read_features
 
 # Model weights (powers of two), pinned clock and run ids used
@@ -33,10 +33,20 @@ MODEL_2 = MODEL_2_LINEAR.as_python()
 NOW = "2026-01-01 12:00:00"
 RUN = "20260101_120000"
 RUN_B = "20260102_120000"
-# The models' valid price range starts here; model 2 scores
-# priorities up to this one.
+# Fixed value: the models' valid price range starts here.
 MIN_PRICE = 10000.0
-MODEL_2_MAX_PRIORITY = 4.0
+# Another version of model 1, for a second run over the same features.
+MODEL_1_NEXT = LinearModel.of(
+    "model_1", {"f_price": 0.001953125, "f_priority": 0.25, "f_month": 0.5}
+)
+
+
+def _mixed(pdf):
+    """A model with a text input: price and the number that the priority starts with."""
+    return pdf["f_price"] * 0.0009765625 + pdf["priority"].str[:1].astype("float64") * 0.5
+
+
+MODEL_MIXED = PythonModel("model_mixed", _mixed, features=("f_price", "priority"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,15 +80,51 @@ def lineitem_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def model_2_features(features_df: DataFrame) -> DataFrame:
-    """The orders in model 2's scope: priorities 1-4."""
-    return features_df.where(F.col("f_priority") <= F.lit(MODEL_2_MAX_PRIORITY))
+def model_2_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order that has line items, from all of ``lineitem``.
+
+    The aggregates are exact in any order of the rows (maximum, count, minimum).
+    """
+    price = F.max("l_extendedprice")
+    return (
+        table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
+        .agg(
+            F.min("l_shipdate").alias("timestamp"),
+            F.when(price < F.lit(MIN_PRICE), F.lit(None).cast("double")).otherwise(price).alias("f_price"),
+            F.count(F.lit(1)).cast("double").alias("f_priority"),
+        )
+        .select(
+            F.col("l_orderkey").cast("string").alias("id"), "timestamp", "f_price", "f_priority",
+            F.month("timestamp").cast("double").alias("f_month"),
+        )
+    )
+
+
+def line_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model 2's logistic over single line items, keyed by order: many rows a key."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_orderkey").cast("string").alias("id"),
+        F.col("l_shipdate").alias("timestamp"),
+        F.col("l_extendedprice").alias("f_price"),
+        F.col("l_quantity").alias("f_priority"),
+        F.month("l_shipdate").cast("double").alias("f_month"),
+    )
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions as text, as a registry may store them."""
     return table(spark, sf_dir, "part").select(
         F.col("p_brand").alias("name"), F.col("p_type").alias("stage"),
-        F.col("p_size").alias("version"),
+        F.col("p_size").cast("string").alias("version"),
+    )
+
+
+def event_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, level): a text column of tenths, some beyond what a TINYINT holds."""
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("id"),
+        F.concat(F.regexp_extract("props", "([0-9]+)", 1), F.lit("0")).alias("level"),
     )
 
 

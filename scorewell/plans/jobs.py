@@ -12,11 +12,13 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scorewell.contracts import (
+    KEY_COLUMN,
     check_run_id,
     merged_contract,
     score_contract,
@@ -38,11 +40,16 @@ from scorewell.operators.score import score_frame
 from scorewell.sources.catalog import (
     ensure_database,
     ensure_table,
+    observed,
     qualified,
     read_run,
+    refresh_run,
+    require_rows,
     run_exists,
+    table_exists,
     write_run,
 )
+from scorewell.session import unique_name
 from scorewell.sources.features import read_features
 
 MERGED_TABLE = "merged_model_scores"
@@ -62,6 +69,13 @@ def _features(spark: SparkSession, features) -> DataFrame:
     return features if isinstance(features, DataFrame) else read_features(spark, features)
 
 
+def counted_features(features: DataFrame, model, rows_in: Observation) -> DataFrame:
+    """The features that the model and the key need, counted as they are read."""
+    if (names := getattr(model, "features", None)) is not None:
+        features = features.select(KEY_COLUMN, *[F.col(f"`{n}`") for n in names if n in features.columns])
+    return features.observe(rows_in, F.count(F.lit(1)).alias("rows"))
+
+
 def score_job(
     spark: SparkSession,
     model,
@@ -72,16 +86,15 @@ def score_job(
     now=None,
     force: bool = False,
     location: str | None = None,
-    rebalance: bool | None = None,
+    rebalance: bool = False,
 ) -> JobResult:
     """Score ``features`` with ``model`` into ``database.table``, run ``run_id``.
 
     Skips when the run is already done (unless ``force``).  The scoring
-    itself is map-only; ``rebalance`` sizes the output files with one thin
-    AQE rebalance instead of leaving one small file per input split.  By
-    default (``None``) it is used when the scan has more splits than the
-    cluster has task slots - always the case on a large input - and skipped
-    for a handful of splits, which already yield a handful of files.
+    itself is map-only and leaves one file per input split; ``rebalance``
+    adds a shuffle of the thin score rows that sizes the files, for feature
+    sets of many small splits.  ``details['rows_in']`` is the number of
+    feature rows that the writing job read.  A failed run keeps what the table had.
     """
     check_run_id(run_id)
     target = qualified(database, table)
@@ -92,14 +105,12 @@ def score_job(
     ensure_table(spark, target, contract)
     if not force and run_exists(spark, target, run_id):
         return JobResult(target, run_id, None, True)
-    frame = score_frame(_features(spark, features), model, now=now)
+    rows_in = Observation(unique_name("rows_in"))
+    frame = score_frame(counted_features(_features(spark, features), model, rows_in), model, now=now)
     frame = frame.withColumn("scoring_timestamp", F.col("scoring_timestamp").cast("timestamp"))
-    if rebalance is None:
-        # Planning only (no job): the number of input splits of the scan.
-        rebalance = frame.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
     # The table was declared above; the write checks the frame against it.
     rows = write_run(frame, target, run_id, rebalance=rebalance)
-    return JobResult(target, run_id, rows, False)
+    return JobResult(target, run_id, rows, False, {"rows_in": observed(rows_in).get("rows")})
 
 
 def merge_job(
@@ -114,16 +125,18 @@ def merge_job(
     force: bool = False,
     strict: bool = True,
     location: str | None = None,
+    most_rows: int | None = None,
 ) -> JobResult:
     """Read both score sets of the run, join on ``id``, write the merged run.
 
-    Guards: the merged run is skipped when done; both inputs must have rows
-    (error names table and run); in ``strict`` mode (one shuffle, see
-    ``merge_unique``) a duplicate key on either side fails the write job
-    itself, so nothing is committed, and ``details['join']`` holds the
-    join-completeness counts observed by the same job.  Otherwise the join
-    runs, and ``details['join']`` holds the same counts from one aggregation
-    before it (``expected_rows`` = the rows the join will write).
+    Guards: the merged run is skipped when done; both inputs must have rows,
+    which is looked at before any work (the error names table and run); in
+    ``strict`` mode (one shuffle, see ``merge_unique``) a duplicate key on
+    either side fails the write job, so nothing is committed and an earlier
+    merged run stays, and ``details['join']`` holds the join-completeness
+    counts observed by the same job.  Otherwise the join runs, and
+    ``details['join']`` holds the same counts from one aggregation before it;
+    a join that would have more than ``most_rows`` rows is refused.
     """
     check_run_id(run_id)
     t1, t2, tm = tables or (f"{model_1}_scores", f"{model_2}_scores", MERGED_TABLE)
@@ -134,25 +147,29 @@ def merge_job(
         ensure_table(spark, t, contract)
     if not force and run_exists(spark, tm, run_id):
         return JobResult(tm, run_id, None, True)
+    for t in (t1, t2):
+        refresh_run(spark, t, run_id)
     s1, s2 = read_run(spark, t1, run_id), read_run(spark, t2, run_id)
+    for s, t in ((s1, t1), (s2, t2)):
+        require_rows(s, f"{t}, run {run_id},")
     details = {}
     metrics = None
     if strict:
         # One shuffle: the merge itself fails on a duplicate key and reports
-        # the join-completeness counts (and so empty inputs) as observations
-        # of the same job.
+        # the join-completeness counts as observations of the same job.
         metrics = MergeMetrics()
         merged = merge_unique(s1, s2, model_1, model_2, ensemble=ensemble, now=now,
                               metrics=metrics)
     else:
         # Before the join, one aggregation of the keys (no join) gives the
-        # join-completeness counts: empty inputs fail here, and
-        # ``expected_rows`` is the size the join will have (n1 * n2 per key).
+        # join-completeness counts; ``expected_rows`` is the size the join
+        # will have (n1 * n2 per key).
         counts = check_join(s1, s2).first().asDict()
         details["join"] = counts
-        for n, t in ((counts["n1"], t1), (counts["n2"], t2)):
-            if n == 0:
-                raise ValueError(f"No data found in {t} for run_id={run_id}")
+        if most_rows is not None and counts["expected_rows"] > most_rows:
+            raise ValueError(
+                f"the join of run {run_id} would have {counts['expected_rows']} rows, more than {most_rows}"
+            )
         merged = merge_scores(s1, s2, model_1, model_2, ensemble=ensemble, now=now)
     merged = merged.withColumns(
         {
@@ -162,7 +179,7 @@ def merge_job(
     )
     try:
         rows = write_run(merged, tm, run_id)  # declared above with its contract
-    except Exception as e:  # noqa: BLE001
+    except PySparkException as e:
         if "duplicate id in merge inputs" in str(e):
             raise ValueError(
                 f"duplicate id(s) in the inputs of run {run_id} ({t1}, {t2}); the join would "
@@ -170,13 +187,7 @@ def merge_job(
             ) from e
         raise
     if metrics is not None:
-        counts = metrics.get()
-        details["join"] = counts
-        # Empty inputs are caught from the same job's counts: the merged run
-        # then holds no rows, so it is not done, and we fail naming the input.
-        for n, t in ((counts["n1"], t1), (counts["n2"], t2)):
-            if n == 0:
-                raise ValueError(f"No data found in {t} for run_id={run_id}")
+        details["join"] = metrics.get()
     return JobResult(tm, run_id, rows, False, details)
 
 
@@ -237,7 +248,7 @@ def run_pipeline(
         # per-model check needs no shuffle.
         checks = check_scores(_features(spark, mr.features), scores, mr.model.name,
                               max_null_fraction=cfg.max_null_fraction,
-                              duplicates=not cfg.strict)
+                              duplicates=not cfg.strict, rows_in=job.details.get("rows_in"))
         # The stored run against its contract (V2): read from the schemas.
         schema = schema_check_rows(check_schema(scores, score_contract(mr.model.name)))
         # Check rows are a bounded handful.
@@ -256,8 +267,11 @@ def run_pipeline(
 
     n1, n2 = m1.model.name, m2.model.name
     tables = (m1.table_name, m2.table_name, cfg.merged_table)
+    # A merged run that its gate refused, or that is older than this run's
+    # scores, isn't done.
+    stale = any(not j.skipped for j in jobs) or _refused_before(spark, cfg, run_id)
     merge = merge_job(spark, db, run_id, n1, n2, tables=tables, ensemble=cfg.ensemble,
-                      now=now, force=force, strict=cfg.strict)
+                      now=now, force=force or stale, strict=cfg.strict)
     jobs.append(merge)
 
     s1 = read_run(spark, qualified(db, tables[0]), run_id)
@@ -274,6 +288,18 @@ def run_pipeline(
     return PipelineResult(run_id, jobs, full, merged)
 
 
+def _refused_before(spark: SparkSession, cfg: PipelineConfig, run_id: str) -> bool:
+    """Does the stored report of the run have a failed check?"""
+    if not cfg.report_table:
+        return False
+    table = qualified(cfg.database, cfg.report_table)
+    if not table_exists(spark, table):
+        return False
+    refresh_run(spark, table, run_id)
+    passed = F.coalesce(F.col("passed"), F.lit(False))
+    return not read_run(spark, table, run_id).where(~passed).isEmpty()
+
+
 def merged_check_frames(s1, s2, merged, n1="model_1", n2="model_2", ensemble=mean_ensemble,
                         eps=1e-9, join_counts: dict | None = None) -> list[DataFrame]:
     """V4 (join completeness), then V5 (ensemble validity + row count) and V6

@@ -21,7 +21,13 @@ F_CTE = """f AS (
   FROM orders)"""
 A_CTE = """a AS (
   SELECT id, f_price*0.0009765625 + f_priority*0.5 + f_month*0.25 AS model_1_prediction FROM f)"""
-F2_CTE = """f2 AS (SELECT * FROM f WHERE f_priority <= 4.0)"""
+F2_CTE = """f2 AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS id, min(l_shipdate) AS "timestamp",
+         CASE WHEN max(l_extendedprice) < 10000.0 THEN NULL ELSE max(l_extendedprice) END AS f_price,
+         CAST(count(*) AS DOUBLE) AS f_priority, CAST(month(min(l_shipdate)) AS DOUBLE) AS f_month
+  FROM lineitem GROUP BY l_orderkey)"""
+A2_CTE = """a2 AS (
+  SELECT id, f_price*0.001953125 + f_priority*0.25 + f_month*0.5 AS model_1_prediction FROM f)"""
 B_CTE = """b AS (
   SELECT id, 1.0/(1.0+exp(-(f_price*0.00000762939453125 - f_priority*0.25 + f_month*0.125)))
          AS model_2_prediction FROM f2)"""
@@ -36,7 +42,7 @@ jc AS (
          count(*) FILTER (WHERE n1 IS NOT NULL AND n2 IS NOT NULL) AS matched,
          count(*) FILTER (WHERE n2 IS NULL) AS only_1,
          count(*) FILTER (WHERE n1 IS NULL) AS only_2,
-         count(*) FILTER (WHERE n1 > 1 OR n2 > 1) AS dup_ids,
+         count(*) FILTER (WHERE id IS NOT NULL AND (n1 > 1 OR n2 > 1)) AS dup_ids,
          CAST(coalesce(sum(n1 * n2) FILTER (WHERE n1 IS NOT NULL AND n2 IS NOT NULL), 0)
               AS BIGINT) AS expected_rows
   FROM x FULL JOIN y USING (id))"""
@@ -148,30 +154,23 @@ MERGED_JOB = (
     + f"SELECT id, model_1_score, model_2_score, ensemble_score, {RUN} AS run_id FROM m"
 )
 
-SCHEMA_ROWS = [
-    ("id", "'string'", "'string'", "'ok'", "0", "true"),
-    ("model_1_prediction", "'double'", "'double'", "'ok'", "0", "true"),
-    ("scoring_timestamp", "'timestamp'", "'timestamp_ntz'", "'cast'",
-     f"(SELECT count(*) FILTER (WHERE s IS NOT NULL AND TRY_CAST(s AS TIMESTAMPTZ) IS NULL) "
-     f"FROM (SELECT {NOW} AS s FROM f))", "true"),
-    ("model_name", "'string'", "'string'", "'ok'", "0", "true"),
-    ("run_id", "'string'", "'string'", "'ok'", "0", "true"),
-    ("timestamp", "NULL", "'timestamp_ntz'", "'unexpected'", "NULL", "false"),
-    ("label", "NULL", "'int'", "'unexpected'", "NULL", "false"),
-    ("f_price", "NULL", "'double'", "'unexpected'", "NULL", "false"),
-    ("f_priority", "NULL", "'double'", "'unexpected'", "NULL", "false"),
-    ("f_month", "NULL", "'double'", "'unexpected'", "NULL", "false"),
-]
+SCHEMA_SQL = """WITH e AS (SELECT regexp_extract(props, '([0-9]+)', 1) || '0' AS level FROM events),
+c AS (SELECT count(*) FILTER (WHERE level IS NOT NULL AND TRY_CAST(level AS TINYINT) IS NULL) AS bad FROM e)
+SELECT 'id' AS "column", 'string' AS expected, 'string' AS actual, 'ok' AS status,
+       CAST(0 AS BIGINT) AS bad_values, true AS passed
+UNION ALL SELECT 'level', 'tinyint', 'string', CASE WHEN bad = 0 THEN 'cast' ELSE 'bad_values' END, bad, bad = 0 FROM c
+UNION ALL SELECT 'seen', 'bigint', NULL, 'missing', NULL, false
+UNION ALL SELECT 'extra', NULL, 'int', 'unexpected', NULL, false"""
 
 
-def _schema_sql() -> str:
-    rows = [
-        f"SELECT '{name}' AS \"column\", CAST({exp} AS VARCHAR) AS expected, "
-        f"CAST({act} AS VARCHAR) AS actual, {status} AS status, "
-        f"CAST({bad} AS BIGINT) AS bad_values, {ok} AS passed"
-        for name, exp, act, status, bad, ok in SCHEMA_ROWS
-    ]
-    return _with(F_CTE) + _union(rows)
+def _stored_schema_rows() -> list[str]:
+    """Schema rows of the stored score sets: all columns as the contract has them."""
+    out = []
+    for m in ("model_1", "model_2"):
+        for c in ("id", f"{m}_prediction", "scoring_timestamp", "model_name", "run_id"):
+            out.append(f"SELECT {RUN} AS run_id, '{m}' AS scope, 'schema' AS \"check\", '{c}:ok' AS metric, "
+                       "CAST(0 AS DOUBLE) AS value, CAST(NULL AS DOUBLE) AS threshold, true AS passed")
+    return out
 
 
 ORACLES: dict[str, str] = {
@@ -184,7 +183,16 @@ ORACLES: dict[str, str] = {
     f"{RUN} AS run_id FROM a",
     "run_ids": "SELECT strftime(date_trunc('day', ts), '%Y%m%d_%H%M%S') AS run_id, "
     "count(*) AS cnt FROM events GROUP BY 1",
-    "latest_model_version": "SELECT p_brand AS name, p_type AS stage, max(p_size) AS version, "
+    "score_model_mixed": "SELECT o_orderkey AS id, o_totalprice*0.0009765625 + "
+    "CAST(substr(o_orderpriority, 1, 1) AS DOUBLE)*0.5 AS model_mixed_prediction FROM orders",
+    "merge_join": _with(F_CTE, A_CTE)
+    + "SELECT a.id AS id, model_1_prediction AS model_1_score, m2 AS model_2_score, "
+    "(model_1_prediction + m2) / 2.0 AS ensemble_score FROM a JOIN (SELECT CAST(l_orderkey AS VARCHAR) AS id, "
+    "1.0/(1.0+exp(-(l_extendedprice*0.00000762939453125 - l_quantity*0.25 + CAST(month(l_shipdate) AS DOUBLE)*0.125))) "
+    "AS m2 FROM lineitem) l ON a.id = l.id",
+    "run_rows": "SELECT 'stored' AS what, count(*) AS \"rows\" FROM orders UNION ALL "
+    "SELECT 'other run', 0 UNION ALL SELECT 'no table', 0",
+    "latest_model_version": "SELECT p_brand AS name, p_type AS stage, CAST(max(p_size) AS VARCHAR) AS version, "
     "'models:/' || p_brand || '/' || CAST(max(p_size) AS VARCHAR) AS model_uri "
     "FROM part GROUP BY 1, 2",
     "merge_scores": MERGED
@@ -195,8 +203,8 @@ ORACLES: dict[str, str] = {
     + "SELECT a.id AS id, round(model_1_prediction*0.75 + model_2_prediction*0.25, 6) "
     "AS ensemble_score FROM a JOIN b ON a.id = b.id",
     "unmatched_ids": BASE
-    + "SELECT id, 'model_2' AS missing_from FROM a ANTI JOIN b USING (id) UNION ALL "
-    "SELECT id, 'model_1' AS missing_from FROM b ANTI JOIN a USING (id)",
+    + "SELECT id, 'model_2' AS missing_from, count(*) AS copies FROM a ANTI JOIN b USING (id) GROUP BY id UNION ALL "
+    "SELECT id, 'model_1' AS missing_from, count(*) AS copies FROM b ANTI JOIN a USING (id) GROUP BY id",
     "join_completeness": JOINED + "SELECT * FROM jc",
     "duplicate_keys": "SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) "
     "AS id, count(*) AS copies FROM lineitem GROUP BY 1 HAVING count(*) > 1",
@@ -204,36 +212,39 @@ ORACLES: dict[str, str] = {
     "write_run_first": BASE
     + f"SELECT id, model_1_prediction, {NOW} AS scoring_timestamp, 'model_1' AS model_name, "
     f"{RUN} AS run_id FROM a",
-    "write_run_idempotent": BASE
+    "write_run_idempotent": _with(F_CTE, A_CTE, A2_CTE)
     + f"SELECT {RUN} AS run_id, count(*) AS \"rows\", "
-    "count(*) FILTER (WHERE model_1_prediction IS NULL) AS null_predictions FROM a\n"
-    f"UNION ALL SELECT {RUN_B}, count(*), count(*) FILTER (WHERE model_1_prediction IS NULL) "
-    "FROM a WHERE id IN (SELECT id FROM f WHERE label = 1)",
-    "read_run": BASE
-    + f"SELECT id, model_1_prediction, {RUN_B} AS run_id FROM a "
-    "WHERE id IN (SELECT id FROM f WHERE label = 1)",
+    "count(*) FILTER (WHERE model_1_prediction IS NULL) AS null_predictions, max(model_1_prediction) AS largest, "
+    "count(*) AS rows_of_the_write FROM a\n"
+    f"UNION ALL SELECT {RUN_B}, count(*), count(*) FILTER (WHERE model_1_prediction IS NULL), "
+    "max(model_1_prediction), count(*) FROM a2",
+    "read_run": _with(F_CTE, A2_CTE)
+    + f"SELECT id, model_1_prediction, {RUN_B} AS run_id FROM a2",
     "run_status": _with(
         F_CTE,
+        F2_CTE,
         """r1 AS (SELECT strftime(date_trunc('year', "timestamp"), '%Y%m%d_%H%M%S') AS run_id,
                  count(*) AS n FROM f GROUP BY 1)""",
         """r2 AS (SELECT strftime(date_trunc('year', "timestamp"), '%Y%m%d_%H%M%S') AS run_id,
-                 count(*) AS n FROM f
-          WHERE f_priority <= 4.0 AND "timestamp" < TIMESTAMP '1999-01-01'
-          GROUP BY 1)""",
+                 count(*) AS n FROM f2 GROUP BY 1)""",
     )
-    + "SELECT r1.run_id AS run_id, r1.n AS model_1_scores, r2.n AS model_2_scores "
-    "FROM r1 LEFT JOIN r2 ON r1.run_id = r2.run_id",
+    + "SELECT coalesce(r1.run_id, r2.run_id) AS run_id, r1.n AS model_1_scores, r2.n AS model_2_scores "
+    "FROM r1 FULL JOIN r2 ON r1.run_id = r2.run_id",
     "merge_input_counts": BASE
     + "SELECT (SELECT count(*) FROM a) AS n1, (SELECT count(*) FROM b) AS n2",
     "score_job": BASE
     + f"SELECT id, model_1_prediction, 'model_1' AS model_name, {RUN} AS run_id FROM a",
     "skip_existing_run": BASE
-    + f"SELECT {RUN} AS run_id, count(*) AS \"rows\", true AS second_call_skipped FROM a",
+    + f"SELECT {RUN} AS run_id, count(*) AS \"rows\", max(model_1_prediction) AS largest, "
+    "true AS second_call_skipped FROM a",
     "merge_job": MERGED_JOB,
     "daily_run": MERGED_JOB,
     "validate_scores": _with(F_CTE, A_CTE, F2_CTE, B_CTE, *SCORE_CHECK_CTES)
     + _union(SCORE_CHECK_ROWS),
-    "validate_schema": _schema_sql(),
+    "validate_schema": SCHEMA_SQL,
+    "stored_report": _with(F_CTE, A_CTE, F2_CTE, B_CTE, M_CTE, XY_CTE, EM_CTE, *SCORE_CHECK_CTES)
+    + _union([r for r in SCORE_CHECK_ROWS if "'duplicate_ids' AS" not in r] + _stored_schema_rows()
+             + MERGED_CHECK_ROWS + _quality_rows(True)),
     "validate_merged": _with(F_CTE, A_CTE, F2_CTE, B_CTE, M_CTE, XY_CTE, EM_CTE)
     + _union(MERGED_CHECK_ROWS),
     "validation_report": _with(F_CTE, A_CTE, F2_CTE, B_CTE, M_CTE, XY_CTE, EM_CTE,

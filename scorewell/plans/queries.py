@@ -13,24 +13,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scorewell.contracts import score_contract
 from scorewell.functions.columns import run_id_of, weighted_ensemble
 from scorewell.functions.models import feature_columns
 from scorewell.operators.checks import (
-    check_ensemble,
     check_join,
     check_schema,
     check_scores,
     duplicate_keys,
-    ensemble_check_rows,
-    join_check_rows,
-    quality_check_rows,
+    input_counts,
     quality_metrics,
     report,
 )
-from scorewell.operators.merge import MergeMetrics, merge_unique, unmatched
-from scorewell.operators.score import score, score_frame, stamp
+from scorewell.operators.merge import merge_scores, merge_unique, unmatched
+from scorewell.operators.score import score, score_frame
 from scorewell.plans import fixtures as fx
 from scorewell.plans.jobs import (
     ModelRun,
@@ -40,10 +38,11 @@ from scorewell.plans.jobs import (
     run_pipeline,
     score_job,
 )
-from scorewell.session import checkpoint_root, scratch_location, unique_name
+from scorewell.session import scratch_location, unique_name
 from scorewell.sources.catalog import (
     ensure_database,
     read_run,
+    run_rows,
     run_status,
     write_run,
     write_runs,
@@ -62,23 +61,28 @@ def _features(spark, sf):
     return fx.features(spark, sf)
 
 
-def _scores(spark, sf, reuse: bool = False):
-    """Features and both score sets.  ``reuse``: the score sets are read by
-    several checks, so score once and cut the lineage with a reliable
-    checkpoint (thin rows, written under the shared checkpoint folder)."""
-    f = _features(spark, sf)
-    s1 = score_frame(f, fx.MODEL_1, now=fx.NOW)
-    s2 = score_frame(fx.model_2_features(f), fx.MODEL_2, now=fx.NOW)
-    if reuse:
-        checkpoint_root(spark)
-        s1, s2 = s1.checkpoint(), s2.checkpoint()
-    return f, s1, s2
+def _scores(spark, sf):
+    """Both score sets."""
+    s1 = score_frame(_features(spark, sf), fx.MODEL_1, now=fx.NOW)
+    s2 = score_frame(fx.model_2_features(spark, sf), fx.MODEL_2, now=fx.NOW)
+    return s1, s2
+
+
+def _stored_scores(spark, sf, db):
+    """Both score sets written as the jobs write them, and read back as run partitions."""
+    _score_both(spark, sf, db)
+    return [read_run(spark, f"{db}.{m}_scores", fx.RUN) for m in ("model_1", "model_2")]
+
+
+def _score_both(spark, sf, db):
+    score_job(spark, fx.MODEL_1, _features(spark, sf), db, "model_1_scores", fx.RUN, now=fx.NOW)
+    score_job(spark, fx.MODEL_2, fx.model_2_features(spark, sf), db, "model_2_scores", fx.RUN, now=fx.NOW)
 
 
 def _merged(spark, sf, **kw):
     """The merge of both score sets as the merge job runs it: one shuffle,
     no join, so no key can multiply rows (a duplicate key fails the job)."""
-    _, s1, s2 = _scores(spark, sf)
+    s1, s2 = _scores(spark, sf)
     return merge_unique(s1, s2, run_id=fx.RUN, now=fx.NOW, **kw)
 
 
@@ -113,8 +117,16 @@ def q_score_model_1(spark, sf):
 
 
 def q_score_model_2(spark, sf):
-    f = fx.model_2_features(_features(spark, sf))
-    return score(f, fx.MODEL_2).select("id", "model_2_prediction")
+    return score(fx.model_2_features(spark, sf), fx.MODEL_2).select("id", "model_2_prediction")
+
+
+def q_score_model_mixed(spark, sf):
+    """A model with a text input beside a numeric one."""
+    o = fx.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("f_price"),
+        F.col("o_orderpriority").alias("priority"),
+    )
+    return score(o, fx.MODEL_MIXED).select("id", "model_mixed_prediction")
 
 
 def q_score_stamped(spark, sf):
@@ -145,8 +157,15 @@ def q_ensemble_weighted(spark, sf):
     return _merged(spark, sf, ensemble=rule).select("id", "ensemble_score")
 
 
+def q_merge_join(spark, sf):
+    """The inner join itself: unique orders against many line items an order."""
+    s1 = score_frame(_features(spark, sf), fx.MODEL_1, now=fx.NOW)
+    s2 = score_frame(fx.line_scores(spark, sf), fx.MODEL_2, now=fx.NOW)
+    return merge_scores(s1, s2, now=fx.NOW).select(*MERGED_COLUMNS)
+
+
 def q_unmatched_ids(spark, sf):
-    _, s1, s2 = _scores(spark, sf)
+    s1, s2 = _scores(spark, sf)
     return unmatched(s1, s2)
 
 
@@ -156,7 +175,7 @@ def q_duplicate_keys(spark, sf):
 
 
 def q_join_completeness(spark, sf):
-    _, s1, s2 = _scores(spark, sf)
+    s1, s2 = _scores(spark, sf)
     return check_join(s1, s2)
 
 
@@ -175,34 +194,47 @@ def q_write_run_first(spark, sf):
     return _ntz(spark.table(t), "scoring_timestamp")
 
 
-def q_write_run_idempotent(spark, sf):
-    db = _scratch_db(spark, "idem")
+def _two_runs(spark, sf, db) -> tuple[str, list[int]]:
+    """RUN by model 1 and RUN_B by its next version, over all orders; then RUN
+    again: replaced, not doubled.  Returns the table and the counts of the writes."""
     t = f"{db}.model_1_scores"
-    f = _features(spark, sf)
+    f, contract = _features(spark, sf), score_contract("model_1")
     frame = _to_contract(score_frame(f, fx.MODEL_1, now=fx.NOW))
-    subset = _to_contract(score_frame(f.where(F.col("label") == 1), fx.MODEL_1, now=fx.NOW))
-    contract = score_contract("model_1")
-    write_run(frame, t, fx.RUN, contract=contract)
-    write_run(subset, t, fx.RUN_B, contract=contract)
-    write_run(frame, t, fx.RUN, contract=contract)  # same run again: replaced, not doubled
-    return spark.table(t).groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("model_1_prediction").isNull()).alias("null_predictions"),
+    following = _to_contract(score_frame(f, fx.MODEL_1_NEXT, now=fx.NOW))
+    return t, [
+        write_run(frame, t, fx.RUN, contract=contract),
+        write_run(following, t, fx.RUN_B, contract=contract),
+        write_run(frame, t, fx.RUN, contract=contract),
+    ]
+
+
+def q_write_run_idempotent(spark, sf):
+    t, (_, second, third) = _two_runs(spark, sf, _scratch_db(spark, "idem"))
+    counted = F.when(F.col("run_id") == fx.RUN, F.lit(third)).otherwise(F.lit(second))
+    return (
+        spark.table(t).groupBy("run_id")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("model_1_prediction").isNull()).alias("null_predictions"),
+            F.max("model_1_prediction").alias("largest"),
+        )
+        .withColumn("rows_of_the_write", counted.cast("bigint"))
     )
 
 
 def q_read_run(spark, sf):
-    db = _scratch_db(spark, "read")
-    t = f"{db}.model_1_scores"
-    f = _features(spark, sf)
-    contract = score_contract("model_1")
-    write_run(_to_contract(score_frame(f, fx.MODEL_1, now=fx.NOW)), t, fx.RUN, contract=contract)
-    subset = f.where(F.col("label") == 1)
-    write_run(_to_contract(score_frame(subset, fx.MODEL_1, now=fx.NOW)), t, fx.RUN_B,
-              contract=contract)
+    t, _ = _two_runs(spark, sf, _scratch_db(spark, "read"))
     return read_run(spark, t, fx.RUN_B).select("id", "model_1_prediction", "run_id")
 
 
+def q_run_rows(spark, sf):
+    """Rows of a stored run, of one that doesn't exist, and of a missing table."""
+    t, _ = _two_runs(spark, sf, _scratch_db(spark, "rows"))
+    got = [("stored", run_rows(spark, t, fx.RUN)), ("other run", run_rows(spark, t, "none")),
+           ("no table", run_rows(spark, f"{t}_none", fx.RUN))]
+    return spark.createDataFrame(got, "what string, rows bigint")
+
+
 def q_run_status(spark, sf):
     """Backfill two score tables by year-runs (dynamic overwrite), then pivot."""
     db = _scratch_db(spark, "status")
@@ -217,8 +249,7 @@ def q_run_status(spark, sf):
         write_runs(_to_contract(scored), f"{db}.{table}", contract=score_contract(model.name))
 
     backfill(f, fx.MODEL_1, "model_1_scores")
-    early = fx.model_2_features(f).where(F.col("timestamp") < F.lit("1999-01-01").cast(ts_type))
-    backfill(early, fx.MODEL_2, "model_2_scores")
+    backfill(fx.model_2_features(spark, sf), fx.MODEL_2, "model_2_scores")
     return run_status(
         spark, {"model_1_scores": f"{db}.model_1_scores", "model_2_scores": f"{db}.model_2_scores"}
     )
@@ -226,16 +257,8 @@ def q_run_status(spark, sf):
 
 def q_merge_input_counts(spark, sf):
     db = _scratch_db(spark, "counts")
-    f = _features(spark, sf)
-    score_job(spark, fx.MODEL_1, f, db, "model_1_scores", fx.RUN, now=fx.NOW)
-    score_job(spark, fx.MODEL_2, fx.model_2_features(f), db, "model_2_scores", fx.RUN, now=fx.NOW)
-    sides = read_run(spark, f"{db}.model_1_scores", fx.RUN).select(F.lit(1).alias("side"))
-    sides = sides.unionByName(
-        read_run(spark, f"{db}.model_2_scores", fx.RUN).select(F.lit(2).alias("side"))
-    )
-    return sides.agg(
-        F.count_if(F.col("side") == 1).alias("n1"), F.count_if(F.col("side") == 2).alias("n2")
-    )
+    _score_both(spark, sf, db)
+    return input_counts(*[read_run(spark, f"{db}.{m}_scores", fx.RUN) for m in ("model_1", "model_2")])
 
 
 # --- jobs ----------------------------------------------------------------------------------
@@ -250,33 +273,31 @@ def q_score_job(spark, sf):
 
 
 def q_skip_existing_run(spark, sf):
+    """The second call, with another version of the model, leaves the run as it is."""
     db = _scratch_db(spark, "skip")
     f = _features(spark, sf)
     score_job(spark, fx.MODEL_1, f, db, "model_1_scores", fx.RUN, now=fx.NOW)
-    second = score_job(spark, fx.MODEL_1, f.where(F.col("label") == 1), db, "model_1_scores",
-                       fx.RUN, now=fx.NOW)
+    second = score_job(spark, fx.MODEL_1_NEXT, f, db, "model_1_scores", fx.RUN, now=fx.NOW)
     return (
         spark.table(f"{db}.model_1_scores")
         .groupBy("run_id")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.max("model_1_prediction").alias("largest"))
         .withColumn("second_call_skipped", F.lit(bool(second.skipped)))
     )
 
 
 def q_merge_job(spark, sf):
     db = _scratch_db(spark, "merge")
-    f = _features(spark, sf)
-    score_job(spark, fx.MODEL_1, f, db, "model_1_scores", fx.RUN, now=fx.NOW)
-    score_job(spark, fx.MODEL_2, fx.model_2_features(f), db, "model_2_scores", fx.RUN, now=fx.NOW)
+    _score_both(spark, sf, db)
     merge_job(spark, db, fx.RUN, now=fx.NOW)
     return read_run(spark, f"{db}.merged_model_scores", fx.RUN).select(*MERGED_COLUMNS, "run_id")
 
 
 def pipeline_config(spark, sf, db) -> PipelineConfig:
-    f = _features(spark, sf)
     return PipelineConfig(
         database=db,
-        models=(ModelRun(fx.MODEL_1, f), ModelRun(fx.MODEL_2, fx.model_2_features(f))),
+        models=(ModelRun(fx.MODEL_1, _features(spark, sf)),
+                ModelRun(fx.MODEL_2, fx.model_2_features(spark, sf))),
     )
 
 
@@ -286,49 +307,54 @@ def q_pipeline(spark, sf):
     return result.merged.select(*MERGED_COLUMNS, "run_id")
 
 
+def q_stored_report(spark, sf):
+    """What the daily run stores in its report table, schema rows included."""
+    db = _scratch_db(spark, "report")
+    run_pipeline(spark, pipeline_config(spark, sf, db), fx.RUN, now=fx.NOW)
+    return read_run(spark, f"{db}.validation_report", fx.RUN)
+
+
 # --- validation ----------------------------------------------------------------------------------
 
 
-def _score_checks(spark, sf, scored=None):
-    f, s1, s2 = scored or _scores(spark, sf)
+def _score_checks(spark, sf, s1, s2):
     return [
-        report(fx.RUN, "model_1", check_scores(f, s1, "model_1")),
-        report(fx.RUN, "model_2", check_scores(fx.model_2_features(f), s2, "model_2")),
+        report(fx.RUN, "model_1", check_scores(_features(spark, sf), s1, "model_1")),
+        report(fx.RUN, "model_2", check_scores(fx.model_2_features(spark, sf), s2, "model_2")),
     ]
 
 
 def q_validate_scores(spark, sf):
-    a, b = _score_checks(spark, sf)
+    a, b = _score_checks(spark, sf, *_scores(spark, sf))
     return a.unionByName(b)
 
 
 def q_validate_schema(spark, sf):
-    wide = stamp(score(_features(spark, sf), fx.MODEL_1), "model_1", fx.RUN, fx.NOW)
-    return check_schema(wide, score_contract("model_1"))
+    """A text column that must cast: the values that don't are counted over the table."""
+    contract = T.StructType([T.StructField("id", T.StringType()), T.StructField("level", T.ByteType()),
+                             T.StructField("seen", T.LongType())])
+    frame = fx.event_values(spark, sf).withColumn("extra", F.lit(1))
+    return check_schema(frame, contract)
 
 
-def _strict_merge(spark, s1, s2):
-    """The merge as the merge job runs it: one shuffle, join counts observed,
-    lineage cut with a reliable checkpoint (so the counts exist once)."""
-    metrics = MergeMetrics()
-    checkpoint_root(spark)
-    merged = merge_unique(s1, s2, run_id=fx.RUN, now=fx.NOW, metrics=metrics).checkpoint()
-    return merged, metrics.get()
+def _strict_merge(spark, sf, label):
+    """Both score sets and their merge, stored as the jobs store them, and the counts of the merge."""
+    db = _scratch_db(spark, label)
+    s1, s2 = _stored_scores(spark, sf, db)
+    job = merge_job(spark, db, fx.RUN, now=fx.NOW)
+    return s1, s2, read_run(spark, job.table, fx.RUN), job.details["join"]
 
 
 def q_validate_merged(spark, sf):
-    _, s1, s2 = _scores(spark, sf)
-    merged, counts = _strict_merge(spark, s1, s2)
+    s1, s2, merged, counts = _strict_merge(spark, sf, "vmerged")
     join_rows, merged_rows = merged_check_frames(s1, s2, merged, join_counts=counts)
     # V4 and V5 (the quality rows of V6 have their own query)
     return report(fx.RUN, "merged", join_rows, merged_rows.where(F.col("check") != "quality"))
 
 
 def q_validation_report(spark, sf):
-    scored = _scores(spark, sf, reuse=True)
-    _, s1, s2 = scored
-    merged, counts = _strict_merge(spark, s1, s2)
-    a, b = _score_checks(spark, sf, scored)
+    s1, s2, merged, counts = _strict_merge(spark, sf, "vreport")
+    a, b = _score_checks(spark, sf, s1, s2)
     return a.unionByName(b).unionByName(
         report(fx.RUN, "merged", *merged_check_frames(s1, s2, merged, join_counts=counts))
     )
@@ -339,10 +365,12 @@ QUERIES: dict[str, Query] = {
     "feature_select": q_feature_select,
     "score_model_1": q_score_model_1,
     "score_model_2": q_score_model_2,
+    "score_model_mixed": q_score_model_mixed,
     "score_stamped": q_score_stamped,
     "run_ids": q_run_ids,
     "latest_model_version": q_latest_model_version,
     "merge_scores": q_merge_scores,
+    "merge_join": q_merge_join,
     "ensemble_mean": q_ensemble_mean,
     "ensemble_weighted": q_ensemble_weighted,
     "unmatched_ids": q_unmatched_ids,
@@ -352,12 +380,14 @@ QUERIES: dict[str, Query] = {
     "write_run_first": q_write_run_first,
     "write_run_idempotent": q_write_run_idempotent,
     "read_run": q_read_run,
+    "run_rows": q_run_rows,
     "run_status": q_run_status,
     "merge_input_counts": q_merge_input_counts,
     "score_job": q_score_job,
     "skip_existing_run": q_skip_existing_run,
     "merge_job": q_merge_job,
     "daily_run": q_pipeline,
+    "stored_report": q_stored_report,
     "validate_scores": q_validate_scores,
     "validate_schema": q_validate_schema,
     "validate_merged": q_validate_merged,

@@ -3,9 +3,10 @@
 Write semantics (the part that is easy to get wrong):
 
 * a run is one partition ``run_id = <value>`` of a Parquet table;
-* ``write_run`` replaces exactly that partition with a *static* partition
-  ``INSERT OVERWRITE ... PARTITION (run_id = :r) BY NAME`` - other runs are
-  never touched and an empty frame clears a stale run;
+* ``write_run`` replaces exactly that partition with a *dynamic* partition
+  overwrite whose ``run_id`` is a constant column: the old rows go only when
+  the new ones are committed, so a job that fails leaves the run as it was.
+  An empty frame has no partition to replace; it clears the run afterwards;
 * the frame must carry exactly the contract's data columns (Spark alone
   would fill a missing column with NULL);
 * the row count comes from an ``Observation`` on the write itself, not a
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +29,7 @@ from pyspark.sql.utils import AnalysisException
 
 from scorewell.contracts import (
     RUN_COLUMN,
+    RUN_ID_PATTERN,
     check_identifier,
     check_run_id,
     column_ddl,
@@ -135,20 +138,33 @@ def run_rows(spark: SparkSession, table: str, run_id: str) -> int:
     return read_run(spark, table, run_id).count()
 
 
+def refresh_run(spark: SparkSession, table: str, run_id: str) -> None:
+    """See one run of an existing table as it is stored now.
+
+    Another process may have written the run since this session declared the
+    table: its partition is registered (that one, not the whole table) and
+    cached file listings are dropped.
+    """
+    check_run_id(run_id)
+    spark.sql(f"ALTER TABLE {_quoted(table)} ADD IF NOT EXISTS PARTITION (`{RUN_COLUMN}` = '{run_id}')")
+    spark.catalog.refreshTable(table)
+
+
 def run_exists(spark: SparkSession, table: str, run_id: str) -> bool:
-    """Done = the table exists and the run's partition has a row.
+    """Done = the table exists and the run's partition, as stored now, has a row.
 
     Only a missing table means "not done"; any other error propagates.
     """
     if not table_exists(spark, table):
         return False
+    refresh_run(spark, table, run_id)
     return not read_run(spark, table, run_id).isEmpty()
 
 
 def require_rows(df: DataFrame, what: str) -> None:
     """Raise, naming the input, if ``df`` has no rows (reads at most one row)."""
     if df.isEmpty():
-        raise ValueError(f"No data found in {what}")
+        raise ValueError(f"{what} has no rows")
 
 
 def require_columns(df: DataFrame, columns, what: str = "input") -> None:
@@ -167,13 +183,18 @@ def _observed_rows(obs: Observation, df: DataFrame) -> int:
     When the optimizer proves the input empty it removes the observed node
     and no metrics arrive; only then do we count (a no-op plan).
     """
+    got = observed(obs)
+    return int(got["rows"]) if "rows" in got else df.count()
+
+
+def observed(obs: Observation) -> dict:
+    """The metrics of a finished job; empty if its plan lost the observed node."""
     try:
-        got = obs.get
-        if "rows" in got:
-            return int(got["rows"])
-    except Exception:  # noqa: BLE001 - metrics row missing for an empty plan
-        pass
-    return df.count()
+        return dict(obs.get)
+    except Py4JJavaError as e:
+        if "PythonSQLUtils.toPyRow" not in str(e):  # how an empty metrics row fails
+            raise
+        return {}
 
 
 def _check_frame(df: DataFrame, expected: list[str], table: str) -> None:
@@ -197,8 +218,8 @@ def write_run(
     """Replace run ``run_id`` of ``table`` with ``df``; return the rows written.
 
     Creates the table from ``contract`` on first use.  ``rebalance`` adds an
-    AQE ``REBALANCE`` before the write so a map-only scoring job does not
-    leave one small file per input split.
+    AQE ``REBALANCE`` before the write, for inputs of many small splits.  If
+    the job fails, the run keeps the rows that it had.
     """
     spark = df.sparkSession
     check_run_id(run_id)
@@ -214,23 +235,46 @@ def write_run(
         df = df.hint("rebalance")
     # Observed in the writing stage (above any rebalance exchange): counted
     # once even when a lost executor forces an earlier stage to re-run.
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    _overwrite(counted.withColumn(RUN_COLUMN, F.lit(run_id)), table)
+    rows = _observed_rows(obs, df)
+    if rows == 0:
+        clear_run(spark, table, run_id)
+    return rows
+
+
+def clear_run(spark: SparkSession, table: str, run_id: str) -> None:
+    """Leave the run's partition without rows."""
+    columns = ", ".join(
+        f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
+        for f in spark.table(table).schema.fields if f.name != RUN_COLUMN
+    )
+    spark.sql(
+        f"INSERT OVERWRITE {_quoted(table)} PARTITION (`{RUN_COLUMN}` = '{check_run_id(run_id)}') "
+        f"BY NAME SELECT {columns} WHERE false"
+    )
+
+
+def _overwrite(df: DataFrame, table: str) -> None:
+    """Replace the partitions present in ``df`` (the table's option
+    partitionOverwriteMode=dynamic), at commit and not before."""
     view = unique_name("_scorewell_write")
-    observed.createOrReplaceTempView(view)
+    df.createOrReplaceTempView(view)
     try:
-        spark.sql(
-            f"INSERT OVERWRITE {_quoted(table)} PARTITION (`{RUN_COLUMN}` = :run_id) "
-            f"BY NAME SELECT * FROM `{view}`",
-            args={"run_id": run_id},
+        df.sparkSession.sql(
+            f"INSERT OVERWRITE {_quoted(table)} PARTITION (`{RUN_COLUMN}`) "
+            f"BY NAME SELECT * FROM `{view}`"
         )
     finally:
-        spark.catalog.dropTempView(view)
-    return _observed_rows(obs, df)
+        df.sparkSession.catalog.dropTempView(view)
 
 
 def write_runs(df: DataFrame, table: str, contract: T.StructType | None = None,
                location: str | None = None) -> int:
-    """Backfill: replace every run present in ``df`` (which carries ``run_id``)."""
+    """Backfill: replace every run present in ``df`` (which carries ``run_id``).
+
+    A NULL or malformed run id fails the job, and no run is replaced.
+    """
     spark = df.sparkSession
     if contract is not None:
         ensure_table(spark, table, contract, location=location)
@@ -238,18 +282,14 @@ def write_runs(df: DataFrame, table: str, contract: T.StructType | None = None,
     _check_frame(df, [f.name for f in target.fields], table)
     obs = Observation(unique_name("rows"))
     # Cluster files by run; AQE splits a heavy run into advisory-size parts.
-    observed = df.hint("rebalance", RUN_COLUMN).observe(obs, F.count(F.lit(1)).alias("rows"))
-    view = unique_name("_scorewell_write")
-    observed.createOrReplaceTempView(view)
-    try:
-        # The table option partitionOverwriteMode=dynamic makes this replace
-        # only the partitions present in the frame.
-        spark.sql(
-            f"INSERT OVERWRITE {_quoted(table)} PARTITION (`{RUN_COLUMN}`) "
-            f"BY NAME SELECT * FROM `{view}`"
-        )
-    finally:
-        spark.catalog.dropTempView(view)
+    run = F.col(RUN_COLUMN)
+    sound = F.when(run.rlike(f"^(?:{RUN_ID_PATTERN})\\z"), run).otherwise(
+        F.raise_error(F.concat(F.lit("invalid run_id: "), F.coalesce(run, F.lit("NULL"))))
+    )
+    df = df.withColumn(RUN_COLUMN, sound)
+    _overwrite(
+        df.hint("rebalance", RUN_COLUMN).observe(obs, F.count(F.lit(1)).alias("rows")), table
+    )
     return _observed_rows(obs, df)
 
 

@@ -2,7 +2,7 @@
 
 The registry is data, not a service: a DataFrame (or catalog table) with
 one row per registered model version.  The latest version per
-(name, stage) is a grouped ``max``; resolving one model reads one row.
+(name, stage) is a grouped ``max``; resolving one model collects one row.
 """
 
 from __future__ import annotations
@@ -21,11 +21,21 @@ def model_uri(name, version) -> F.Column:
 def latest_versions(
     registry: DataFrame, name: str = "name", stage: str = "stage", version: str = "version"
 ) -> DataFrame:
-    """(name, stage, version, model_uri) with the highest version per (name, stage)."""
-    latest = registry.groupBy(
-        F.col(name).alias("name"), F.col(stage).alias("stage")
-    ).agg(F.max(version).alias("version"))
-    return latest.withColumn("model_uri", model_uri(F.col("name"), F.col("version")))
+    """The whole registry row with the highest version per (name, stage), and its ``model_uri``.
+
+    Versions are ordered as numbers, also where they are stored as text; text
+    that is no number comes before all numbers.  Of rows with the same version
+    the largest, column by column, counts.
+    """
+    renamed = registry.withColumnsRenamed({name: "name", stage: "stage", version: "version"})
+    number = F.col("version").try_cast("decimal(38,0)")
+    rest = [c for c in renamed.columns if c not in ("name", "stage", "version")]
+    latest = renamed.groupBy("name", "stage").agg(
+        F.max(F.struct(number.alias("_number"), F.col("version"), *rest)).alias("_row")
+    )
+    return latest.select("name", "stage", *[F.col(f"_row.{c}").alias(c) for c in ("version", *rest)]).withColumn(
+        "model_uri", model_uri(F.col("name"), F.col("version"))
+    )
 
 
 def resolve(registry: DataFrame, model_name: str, model_stage: str, **cols) -> tuple[str, object]:
@@ -34,9 +44,8 @@ def resolve(registry: DataFrame, model_name: str, model_stage: str, **cols) -> t
         latest_versions(registry, **cols)
         .where((F.col("name") == F.lit(model_name)) & (F.col("stage") == F.lit(model_stage)))
         .select("model_uri", "version")
-        .limit(1)
         .collect()
     )
     if not rows:
-        raise ValueError(f"No model found for {model_name} in stage {model_stage}")
+        raise ValueError(f"the registry has no version of {model_name!r} at stage {model_stage!r}")
     return rows[0]["model_uri"], rows[0]["version"]

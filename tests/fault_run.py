@@ -51,16 +51,16 @@ def main(sf):
     checkpoint_root(spark)
     db = unique_name("faults")
     ensure_database(spark, db, location=scratch_location(spark, db))
-    f = fx.features(spark, sf)
+    f, f2 = fx.features(spark, sf), fx.model_2_features(spark, sf)
     m2 = fx.MODEL_2
-    m1 = PythonModel("model_1", flaky(fx.MODEL_1.predict_frame),
+    m1 = PythonModel("model_1", flaky(fx.MODEL_1.as_python().predict),
                      features=tuple(fx.MODEL_1.features))
     m2 = PythonModel("model_2", flaky(m2.predict), features=m2.features)
     sc = spark.sparkContext
     sc.setJobGroup("score_1", "score model 1")
     j1 = score_job(spark, m1, f, db, "model_1_scores", fx.RUN, now=fx.NOW)
     sc.setJobGroup("score_2", "score model 2")
-    j2 = score_job(spark, m2, fx.model_2_features(f), db, "model_2_scores", fx.RUN, now=fx.NOW)
+    j2 = score_job(spark, m2, f2, db, "model_2_scores", fx.RUN, now=fx.NOW)
     sc.setJobGroup("merge", "merge")
     merged = merge_job(spark, db, fx.RUN, now=fx.NOW, ensemble=flaky_ensemble)
     sc.setJobGroup("check", "check")
@@ -76,7 +76,7 @@ def main(sf):
     out = {
         "splits": f.rdd.getNumPartitions(),
         "features": f.count(),
-        "model_2_features": fx.model_2_features(f).count(),
+        "model_2_features": f2.count(),
         "written_1": j1.rows,
         "written_2": j2.rows,
         "stored_1": read_run(spark, f"{db}.model_1_scores", fx.RUN).count(),

@@ -79,7 +79,7 @@ def test_pipeline_report_has_schema_rows_per_model(spark, db):
 
     f = fx.features(spark, SF_SMALL)
     cfg = PipelineConfig(database=db, models=(ModelRun(fx.MODEL_1, f),
-                                              ModelRun(fx.MODEL_2, fx.model_2_features(f))))
+                                              ModelRun(fx.MODEL_2, fx.model_2_features(spark, SF_SMALL))))
     run_pipeline(spark, cfg, fx.RUN, now=fx.NOW)
     rows = (spark.table(f"{db}.validation_report").where(F.col("check") == "schema")
             .collect())

@@ -20,7 +20,7 @@ NOW = "2026-01-01 12:00:00"
 def test_same_rows_and_counts_as_join_on_fixture(spark):
     f = fx.features(spark, SF_SMALL)
     s1 = score_frame(f, fx.MODEL_1, now=fx.NOW)
-    s2 = score_frame(fx.model_2_features(f), fx.MODEL_2, now=fx.NOW)
+    s2 = score_frame(fx.model_2_features(spark, SF_SMALL), fx.MODEL_2, now=fx.NOW)
     mm = MergeMetrics()
     u = merge_unique(s1, s2, run_id=fx.RUN, now=fx.NOW, metrics=mm)
     j = merge_scores(s1, s2, run_id=fx.RUN, now=fx.NOW)
@@ -49,7 +49,7 @@ def test_duplicate_key_fails_while_running(spark):
 def test_pipeline_report_passes_and_is_stored(spark, db):
     f = fx.features(spark, SF_SMALL)
     cfg = PipelineConfig(database=db, models=(ModelRun(fx.MODEL_1, f),
-                                              ModelRun(fx.MODEL_2, fx.model_2_features(f))))
+                                              ModelRun(fx.MODEL_2, fx.model_2_features(spark, SF_SMALL))))
     res = run_pipeline(spark, cfg, fx.RUN, now=fx.NOW)
     stored = spark.table(f"{db}.validation_report").where(F.col("run_id") == fx.RUN)
     assert stored.count() == res.report.count() > 20

@@ -3,15 +3,15 @@
 import pytest
 
 import __spark_entry__ as entry
+from scorewell.plans.oracles import ORACLES
+from scorewell.plans.queries import QUERIES
 from tests.conftest import SF_SMALL
 from tests.oracle_util import compare, duck
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
-
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.fixture(scope="module")

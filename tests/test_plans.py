@@ -23,7 +23,7 @@ def test_native_model_has_no_python_node_and_is_codegen(spark):
 
 
 def test_udf_model_is_one_arrow_node(spark):
-    f = fx.model_2_features(fx.features(spark, SF_SMALL))
+    f = fx.model_2_features(spark, SF_SMALL)
     p = plan(score(f, fx.MODEL_2).select("id", "model_2_prediction"))
     assert p.count("ArrowEvalPython") == 1
     assert "BatchEvalPython" not in p
@@ -65,7 +65,7 @@ def test_write_count_comes_from_the_write(spark, db):
 def test_merge_shuffles_only_thin_columns_and_drops_null_keys_early(spark):
     f = fx.features(spark, SF_SMALL)
     s1 = score_frame(f, fx.MODEL_1, now=fx.NOW)
-    s2 = score_frame(fx.model_2_features(f), fx.MODEL_2, now=fx.NOW)
+    s2 = score_frame(fx.model_2_features(spark, SF_SMALL), fx.MODEL_2, now=fx.NOW)
     merged = merge_scores(s1, s2, now=fx.NOW)
     optimized = merged._jdf.queryExecution().optimizedPlan().toString()
     assert "isnotnull(" in optimized
@@ -82,12 +82,27 @@ def test_join_check_has_one_aggregation_shuffle_and_no_join(spark):
     assert "HashAggregate" in p
 
 
-def test_unmatched_routes_null_keys_around_the_join(spark):
+def test_unmatched_is_one_shuffle_of_two_scans_and_no_join(spark):
     f = fx.features(spark, SF_SMALL)
     s1 = score_frame(f, fx.MODEL_1, now=fx.NOW)
-    s2 = score_frame(fx.model_2_features(f), fx.MODEL_2, now=fx.NOW)
-    p = unmatched(s1, s2)._jdf.queryExecution().optimizedPlan().toString()
-    assert "LeftAnti" in p and "isnull(" in p
+    s2 = score_frame(f, fx.MODEL_1, now=fx.NOW)
+    p = plan(unmatched(s1, s2))
+    assert "Join" not in p
+    assert p.count("Exchange hashpartitioning") == 1 and p.count("FileScan parquet") == 2
+
+
+def test_counting_the_rows_in_leaves_the_scan_pruned(spark):
+    """The observed features of a scoring write read the model's columns only."""
+    from pyspark.sql import Observation
+
+    f = fx.table(spark, SF_SMALL, "orders").withColumnsRenamed({"o_orderkey": "id", "o_totalprice": "x"})
+    from scorewell.functions.models import LinearModel
+    from scorewell.plans.jobs import counted_features
+
+    m = LinearModel.of("model_1", {"x": 0.5})
+    p = plan(score(counted_features(f, m, Observation()), m).select("id", "model_1_prediction"))
+    read_schema = p.split("ReadSchema: ")[1].split("\n")[0]
+    assert "o_custkey" not in read_schema and "o_totalprice" in read_schema
 
 
 def test_registered_merges_have_no_join(spark):

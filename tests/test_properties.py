@@ -42,8 +42,8 @@ def test_merge_properties(spark, k1, k2, v):
     ens = check_ensemble(merged).first()
     assert ens["null_mismatch"] == 0 and ens["rule_mismatch"] == 0 and ens["out_of_range"] == 0
 
-    # unmatched rows: every row whose key is absent on the other side
-    um = Counter((r["id"], r["missing_from"]) for r in unmatched(s1, s2).collect())
+    # unmatched keys: every key that is absent on the other side, with its rows
+    um = Counter({(r["id"], r["missing_from"]): r["copies"] for r in unmatched(s1, s2).collect()})
     want = Counter({(k, "model_2"): n for k, n in c1.items() if k not in c2})
     want.update({(k, "model_1"): n for k, n in c2.items() if k not in c1})
     assert um == want

@@ -30,8 +30,8 @@ def test_hot_key_on_one_side_only(spark):
     left = keyed(spark, 3000, "hot", 1 / 3, "k")   # 1000 rows of "hot"
     right = keyed(spark, 300, "cold", 1 / 3, "k")  # "hot" absent on the right
     s1, s2 = score_frame(left, M1, now=NOW), score_frame(right, M2, now=NOW)
-    um = Counter((r["id"], r["missing_from"]) for r in unmatched(s1, s2).collect())
-    assert um[("hot", "model_2")] == 1000          # every row kept, none dropped
+    um = Counter({(r["id"], r["missing_from"]): r["copies"] for r in unmatched(s1, s2).collect()})
+    assert um[("hot", "model_2")] == 1000          # every row counted, none dropped
     jc = check_join(s1, s2).first()
     l_keys = {r["id"] for r in s1.select("id").distinct().collect()}
     r_keys = {r["id"] for r in s2.select("id").distinct().collect()}

@@ -83,7 +83,7 @@ def main():
 
     f = fx.features(spark, sf)
     s1 = score_frame(f, fx.MODEL_1, now=fx.NOW)
-    s2 = score_frame(fx.model_2_features(f), fx.MODEL_2, now=fx.NOW)
+    s2 = score_frame(fx.model_2_features(spark, sf), fx.MODEL_2, now=fx.NOW)
     print("\n## What the score job writes (model 2, pandas UDF path)\n")
     print("```")
     print(s2._jdf.queryExecution().executedPlan().toString().strip())
