@@ -9,7 +9,6 @@ cluster that names one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -31,17 +30,16 @@ DEFAULT_CONF = {
 }
 
 
-# Settings for a large cluster (e.g. 1000 executors, ~100 TB of features):
-# start with many shuffle partitions and let AQE coalesce them to the
-# advisory size; larger input splits for the map-only scoring stage.
+# What every session that isn't local gets besides (e.g. 1000 executors,
+# ~100 TB of features), again only where the submitted conf leaves it unset:
+# many shuffle partitions, which AQE coalesces to the advisory size, and larger
+# input splits for the map-only scoring stage.
 CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64MB",
     "spark.sql.files.maxPartitionBytes": "512MB",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
-    "spark.task.maxFailures": "8",
-    "spark.stage.maxConsecutiveAttempts": "8",
 }
 
 
@@ -68,7 +66,8 @@ def get_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     submitted = spark.sparkContext.getConf()
-    for key, value in DEFAULT_CONF.items():
+    cluster = {} if spark.sparkContext.master.startswith("local") else CLUSTER_CONF
+    for key, value in (DEFAULT_CONF | cluster).items():
         if key.startswith("spark.sql.") and key not in explicit and not submitted.contains(key):
             spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("ERROR")
@@ -109,7 +108,3 @@ def scratch_location(spark: SparkSession, label: str) -> str:
 def unique_name(prefix: str) -> str:
     """A catalog-safe unique identifier (database or view name)."""
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
-
-
-def bench_cpus(default: int = 8) -> int:
-    return int(os.environ.get("BENCH_CPUS", default))
