@@ -32,6 +32,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_prefix(df: DataFrame, prefix: str) -> str:
+    """``prefix``, or a longer one that no column of ``df`` begins with."""
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def fold_of(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; null for a null id."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(n))

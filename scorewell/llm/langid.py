@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import blank_text, fold_of, slices, written
+from scorewell.llm.common import blank_text, fold_of, free_prefix, slices, written
 
 UNKNOWN = "und"
 #: Code points that one vectorised step looks at.
@@ -61,9 +61,10 @@ def _letters() -> np.ndarray:
     return _LETTERS
 
 
-def _codes(text: str) -> Iterator[np.ndarray]:
-    """Code points of the text's letters with single spaces between, in blocks that overlap by 2."""
-    last = np.array([32, 32], np.uint32)[:1]
+def _codes(text: str, s: Settings) -> Iterator[tuple[np.ndarray, int]]:
+    """(code points of the text's letters with single spaces between and around, how many of
+    them were in the block before), block by block."""
+    last = np.array([32], np.uint32)
     for at in range(0, len(text), BLOCK):
         c = np.frombuffer(text[at : at + BLOCK].lower().encode("utf-32-le", "replace"), np.uint32)
         c = np.where(_letters()[c], c, np.uint32(32))
@@ -71,10 +72,10 @@ def _codes(text: str) -> Iterator[np.ndarray]:
         keep = np.ones(len(c), bool)
         keep[1:] = (c[1:] != 32) | (c[:-1] != 32)
         c = c[keep]
-        yield c
-        last = c[-2:]
+        yield c, len(last)
+        last = c[-max(1, s.longest - 1) :]
     if last[-1] != 32:
-        yield np.concatenate([last, np.array([32], np.uint32)])
+        yield np.concatenate([last, np.array([32], np.uint32)]), len(last)
 
 
 def _buckets(c: np.ndarray, new: int, s: Settings) -> Iterator[np.ndarray]:
@@ -99,13 +100,11 @@ def _buckets(c: np.ndarray, new: int, s: Settings) -> Iterator[np.ndarray]:
 
 def counts(text: str, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     """(buckets, how often) of a whole text; none if it has no letter."""
-    total, first, letters = np.zeros(1 << s.bits, np.int64), True, False
-    for c in _codes(text):
-        new = len(c) - 1 if first else len(c) - min(2, len(c))
+    total, letters = np.zeros(1 << s.bits, np.int64), False
+    for c, held in _codes(text, s):
         letters = letters or bool((c != 32).any())
-        for b in _buckets(c, max(new, 1) if first else new, s):
+        for b in _buckets(c, len(c) - held, s):
             total += np.bincount(b, minlength=len(total))
-        first = False
     at = np.flatnonzero(total) if letters else np.zeros(0, np.int64)
     return at, total[at]
 
@@ -310,6 +309,7 @@ def keep_known(docs: DataFrame, least: float, settings: Settings | None = None)
     model = train(rows, F.coalesce(fold_of(F.col("doc_id"), 4) != 2, F.lit(False)), settings)
     if not model.labels:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    names = ("langid_label", "langid_score")
+    prefix = free_prefix(docs, "langid_")
+    names = (f"{prefix}label", f"{prefix}score")
     found = predict(docs, model, names=names)
     return found.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least)).select(*docs.columns)

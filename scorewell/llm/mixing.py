@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import blank_text, written
+from scorewell.llm.common import blank_text, free_prefix, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 LEAF = ["domain", "language", "origin"]
@@ -120,11 +120,13 @@ def quotas(leaves: DataFrame, plan: MixPlan) -> DataFrame:
     return leaves.select(*LEAF, "tokens").join(level.select(*LEAF, "quota"), LEAF)
 
 
+def order_of(plan: MixPlan, epoch: Column, doc: Column) -> Column:
+    """Where a document stands in an epoch."""
+    return F.md5(F.concat_ws("|", F.lit(str(plan.seed)), epoch.cast("string"), F.coalesce(doc.cast("string"), F.lit(""))))
+
+
 def _order(plan: MixPlan) -> Column:
-    return F.md5(
-        F.concat_ws("|", F.lit(str(plan.seed)), F.col("epochs").cast("string"),
-                    F.coalesce(F.col("doc").cast("string"), F.lit("")))
-    )
+    return order_of(plan, F.col("epochs"), F.col("doc"))
 
 
 def cuts(slim: DataFrame, plan: MixPlan) -> DataFrame:
@@ -185,9 +187,9 @@ def leaf_columns(docs: DataFrame, domain: Column) -> DataFrame:
     )
 
 
-def copies(plan: MixPlan) -> Column:
-    """How often a document of a leaf with ``epochs`` and ``cut`` is taken."""
-    return (F.col("epochs") + F.when(_order(plan) <= F.col("cut"), 1).otherwise(0)).cast("int")
+def copies(plan: MixPlan, epochs: Column, doc: Column, cut: Column) -> Column:
+    """How often a document of a leaf with these whole epochs and this cut is taken."""
+    return (epochs + F.when(order_of(plan, epochs, doc) <= cut, 1).otherwise(0)).cast("int")
 
 
 def mix_table(docs: DataFrame, plan: MixPlan, domain: Column | None = None) -> DataFrame:
@@ -202,7 +204,7 @@ def mix_table(docs: DataFrame, plan: MixPlan, domain: Column | None = None) -> D
     slim = written(leaf_columns(docs, domain), "mix-slim")
     return (
         slim.join(cuts(slim, plan), LEAF)
-        .withColumn("copies", copies(plan))
+        .withColumn("copies", copies(plan, F.col("epochs"), F.col("doc"), F.col("cut")))
         .where("copies > 0")
         .select(F.col("doc").alias("doc_id"), "domain", F.col("language").alias("lang"),
                 F.col("origin").alias("source"), "n_tokens", "quota", "copies")
@@ -216,22 +218,18 @@ def mix(docs: DataFrame, plan: MixPlan, domain: Column | None = None) -> DataFra
     """
     domain = domain_of(F.col("source")) if domain is None else domain
     slim = written(leaf_columns(docs, domain), "mix-slim")
-    names = {c: f"mix_{c}" for c in [*LEAF, "epochs", "cut"]}
-    found = cuts(slim, plan).select(*[F.col(c).alias(n) for c, n in names.items()])
+    p = free_prefix(docs, "mix_")
+    found = cuts(slim, plan).select(*[F.col(c).alias(f"{p}{c}") for c in [*LEAF, "epochs", "cut"]])
     keys = {
-        "mix_domain": F.coalesce(domain, F.lit("")),
-        "mix_language": F.coalesce(F.col("lang").cast("string"), F.lit("")),
-        "mix_origin": F.coalesce(F.col("source").cast("string"), F.lit("")),
+        f"{p}domain": F.coalesce(domain, F.lit("")),
+        f"{p}language": F.coalesce(F.col("lang").cast("string"), F.lit("")),
+        f"{p}origin": F.coalesce(F.col("source").cast("string"), F.lit("")),
     }
-    order = F.md5(
-        F.concat_ws("|", F.lit(str(plan.seed)), F.col("mix_epochs").cast("string"),
-                    F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    )
-    n = (F.col("mix_epochs") + F.when(order <= F.col("mix_cut"), 1).otherwise(0)).cast("int")
+    taken = copies(plan, F.col(f"{p}epochs"), F.col("doc_id"), F.col(f"{p}cut"))
     return (
         docs.withColumns(keys).join(found, list(keys))
-        .withColumn("mix_copies", n).where("mix_copies > 0")
-        .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
+        .withColumn(f"{p}copies", taken).where(F.col(f"{p}copies") > 0)
+        .withColumn(f"{p}copy", F.explode(F.sequence(F.lit(1), F.col(f"{p}copies"))))
         .select(*docs.columns)
     )
 

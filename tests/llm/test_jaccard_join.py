@@ -1,0 +1,175 @@
+import random
+
+import numpy as np
+import pytest
+
+from scorewell.llm.jaccard_join import (
+    Settings, blocks, component_table, components, differences, distance, forest, intersections, linked, may_link, one_of_each,
+    prefix_size, shingle_sets, sketch_of,
+)
+
+
+def plain_set(text):
+    lower = "".join(c.lower() if c.isascii() else c for c in text or "")
+    w = [x for x in __import__("re").split(r"[\x20\x09-\x0D]+", lower) if x]
+    return {tuple(w[k : k + 3]) for k in range(len(w) - 2)} if len(w) >= 3 else {tuple(w)} if w else set()
+
+
+def brute(rows):
+    return sorted(((r[0], len(plain_set(r[1])), c) for r, c in zip(rows, component_of(rows))), key=str)
+
+
+def component_of(rows):
+    sets = [plain_set(r[1]) for r in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 90 * (len(sets[a]) + len(sets[b]) - both):
+                root[find(a)] = find(b)
+    order = lambda i: -(2**63) if i is None else i
+    low = {}
+    for k, r in enumerate(rows):
+        low[find(k)] = min(low.get(find(k), 2**63), order(r[0]))
+    named = [low[find(k)] if sets[k] else order(r[0]) for k, r in enumerate(rows)]
+    return [None if n == -(2**63) else n for n in named]
+
+
+def corpus(seed=1, groups=12, big=60):
+    rnd = random.Random(seed)
+    word = lambda: "w%d" % rnd.randrange(5000)
+    common = [word() for _ in range(60)]
+    rows = []
+    for g in range(groups):
+        base = [word() for _ in range(rnd.choice([3, 12, 40, 150, 400]))]
+        for _ in range(big if g == 0 else rnd.randrange(1, 7)):
+            w = list(base)
+            for _ in range(rnd.choice([0, 0, 1, 1, 2, 3, len(w) // 30])):
+                w[rnd.randrange(len(w))] = word()
+            rows.append(" ".join(w))
+    for _ in range(30):  # a passage in many documents, and documents of little else
+        rows.append(" ".join(common + [word() for _ in range(rnd.choice([1, 4, 7, 200]))]))
+    rnd.shuffle(rows)
+    return [(k, t) for k, t in enumerate(rows)]
+
+
+EDGES = [(1000, None), (1001, ""), (1002, " \t\n"), (1003, "one"), (1004, "ONE"), (1005, "one two"), (1006, "One\ttwo"), (1007, "a b c"),
+         (1008, "a  b  c"), (1009, "a b c a b c"), (1010, "É b c"), (1011, "é b c"), (1012, "x " * 5000), (1013, "X " * 4000),
+         (1020, "one of these rows"), (1020, "another of these rows"), (1020, "one of these rows"), (None, "nobody's text is here"),
+         (None, "a b c"), (1030, "nobody's text is here")]
+
+
+@pytest.mark.parametrize("s", [Settings(), Settings(cap=8, pivots=3, chunk=5), Settings(cap=8, pivots=1, depth=1, local=2, frequent=3),
+                               Settings(cap=1000, frequent=10**9), Settings(local=1, frequent=2, most_frequent=40)])
+def test_components_equal_brute_force(make, s):
+    rows = corpus() + EDGES
+    got = component_table(make(rows, clash=True, parts=4), s).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+
+
+def test_link_at_exactly_the_threshold(make):
+    w = [f"v{k}" for k in range(30)]
+    rows = [(1, " ".join(w[:21])), (2, " ".join(w[:20])), (3, " ".join(w[:19] + ["x"]))]
+    assert sorted((tuple(r) for r in component_table(make(rows)).collect()), key=str) == brute(rows)
+    a, b = np.arange(19, dtype=np.uint64), np.arange(20, dtype=np.uint64)
+    c = np.append(np.arange(18, dtype=np.uint64), np.uint64(99))  # 18 of 20 in common with a and 18 of 21 with b
+    assert linked([b, a, c], 90).tolist() == [[True, True, False], [True, True, True], [False, True, True]]
+
+
+def test_chain_is_one_component(make):
+    w = [f"v{k}" for k in range(200)]
+    rows = [(50 - k, " ".join(w[k : k + 60])) for k in range(40)]
+    got = component_table(make(rows)).collect()
+    assert {r.component_id for r in got} == {11}
+
+
+def test_one_row_of_each_component_stays(make):
+    rows = [r for r in corpus(2) + EDGES if r[0] is not None]
+    docs = make(rows, clash=True)
+    kept = one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    want = {c for r, c in zip(rows, component_of(rows)) if plain_set(r[1])}
+    # each component keeps its smallest id; the two texts of id 1020 are components of their own
+    full = [i for i, t in got if plain_set(t)]
+    assert sorted(full) == sorted([*want, 1020])
+    assert sorted(i for i, t in got if not plain_set(t)) == [r[0] for r in EDGES if not plain_set(r[1])]
+    assert {g for g in got} <= set(rows)
+
+
+def test_null_ids_come_first_and_stay_once(make):
+    rows = [(None, "a b c d"), (None, "a b c d"), (4, "a b c d"), (None, "e f g h"), (5, None)]
+    got = sorted(((r.doc_id, r.text) for r in one_of_each(make(rows)).collect()), key=str)
+    assert got == [(5, None), (None, "a b c d"), (None, "e f g h")]
+
+
+def test_empty_table(make):
+    docs = make([(1, "a b c")]).where("false")
+    assert component_table(docs).count() == 0 and one_of_each(docs).count() == 0
+
+
+def test_sketches_never_rule_out_a_link():
+    rnd, s = np.random.default_rng(3), Settings()
+    for _ in range(300):
+        n = int(rnd.integers(1, 400))
+        x = np.unique(rnd.integers(0, 2**64 - 1, n, dtype=np.uint64))
+        drop = rnd.random(len(x)) < rnd.choice([0, 0.02, 0.05, 0.1])
+        y = np.unique(np.concatenate([x[~drop], rnd.integers(0, 2**64 - 1, int(drop.sum()) + int(rnd.integers(0, 3)), dtype=np.uint64)]))
+        if not len(y):
+            continue
+        k = [np.frombuffer(sketch_of(v, s), np.uint8) for v in (x, y)]
+        assert (differences(k)[0, 1]) <= len(np.setxor1d(x, y))
+        if linked([x, y], 90)[0, 1]:
+            assert may_link(k, np.array([len(x), len(y)]), 90)[0, 1]
+            p, q = prefix_size(len(x), s), prefix_size(len(y), s)
+            assert len(np.intersect1d(x[:p], y[:q]))
+
+
+def test_intersections_by_columns():
+    rnd = np.random.default_rng(1)
+    sets = [np.unique(rnd.integers(0, 60, rnd.integers(0, 50), dtype=np.uint64)) for _ in range(20)]
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    for columns in (1, 7, 4096):
+        assert intersections(sets, columns).tolist() == want
+
+
+def test_distance_is_a_metric():
+    rnd = np.random.default_rng(2)
+    for _ in range(200):
+        a, b, c = (np.unique(rnd.integers(0, 12, 8, dtype=np.uint64)) for _ in range(3))
+        assert distance(a, c) <= distance(a, b) + distance(b, c) + 1e-12
+
+
+def test_forest_and_components_agree(spark):
+    rnd = random.Random(4)
+    pairs = {(rnd.randrange(200), rnd.randrange(200)) for _ in range(150)}
+    links = np.eye(200, dtype=bool)
+    for a, b in pairs:
+        links[a, b] = links[b, a] = True
+    root = forest(links)
+    df = spark.createDataFrame([p for p in pairs], "u bigint, v bigint")
+    got = {r.node: r.root for r in components(df).collect()}
+    assert got == {k: int(root[k]) for k in range(200) if links[k].sum() > 1}
+
+
+def test_pairs_of_blocks_hold_all_pairs(spark):
+    rows = spark.createDataFrame([(1, k, 50) for k in range(50)] + [(2, k, 3) for k in range(3)], "region bigint, node bigint, size bigint")
+    seen, per = set(), {}
+    for r in blocks(rows, 8).collect():
+        per.setdefault(r.region, []).append(r.node)
+    for nodes in per.values():
+        seen |= {(a, b) for a in nodes for b in nodes if a < b}
+    assert seen == {(a, b) for a in range(50) for b in range(50) if a < b}
+
+
+def test_shingles_ignore_ascii_case_only():
+    import pyarrow as pa
+
+    a, b, c = shingle_sets(pa.array(["A b É d", "a B É d", "a b é d"]), 3)
+    assert (a == b).all() and not (a == c).all()

@@ -1,0 +1,102 @@
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+
+from scorewell.llm.licenses import BASE, RULES, Hit, Rule, count_words, detect, gated, normal, scan, suppressed
+from scorewell.llm.common import utf8
+
+
+def plain_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def brute(text):
+    """n_words, n_base, first, last, base labels by plain comparison of words."""
+    w, at, labels = plain_words(text), [], set()
+    for phrase, label in BASE.items():
+        p = phrase.split()
+        for k in range(len(w) - len(p) + 1):
+            if w[k : k + len(p)] == p:
+                at.append(k)
+                labels.add(label)
+    return len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(labels))
+
+
+TEXTS = [
+    None, "", "...", "MIT License", "mit  LICENSE.\nApache-License mit license", "the GNU General Public License, version 2 or later",
+    "permit license and mit licenses", "é mit license é1", "mitélicense mit license", "x mit license mit license license",
+    "Licensed under the Apache License, Version 2.0", "SPDX-License-Identifier: BSD-3-Clause", "general public\nlicense general public license",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this", "this work is licensed under a Creative Commons Attribution 4.0 license",
+    "word " * 30_000 + "mit license", "licence: ISC", "Apache\x00License", "This program is free software; you can redistribute it and/or modify it",
+]
+
+
+def test_base_columns_equal_brute_force(make):
+    rnd = random.Random(1)
+    bits = ["mit", "license", "apache", "general", "public", "the", "MIT", "License,", "é", "gnu", "-", "version", "2"]
+    texts = TEXTS + [" ".join(rnd.choice(bits) for _ in range(rnd.randrange(40))) for _ in range(200)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(3, "MIT License"), (None, "mit license")]
+    got = scan(make(rows, clash=True)).collect()
+    assert len(got) == len(rows)
+    key = lambda t: tuple(str(x) for x in t)
+    assert sorted(((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in got), key=key) == sorted(
+        ((i, *brute(t)) for i, t in rows), key=key)
+    for r in got:
+        assert set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(",")))
+        assert r.labels == ",".join(sorted(set(filter(None, r.labels.split(","))))) and 0 <= r.score <= 1
+        assert (r.score == 0) == (r.labels == "")
+
+
+def labels(text):
+    return {RULES[h.rule].label for h in detect(normal(text))}
+
+
+def test_the_method_adds_labels():
+    assert labels("SPDX-License-Identifier: BSD-3-Clause") == {"bsd"}
+    assert labels("released under the terms of the Mozilla Public License 2.0") == {"mpl"}
+    assert labels("you may use this under the ISC licence") == {"isc"}
+    assert labels("This is free and unencumbered software released into the public domain") == {"unlicense"}
+    assert labels("no such thing here, but a driving license and a MITlicense") == set()
+
+
+def test_rules_are_gated_by_words_that_they_need():
+    """No rule's expression matches without its keyword, so the gates drop nothing."""
+    samples = [t for t in TEXTS if t] + ["licensed under the %s license version 2" % n for n in ("mit", "gnu gpl", "lgpl", "bsd", "mozilla public")]
+    for t in samples:
+        joined = " ".join(normal(t))
+        for r in RULES:
+            assert not r.pattern.search(joined) or r.keyword in joined
+        data, offsets = utf8(pa.array([t]))
+        assert not detect(normal(t)) or gated(data, offsets).tolist() == [0]
+    assert len(RULES) > 200 and len({r.name for r in RULES}) == len(RULES)
+
+
+def test_suppression_by_containment_and_priority():
+    rule = lambda p, base=False: Rule("r", "l", p, "", re.compile(""), base)
+    rules = [rule(100, True), rule(90), rule(50), rule(50), rule(95)]
+    kept = lambda *h: suppressed([Hit(*x) for x in h], rules)
+    assert kept((0, 5, 1), (1, 3, 2)) == [Hit(0, 5, 1)]  # inside a better one
+    assert kept((0, 5, 2), (1, 3, 1)) == [Hit(0, 5, 2), Hit(1, 3, 1)]  # a better one inside stays beside
+    assert kept((0, 5, 1), (3, 7, 2)) == [Hit(0, 5, 1), Hit(3, 7, 2)]  # overlap alone isn't containment
+    assert kept((0, 5, 2), (0, 5, 3)) == [Hit(0, 5, 2)]  # ties: the earlier rule
+    assert kept((0, 9, 4), (2, 4, 0)) == [Hit(0, 9, 4), Hit(2, 4, 0)]  # base stays
+    assert kept((2, 4, 0), (2, 4, 1)) == [Hit(2, 4, 0), Hit(2, 4, 1)]  # and suppresses nothing
+
+
+def test_word_counts_across_texts():
+    texts = ["a", "b c", "", "é", "x", "1-2", None]
+    data, offsets = utf8(pa.array(texts))
+    assert count_words(data, offsets).tolist() == [len(plain_words(t)) for t in texts]
+    assert np.array_equal(gated(*utf8(pa.array(["licen", "se", "LICENSE"]))), [0, 2])
+
+
+def test_detections_name_their_words(make):
+    row = scan(make([(1, "it is licensed under the Apache License, Version 2.0 today")])).first()
+    best = max(row.detections, key=lambda d: d.end - d.first)
+    assert (best.label, best.first, best.end) == ("apache", 2, 10)
+
+
+def test_empty_table(make):
+    assert scan(make([(1, "a")]).where("false")).count() == 0

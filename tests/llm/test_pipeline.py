@@ -1,0 +1,72 @@
+"""The pipeline against each stage's brute-force version, and its stages on odd rows."""
+
+import zlib
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from scorewell.llm.common import table, written
+from scorewell.llm.mixing import PLAN, mix_sql
+from scorewell.llm.queries import tokenizer_path
+from tests.conftest import SF_SMALL
+from tests.llm.test_decontam import brute as leaks
+from tests.llm.test_jaccard_join import component_of, plain_set
+
+
+def test_stages_are_the_ones_asked_for():
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["language", "near_duplicates", "decontaminate", "mix", "tokens"]
+
+
+def test_run_equals_the_stages_by_brute_force(spark):
+    import duckdb
+    from tokenizers import Tokenizer
+
+    docs = table(spark, SF_SMALL, "documents")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    # language: this corpus has no document without a known language
+    kept = written(corpus_pipeline.language(spark, docs, SF_SMALL), "t").collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted(rows)
+    # near duplicates: the smallest id of each component
+    comp = component_of(rows)
+    rows = [r for r, c in zip(rows, comp) if r[0] == c or not plain_set(r[1])]
+    # decontamination: documents near an item
+    items = {r.item_id: "".join(c.lower() if c.isalnum() or ord(c) > 127 else " " for c in r.text).split() for r in table(spark, SF_SMALL, "benchmark").collect()}
+    clean = lambda t: "".join(c.lower() if c.isascii() else c for c in t)
+    items = {k: "".join(c if c.isalnum() or ord(c) > 127 else " " for c in clean(" ".join(w))).split() for k, w in items.items()}
+    dirty = set()
+    for i, t in rows:
+        w = set("".join(c if (c.isascii() and c.isalnum()) or ord(c) > 127 else " " for c in clean(t)).split())
+        near = {k: v for k, v in items.items() if sum(x in w for x in v) >= len(v) - int(0.2 * len(v))}
+        if near and leaks([(i, t)], near):
+            dirty.add(i)
+    rows = [r for r in rows if r[0] not in dirty]
+    # mix: in DuckDB
+    con = duckdb.connect()
+    whole = {r.doc_id: r for r in docs.collect()}
+    left = spark.createDataFrame([whole[i] for i, _ in rows], docs.schema).toArrow()
+    con.register("documents", left)
+    copies = dict(con.execute(f"WITH {mix_sql(PLAN)} SELECT doc_id, copies FROM mixed WHERE copies > 0").fetchall())
+    # token ids of whole texts
+    t = Tokenizer.from_file(tokenizer_path())
+    want, at = [], 0
+    for i in sorted(copies):
+        ids = np.array([*t.encode(whole[i].text, add_special_tokens=False).ids, 2], "<u4")
+        for _ in range(copies[i]):
+            want.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
+            at += len(ids)
+    got = sorted((tuple(r) for r in corpus_pipeline.run(spark, SF_SMALL).collect()), key=lambda r: r[1])
+    assert got == want and len(dirty) > 0
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_take_odd_rows_and_keep_the_columns(spark, make, empty):
+    docs = make([(k, f"some text of number {k} with few words", "en") for k in range(30)] + [(50, None), (51, ""), (52, "1 2 3", None, None), (None, "no id", None)], clash=True)
+    docs = docs.where("false") if empty else docs
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, SF_SMALL), name)
+        if name != "tokens":
+            assert docs.columns == columns, name
+    assert docs.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and (docs.count() == 0) == empty

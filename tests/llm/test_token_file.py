@@ -1,0 +1,110 @@
+import io
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from scorewell.llm import token_file
+from scorewell.llm.queries import tokenizer_path
+from scorewell.llm.token_file import Encoder, Reader, Writer, read_files, token_table, write_files
+from scorewell.session import scratch_location
+
+TEXTS = [
+    "", "Hello, world. Hello world", "a<|endoftext|>b <|ENDOFTEXT|> <|startoftext|>", "İstanbul ΣΑΣ. naïve, don't I'LL été É.", "x\x1cy \x85 z\xa0w q r",
+    "...,. 12,5. ab., ﬁ ǅ. ª, ñ. ñ. é", "日本語。 テスト. 中,", "a\x00b\x0bc​d", "'s 't. L'ami. ſt, KELVINK. ǆ.", "tab\tnew\r\nline  end. end, END. End",
+]
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_path())
+
+
+def whole(tokenizer, texts):
+    return [e.ids for e in tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+
+
+def by_words(encoder, texts):
+    ids, n = encoder.encode(pa.array(texts, pa.string()))
+    ends = np.cumsum(n)
+    return [ids[e - k : e].tolist() for e, k in zip(ends, n)]
+
+
+def test_words_give_the_ids_of_whole_texts(tokenizer, monkeypatch):
+    rnd = random.Random(2)
+    bits = sum((t.split(" ") for t in TEXTS), []) + ["word", "Word.", "WORD,", "-", "é", "ÉÀ.", "x1y2", "don't.", "§", "a.b", "..", ".,"]
+    texts = TEXTS + [" ".join(rnd.choice(bits) for _ in range(rnd.randrange(40))) for _ in range(150)] + [None]
+    encoder = Encoder(tokenizer_path())
+    assert by_words(encoder, texts) == whole(tokenizer, texts)
+    assert by_words(encoder, texts[::-1]) == whole(tokenizer, texts[::-1])  # from the cache
+    monkeypatch.setattr(token_file, "CACHE_WORDS", 0)
+    assert by_words(encoder, texts) == whole(tokenizer, texts)
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 64])
+def test_file_round_trip(tmp_path, chunk):
+    rnd = np.random.default_rng(1)
+    docs = [(k if k != 2 else None, rnd.integers(0, 2**32, n, dtype=np.uint64).astype(np.uint32)) for k, n in enumerate([5, 0, 7, 100, 1])]
+    with open(tmp_path / "x", "wb") as f:
+        w = Writer(f, chunk)
+        for k, ids in docs:
+            w.add(k, len(ids))
+            w.ids(ids)
+        assert w.close() == 113
+    r = Reader(str(tmp_path / "x"))
+    got = [(k, np.concatenate([*p, np.zeros(0, np.uint32)]).tolist()) for k, n, p in r.documents()]
+    assert got == [(k, ids.tolist()) for k, ids in docs]
+    assert all(len(r.chunk(k)) == c[1] for k, c in enumerate(r.chunks))  # any chunk alone
+
+
+def test_damaged_chunk_and_foreign_file(tmp_path):
+    out = io.BytesIO()
+    w = Writer(out)
+    close, out.close = out.close, lambda: None
+    w.add(1, 1000)
+    w.ids(np.arange(1000, dtype=np.uint32))
+    w.close()
+    raw = bytearray(out.getvalue())
+    raw[40] ^= 1
+    (tmp_path / "x").write_bytes(raw)
+    with pytest.raises(Exception):
+        [*Reader(str(tmp_path / "x")).documents()]
+    (tmp_path / "y").write_bytes(b"0" * 100)
+    with pytest.raises(ValueError, match="no byte-plane file"):
+        Reader(str(tmp_path / "y"))
+
+
+def brute(tokenizer, rows):
+    out, at = [], 0
+    for (i, text, *_), ids in zip(rows, whole(tokenizer, [r[1] for r in rows]), strict=True):
+        ids = np.array([*ids, 2], "<u4")
+        out.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    return out
+
+
+def test_table_equals_brute_force(make, tokenizer):
+    rows = [(k * 7 % 101, TEXTS[k % len(TEXTS)] + " w" * k) for k in range(101)] + [(500, None), (501, ""), (502, "long " * 40_000)]
+    rows += [(300, "b same"), (300, "a same"), (300, "a same"), (None, "z null"), (None, "a null")]
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    got = token_table(make(rows, clash=True, parts=5), tokenizer_path()).collect()
+    assert sorted((tuple(r) for r in got), key=lambda r: r[1]) == brute(tokenizer, ordered)
+
+
+def test_empty_table(make):
+    assert token_table(make([(1, "a")]).where("false"), tokenizer_path()).count() == 0
+
+
+def test_files_cover_the_ids_in_order(spark, make):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = write_files(make([(k, "some words here") for k in range(40)]), tokenizer_path(), scratch_location(spark, "ids"))
+        assert manifest.count() > 1
+        rows = read_files(spark, manifest).orderBy("start").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [r.doc_id for r in rows] == list(range(40)) and [r.start for r in rows] == [4 * k for k in range(40)]

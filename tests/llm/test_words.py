@@ -1,0 +1,53 @@
+"""The vectorised word splitter against plain Python, also across its blocks."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from scorewell.llm import common
+from scorewell.llm.common import ALNUM, SPACED, slices, utf8, words
+
+TEXTS = ["", "a", " a  b\tc\n", "É ô\x0bx\x0c\x00y", "x" * 300, "word " * 50, None, "end", "日本 語", "\x1c\x1d a\x85b"]
+
+
+def plain(text, kinds):
+    b = (text or "").encode()
+    out, cur = [], b""
+    for c in b:
+        if kinds[c]:
+            cur += bytes([kinds[c]])
+        elif cur:
+            out.append(cur)
+            cur = b""
+    return out + [cur] * bool(cur)
+
+
+@pytest.mark.parametrize("kinds", [SPACED, ALNUM])
+@pytest.mark.parametrize("block", [3, 16, 1 << 20])
+def test_words_and_their_hashes(monkeypatch, kinds, block):
+    monkeypatch.setattr(common, "BLOCK_BYTES", block)
+    rnd = random.Random(1)
+    texts = TEXTS + ["".join(rnd.choice("ab .É9\n") for _ in range(rnd.randrange(60))) for _ in range(80)]
+    data, offsets = utf8(pa.array(texts))
+    h, s, e, first = words(data, offsets, kinds)
+    want = [plain(t, kinds) for t in texts]
+    assert np.diff(first).tolist() == [len(w) for w in want]
+    flat = [w for ws in want for w in ws]
+    assert [bytes(kinds[data[a:b]]) for a, b in zip(s, e)] == flat
+    by_word = {}
+    for w, x in zip(flat, h.tolist()):
+        assert by_word.setdefault(w, x) == x
+    assert len(set(by_word.values())) == len(by_word)
+
+
+def test_anagrams_and_repeats_differ():
+    data, offsets = utf8(pa.array(["ab ba aab aba baa abc cba a aa aaa"]))
+    assert len(set(words(data, offsets, SPACED)[0].tolist())) == 10
+
+
+def test_slices_keep_all_rows_in_order():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(["x" * n for n in (0, 5, 100, 0, 3, 3, 3, 50, 0)])], names=["i", "text"])
+    got = [p.column("i").to_pylist() for p in slices(batch, "text", 10)]
+    assert sum(got, []) == list(range(9)) and len(got) > 3
