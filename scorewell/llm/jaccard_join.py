@@ -8,18 +8,25 @@ metric space; r is the largest distance of a link.
 2. Regions.  Under any fixed order of all shingles, two sets within r share a
    shingle among the first n - ceil(0.9 n) + 1 of each.  Every such shingle that
    several points have opens a region with those points; regions with the same
-   points are one.  Frequent shingles come last in the order, so that passages
+   points are one, and points whose sizes differ too much for a link come
+   apart.  Frequent shingles come last in the order, so that passages
    found everywhere open regions only for documents made of little else.  (Which
    shingles count as frequent changes the work, never the result.)
-3. Voronoi recursion.  A region with more than ``Settings.cap`` points draws
+3. Sketches.  A region's points are first held against each other by sketches:
+   how many of a set's shingles fall into each of some buckets of hashes.  Two
+   sets differ in at least as many shingles as the sum of the differences of
+   their buckets, and if that is more than linked sets may differ in, they aren't
+   linked.  Points that this doesn't part, directly or through others, form a
+   cluster; every link lies in one.
+4. Voronoi recursion.  A cluster with more than ``Settings.cap`` points draws
    pivots among its points.  Each point goes to its nearest pivot's region and, by
    the triangle inequality, to that of every other pivot p with
    d(x, p) <= d(x, nearest) + 2 r: any link then has a region with both ends.  This
    repeats until regions are small or splitting would copy most points: such a
    dense region is cut into blocks, and each pair of blocks is one region.
-4. Small regions are compared completely, by exact intersections, and give the
+5. Small regions are compared completely, by exact intersections, and give the
    edges of a spanning forest of their links, at most one a point.
-5. Components of these edges by large-star and small-star steps.
+6. Components (of clusters and of links) by large-star and small-star steps.
 
 Every step's unit has a bounded number of points; no group is collected whole.
 """
@@ -36,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import SPACED, blank_text, mix, slices, utf8, words, written
+from scorewell.llm.common import SPACED, blank_text, free_prefix, mix, slices, utf8, words, written
 
 
 @dataclass(frozen=True)
@@ -53,8 +60,12 @@ class Settings:
     local: int = 3
     frequent: int = 48
     most_frequent: int = 1 << 20
+    #: Sets of n shingles have about n / 2 ** sketch_bits buckets in their sketch.
+    sketch_bits: int = 4
     #: Points of a region that are held against its pivots in one task.
     chunk: int = 256
+    #: Rows of two numbers that are sent to every executor rather than shuffling all texts to them.
+    broadcast_rows: int = 1 << 20
 
     @property
     def radius(self) -> float:
@@ -101,13 +112,28 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-MARKS = "key bigint, tx bigint, n bigint, node bigint, token bigint, times bigint"
-_MARKS = pa.schema([(c, pa.int64()) for c in ("key", "tx", "n", "node", "token", "times")])
+MARKS = "key bigint, tx bigint, n bigint, node bigint, sketch binary, token bigint, times bigint"
+_MARKS = pa.schema(
+    [*((c, pa.int64()) for c in ("key", "tx", "n", "node")), ("sketch", pa.binary()), ("token", pa.int64()), ("times", pa.int64())]
+)
+
+
+def prefix_size(n: int, s: Settings) -> int:
+    """How many of n shingles, under any order, hold one that every linked set has among its own first ones."""
+    return n - -(-s.percent * n // 100) + 1
+
+
+def sketch_of(x: np.ndarray, s: Settings) -> bytes:
+    """How many hashes of a set, 255 at most, have the same first bits; buckets by the size of the set."""
+    bits = max(0, len(x).bit_length() - s.sketch_bits)
+    if not bits:
+        return bytes([min(len(x), 255)])
+    return np.minimum(np.bincount((x >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
 
 
 def mark(rows: DataFrame, s: Settings) -> DataFrame:
-    """A row per document (key, tx, n, node; node is null for an empty set), and rows
-    (token, times) for shingles that several points of a slice have."""
+    """A row per document (key, tx, n, node, sketch; the last two are null for an empty
+    set), and rows (token, times) for shingles that several points of a slice have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,12 +147,14 @@ def mark(rows: DataFrame, s: Settings) -> DataFrame:
                 times = np.diff(np.append(edge, len(every)))
                 often = times >= s.local
                 tokens, times = every[edge[often]].view(np.int64), times[often]
-                nulls = lambda k: pa.nulls(k, pa.int64())
+                nulls = lambda k, kind=pa.int64(): pa.nulls(k, kind)
+                sketches = [sketch_of(x, s) if len(x) else None for x in sets]
                 a, b = part.num_rows, len(tokens)
                 yield pa.RecordBatch.from_arrays(
                     [pa.concat_arrays(c) for c in (
                         [part.column("key"), nulls(b)], [part.column("tx"), nulls(b)], [pa.array(n, pa.int64()), nulls(b)],
-                        [pa.array(nodes, pa.int64()), nulls(b)], [nulls(a), pa.array(tokens)], [nulls(a), pa.array(times, pa.int64())],
+                        [pa.array(nodes, pa.int64()), nulls(b)], [pa.array(sketches, pa.binary()), nulls(b, pa.binary())],
+                        [nulls(a), pa.array(tokens)], [nulls(a), pa.array(times, pa.int64())],
                     )], schema=_MARKS,
                 )
 
@@ -137,7 +165,7 @@ def mark(rows: DataFrame, s: Settings) -> DataFrame:
 
 
 def prefixes(rows: DataFrame, order: np.ndarray, s: Settings) -> DataFrame:
-    """(token, node) for the first shingles of each point; a point may repeat.
+    """(token, node, n) for the first shingles of each point; a point may repeat.
 
     ``order``: frequent shingles, the rarest first; they follow all others.
     """
@@ -147,34 +175,46 @@ def prefixes(rows: DataFrame, order: np.ndarray, s: Settings) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                seen, tokens, nodes = set(), [], []
+                seen, tokens, nodes, sizes = set(), [], [], []
                 for x in shingle_sets(part.column("text"), s.width):
                     if not len(x) or (node := point_of(x)) in seen:
                         continue
                     seen.add(node)
-                    take = len(x) - -(-s.percent * len(x) // 100) + 1
+                    take = prefix_size(len(x), s)
                     if len(known):
                         at = np.minimum(np.searchsorted(known, x), len(known) - 1)
                         hot = known[at] == x
                         late = x[hot][np.argsort(rank[at[hot]], kind="stable")]
                         x = np.concatenate([x[~hot], late])
                     tokens.append(x[:take])
-                    nodes.append(np.full(min(take, len(x)), node))
+                    nodes.append(np.full(take, node))
+                    sizes.append(np.full(take, len(x)))
                 if tokens:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(nodes), pa.int64())], names=["token", "node"]
-                    )
+                        [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(nodes), pa.int64()),
+                         pa.array(np.concatenate(sizes), pa.int32())], names=["token", "node", "n"],
+                    )
 
-    return rows.select("text").mapInArrow(run, "token bigint, node bigint")
+    return rows.select("text").mapInArrow(run, "token bigint, node bigint, n int")
 
 
-def regions(first: DataFrame) -> DataFrame:
-    """(region, node, size): points that share a prefix shingle, each set of points once."""
+def regions(first: DataFrame, s: Settings) -> DataFrame:
+    """(region, node, size): points that share a prefix shingle, each set of points once.
+
+    Linked sets differ little in size (the smaller has 0.9 of the larger's
+    shingles or more), so a shingle's points, sorted by size, come apart at
+    every step that is too large: nothing links across it.
+    """
     w = Window.partitionBy("token")
+    up = w.orderBy("n", "node")
+    w_part = Window.partitionBy("token", "part")
+    step = F.coalesce(100 * F.lag("n").over(up) < s.percent * F.col("n"), F.lit(False))
     rows = (
         first.repartition("token").dropDuplicates(["token", "node"])
-        .withColumn("low", F.min("node").over(w)).withColumn("high", F.max("node").over(w))
-        .withColumn("size", F.count(F.lit(1)).over(w)).withColumn("x", F.bit_xor(F.xxhash64("node")).over(w))
+        .withColumn("size", F.count(F.lit(1)).over(w)).where("size > 1")
+        .withColumn("step", step).withColumn("part", F.sum(F.col("step").cast("int")).over(up))
+        .withColumn("low", F.min("node").over(w_part)).withColumn("high", F.max("node").over(w_part))
+        .withColumn("size", F.count(F.lit(1)).over(w_part)).withColumn("x", F.bit_xor(F.xxhash64("node")).over(w_part))
         .where("size > 1")
     )
     return written(
@@ -198,7 +238,9 @@ def sets_of(rows: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
                      pa.array([x.tobytes() for x in sets], pa.binary())], names=["node", "n", "tokens"],
                 )
 
-    texts = rows.join(wanted, ["key", "tx"]).select("key", "tx", "text").dropDuplicates(["key", "tx"])
+    # (key, tx) is 16 bytes: up to this many it can go to every executor
+    near_by = F.broadcast(wanted) if wanted.count() <= s.broadcast_rows else wanted
+    texts = rows.join(near_by, ["key", "tx"]).select("key", "tx", "text").dropDuplicates(["key", "tx"])
     return written(texts.select("text").mapInArrow(run, SETS), "jaccard-sets")
 
 
@@ -252,20 +294,84 @@ def distance(x: np.ndarray, y: np.ndarray) -> float:
     return 1 - both / (len(x) + len(y) - both)
 
 
+def differences(sketches: list[np.ndarray]) -> np.ndarray:
+    """For each pair, the sum of the differences of their buckets: no more than the sets differ in.
+
+    Where the numbers of buckets differ, neighbouring ones of the longer sketch are added up.
+    """
+    sizes = np.array([len(x) for x in sketches])
+    out = np.zeros((len(sketches), len(sketches)), np.int64)
+    for size in np.unique(sizes):
+        longer = np.flatnonzero(sizes >= size)
+        # 255 stands for 255 and more, also in what is added up
+        folded = np.stack([np.minimum(sketches[k].reshape(size, -1).sum(axis=1, dtype=np.int32), 255) for k in longer])
+        for k in np.flatnonzero(sizes[longer] == size):
+            d = np.abs(folded - folded[k]).sum(axis=1)
+            out[longer[k], longer] = d
+            out[longer, longer[k]] = d
+    return out
+
+
+def may_link(sketches: list[np.ndarray], n: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs that aren't ruled out: linked sets differ in at most (100 - p) / (100 + p) of the sum of their sizes."""
+    return differences(sketches) * (100 + percent) <= (100 - percent) * (n[:, None] + n[None])
+
+
+def by_region(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each region, from batches that are sorted by region."""
+    held: pa.Table | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        region = rows.column("region").to_numpy()
+        cuts = [0, *(np.flatnonzero(region[1:] != region[:-1]) + 1).tolist()]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            yield rows.slice(a, b - a)
+        held = rows.slice(cuts[-1]) if len(region) else None
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _grouped(members: DataFrame) -> DataFrame:
+    return members.repartition("region").sortWithinPartitions("region", "node")
+
+
+def _distinct(rows: pa.Table) -> pa.Table:
+    node = rows.column("node").to_numpy()
+    return rows if (node[1:] != node[:-1]).all() else rows.take(np.flatnonzero(np.append(True, node[1:] != node[:-1])))
+
+
 EDGES = "u bigint, v bigint"
 
 
+def near(members: DataFrame, s: Settings) -> DataFrame:
+    """Edges (u, v) that connect the points of each region that sketches don't part; (region, node, n, sketch), regions of bounded size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in by_region(batches):
+            rows = _distinct(rows)
+            node = rows.column("node").to_numpy()
+            sketches = [np.frombuffer(x, np.uint8) for x in rows.column("sketch").to_pylist()]
+            yield _edges(node, forest(may_link(sketches, rows.column("n").to_numpy(), s.percent)))
+
+    return _grouped(members).mapInArrow(run, EDGES)
+
+
+def _edges(node: np.ndarray, root: np.ndarray) -> pa.RecordBatch:
+    moved = root != np.arange(len(root))
+    return pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[root[moved]])], names=["u", "v"])
+
+
 def compare(members: DataFrame, s: Settings) -> DataFrame:
     """Edges (u, v) that connect the linked points of each region; (region, node, tokens), regions of bounded size."""
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("node").sort_values("node")
-        node = group["node"].to_numpy()
-        root = forest(linked(as_sets(group["tokens"].tolist()), s.percent))
-        moved = root != np.arange(len(root))
-        return pd.DataFrame({"u": node[moved], "v": node[root[moved]]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in by_region(batches):
+            rows = _distinct(rows)
+            node = rows.column("node").to_numpy()
+            yield _edges(node, forest(linked(as_sets(rows.column("tokens").to_pylist()), s.percent)))
 
-    return members.groupBy("region").applyInPandas(run, EDGES)
+    return _grouped(members).mapInArrow(run, EDGES)
 
 
 # --- Voronoi recursion -------------------------------------------------------------------------------
@@ -332,13 +438,13 @@ def small_regions(rows: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
         )
         judged = written(left.join(worth, "region", "left").withColumn("worth", F.coalesce("worth", F.lit(False))), "jaccard-judged")
         done.append(blocks(judged.where(~F.col("worth")), s.cap))
-        parts = moved.join(judged.where("worth").select("region", "node"), ["region", "node"]).select(
+        split = moved.join(judged.where("worth").select("region", "node"), ["region", "node"]).select(
             F.xxhash64("region", "pivot", F.lit(level)).alias("region"), "node"
         )
-        counts = written(parts.groupBy("region").agg(F.count(F.lit(1)).alias("size")), "jaccard-sizes")
-        parts = written(parts.join(counts, "region"), "jaccard-parts")
-        done.append(parts.where(F.col("size") <= s.cap).select("region", "node"))
-        left = parts.where(F.col("size") > s.cap)
+        counts = written(split.groupBy("region").agg(F.count(F.lit(1)).alias("size")), "jaccard-sizes")
+        split = written(split.join(counts, "region"), "jaccard-split")
+        done.append(split.where(F.col("size") <= s.cap).select("region", "node"))
+        left = split.where(F.col("size") > s.cap)
     done.append(blocks(left, s.cap))
     return _union(done)
 
@@ -395,14 +501,32 @@ def grouped(docs: DataFrame, s: Settings) -> DataFrame:
         .toArrow().sort_by([("times", "ascending"), ("token", "ascending")])
     )
     order = hot.column("token").combine_chunks().to_numpy().view(np.uint64) if hot.num_rows else np.zeros(0, np.uint64)
-    marks = marks.where("key IS NOT NULL").select("key", "tx", "n", "node")
-    found = regions(prefixes(rows, order, s))
+    docs_ = marks.where("key IS NOT NULL")
+    marks = docs_.select("key", "tx", "n", "node")
+    found = regions(prefixes(rows, order, s), s)
     lows = written(marks.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("key", "tx")).alias("low")), "jaccard-lows")
-    active = written(found.select("node").distinct(), "jaccard-active")
-    wanted = written(lows.join(active, "node").select("low.key", "low.tx"), "jaccard-wanted")
-    sets = sets_of(rows, wanted, s)
-    small = written(small_regions(found, sets, s), "jaccard-small")
-    edges = compare(small.join(sets.select("node", "tokens"), "node"), s)
+
+    stands = lambda nodes: lows.join(nodes, "node").select("low.key", "low.tx")
+
+    # Regions and pairs of blocks of large ones, by sketches; then clusters by sets.
+    cells = written(
+        found.where(F.col("size") <= s.cap).select("region", "node").unionByName(blocks(found.where(F.col("size") > s.cap), s.cap)),
+        "jaccard-cells",
+    )
+    # a point's sketch from the document that stands for it
+    sketches = written(
+        docs_.join(written(stands(cells.select("node").distinct()), "jaccard-stands"), ["key", "tx"])
+        .select("node", "n", "sketch").dropDuplicates(["node"]),
+        "jaccard-sketches",
+    )
+    clusters = written(components(near(cells.join(sketches, "node"), s)), "jaccard-clusters")
+    sizes = written(clusters.groupBy("root").agg(F.count(F.lit(1)).alias("size")), "jaccard-sizes")
+    members = written(clusters.join(sizes, "root").select(F.col("root").alias("region"), "node", "size"), "jaccard-members")
+    sets = sets_of(rows, written(stands(members.select("node")), "jaccard-wanted"), s)
+    small = written(small_regions(members, sets, s), "jaccard-small")
+    # (region, node) is 16 bytes: while there are few, the sets move once, to their regions
+    few = F.broadcast(small) if small.count() <= s.broadcast_rows else small
+    edges = compare(sets.select("node", "tokens").join(few, "node"), s)
     comp = written(components(edges), "jaccard-components")
     tops = written(
         comp.join(lows, "node").groupBy("root").agg(F.min("low").alias("top")), "jaccard-tops"
@@ -436,17 +560,18 @@ def one_of_each(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     Of rows that share both, one stays.  Documents with an empty set all stay.
     """
     g = grouped(docs, settings or Settings())
+    p = free_prefix(docs, "jaccard_")
     stay = written(
         g.where("low IS NULL OR (low.key = key AND low.tx = tx)").select(
-            F.col("key").alias("jaccard_key"), F.col("tx").alias("jaccard_tx"), F.col("low").isNull().alias("jaccard_empty")
+            F.col("key").alias(f"{p}key"), F.col("tx").alias(f"{p}tx"), F.col("low").isNull().alias(f"{p}empty")
         ).distinct(),
         "jaccard-stay",
     )
     own = docs.withColumns({
-        "jaccard_key": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))), "jaccard_tx": F.xxhash64(blank_text(F.col("text"))),
+        f"{p}key": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))), f"{p}tx": F.xxhash64(blank_text(F.col("text"))),
     })
-    kept = own.join(stay, ["jaccard_key", "jaccard_tx"])
+    kept = own.join(stay, [f"{p}key", f"{p}tx"])
     return (
-        kept.where(~F.col("jaccard_empty")).dropDuplicates(["jaccard_key", "jaccard_tx"]).select(*docs.columns)
-        .unionByName(kept.where("jaccard_empty").select(*docs.columns))
+        kept.where(~F.col(f"{p}empty")).dropDuplicates([f"{p}key", f"{p}tx"]).select(*docs.columns)
+        .unionByName(kept.where(f"{p}empty").select(*docs.columns))
     )
