@@ -469,8 +469,7 @@ def components(edges: DataFrame) -> DataFrame:
     def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else e
         low = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "jaccard-low")
-        kept = written(both.where("v > u") if large else both, "jaccard-kept")
-        moved = kept.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        moved = (both.where("v > u") if large else both).join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         if not large:
             moved = moved.unionByName(low.select("u", F.col("m").alias("v")))
         return moved.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
