@@ -21,9 +21,13 @@ from scorewell.session import get_session  # noqa: E402
 
 
 def final_plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
-    qe = df._jdf.queryExecution()
-    return qe.executedPlan().toString()
+    """The plan that ran: ``collect`` executes the frame's own plan, and of an
+    adaptive one only the final part is kept."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "== Final Plan ==" in plan:
+        plan = plan.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+    return plan
 
 
 def summary(plan: str) -> dict:
@@ -57,14 +61,15 @@ def summary(plan: str) -> dict:
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = get_session("local[8]", shuffle_partitions=8)
-    import __spark_entry__ as entry
+    spark = get_session("local[8]", shuffle_partitions=8,
+                        conf={"spark.sql.maxMetadataStringLength": "4000"})
     from scorewell.operators.merge import MergeMetrics, merge_unique
     from scorewell.operators.score import score_frame
     from scorewell.plans import fixtures as fx
+    from scorewell.plans.queries import QUERIES
 
     rows = []
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         rows.append((name, summary(final_plan(fn(spark, sf)))))
 
     print("# Physical plans\n")
@@ -86,13 +91,12 @@ def main():
     s2 = score_frame(fx.model_2_features(spark, sf), fx.MODEL_2, now=fx.NOW)
     print("\n## What the score job writes (model 2, pandas UDF path)\n")
     print("```")
-    print(s2._jdf.queryExecution().executedPlan().toString().strip())
+    print(final_plan(s2).strip())
     print("```")
     print("\n## What the strict merge writes (one shuffle, no join)\n")
     print("```")
     merged = merge_unique(s1, s2, now=fx.NOW, metrics=MergeMetrics())
-    merged.write.format("noop").mode("overwrite").save()
-    print(merged._jdf.queryExecution().executedPlan().toString().strip())
+    print(final_plan(merged).strip())
     print("```")
     spark.stop()
 
