@@ -6,7 +6,9 @@ words meet with a chance of about ``n^2 / 2^65`` among n distinct words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from scorewell.session import scratch_location
 
 #: Bytes of text that one vectorised step looks at.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -147,6 +149,26 @@ def words(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray) -> tuple[np.
     return h, s, e, np.searchsorted(s, offsets)
 
 
+def tidy(run: Callable) -> Callable:
+    """A task's function over batches that gives freed memory back at its end.
+
+    Python workers stay for the next tasks; what they hold on to counts
+    against the executor's memory all that time.
+    """
+
+    @wraps(run)
+    def inner(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return inner
+
+
 def slices(batch: pa.RecordBatch, text: str, most: int = 4 * BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts have about ``most`` bytes (one row at least)."""
     _, offsets = utf8(batch.column(text))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import ALNUM, blank_text, mix, slices, utf8, words
+from scorewell.llm.common import ALNUM, blank_text, mix, slices, tidy, utf8, words
 
 
 @dataclass(frozen=True)
@@ -244,7 +244,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, settings: Settings | No
                         [pa.array(c, pa.int64()) for c in cols], names=["doc_id", "item_id", "edits", "item_words", "first_word"]
                     )
 
-        part = _text_only(docs).mapInArrow(run, RESULT)
+        part = _text_only(docs).mapInArrow(tidy(run), RESULT)
         found = part if found is None else found.unionByName(part)
     return docs.sparkSession.createDataFrame([], RESULT) if found is None else found
 
@@ -260,5 +260,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = Non
                     keep[[doc for doc, _ in matches(part.column("text"), x)]] = False
                     yield part.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(tidy(run), docs.schema)
     return docs

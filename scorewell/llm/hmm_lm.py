@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from scorewell.llm.common import BLOCK_BYTES, SPACED, blank_text, fold_of, slices, utf8, words, written
+from scorewell.llm.common import BLOCK_BYTES, SPACED, blank_text, fold_of, slices, tidy, utf8, words, written
 
 
 @dataclass(frozen=True)
@@ -77,7 +77,7 @@ def make_blocks(docs: DataFrame) -> DataFrame:
 
         zstd = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for rows in slices(batch, "text", 4 * BLOCK_BYTES):
+            for rows in slices(batch, "text", 8 * BLOCK_BYTES):
                 h, _, _, first = words(*utf8(rows.column("text")), SPACED)
                 uniq, at, n = np.unique(h, return_inverse=True, return_counts=True)
                 lens, learn = np.diff(first), rows.column("learn").to_numpy(zero_copy_only=False)
@@ -96,7 +96,7 @@ def make_blocks(docs: DataFrame) -> DataFrame:
                     "words": uniq[order].view(np.int64), "train": train[order],
                 }], _BLOCKS)
 
-    return docs.mapInArrow(run, BLOCKS)
+    return docs.mapInArrow(tidy(run), BLOCKS)
 
 
 @dataclass
@@ -208,7 +208,7 @@ def iterate(blocks: DataFrame, m: Hmm, s: Settings) -> tuple[Hmm, float]:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["at", "value"])
 
-    sums = blocks.select("lens", "tokens", "learn", "words").mapInArrow(run, "at int, value double")
+    sums = blocks.select("lens", "tokens", "learn", "words").mapInArrow(tidy(run), "at int, value double")
     found = sums.groupBy("at").agg(F.sum("value").alias("value")).toArrow()
     total = np.zeros(k + k * k + (end + 1) * k + 1)
     total[found.column("at").to_numpy()] = found.column("value").to_numpy()

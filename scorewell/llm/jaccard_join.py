@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import SPACED, blank_text, free_prefix, mix, slices, utf8, words, written
+from scorewell.llm.common import BLOCK_BYTES, SPACED, blank_text, free_prefix, mix, slices, tidy, utf8, words, written
 
 
 @dataclass(frozen=True)
@@ -137,7 +137,7 @@ def mark(rows: DataFrame, s: Settings) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 8 * BLOCK_BYTES):
                 sets = shingle_sets(part.column("text"), s.width)
                 nodes = [point_of(x) if len(x) else None for x in sets]
                 n = [len(x) for x in sets]
@@ -158,7 +158,7 @@ def mark(rows: DataFrame, s: Settings) -> DataFrame:
                     )], schema=_MARKS,
                 )
 
-    return written(rows.mapInArrow(run, MARKS), "jaccard-marks")
+    return written(rows.mapInArrow(tidy(run), MARKS), "jaccard-marks")
 
 
 # --- regions ---------------------------------------------------------------------------------------
@@ -195,7 +195,7 @@ def prefixes(rows: DataFrame, order: np.ndarray, s: Settings) -> DataFrame:
                          pa.array(np.concatenate(sizes), pa.int32())], names=["token", "node", "n"],
                     )
 
-    return rows.select("text").mapInArrow(run, "token bigint, node bigint, n int")
+    return rows.select("text").mapInArrow(tidy(run), "token bigint, node bigint, n int")
 
 
 def regions(first: DataFrame, s: Settings) -> DataFrame:
@@ -241,7 +241,7 @@ def sets_of(rows: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
     # (key, tx) is 16 bytes: up to this many it can go to every executor
     near_by = F.broadcast(wanted) if wanted.count() <= s.broadcast_rows else wanted
     texts = rows.join(near_by, ["key", "tx"]).select("key", "tx", "text").dropDuplicates(["key", "tx"])
-    return written(texts.select("text").mapInArrow(run, SETS), "jaccard-sets")
+    return written(texts.select("text").mapInArrow(tidy(run), SETS), "jaccard-sets")
 
 
 # --- comparing ---------------------------------------------------------------------------------------
@@ -354,7 +354,7 @@ def near(members: DataFrame, s: Settings) -> DataFrame:
             sketches = [np.frombuffer(x, np.uint8) for x in rows.column("sketch").to_pylist()]
             yield _edges(node, forest(may_link(sketches, rows.column("n").to_numpy(), s.percent)))
 
-    return _grouped(members).mapInArrow(run, EDGES)
+    return _grouped(members).mapInArrow(tidy(run), EDGES)
 
 
 def _edges(node: np.ndarray, root: np.ndarray) -> pa.RecordBatch:
@@ -371,7 +371,7 @@ def compare(members: DataFrame, s: Settings) -> DataFrame:
             node = rows.column("node").to_numpy()
             yield _edges(node, forest(linked(as_sets(rows.column("tokens").to_pylist()), s.percent)))
 
-    return _grouped(members).mapInArrow(run, EDGES)
+    return _grouped(members).mapInArrow(tidy(run), EDGES)
 
 
 # --- Voronoi recursion -------------------------------------------------------------------------------

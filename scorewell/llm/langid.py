@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import blank_text, fold_of, free_prefix, slices, written
+from scorewell.llm.common import blank_text, fold_of, free_prefix, slices, tidy, written
 
 UNKNOWN = "und"
 #: Code points that one vectorised step looks at.
@@ -145,7 +145,7 @@ def _statistics(rows: DataFrame, s: Settings) -> DataFrame:
             [{"bucket": -1, "docs": docs}, *({"bucket": b, "docs": d} for b, d in zip(at.tolist(), df[at].tolist(), strict=True))], _PARTS
         )
 
-    return rows.mapInArrow(run, PARTS)
+    return rows.mapInArrow(tidy(run), PARTS)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -281,7 +281,7 @@ def predict(docs: DataFrame, m: Model, text: str = "text", names: tuple[str, str
                     names=[*part.schema.names, *names],
                 )
 
-    return docs.mapInArrow(run, given)
+    return docs.mapInArrow(tidy(run), given)
 
 
 def language_table(docs: DataFrame, settings: Settings | None = None) -> DataFrame:

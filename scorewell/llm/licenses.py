@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import ALNUM, blank_text, slices, utf8
+from scorewell.llm.common import ALNUM, blank_text, slices, tidy, utf8
 
 # Phrases and labels of the base detections.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -242,4 +242,4 @@ def scan(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(out, _ARROW)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), blank_text(F.col("text")).alias("text"))
-    return rows.mapInArrow(run, RESULT)
+    return rows.mapInArrow(tidy(run), RESULT)

@@ -30,6 +30,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 LEAF = ["domain", "language", "origin"]
 #: Hex digits of the hash that one level of the descent looks at, and levels.
 DIGITS, LEVELS = 2, 3
+#: Leaves (some 100 bytes each) that are sent to every executor, at most.
+BROADCAST_LEAVES = 200_000
 
 
 @dataclass(frozen=True)
@@ -214,12 +216,16 @@ def mix_table(docs: DataFrame, plan: MixPlan, domain: Column | None = None) -> D
 def mix(docs: DataFrame, plan: MixPlan, domain: Column | None = None) -> DataFrame:
     """The documents taken, each as often as the mix repeats it, with the columns of ``docs``.
 
-    The texts aren't shuffled: each row is held against its leaf's cut.
+    Each row is held against its leaf's cut; unless there are more than
+    ``BROADCAST_LEAVES`` leaves, texts aren't shuffled for that.
     """
     domain = domain_of(F.col("source")) if domain is None else domain
     slim = written(leaf_columns(docs, domain), "mix-slim")
     p = free_prefix(docs, "mix_")
-    found = cuts(slim, plan).select(*[F.col(c).alias(f"{p}{c}") for c in [*LEAF, "epochs", "cut"]])
+    leaves = cuts(slim, plan)
+    if leaves.count() <= BROADCAST_LEAVES:
+        leaves = F.broadcast(leaves)
+    found = leaves.select(*[F.col(c).alias(f"{p}{c}") for c in [*LEAF, "epochs", "cut"]])
     keys = {
         f"{p}domain": F.coalesce(domain, F.lit("")),
         f"{p}language": F.coalesce(F.col("lang").cast("string"), F.lit("")),

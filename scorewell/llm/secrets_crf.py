@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import BLOCK_BYTES, SPACED, blank_text, slices, utf8, words
+from scorewell.llm.common import BLOCK_BYTES, SPACED, blank_text, slices, tidy, utf8, words
 
 # --- base spans ----------------------------------------------------------------------------
 
@@ -365,7 +365,7 @@ def train(docs: DataFrame, s: Settings) -> Field | None:
                 if out:
                     yield pa.RecordBatch.from_pylist(out, pa.schema([("n", pa.int32()), ("f", pa.binary()), ("t", pa.binary())]))
 
-    got = sample.mapInArrow(run, "n int, f binary, t binary").toArrow().sort_by([("f", "ascending")])
+    got = sample.mapInArrow(tidy(run), "n int, f binary, t binary").toArrow().sort_by([("f", "ascending")])
     tags = np.frombuffer(b"".join(got.column("t").to_pylist()), np.int8).astype(np.int64)
     if not (tags == B).any():
         return None
@@ -424,4 +424,4 @@ def scan(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
                     }
                 yield pa.RecordBatch.from_pylist(out, _ARROW)
 
-    return rows.mapInArrow(run, RESULT)
+    return rows.mapInArrow(tidy(run), RESULT)

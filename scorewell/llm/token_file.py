@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewell.llm import files
-from scorewell.llm.common import SPACED, blank_text, slices, utf8, words, written
+from scorewell.llm.common import SPACED, blank_text, slices, tidy, utf8, words, written
 from scorewell.session import scratch_location
 
 CHUNK = 1 << 16
@@ -44,7 +44,7 @@ FOOTER = struct.Struct("<qqq8s")
 #: Appended to each document.
 END_ID = 2
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 2_000_000
+CACHE_WORDS = 1_000_000
 
 # --- encoding ------------------------------------------------------------------------------
 
@@ -280,7 +280,7 @@ def write_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_
             row = {"file": uri, "first_id": first, "part": part, "docs": len(out.docs), "ids": out.close()}
             yield pa.RecordBatch.from_pylist([row], MANIFEST_ARROW)
 
-    return written(rows.mapInArrow(write, MANIFEST), "token-manifest")
+    return written(rows.mapInArrow(tidy(write), MANIFEST), "token-manifest")
 
 
 MANIFEST_ARROW = pa.schema(
@@ -314,7 +314,7 @@ def read_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=ROWS_ARROW)
 
     names = spark.createDataFrame(found, "file string, start bigint").repartition(max(1, len(found)))
-    return names.mapInArrow(read, ROWS)
+    return names.mapInArrow(tidy(read), ROWS)
 
 
 def token_table(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = END_ID) -> DataFrame:
