@@ -10,6 +10,7 @@ never see each other's tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,8 +76,12 @@ def _stored_scores(spark, sf, db):
 
 
 def _score_both(spark, sf, db):
-    score_job(spark, fx.MODEL_1, _features(spark, sf), db, "model_1_scores", fx.RUN, now=fx.NOW)
-    score_job(spark, fx.MODEL_2, fx.model_2_features(spark, sf), db, "model_2_scores", fx.RUN, now=fx.NOW)
+    """Both scoring jobs, side by side as in the daily run."""
+    sides = [(fx.MODEL_1, _features(spark, sf)), (fx.MODEL_2, fx.model_2_features(spark, sf))]
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        list(pool.map(
+            lambda s: score_job(spark, s[0], s[1], db, f"{s[0].name}_scores", fx.RUN, now=fx.NOW), sides
+        ))
 
 
 def _merged(spark, sf, **kw):
