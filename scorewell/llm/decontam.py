@@ -5,13 +5,14 @@ A-Z lower-cased).  A document is contaminated by an item if one of its
 passages can be turned into the whole item with at most ``Settings.share`` of
 the item's words inserted, deleted or replaced.
 
-Candidates come from windows of a few words, as long as the shortest items of a
-size class: each window of an item, and every ``stride``-th of a document, goes
+Candidates come from windows of a few words, by a shape (words, stride, walks,
+samples) that depends on the item's length: the first of ``Settings.shapes`` whose
+recall at the full number of edits, simulated on random words, reaches
+``Settings.recall``.  Each window of an item, and every ``stride``-th of a document, goes
 through CGK random walks (the walk repeats or advances a word by a coin that
 the step and the word decide, so that few edits change few of its outputs: edit
 distance becomes Hamming distance).  Of each walk some outputs are sampled into a
-hash key; equal keys make a candidate.  ``walks`` independent repetitions reach
-the target recall.  Each candidate is verified by the exact edit distance
+hash key; equal keys make a candidate.  Each candidate is verified by the exact edit distance
 between the item and the passage around the window.
 
 Items travel to the documents in blocks of bounded size, so documents are never
@@ -21,7 +22,8 @@ shuffled and no pair of texts is formed that shares no key.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +37,11 @@ from scorewell.llm.common import ALNUM, blank_text, mix, slices, tidy, utf8, wor
 class Settings:
     #: Edits allowed, as a share of the item's words.
     share: float = 0.2
-    #: Words of a window and step between a document's windows, for items of window + stride - 1 words or more.
-    window: int = 8
-    stride: int = 4
-    #: Windows of shorter items have at most so many words, and every window of a document is looked at.
-    short: int = 4
-    walks: int = 6
+    #: Words of a window, step between a document's windows, walks and samples; from the cheapest to the surest.
+    shapes: tuple[tuple[int, int, int, int], ...] = ((8, 4, 6, 6), (4, 1, 6, 6), (3, 1, 6, 4), (2, 1, 6, 3), (1, 1, 1, 2))
+    #: Least share of edited passages, of each item length, that must become candidates; measured on so many random items.
+    recall: float = 0.95
+    trials: int = 500
     samples: int = 6
     #: Words of a window that no item has, at most; more edits than that in one window aren't sought.
     strangers: int = 3
@@ -71,6 +72,71 @@ def walk_keys(h: np.ndarray, at: np.ndarray, size: int, walk: int, s: Settings)
     return mix(key)
 
 
+# --- shapes of windows ----------------------------------------------------------------------------
+
+#: Items of more words take the shape of this many: with their length they only gain windows.
+LONGEST_TRIAL = 64
+
+
+def edited(item: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
+    """The item after so many random edits: half of them replace a word, the others insert or delete one."""
+    w = item.tolist()
+    for _ in range(edits):
+        kind, at, new = rng.random(), int(rng.integers(len(w))) if w else 0, int(rng.integers(1, 2**63))
+        if kind < 0.5 and w:
+            w[at] = new
+        elif kind < 0.75 or not w:
+            w.insert(at, new)
+        else:
+            del w[at]
+    return np.array(w, np.uint64)
+
+
+def simulated_recall(n: int, shape: tuple[int, int, int, int], s: Settings) -> float:
+    """Share of items of ``n`` random words that share a key with their passage at the full number of edits."""
+    size, stride, walks, samples = shape
+    rng, most = np.random.default_rng([s.seed, n]), int(s.share * n)
+    text, body, owner, places, windows, whose = [], [], [], [], [], []
+    base = lead = 0
+    for k in range(s.trials):
+        item = rng.integers(1, 2**63, n, dtype=np.uint64)
+        passage = edited(item, most, rng)
+        around = rng.integers(1, 2**63, 2 * size + stride, dtype=np.uint64)
+        before = size + int(rng.integers(stride))
+        doc = np.concatenate([around[:before], passage, around[before:]])
+        at, places_of = np.arange(0, len(doc) - size + 1, stride), np.arange(n - size + 1)
+        windows.append(at + lead)
+        whose.append(np.full(len(at), k))
+        places.append(places_of + base)
+        owner.append(np.full(len(places_of), k))
+        text.append(item)
+        body.append(doc)
+        base, lead = base + n, lead + len(doc)
+    text, body, owner, whose = (np.concatenate(v) for v in (text, body, owner, whose))
+    places, windows, found = np.concatenate(places), np.concatenate(windows), np.zeros(s.trials, bool)
+    for w in range(walks):
+        a = walk_keys(text, places, size, w, replace(s, samples=samples)) ^ mix(owner.astype(np.uint64))
+        b = walk_keys(body, windows, size, w, replace(s, samples=samples)) ^ mix(whose.astype(np.uint64))
+        found[whose[np.isin(b, a)]] = True
+    return float(found.mean())
+
+
+@lru_cache(maxsize=None)
+def shape_of(n: int, s: Settings) -> tuple[int, int, int, int]:
+    """The shape for items of ``n`` words; if none reaches the recall, the one that comes nearest."""
+    n = min(n, LONGEST_TRIAL)
+    most, tried = int(s.share * n), []
+    for shape in s.shapes:
+        size, stride, walks, samples = shape
+        if size + stride - 1 > n - most:
+            continue
+        got = 1.0 if not most else simulated_recall(n, shape, s)
+        if got >= s.recall:
+            return shape
+        tried.append((got, shape))
+    return max(tried)[1] if tried else (1, 1, 1, 2)
+
+
 # --- items ----------------------------------------------------------------------------------------
 
 
@@ -80,6 +146,8 @@ class Keys:
 
     size: int
     stride: int
+    walks: int
+    samples: int
     keys: np.ndarray
     item: np.ndarray
     place: np.ndarray
@@ -100,21 +168,20 @@ def prepare(ids: list[int], texts: list[str], s: Settings) -> Items:
     each = [h[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
     used = [k for k, w in enumerate(each) if len(w)]
     each, ids = [each[k] for k in used], [ids[k] for k in used]
-    sizes: dict[int, list[int]] = {}
+    shapes: dict[tuple[int, int, int, int], list[int]] = {}
     for k, w in enumerate(each):
-        size = s.window if len(w) >= s.window + s.stride - 1 else min(s.short, len(w))
-        sizes.setdefault(size, []).append(k)
+        shapes.setdefault(shape_of(len(w), s), []).append(k)
     classes = []
-    for size, members in sorted(sizes.items()):
+    for (size, stride, walks, samples), members in sorted(shapes.items()):
         at = [np.arange(len(each[k]) - size + 1) for k in members]
         item = np.repeat(members, [len(a) for a in at])
         text = np.concatenate([each[k] for k in members])
         starts = np.cumsum([0, *(len(each[k]) for k in members)])[:-1]
         place = np.concatenate(at)
         where = place + np.repeat(starts, [len(a) for a in at])
-        keys = np.concatenate([walk_keys(text, where, size, w, s) for w in range(s.walks)])
+        keys = np.concatenate([walk_keys(text, where, size, w, replace(s, samples=samples)) for w in range(walks)])
         order = np.argsort(keys, kind="stable")
-        classes.append(Keys(size, s.stride if size == s.window else 1, keys[order], np.tile(item, s.walks)[order], np.tile(place, s.walks)[order]))
+        classes.append(Keys(size, stride, walks, samples, keys[order], np.tile(item, walks)[order], np.tile(place, walks)[order]))
     return Items(np.array(ids, np.int64), each, np.unique(h), classes, s)
 
 
@@ -159,12 +226,18 @@ def nearest_passage(item: np.ndarray, region: np.ndarray, most: int) -> tuple[in
     return edits, end - back
 
 
+#: Pairs of equal keys that one vectorised step looks at.
+PAIRS = 1 << 20
+
+
 def candidates(h: np.ndarray, first: np.ndarray, known: np.ndarray, x: Items) -> Iterator[tuple[int, int, int]]:
     """(document, item, word where the item would start), from equal keys; each once.
 
-    ``known`` counts the words before each place that some item has.
+    ``known`` counts the words before each place that some item has; a region
+    with too few of them for its item is left out.
     """
-    s = x.settings
+    s, lens = x.settings, np.array([len(w) for w in x.words], np.int64)
+    most = (s.share * lens).astype(np.int64)
     for c in x.classes:
         n = np.maximum(np.diff(first) - c.size, -1) // c.stride + 1
         k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
@@ -172,16 +245,22 @@ def candidates(h: np.ndarray, first: np.ndarray, known: np.ndarray, x: Items) ->
         keep = known[at + c.size] - known[at] >= max(1, c.size - s.strangers)
         at, doc = at[keep], np.repeat(np.arange(len(n)), n)[keep]
         found = []
-        for w in range(s.walks):
-            keys = walk_keys(h, at, c.size, w, s) if len(at) else np.zeros(0, np.uint64)
+        for w in range(c.walks):
+            keys = walk_keys(h, at, c.size, w, replace(s, samples=c.samples)) if len(at) else np.zeros(0, np.uint64)
             low = np.searchsorted(c.keys, keys, "left")
             count = np.searchsorted(c.keys, keys, "right") - low
             hit = np.flatnonzero(count)
-            if len(hit):
-                times = count[hit]
-                entry = np.repeat(low[hit] - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
-                hit = np.repeat(hit, times)
-                found.append(np.stack([doc[hit], c.item[entry], at[hit] - c.place[entry]], axis=1))
+            ends = np.cumsum(count[hit])
+            for part in np.split(hit, np.unique(np.searchsorted(ends, np.arange(PAIRS, ends[-1] if len(hit) else 0, PAIRS)))):
+                times = count[part]
+                entry = np.repeat(low[part] - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
+                part = np.repeat(part, times)
+                of, item, start = doc[part], c.item[entry], at[part] - c.place[entry]
+                a = np.maximum(first[of], start - most[item])
+                b = np.minimum(first[of + 1], start + lens[item] + 3 * most[item])
+                enough = known[b] - known[a] >= lens[item] - most[item]
+                if enough.any():
+                    found.append(np.stack([of, item, start], axis=1)[enough])
         if found:
             yield from np.unique(np.concatenate(found), axis=0).tolist()
 
@@ -206,8 +285,6 @@ def matches(column: pa.Array, x: Items) -> dict[tuple[int, int], tuple[int, int]
             continue
         done[doc, item] = start + most
         low, high = max(int(first[doc]), start - most), min(int(first[doc + 1]), start + len(w) + 3 * most)
-        if known[high] - known[low] < len(w) - most:
-            continue
         if got := nearest_passage(w, h[low:high], most):
             at = (got[0], low + got[1] - int(first[doc]))
             if (doc, item) not in best or at < best[doc, item]:

@@ -1,9 +1,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from scorewell.llm.decontam import Settings, clean, contamination, nearest_passage, passage_distance, walk_keys
+from scorewell.llm.decontam import Settings, clean, contamination, matches, nearest_passage, passage_distance, prepare, walk_keys
 
 rnd = random.Random(1)
 VOCAB = ["word%d" % k for k in range(3000)]
@@ -141,3 +142,23 @@ def test_walks_see_windows_only():
     assert walk_keys(h[:18], np.array([10]), 8, 0, s) == a  # at the end of the words
     near = [np.mean([walk_keys(np.r_[h[:14], np.uint64(k), h[15:]], np.array([10]), 8, w, s) == walk_keys(h, np.array([10]), 8, w, s) for w in range(6)]) for k in range(50)]
     assert np.mean(near) > 0.05  # one changed word often leaves a walk's key as it was
+
+
+@pytest.mark.parametrize("n", range(5, 21))
+def test_recall_of_each_length_at_the_full_share(n):
+    """Of all passages with int(0.2 n) edits, as many as the settings promise, less what 300 trials may be off."""
+    r = random.Random(n)
+    items = {k: text(n, r) for k in range(300)}
+    docs = [(k, " ".join(text(20 + k % 4, r) + edited(w, int(0.2 * n), r) + text(20, r))) for k, w in items.items()]
+    want = {k for k, t in docs if brute([(k, t)], {k: items[k]})}
+    found = matches(pa.array([t for _, t in docs]), prepare(list(items), [" ".join(w) for w in items.values()], Settings()))
+    assert len(want) == 300
+    assert sum((k, k) in found for k in want) >= 0.92 * len(want)
+
+
+def test_many_equal_keys_are_looked_at_in_parts(monkeypatch):
+    x = prepare(list(range(50)), ["the " * 5 + f"w{k}" for k in range(50)], Settings())
+    column = pa.array(["the " * 300 + "w7", "the the the the the w9 and"])
+    whole = matches(column, x)
+    monkeypatch.setattr("scorewell.llm.decontam.PAIRS", 100)
+    assert matches(column, x) == whole and whole[1, 9] == (0, 0) and whole[0, 7] == (0, 295)
