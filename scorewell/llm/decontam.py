@@ -281,7 +281,7 @@ def matches(column: pa.Array, x: Items) -> dict[tuple[int, int], tuple[int, int]
         w = x.words[item]
         most = int(x.settings.share * len(w))
         # The candidates of a pair come in order; one region serves all starts within its slack.
-        if start <= done.get((doc, item), -1):
+        if (doc, item) in done and start <= done[doc, item]:  # a start may be negative
             continue
         done[doc, item] = start + most
         low, high = max(int(first[doc]), start - most), min(int(first[doc + 1]), start + len(w) + 3 * most)

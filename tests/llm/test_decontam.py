@@ -162,3 +162,12 @@ def test_many_equal_keys_are_looked_at_in_parts(monkeypatch):
     whole = matches(column, x)
     monkeypatch.setattr("scorewell.llm.decontam.PAIRS", 100)
     assert matches(column, x) == whole and whole[1, 9] == (0, 0) and whole[0, 7] == (0, 295)
+
+
+@pytest.mark.parametrize("cut", [1, 2, 5])
+def test_passage_without_its_first_words_at_the_start_of_the_first_document(cut):
+    w = text(40, random.Random(cut))
+    x = prepare([7], [" ".join(w)], Settings())
+    doc = " ".join(w[cut:] + text(10))
+    alone, second = matches(pa.array([doc]), x), matches(pa.array(["some other text", doc]), x)
+    assert alone == {(0, 0): (cut, 0)} and second == {(1, 0): (cut, 0)}
