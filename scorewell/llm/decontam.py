@@ -155,14 +155,14 @@ class Keys:
 
 @dataclass
 class Items:
-    ids: np.ndarray
+    ids: list[int | None]
     words: list[np.ndarray]
     vocabulary: np.ndarray
     classes: list[Keys]
     settings: Settings
 
 
-def prepare(ids: list[int], texts: list[str], s: Settings) -> Items:
+def prepare(ids: list[int | None], texts: list[str], s: Settings) -> Items:
     """Items without words take no part."""
     h, _, _, first = words(*utf8(pa.array(texts, pa.string())), ALNUM)
     each = [h[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
@@ -182,15 +182,15 @@ def prepare(ids: list[int], texts: list[str], s: Settings) -> Items:
         keys = np.concatenate([walk_keys(text, where, size, w, replace(s, samples=samples)) for w in range(walks)])
         order = np.argsort(keys, kind="stable")
         classes.append(Keys(size, stride, walks, samples, keys[order], np.tile(item, walks)[order], np.tile(place, walks)[order]))
-    return Items(np.array(ids, np.int64), each, np.unique(h), classes, s)
+    return Items(ids, each, np.unique(h), classes, s)
 
 
 def item_blocks(benchmark: DataFrame, s: Settings) -> Iterator[Items]:
     """The items (item_id, text) in blocks of about ``block_words`` words.
 
-    Rows with the same id are items of their own; a null id takes no part.
+    Rows with the same id, or with none, are items of their own.
     """
-    rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), blank_text(F.col("text")).alias("text")).where("item_id IS NOT NULL")
+    rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), blank_text(F.col("text")).alias("text"))
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-total // (6 * s.block_words)))
     for b in range(blocks):
@@ -315,7 +315,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, settings: Settings | No
                     ids = part.column("doc_id").to_pylist()
                     cols = [[], [], [], [], []]
                     for (doc, item), (edits, at) in best.items():
-                        for col, v in zip(cols, (ids[doc], int(x.ids[item]), edits, len(x.words[item]), at), strict=True):
+                        for col, v in zip(cols, (ids[doc], x.ids[item], edits, len(x.words[item]), at), strict=True):
                             col.append(v)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, pa.int64()) for c in cols], names=["doc_id", "item_id", "edits", "item_words", "first_word"]

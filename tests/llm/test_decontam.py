@@ -171,3 +171,11 @@ def test_passage_without_its_first_words_at_the_start_of_the_first_document(cut)
     doc = " ".join(w[cut:] + text(10))
     alone, second = matches(pa.array([doc]), x), matches(pa.array(["some other text", doc]), x)
     assert alone == {(0, 0): (cut, 0)} and second == {(1, 0): (cut, 0)}
+
+
+def test_items_without_an_id_take_part(spark, make):
+    item = text(30)
+    table = spark.createDataFrame([(None, " ".join(item)), (None, None), (1, " ".join(text(30)))], "item_id bigint, text string")
+    docs = make([(1, " ".join(text(9) + item)), (2, " ".join(text(40)))])
+    assert [tuple(r) for r in contamination(docs, table).collect()] == [(1, None, 0, 30, 9)]
+    assert [r.doc_id for r in clean(docs, table).collect()] == [2]
