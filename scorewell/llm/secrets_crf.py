@@ -73,9 +73,12 @@ def with_base(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
                 found.append(k)
                 at = gate.find(word, int(offsets[k + 1]))
     for k in range(0, len(data), BLOCK_BYTES):  # runs of hex digits; one that crosses two blocks shows in the overlap
-        on = np.concatenate([[False], _HEX[data[k : k + BLOCK_BYTES + 64]], [False]])
-        edge = np.flatnonzero(on[1:] != on[:-1])
-        starts = edge[::2][edge[1::2] - edge[::2] >= 24]
+        on = _HEX[data[k : k + BLOCK_BYTES + 64]]
+        cut = np.zeros(len(on) + 1, bool)  # a document begins here
+        cut[offsets[np.searchsorted(offsets, k) : np.searchsorted(offsets, k + len(on))] - k] = True
+        starts = np.flatnonzero(on & (~np.concatenate([[False], on[:-1]]) | cut[:-1]))
+        ends = np.flatnonzero(on & (~np.concatenate([on[1:], [False]]) | cut[1:])) + 1
+        starts = starts[ends - starts >= 24]
         found += (np.searchsorted(offsets, starts + k, "right") - 1).tolist()
     return np.unique(np.array(found, np.int64))
 

@@ -77,6 +77,15 @@ def test_gate_drops_no_text_with_spans():
     assert {k for k, t in enumerate(texts) if base_spans(t or "")} <= gated
 
 
+def test_gate_parts_runs_of_hex_digits_at_documents(make):
+    texts = ["some words that end in e", HEX40, "abc", "", "def" + HEX40[:24], "f" * 23, "f" * 23, "plain"]
+    data, offsets = utf8(pa.array(texts))
+    assert with_base(data, offsets).tolist() == [1, 4]
+    rows = list(enumerate(texts))
+    got = scan(make(rows, parts=1)).collect()
+    assert sorted((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in got) == [row_of(i, t) for i, t in rows]
+
+
 @pytest.fixture(scope="module")
 def field(spark):
     df = spark.createDataFrame(corpus(), "doc_id bigint, text string")
