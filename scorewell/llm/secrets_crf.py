@@ -5,7 +5,8 @@ words and tags every word as O (outside), B (a secret begins) or I (it goes
 on), from the word's shape, its neighbours and features of the whole file;
 Viterbi finds the best tags.  It is trained here, by maximum likelihood with an
 L2 penalty, on windows of at most ``Settings.window`` words from a sample of
-documents (``Settings.sample`` in expectation), labelled by the base spans: it
+documents labelled by the base spans (in expectation ``Settings.sample`` with a
+span and as many without, or all there are): it
 learns what the words inside such spans look like and where they stand, and so
 tags secrets in forms that the patterns don't name.
 
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import BLOCK_BYTES, SPACED, blank_text, slices, tidy, utf8, words
+from scorewell.llm.common import BLOCK_BYTES, SPACED, blank_text, mix, slices, tidy, utf8, words
 
 # --- base spans ----------------------------------------------------------------------------
 
@@ -175,7 +176,7 @@ def _shift_end(data: np.ndarray, e: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Settings:
-    #: Documents in the sample, in expectation; of windows without a secret, one in so many is used.
+    #: Documents with a base span in the sample, and documents without, in expectation; of windows without a secret, one in so many is used.
     sample: int = 4000
     window: int = 64
     thin: int = 16
@@ -335,34 +336,67 @@ def _gold(text: str, w: Words, rows: np.ndarray, offset: int) -> np.ndarray:
     return tags
 
 
+def with_spans(column: pa.Array) -> np.ndarray:
+    """Which of the texts have base spans."""
+    out = np.zeros(len(column), bool)
+    for k in with_base(*utf8(column)).tolist():
+        out[k] = bool(base_spans(column[k].as_py()))
+    return out
+
+
+def sizes(docs: DataFrame) -> tuple[int, int]:
+    """Documents without a base span, and with one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(2, np.int64)
+        for batch in batches:
+            for rows in slices(batch, "text"):
+                n += np.bincount(with_spans(rows.column("text")), minlength=2)
+        yield pa.RecordBatch.from_arrays([pa.array(n[:1]), pa.array(n[1:])], names=["plain", "labelled"])
+
+    found = docs.select("text").mapInArrow(tidy(run), "plain bigint, labelled bigint").agg(F.sum("plain"), F.sum("labelled")).first()
+    return found[0] or 0, found[1] or 0
+
+
 def train(docs: DataFrame, s: Settings) -> Field | None:
-    """A field from a sample of (doc_id, text); None if the sample has no base span.
+    """A field from a sample of (doc_id, text); None if no document has a base span.
 
-    The sample takes documents by the hash of their id and text; the driver
-    gets the features of its windows.
+    The sample takes documents by the hash of their id and text, those with
+    and without a base span each at a rate of their own, and windows without
+    a secret by the same hash and their place; so neither depends on
+    partitions.  The driver gets the features of its windows.
     """
-    place = F.pmod(F.xxhash64(F.col("doc_id"), F.length("text"), F.substring("text", 1, 64)), F.lit(1 << 20))
-    n = docs.count()
-    if not n:
+    scale = 1 << 40
+    place = F.pmod(F.xxhash64(F.col("doc_id"), F.length("text"), F.substring("text", 1, 64)), F.lit(scale))
+    counted = sizes(docs)
+    if not counted[1]:
         return None
-    sample = docs.where(place < min(1.0, s.sample / n) * (1 << 20))
+    limits = np.array([min(1.0, s.sample / max(n, 1)) * scale for n in counted])
+    sample = docs.select(place.alias("place"), "text").where(F.col("place") < float(limits.max()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, "text"):
+                places = rows.column("place").to_numpy()
+                rows = rows.filter(pa.array(places < limits[with_spans(rows.column("text")).astype(np.int64)]))
+                places = rows.column("place").to_numpy().astype(np.uint64)
                 data, offsets = utf8(rows.column("text"))
                 w = describe(data, offsets)
+                if not len(w.start):
+                    continue
                 tags = np.zeros(len(w.start), np.int64)
                 edges = np.searchsorted(w.doc, np.arange(rows.num_rows + 1))
                 for k in with_base(data, offsets).tolist():
                     at = np.arange(edges[k], edges[k + 1])
                     tags[at] = _gold(rows.column("text")[k].as_py(), w, at, int(offsets[k]))
+                # By the document and the word's place in it: is a window that begins here used without a secret
+                thin = mix(mix(places)[w.doc] ^ (np.arange(len(tags)) - edges[w.doc]).astype(np.uint64)) % np.uint64(s.thin) == 0
                 starts = np.flatnonzero(w.first)
-                out, number = [], 0
+                out = []
                 for a, b in zip(starts, np.append(starts[1:], len(tags)), strict=True):
                     for c in range(a, b, s.window):
-                        t, number = tags[c : min(c + s.window, b)], number + 1
-                        if t.any() or number % s.thin == 0:
+                        t = tags[c : min(c + s.window, b)]
+                        if t.any() or thin[c]:
                             t = np.where((t == I) & (np.arange(len(t)) == 0), B, t)
                             out.append({"n": len(t), "f": w.features[c : c + len(t)].astype("<i4").tobytes(), "t": t.astype("i1").tobytes()})
                 if out:

@@ -8,7 +8,7 @@ import pytest
 
 from scorewell.llm.common import utf8
 from scorewell.llm.secrets_crf import (
-    B, SIZES, Field, I, O, Settings, base_spans, decode, describe, joined, likelihood, scan, tagged_spans, train, viterbi, with_base,
+    B, SIZES, Field, I, O, Settings, base_spans, decode, describe, joined, likelihood, scan, sizes, tagged_spans, train, viterbi, with_base,
 )
 
 HEX40 = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
@@ -86,6 +86,26 @@ def test_gate_parts_runs_of_hex_digits_at_documents(make):
     assert sorted((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in got) == [row_of(i, t) for i, t in rows]
 
 
+def test_sample_holds_rare_secrets(spark, make):
+    plain = [(k, f"plain words of number {k}\nand a line more") for k in range(3000)] + [(k, None) for k in range(3000, 3010)]
+    rows = plain + [(5000 + k, f'see token = "{HEX40[k:] + HEX40[:k]}" there') for k in range(3)]
+    s = Settings(sample=60)
+    assert sizes(make(rows)) == (3010, 3) and train(make(plain), s) is None
+    one, two = (train(make(rows, parts=p), s) for p in (1, 7))
+    assert one is not None and np.allclose(one.weights, two.weights)
+    assert tags_of(f'see token = "{HEX40[::-1]}" there', one) == [HEX40[::-1]] and tags_of("plain words of number 7", one) == []
+
+
+def test_sample_takes_documents_at_their_own_rate(spark, make):
+    """Of more documents with a span than without, neither is taken for the other."""
+    rows = [(k, f'token = "{HEX40}{k}"') for k in range(400)] + [(1000 + k, f"plain {k}") for k in range(5)]
+    counts = {}
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("scorewell.llm.secrets_crf.fit", lambda f, tags, lens, s: counts.update(spans=int((tags == B).sum()), windows=len(lens)))
+        train(make(rows), Settings(sample=100, thin=1))
+    assert 70 <= counts["spans"] <= 130 and counts["windows"] == counts["spans"] + 5
+
+
 @pytest.fixture(scope="module")
 def field(spark):
     df = spark.createDataFrame(corpus(), "doc_id bigint, text string")
