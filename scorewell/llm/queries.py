@@ -73,6 +73,12 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return component_table(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from scorewell.llm.importance import resampled
+
+    return resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_decontaminate": op4_decontaminate,
@@ -84,13 +90,16 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op5_warc": op5_warc,
     "op9_token_files": op9_token_files,
+    "op11_importance_draw": op11_importance_draw,
 }
 
 
 def oracles() -> dict[str, str]:
+    from scorewell.llm.importance import resampled_sql
     from scorewell.llm.mixing import PLAN, mix_sql
 
     return {
+        "op11_importance_draw": resampled_sql(),
         "op1_mix_sources": f"""WITH {mix_sql(PLAN)}
 SELECT doc_id, domain, language AS lang, origin AS source, CAST(n_tokens AS BIGINT) AS n_tokens,
     CAST(quota AS BIGINT) AS quota, copies FROM mixed WHERE copies > 0""",
