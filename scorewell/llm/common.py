@@ -25,13 +25,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` stored as Parquet in the shared folder and read again: cuts lineage
-    and gives the planner a measured size."""
+def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` as Parquet in the shared folder and read again, and the folder, for ``removed``."""
     spark = df.sparkSession
     path = scratch_location(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that ``stored`` wrote and that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` stored as Parquet in the shared folder and read again: cuts lineage
+    and gives the planner a measured size."""
+    return stored(df, label)[0]
 
 
 def free_prefix(df: DataFrame, prefix: str) -> str:

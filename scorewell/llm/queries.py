@@ -79,6 +79,12 @@ def op11_importance_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from scorewell.llm.centroids import cluster_table
+
+    return cluster_table(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_decontaminate": op4_decontaminate,
@@ -91,15 +97,18 @@ QUERIES = {
     "op5_warc": op5_warc,
     "op9_token_files": op9_token_files,
     "op11_importance_draw": op11_importance_draw,
+    "op12_centroid_clusters": op12_centroid_clusters,
 }
 
 
 def oracles() -> dict[str, str]:
+    from scorewell.llm.centroids import cluster_sql
     from scorewell.llm.importance import resampled_sql
     from scorewell.llm.mixing import PLAN, mix_sql
 
     return {
         "op11_importance_draw": resampled_sql(),
+        "op12_centroid_clusters": cluster_sql(),
         "op1_mix_sources": f"""WITH {mix_sql(PLAN)}
 SELECT doc_id, domain, language AS lang, origin AS source, CAST(n_tokens AS BIGINT) AS n_tokens,
     CAST(quota AS BIGINT) AS quota, copies FROM mixed WHERE copies > 0""",
