@@ -85,6 +85,12 @@ def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_table(table(spark, sf_dir, "embeddings"))
 
 
+def op13_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from scorewell.llm.packing import packed
+
+    return packed(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_decontaminate": op4_decontaminate,
@@ -98,6 +104,7 @@ QUERIES = {
     "op9_token_files": op9_token_files,
     "op11_importance_draw": op11_importance_draw,
     "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_pack": op13_pack,
 }
 
 
