@@ -95,7 +95,7 @@ def test_fillings_are_the_undominated_ones():
     ways, _ = fillings({6: 1, 3: 2, 2: 2}, 6, 10, 100)
     assert sorted(map(tuple, ways)) == [((2, 2),), ((3, 1),)]  # neither can stand for the other
     assert dominated([(2, 1)], 1 << 3, 1) and not dominated([(2, 1)], 1 << 3, 0)
-    assert dominated([], 1 << 1, 1) and not dominated([(2, 1)], 1 << 2, 5)
+    assert dominated([], 1 << 1, 1) and not dominated([(2, 1)], 1 << 2, 1)
     assert dominated([(2, 2)], 1 << 4, 0) and dominated([(2, 1), (1, 1)], 1 << 3, 0)
 
 
