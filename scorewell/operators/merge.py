@@ -87,10 +87,16 @@ class MergeMetrics:
 
     def __init__(self):
         self.observation = Observation()
+        #: Rows without a key on each side that the merge itself doesn't read.
+        self.keyless = (0, 0)
 
     def get(self) -> dict:
         got = observed(self.observation)
-        return {f: int(got.get(f, 0) or 0) for f in self.FIELDS}
+        counts = {f: int(got.get(f, 0) or 0) for f in self.FIELDS}
+        for side, n in enumerate(self.keyless, 1):
+            counts[f"n{side}"] += n
+            counts[f"only_{side}"] += n > 0  # all of them are one unmatched key
+        return counts
 
 
 def merge_unique(
@@ -103,6 +109,7 @@ def merge_unique(
     now=None,
     key: str = KEY_COLUMN,
     metrics: MergeMetrics | None = None,
+    clustered: bool = False,
 ) -> DataFrame:
     """The merge for inputs whose keys must be unique: one shuffle, no join.
 
@@ -114,6 +121,11 @@ def merge_unique(
     (``raise_error`` names the key), so duplicates never multiply rows; NULL
     keys never match.  ``metrics`` (a ``MergeMetrics``) receives the join-completeness
     counts of ``check_join`` from the same job.
+
+    With ``clustered`` (both sides read bucket by bucket, see ``read_run_by_key``)
+    each side is grouped by key and the two are joined, all without a shuffle; the
+    rows, the failure on duplicates and the counts are the same.  Sides with
+    different bucket counts are right as well: Spark shuffles what doesn't fit.
     """
     for side, name in ((scores_1, "first score set"), (scores_2, "second score set")):
         if key not in side.columns:
@@ -124,27 +136,7 @@ def merge_unique(
     s2n, t2n = score_column(model_2), timestamp_column(model_2)
     left = score_view(scores_1, model_1, key)
     right = score_view(scores_2, model_2, key)
-    t1type, t2type = left.schema[t1n].dataType, right.schema[t2n].dataType
-    k = F.col(key)
-    tagged = left.select(
-        k.alias(KEY_COLUMN), F.lit(1).alias("_side"), F.col(s1n), F.col(t1n),
-        F.lit(None).cast("double").alias(s2n), F.lit(None).cast(t2type).alias(t2n),
-    ).unionByName(right.select(
-        k.alias(KEY_COLUMN), F.lit(2).alias("_side"),
-        F.lit(None).cast("double").alias(s1n), F.lit(None).cast(t1type).alias(t1n),
-        F.col(s2n), F.col(t2n),
-    ))
-    # Each side contributes at most one row to a key that is kept (more fail
-    # below), so max() picks that row's value: one fixed-width buffer per
-    # column, where first(ignorenulls) needs two.
-    grouped = tagged.groupBy(KEY_COLUMN).agg(
-        F.count_if(F.col("_side") == 1).alias("_n1"),
-        F.count_if(F.col("_side") == 2).alias("_n2"),
-        F.max(s1n).alias(s1n),
-        F.max(t1n).alias(t1n),
-        F.max(s2n).alias(s2n),
-        F.max(t2n).alias(t2n),
-    )
+    grouped = (_grouped_joined if clustered else _grouped)(left, right, key, (s1n, t1n), (s2n, t2n))
     g, n1, n2 = F.col(KEY_COLUMN), F.col("_n1"), F.col("_n2")
     if metrics is not None:
         grouped = grouped.observe(
@@ -181,6 +173,45 @@ def merge_unique(
     return both.select(cols)
 
 
+def _grouped(left: DataFrame, right: DataFrame, key: str, of_1, of_2) -> DataFrame:
+    """Each key once, with its rows on each side and their values: one grouping of the union."""
+    (s1n, t1n), (s2n, t2n) = of_1, of_2
+    t1type, t2type = left.schema[t1n].dataType, right.schema[t2n].dataType
+    k = F.col(key)
+    tagged = left.select(
+        k.alias(KEY_COLUMN), F.lit(1).alias("_side"), F.col(s1n), F.col(t1n),
+        F.lit(None).cast("double").alias(s2n), F.lit(None).cast(t2type).alias(t2n),
+    ).unionByName(right.select(
+        k.alias(KEY_COLUMN), F.lit(2).alias("_side"),
+        F.lit(None).cast("double").alias(s1n), F.lit(None).cast(t1type).alias(t1n),
+        F.col(s2n), F.col(t2n),
+    ))
+    # Each side contributes at most one row to a key that is kept (more fail
+    # later), so max() picks that row's value: one fixed-width buffer per
+    # column, where first(ignorenulls) needs two.
+    return tagged.groupBy(KEY_COLUMN).agg(
+        F.count_if(F.col("_side") == 1).alias("_n1"),
+        F.count_if(F.col("_side") == 2).alias("_n2"),
+        F.max(s1n).alias(s1n),
+        F.max(t1n).alias(t1n),
+        F.max(s2n).alias(s2n),
+        F.max(t2n).alias(t2n),
+    )
+
+
+def _grouped_joined(left: DataFrame, right: DataFrame, key: str, of_1, of_2) -> DataFrame:
+    """The same from one grouping per side and a full join of the two: bucketed sides
+    keep their partitioning through both, so neither needs an exchange.  (A union
+    of them loses it.)"""
+
+    def one(side: DataFrame, n: str, names) -> DataFrame:
+        values = [F.max(c).alias(c) for c in names]
+        return side.groupBy(F.col(key).alias(KEY_COLUMN)).agg(F.count(F.lit(1)).alias(n), *values)
+
+    both = one(left, "_n1", of_1).join(one(right, "_n2", of_2), KEY_COLUMN, "full")
+    return both.withColumns({n: F.coalesce(F.col(n), F.lit(0)) for n in ("_n1", "_n2")})
+
+
 def unmatched(
     scores_1: DataFrame,
     scores_2: DataFrame,

@@ -43,8 +43,10 @@ from scorewell.sources.catalog import (
     observed,
     qualified,
     read_run,
+    read_run_by_key,
     refresh_run,
     require_rows,
+    run_buckets,
     run_exists,
     table_exists,
     write_run,
@@ -87,13 +89,17 @@ def score_job(
     force: bool = False,
     location: str | None = None,
     rebalance: bool = False,
+    buckets: int | None = None,
+    dealt: bool = False,
 ) -> JobResult:
     """Score ``features`` with ``model`` into ``database.table``, run ``run_id``.
 
     Skips when the run is already done (unless ``force``).  The scoring
     itself is map-only and leaves one file per input split; ``rebalance``
     adds a shuffle of the thin score rows that sizes the files, for feature
-    sets of many small splits.  ``details['rows_in']`` is the number of
+    sets of many small splits.  ``buckets`` clusters the run's files by key, so that
+    the merge needs no shuffle (see ``write_run``; ``dealt`` for features that are
+    clustered alike).  ``details['rows_in']`` is the number of
     feature rows that the writing job read.  A failed run keeps what the table had.
     """
     check_run_id(run_id)
@@ -109,7 +115,7 @@ def score_job(
     frame = score_frame(counted_features(_features(spark, features), model, rows_in), model, now=now)
     frame = frame.withColumn("scoring_timestamp", F.col("scoring_timestamp").cast("timestamp"))
     # The table was declared above; the write checks the frame against it.
-    rows = write_run(frame, target, run_id, rebalance=rebalance)
+    rows = write_run(frame, target, run_id, rebalance=rebalance, buckets=buckets, dealt=dealt)
     return JobResult(target, run_id, rows, False, {"rows_in": observed(rows_in).get("rows")})
 
 
@@ -134,7 +140,9 @@ def merge_job(
     ``strict`` mode (one shuffle, see ``merge_unique``) a duplicate key on
     either side fails the write job, so nothing is committed and an earlier
     merged run stays, and ``details['join']`` holds the join-completeness
-    counts observed by the same job.  Otherwise the join runs, and
+    counts observed by the same job.  If both runs are stored in buckets by key,
+    the strict merge reads them bucket by bucket and shuffles nothing.  Without
+    ``strict`` the join runs, and
     ``details['join']`` holds the same counts from one aggregation before it;
     a join that would have more than ``most_rows`` rows is refused.
     """
@@ -147,19 +155,26 @@ def merge_job(
         ensure_table(spark, t, contract)
     if not force and run_exists(spark, tm, run_id):
         return JobResult(tm, run_id, None, True)
+    sides = []
     for t in (t1, t2):
         refresh_run(spark, t, run_id)
-    s1, s2 = read_run(spark, t1, run_id), read_run(spark, t2, run_id)
-    for s, t in ((s1, t1), (s2, t2)):
-        require_rows(s, f"{t}, run {run_id},")
+        sides.append(read_run(spark, t, run_id))
+        require_rows(sides[-1], f"{t}, run {run_id},")
+    s1, s2 = sides
     details = {}
     metrics = None
     if strict:
         # One shuffle: the merge itself fails on a duplicate key and reports
         # the join-completeness counts as observations of the same job.
         metrics = MergeMetrics()
+        clustered = all(run_buckets(spark, t, run_id) for t in (t1, t2))
+        if clustered:
+            # Rows without a key match nothing, but lie in one bucket: they are
+            # counted file by file and left out of the reading by bucket.
+            metrics.keyless = tuple(s.where(F.col(KEY_COLUMN).isNull()).count() for s in sides)
+            s1, s2 = (read_run_by_key(spark, t, run_id).where(F.col(KEY_COLUMN).isNotNull()) for t in (t1, t2))
         merged = merge_unique(s1, s2, model_1, model_2, ensemble=ensemble, now=now,
-                              metrics=metrics)
+                              metrics=metrics, clustered=clustered)
     else:
         # Before the join, one aggregation of the keys (no join) gives the
         # join-completeness counts; ``expected_rows`` is the size the join

@@ -238,6 +238,11 @@ ORACLES: dict[str, str] = {
     + f"SELECT {RUN} AS run_id, count(*) AS \"rows\", max(model_1_prediction) AS largest, "
     "true AS second_call_skipped FROM a",
     "merge_job": MERGED_JOB,
+    "merge_bucketed": _with(F_CTE, A_CTE, A2_CTE, F2_CTE, B_CTE)
+    + f"SELECT a.id, model_1_prediction AS model_1_score, model_2_prediction AS model_2_score, "
+    "(model_1_prediction + model_2_prediction) / 2.0 AS ensemble_score, run_id, "
+    "(SELECT count(*) FROM a ANTI JOIN b USING (id)) AS only_model_1 "
+    f"FROM (SELECT *, {RUN} AS run_id FROM a UNION ALL SELECT *, {RUN_B} FROM a2) a JOIN b ON a.id = b.id",
     "daily_run": MERGED_JOB,
     "validate_scores": _with(F_CTE, A_CTE, F2_CTE, B_CTE, *SCORE_CHECK_CTES)
     + _union(SCORE_CHECK_ROWS),

@@ -298,6 +298,24 @@ def q_merge_job(spark, sf):
     return read_run(spark, f"{db}.merged_model_scores", fx.RUN).select(*MERGED_COLUMNS, "run_id")
 
 
+def _bucketed_runs(spark, sf, db):
+    """RUN with as many buckets on both sides; RUN_B, by the models' next versions, with other ones on each."""
+    f, f2 = _features(spark, sf), fx.model_2_features(spark, sf)
+    for run, model_1, b1, b2 in ((fx.RUN, fx.MODEL_1, 8, 8), (fx.RUN_B, fx.MODEL_1_NEXT, 8, 12)):
+        score_job(spark, model_1, f, db, "model_1_scores", run, now=fx.NOW, buckets=b1)
+        score_job(spark, fx.MODEL_2, f2, db, "model_2_scores", run, now=fx.NOW, buckets=b2)
+
+
+def q_merge_bucketed(spark, sf):
+    """Runs stored in buckets by key: merged without a shuffle, or with one where their counts differ."""
+    db = _scratch_db(spark, "buckets")
+    _bucketed_runs(spark, sf, db)
+    counts = {run: merge_job(spark, db, run, now=fx.NOW).details["join"] for run in (fx.RUN, fx.RUN_B)}
+    only = F.when(F.col("run_id") == fx.RUN, counts[fx.RUN]["only_1"]).otherwise(counts[fx.RUN_B]["only_1"])
+    merged = spark.table(f"{db}.merged_model_scores").select(*MERGED_COLUMNS, "run_id")
+    return merged.withColumn("only_model_1", only.cast("bigint"))
+
+
 def pipeline_config(spark, sf, db) -> PipelineConfig:
     return PipelineConfig(
         database=db,
@@ -391,6 +409,7 @@ QUERIES: dict[str, Query] = {
     "score_job": q_score_job,
     "skip_existing_run": q_skip_existing_run,
     "merge_job": q_merge_job,
+    "merge_bucketed": q_merge_bucketed,
     "daily_run": q_pipeline,
     "stored_report": q_stored_report,
     "validate_scores": q_validate_scores,

@@ -14,7 +14,10 @@ Write semantics (the part that is easy to get wrong):
 * ``write_runs`` is the multi-run (backfill) form: a dynamic partition
   overwrite that replaces only the runs present in the frame.
 
-A run is "done" when its partition holds at least one row.
+A run is "done" when its partition holds at least one row.  Looking a run up
+changes nothing that is stored, and sees what other processes have written: the
+run's folder is looked for first, and registered with this session's catalog
+only if it is there.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from scorewell.contracts import (
+    KEY_COLUMN,
     RUN_COLUMN,
     RUN_ID_PATTERN,
     check_identifier,
@@ -111,11 +115,7 @@ def ensure_table(
     spark.sql(sql)
     # Register runs already on storage (written by an earlier process); the
     # catalog tracks partitions, so a fresh declaration starts with none.
-    try:
-        spark.sql(f"ALTER TABLE {_quoted(table)} RECOVER PARTITIONS")
-    except Exception as e:  # noqa: BLE001
-        if "does not exist" not in str(e):  # a new table has no folder yet
-            raise
+    refresh_runs(spark, table)
 
 
 # --- K7 / A1 / R1: existence, rows of a run, "done" ---------------------------------------
@@ -133,31 +133,63 @@ def read_run(spark: SparkSession, table: str, run_id: str) -> DataFrame:
 
 
 def run_rows(spark: SparkSession, table: str, run_id: str) -> int:
-    if not table_exists(spark, table):
+    """Rows of a run as stored now; 0 if the table or the run doesn't exist."""
+    check_run_id(run_id)
+    if not table_exists(spark, table) or not refresh_run(spark, table, run_id):
         return 0
     return read_run(spark, table, run_id).count()
 
 
-def refresh_run(spark: SparkSession, table: str, run_id: str) -> None:
-    """See one run of an existing table as it is stored now.
+def table_location(spark: SparkSession, table: str) -> str:
+    """The URI of a table's folder."""
+    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}").collect():
+        if row["col_name"] == "Location":
+            return row["data_type"].rstrip("/")
+    raise ValueError(f"table {table} has no location")
+
+
+def run_folder(spark: SparkSession, table: str, run_id: str) -> str:
+    return f"{table_location(spark, table)}/{RUN_COLUMN}={check_run_id(run_id)}"
+
+
+def _path(spark: SparkSession, uri: str):
+    """(Hadoop path, its file system)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def refresh_run(spark: SparkSession, table: str, run_id: str) -> bool:
+    """See one run of an existing table as it is stored now; is its folder there?
 
     Another process may have written the run since this session declared the
-    table: its partition is registered (that one, not the whole table) and
-    cached file listings are dropped.
+    table: if its folder is there, its partition is registered (that one, not
+    the whole table) and cached file listings are dropped.  If it isn't, nothing
+    is registered or created.
     """
-    check_run_id(run_id)
-    spark.sql(f"ALTER TABLE {_quoted(table)} ADD IF NOT EXISTS PARTITION (`{RUN_COLUMN}` = '{run_id}')")
+    path, fs = _path(spark, run_folder(spark, table, run_id))
+    there = fs.exists(path)
+    if there:
+        spark.sql(f"ALTER TABLE {_quoted(table)} ADD IF NOT EXISTS PARTITION (`{RUN_COLUMN}` = '{run_id}')")
+    spark.catalog.refreshTable(table)
+    return there
+
+
+def refresh_runs(spark: SparkSession, table: str) -> None:
+    """See all runs of an existing table as they are stored now."""
+    # A table without a run has no folder yet.
+    path, fs = _path(spark, table_location(spark, table))
+    if fs.exists(path):
+        spark.sql(f"ALTER TABLE {_quoted(table)} RECOVER PARTITIONS")
     spark.catalog.refreshTable(table)
 
 
 def run_exists(spark: SparkSession, table: str, run_id: str) -> bool:
     """Done = the table exists and the run's partition, as stored now, has a row.
 
-    Only a missing table means "not done"; any other error propagates.
+    Only a missing table or folder means "not done"; any other error propagates.
     """
-    if not table_exists(spark, table):
+    if not table_exists(spark, table) or not refresh_run(spark, table, run_id):
         return False
-    refresh_run(spark, table, run_id)
     return not read_run(spark, table, run_id).isEmpty()
 
 
@@ -214,15 +246,25 @@ def write_run(
     contract: T.StructType | None = None,
     location: str | None = None,
     rebalance: bool = False,
+    buckets: int | None = None,
+    dealt: bool = False,
 ) -> int:
     """Replace run ``run_id`` of ``table`` with ``df``; return the rows written.
 
     Creates the table from ``contract`` on first use.  ``rebalance`` adds an
     AQE ``REBALANCE`` before the write, for inputs of many small splits.  If
     the job fails, the run keeps the rows that it had.
+
+    With ``buckets`` the run's files are clustered by the key into so many
+    buckets (see ``read_run_by_key``), at the price of one shuffle of the rows
+    by key here; with ``dealt`` without one, for rows that lie by bucket already
+    (a scan of a feature set clustered alike): if they don't, buckets have many
+    files, but the same rows.
     """
     spark = df.sparkSession
     check_run_id(run_id)
+    if buckets is not None and (buckets < 1 or rebalance):
+        raise ValueError("a run has one bucket or more, and buckets already size its files: no rebalance")
     if contract is not None:
         ensure_table(spark, table, contract, location=location)
     elif not table_exists(spark, table):
@@ -235,14 +277,81 @@ def write_run(
         df = df.hint("rebalance")
     # Observed in the writing stage (above any rebalance exchange): counted
     # once even when a lost executor forces an earlier stage to re-run.
+    if buckets is not None and not dealt:
+        df = _dealt_by_key(df, buckets)
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    _overwrite(counted.withColumn(RUN_COLUMN, F.lit(run_id)), table)
+    _overwrite(counted.withColumn(RUN_COLUMN, F.lit(run_id)), table if buckets is None else _by_key(spark, table, buckets))
     rows = _observed_rows(obs, df)
     if rows == 0:
         clear_run(spark, table, run_id)
+    elif buckets is not None:
+        # Only now, so that a run without the mark is never taken for a bucketed one.
+        path, fs = _path(spark, f"{run_folder(spark, table, run_id)}/{BUCKET_MARK}{buckets}")
+        fs.create(path, True).close()
+        refresh_run(spark, table, run_id)
     return rows
 
 
+# --- runs whose files are clustered by the key ------------------------------------------------
+
+#: A file of this name and the number of buckets lies in the folder of a bucketed run;
+#: readers skip it for its underscore, and replacing the run replaces it.
+BUCKET_MARK = "_buckets-"
+
+
+def _by_key(spark: SparkSession, table: str, buckets: int) -> str:
+    """The table's files declared once more, as clustered by the key.
+
+    The bucket count belongs to a table's declaration, but runs of one table may
+    be written with different ones.  So the table itself has none (any read of it
+    is right whatever its runs' buckets), and each count has a declaration of its
+    own over the same files, through which only runs written so are read.
+    """
+    db, name = _split(table)
+    twin = f"{name}_by_{KEY_COLUMN}_{int(buckets)}"
+    twin = f"{db}.{twin}" if db else twin
+    if not table_exists(spark, twin):
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {_quoted(twin)} ({column_ddl(spark.table(table).schema)}) USING parquet "
+            "OPTIONS ('compression' = 'snappy', 'partitionOverwriteMode' = 'dynamic') "
+            f"PARTITIONED BY (`{RUN_COLUMN}`) CLUSTERED BY (`{KEY_COLUMN}`) INTO {int(buckets)} BUCKETS "
+            f"LOCATION {_sql_string(table_location(spark, table), 'location')}"
+        )
+    return twin
+
+
+def _dealt_by_key(df: DataFrame, buckets: int) -> DataFrame:
+    """One shuffle that brings each bucket's rows to one task, and so to one file.
+
+    Rows without a key belong to one bucket, but match nothing; they are dealt
+    over all tasks, so that many of them make many files, not one long task.
+    """
+    key = F.coalesce(F.col(KEY_COLUMN), F.rand(1).cast("string"))
+    return df.repartition(buckets, key)
+
+
+def run_buckets(spark: SparkSession, table: str, run_id: str) -> int | None:
+    """The number of buckets that the stored run was written with; None if it wasn't."""
+    path, fs = _path(spark, run_folder(spark, table, run_id))
+    if not fs.exists(path):
+        return None
+    marks = [f.getPath().getName() for f in fs.listStatus(path)]
+    found = [int(m[len(BUCKET_MARK):]) for m in marks if m.startswith(BUCKET_MARK)]
+    return found[0] if len(found) == 1 else None
+
+
+def read_run_by_key(spark: SparkSession, table: str, run_id: str) -> DataFrame:
+    """One run, read bucket by bucket if it was written so: grouping by the key, or
+    joining with a run of as many buckets, then needs no shuffle.  Other runs are
+    read as ``read_run`` does, and shuffled by what needs their keys together."""
+    buckets = run_buckets(spark, table, run_id)
+    if buckets is None:
+        return read_run(spark, table, run_id)
+    twin = _by_key(spark, table, buckets)
+    refresh_run(spark, twin, run_id)
+    return read_run(spark, twin, run_id)
+
+
 def clear_run(spark: SparkSession, table: str, run_id: str) -> None:
     """Leave the run's partition without rows."""
     columns = ", ".join(
@@ -297,12 +406,14 @@ def write_runs(df: DataFrame, table: str, contract: T.StructType | None = None,
 
 
 def run_counts(spark: SparkSession, tables: Mapping[str, DataFrame | str]) -> DataFrame:
-    """Long form: (run_id, table, rows) over every run of every table.
+    """Long form: (run_id, table, rows) over every run of every table, as stored now.
 
     Counting rows needs no data columns, so Parquet answers from footers.
     """
     parts = []
     for name, src in tables.items():
+        if isinstance(src, str):
+            refresh_runs(spark, src)
         df = spark.table(src) if isinstance(src, str) else src
         parts.append(
             df.groupBy(RUN_COLUMN)
