@@ -63,6 +63,13 @@ def as_timestamp(now) -> Column:
     raise TypeError(f"unsupported timestamp value: {now!r}")
 
 
+def within_inputs(rule: Ensemble) -> Ensemble:
+    """Marks a rule whose result lies between the least and the greatest score it is given."""
+    rule.within_inputs = True
+    return rule
+
+
+@within_inputs
 def mean_ensemble(scores: Sequence[Column]) -> Column:
     """Plain mean; NULL if any input is NULL (no coalesce)."""
     total = reduce(lambda a, b: a + b, scores)
@@ -70,7 +77,10 @@ def mean_ensemble(scores: Sequence[Column]) -> Column:
 
 
 def weighted_ensemble(weights: Sequence[float], digits: int | None = None) -> Ensemble:
-    """Weighted sum of the scores, optionally rounded."""
+    """Weighted sum of the scores, optionally rounded.
+
+    With weights that are shares of 1 and no rounding it lies between the scores.
+    """
 
     def rule(scores: Sequence[Column]) -> Column:
         if len(scores) != len(weights):
@@ -79,4 +89,5 @@ def weighted_ensemble(weights: Sequence[float], digits: int | None = None) -> En
         out = reduce(lambda a, b: a + b, terms)
         return F.round(out, digits) if digits is not None else out
 
-    return rule
+    shares = all(w >= 0 for w in weights) and sum(weights) == 1
+    return within_inputs(rule) if shares and digits is None else rule

@@ -40,6 +40,7 @@ def parse(argv=None):
     p.add_argument("--registry-table")
     p.add_argument("--merged-table", default="merged_model_scores")
     p.add_argument("--report-table", default="validation_report")
+    p.add_argument("--ledger-table", help="record each step there, and skip and resume by it")
     p.add_argument("--max-null-fraction", type=float, default=0.05)
     p.add_argument("--no-strict", action="store_true")
     p.add_argument("--location")
@@ -57,14 +58,15 @@ def main(argv=None) -> int:
         runs = []
         for k in ("1", "2"):
             name = getattr(args, f"model{k}_name")
-            uri, _ = resolve_version(spark, args.registry_table, name,
+            uri, version = resolve_version(spark, args.registry_table, name,
                                      getattr(args, f"model{k}_stage"))
             model = load_model(name, getattr(args, f"model{k}_spec"),
                                getattr(args, f"model{k}_factory"), uri)
-            runs.append(ModelRun(model, getattr(args, f"model{k}_input_path") or args.input_path))
+            runs.append(ModelRun(model, getattr(args, f"model{k}_input_path") or args.input_path,
+                                 version=None if version is None else str(version)))
         cfg = PipelineConfig(
             database=args.database, models=(runs[0], runs[1]), merged_table=args.merged_table,
-            report_table=args.report_table, location=args.location, strict=not args.no_strict,
+            report_table=args.report_table, ledger_table=args.ledger_table, location=args.location, strict=not args.no_strict,
             max_null_fraction=args.max_null_fraction,
         )
         res = run_pipeline(spark, cfg, run_id, force=args.force)

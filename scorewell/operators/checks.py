@@ -267,20 +267,15 @@ def join_check_rows(join_counts: DataFrame, names=("model_1", "model_2")) -> Dat
 
 def _ensemble_aggs(model_1, model_2, ensemble, eps) -> list[Column]:
     s1, s2 = F.col(score_column(model_1)), F.col(score_column(model_2))
-    e = F.col("ensemble_score")
-    any_null = s1.isNull() | s2.isNull()
-    rule = ensemble([s1, s2])
+    e, rule = F.col("ensemble_score"), ensemble([s1, s2])
+    # least and greatest skip NULL inputs: what a rule makes of the others lies between those.
+    outside = (e < F.least(s1, s2) - F.lit(eps)) | (e > F.greatest(s1, s2) + F.lit(eps))
+    ranged = getattr(ensemble, "within_inputs", False)
     return [
         F.count(F.lit(1)).alias("rows"),
-        F.count_if(e.isNull() != any_null).alias("null_mismatch"),
-        F.count_if(e.isNotNull() & ~any_null & (F.abs(e - rule) > F.lit(eps))).alias(
-            "rule_mismatch"
-        ),
-        F.count_if(
-            e.isNotNull()
-            & ~any_null
-            & ((e < F.least(s1, s2) - F.lit(eps)) | (e > F.greatest(s1, s2) + F.lit(eps)))
-        ).alias("out_of_range"),
+        F.count_if(e.isNull() != rule.isNull()).alias("null_mismatch"),
+        F.count_if(e.isNotNull() & rule.isNotNull() & (e != rule) & (F.abs(e - rule) > F.lit(eps))).alias("rule_mismatch"),
+        (F.count_if(e.isNotNull() & outside) if ranged else F.lit(None).cast("bigint")).alias("out_of_range"),
     ]
 
 
@@ -293,9 +288,11 @@ def check_ensemble(
 ) -> DataFrame:
     """One row: rows, null_mismatch, rule_mismatch, out_of_range.
 
-    null_mismatch: ensemble NULL exactly when an input is NULL, else counted.
-    rule_mismatch: |ensemble - rule(s1, s2)| > eps.
-    out_of_range: ensemble outside [min(s1, s2), max(s1, s2)] (+- eps).
+    What is right is the rule's to say, NULL inputs included:
+    null_mismatch: ensemble NULL and rule(s1, s2) not, or the other way round.
+    rule_mismatch: neither NULL, |ensemble - rule(s1, s2)| > eps.
+    out_of_range: ensemble outside [min(s1, s2), max(s1, s2)] (+- eps), for rules
+    marked ``within_inputs`` as the mean is; NULL, and passed, for others.
     """
     return merged.agg(*_ensemble_aggs(model_1, model_2, ensemble, eps))
 
@@ -304,7 +301,7 @@ def _ensemble_rows(expected: str | None = None) -> list[CheckRow]:
     rows = [
         ("ensemble", "null_mismatch", "null_mismatch", 0, "null_mismatch = 0"),
         ("ensemble", "rule_mismatch", "rule_mismatch", 0, "rule_mismatch = 0"),
-        ("ensemble", "out_of_range", "out_of_range", 0, "out_of_range = 0"),
+        ("ensemble", "out_of_range", "out_of_range", 0, "coalesce(out_of_range, 0) = 0"),
     ]
     if expected is not None:
         rows.append(("join_completeness", "merged_rows", "`rows`", expected,

@@ -12,7 +12,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewell.functions.columns import run_id_of
@@ -49,6 +49,15 @@ def _mixed(pdf):
 MODEL_MIXED = PythonModel("model_mixed", _mixed, features=("f_price", "priority"))
 
 
+def _half_lost(pdf):
+    """A model that gives no score to orders with an odd number of line items."""
+    return (pdf["f_price"] * 0.00000762939453125).where(pdf["f_priority"] % 2 == 0)
+
+
+# A version of model 2 that its checks refuse.
+MODEL_2_REFUSED = PythonModel("model_2", _half_lost, features=("f_price", "f_priority"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -80,14 +89,15 @@ def lineitem_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def model_2_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order that has line items, from all of ``lineitem``.
+def model_2_features(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+    """One row per order that has line items (of those that meet ``where``), from all of ``lineitem``.
 
     The aggregates are exact in any order of the rows (maximum, count, minimum).
     """
     price = F.max("l_extendedprice")
+    lines = table(spark, sf_dir, "lineitem")
     return (
-        table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
+        (lines if where is None else lines.where(where)).groupBy("l_orderkey")
         .agg(
             F.min("l_shipdate").alias("timestamp"),
             F.when(price < F.lit(MIN_PRICE), F.lit(None).cast("double")).otherwise(price).alias("f_price"),

@@ -13,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,10 +52,12 @@ from scorewell.sources.catalog import (
     write_run,
 )
 from scorewell.session import unique_name
+from scorewell.sources.ledger import Event, Ledger
 from scorewell.sources.features import read_features
 
 MERGED_TABLE = "merged_model_scores"
 REPORT_TABLE = "validation_report"
+LEDGER_TABLE = "run_ledger"
 
 
 @dataclass
@@ -213,6 +215,8 @@ class ModelRun:
     model: object
     features: DataFrame | str
     table: str | None = None
+    #: The registered version that the model is, for the ledger.
+    version: str | None = None
 
     @property
     def table_name(self) -> str:
@@ -225,6 +229,8 @@ class PipelineConfig:
     models: tuple[ModelRun, ModelRun]
     merged_table: str = MERGED_TABLE
     report_table: str | None = REPORT_TABLE
+    #: Where steps are recorded (see ``sources.ledger``), e.g. ``LEDGER_TABLE``.
+    ledger_table: str | None = None
     ensemble: Ensemble = mean_ensemble
     location: str | None = None
     strict: bool = True
@@ -248,71 +254,141 @@ def run_pipeline(
 
     Check rows are computed once (one job per stage; they are a bounded
     handful, so they are collected for the gate) and, when ``report_table``
-    is set, stored in that table's run partition.  Raises
-    ``ValidationError`` on failure.
+    is set, stored in that table's run partition, before the gate raises
+    ``ValidationError``: a run that is refused, or that fails, leaves the rows of
+    all checks that were made, and one for the step that failed.
+
+    Steps that are done are skipped.  A model whose checks were refused isn't
+    done: the next call scores it again, and merges again.  With ``ledger_table``
+    what is done is read from the ledger alone, and each step is recorded there.
     """
     check_run_id(run_id)
     db = cfg.database
     ensure_database(spark, db, location=cfg.location)
-    m1, m2 = cfg.models
+    ledger = Ledger(spark, qualified(db, cfg.ledger_table)) if cfg.ledger_table else None
+    states = {} if ledger is None else ledger.states(run_id)
+    # Scopes (models, or the merged run) that their checks refused before.
+    refused = _refused_before(spark, cfg, run_id) if ledger is None else {
+        step.removeprefix("check ") for step, s in states.items() if s["status"] == "refused"}
+
+    def note(*events: Event) -> None:
+        if ledger is not None:
+            ledger.record(run_id, events)
+
+    def is_done(step: str) -> bool:
+        return states.get(step, {}).get("status") == "done"
+
+    note(Event("run", "started"))
+
     def branch(mr: ModelRun):
-        job = score_job(spark, mr.model, mr.features, db, mr.table_name, run_id, now=now,
-                        force=force)
-        scores = read_run(spark, qualified(db, mr.table_name), run_id)
+        name, target = mr.model.name, qualified(db, mr.table_name)
+        again = force or name in refused
+        if ledger is not None and not again and is_done(f"score {name}"):
+            job = JobResult(target, run_id, None, True)
+            ensure_table(spark, target, score_contract(name))
+            refresh_run(spark, target, run_id)
+        else:
+            job = score_job(spark, mr.model, mr.features, db, mr.table_name, run_id, now=now,
+                            force=again or ledger is not None)
+        scores = read_run(spark, target, run_id)
         # In strict mode the merge itself fails on a duplicate key, so the
         # per-model check needs no shuffle.
-        checks = check_scores(_features(spark, mr.features), scores, mr.model.name,
+        checks = check_scores(_features(spark, mr.features), scores, name,
                               max_null_fraction=cfg.max_null_fraction,
                               duplicates=not cfg.strict, rows_in=job.details.get("rows_in"))
         # The stored run against its contract (V2): read from the schemas.
-        schema = schema_check_rows(check_schema(scores, score_contract(mr.model.name)))
+        schema = schema_check_rows(check_schema(scores, score_contract(name)))
         # Check rows are a bounded handful.
-        return job, report(run_id, mr.model.name, checks, schema).collect()
+        return job, report(run_id, name, checks, schema).collect()
 
     # The two models' branches are independent (as in the reference's
     # schedule): their jobs run concurrently on the cluster.
-    if cfg.parallel:
-        with ThreadPoolExecutor(max_workers=2, thread_name_prefix="scorewell") as pool:
-            results = [f.result() for f in [pool.submit(branch, m1), pool.submit(branch, m2)]]
-    else:
-        results = [branch(m1), branch(m2)]
-    jobs = [r[0] for r in results]
-    model_rows = results[0][1] + results[1][1]
-    gate_rows(model_rows)
+    m1, m2 = cfg.models
+    with ThreadPoolExecutor(max_workers=2 if cfg.parallel else 1, thread_name_prefix="scorewell") as pool:
+        futures = [pool.submit(branch, m) for m in cfg.models]
+    jobs, rows, events, error = [], [], [], None
+    for mr, future in zip(cfg.models, futures):
+        name, error_of = mr.model.name, future.exception()
+        if error_of is not None:
+            error = error or error_of
+            rows.append(_failed_row(run_id, name, "score_job"))
+            events.append(Event(f"score {name}", "failed", version=mr.version, detail=_why(error_of)))
+            continue
+        job, checks = future.result()
+        jobs.append(job)
+        rows += checks
+        if not job.skipped:
+            events.append(Event(f"score {name}", "done", job.rows, mr.version))
+        events.append(_judged(f"check {name}", checks, mr.version))
+    refuses = not all(r["passed"] for r in rows)
+    if refuses:
+        events.append(Event("run", "refused" if error is None else "failed"))
+    note(*events)
+    if refuses:
+        _store_report(spark, cfg, run_id, rows)
+        if error is not None:
+            raise error
+        gate_rows(rows)
 
     n1, n2 = m1.model.name, m2.model.name
     tables = (m1.table_name, m2.table_name, cfg.merged_table)
     # A merged run that its gate refused, or that is older than this run's
     # scores, isn't done.
-    stale = any(not j.skipped for j in jobs) or _refused_before(spark, cfg, run_id)
-    merge = merge_job(spark, db, run_id, n1, n2, tables=tables, ensemble=cfg.ensemble,
-                      now=now, force=force or stale, strict=cfg.strict)
+    stale = any(not j.skipped for j in jobs) or "merged" in refused or (ledger is not None and not is_done("merge"))
+    try:
+        merge = merge_job(spark, db, run_id, n1, n2, tables=tables, ensemble=cfg.ensemble,
+                          now=now, force=force or stale, strict=cfg.strict)
+    except Exception as e:
+        note(Event("merge", "failed", detail=_why(e)), Event("run", "failed"))
+        _store_report(spark, cfg, run_id, [*rows, _failed_row(run_id, "merged", "merge_job")])
+        raise
     jobs.append(merge)
 
-    s1 = read_run(spark, qualified(db, tables[0]), run_id)
-    s2 = read_run(spark, qualified(db, tables[1]), run_id)
-    merged = read_run(spark, qualified(db, tables[2]), run_id)
-    counts = merge.details.get("join")
+    s1, s2, merged = (read_run(spark, qualified(db, t), run_id) for t in tables)
     merged_rows = report(run_id, "merged", *merged_check_frames(
-        s1, s2, merged, n1, n2, cfg.ensemble, cfg.eps, join_counts=counts)).collect()
-    full = spark.createDataFrame(model_rows + merged_rows, schema=report_schema())
-    if cfg.report_table:
-        write_run(full.drop("run_id"), qualified(db, cfg.report_table), run_id,
-                  contract=report_contract())
+        s1, s2, merged, n1, n2, cfg.ensemble, cfg.eps, join_counts=merge.details.get("join"))).collect()
+    judged = _judged("check merged", merged_rows)
+    note(*([] if merge.skipped else [Event("merge", "done", merge.rows)]), judged,
+         Event("run", judged.status, merge.rows))
+    full = _store_report(spark, cfg, run_id, rows + merged_rows)
     gate_rows(merged_rows)
     return PipelineResult(run_id, jobs, full, merged)
 
 
-def _refused_before(spark: SparkSession, cfg: PipelineConfig, run_id: str) -> bool:
-    """Does the stored report of the run have a failed check?"""
+def _why(error: BaseException) -> str:
+    """The first line of an error, for the ledger."""
+    return f"{type(error).__name__}: {str(error).strip().splitlines()[0] if str(error).strip() else ''}"[:500]
+
+
+def _judged(step: str, rows, version: str | None = None) -> Event:
+    failed = [f"{r['check']}/{r['metric']}" for r in rows if not r["passed"]]
+    return Event(step, "refused" if failed else "done", version=version, detail=", ".join(failed)[:500] or None)
+
+
+def _failed_row(run_id: str, scope: str, step: str) -> Row:
+    """A failing check row that stands for a step that raised."""
+    values = (run_id, scope, step, "error", None, None, False)
+    return Row(**dict(zip(report_schema().names, values)))
+
+
+def _store_report(spark: SparkSession, cfg: PipelineConfig, run_id: str, rows) -> DataFrame:
+    """The check rows as a frame, stored as the run's report if the run has one."""
+    full = spark.createDataFrame(rows, schema=report_schema())
+    if cfg.report_table:
+        write_run(full.drop("run_id"), qualified(cfg.database, cfg.report_table), run_id,
+                  contract=report_contract())
+    return full
+
+
+def _refused_before(spark: SparkSession, cfg: PipelineConfig, run_id: str) -> set[str]:
+    """The scopes of the run's stored report that have a failed check: three at most."""
     if not cfg.report_table:
-        return False
+        return set()
     table = qualified(cfg.database, cfg.report_table)
-    if not table_exists(spark, table):
-        return False
-    refresh_run(spark, table, run_id)
-    passed = F.coalesce(F.col("passed"), F.lit(False))
-    return not read_run(spark, table, run_id).where(~passed).isEmpty()
+    if not table_exists(spark, table) or not refresh_run(spark, table, run_id):
+        return set()
+    failed = read_run(spark, table, run_id).where(~F.coalesce(F.col("passed"), F.lit(False)))
+    return {r["scope"] for r in failed.select("scope").distinct().collect()}
 
 
 def merged_check_frames(s1, s2, merged, n1="model_1", n2="model_2", ensemble=mean_ensemble,

@@ -77,12 +77,12 @@ def _score_check_cte(name: str, scores: str, pred: str, inputs: str) -> str:
   FROM {scores})"""
 
 
-def _score_check_rows(scope: str, src: str) -> list[str]:
+def _score_check_rows(scope: str, src: str, most: str = "0.05") -> list[str]:
     frac = f"CASE WHEN n > 0 THEN CAST(nulls AS DOUBLE) / n ELSE 0.0 END"
     return [
         _check(scope, "row_count", "rows", "n", "n_in", "n = n_in", src),
         _check(scope, "null_predictions", "null_rows", "nulls", "NULL", "true", src),
-        _check(scope, "null_predictions", "null_fraction", frac, "0.05", f"{frac} <= 0.05", src),
+        _check(scope, "null_predictions", "null_fraction", frac, most, f"{frac} <= {most}", src),
         _check(scope, "duplicate_ids", "ids", "dups", "0", "dups = 0", src),
         _check(scope, "null_ids", "rows", "null_ids", "0", "null_ids = 0", src),
     ]
@@ -173,6 +173,41 @@ def _stored_schema_rows() -> list[str]:
     return out
 
 
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _ledger_rows() -> str:
+    """(after, step, status, rows, version, events): the refused run, then the repaired one."""
+    a, b, m = (f"(SELECT count(*) FROM {t})" for t in "abm")
+    none = "NULL"
+    rows = [
+        ("refused", "run", "refused", none, none, 2), ("refused", "score model_1", "done", a, "'7'", 1),
+        ("refused", "check model_1", "done", none, "'7'", 1), ("refused", "score model_2", "done", b, "'1'", 1),
+        ("refused", "check model_2", "refused", none, "'1'", 1),
+        ("repaired", "run", "done", m, none, 4), ("repaired", "score model_1", "done", a, "'7'", 1),
+        ("repaired", "check model_1", "done", none, "'7'", 2), ("repaired", "score model_2", "done", b, "'2'", 2),
+        ("repaired", "check model_2", "done", none, "'2'", 2), ("repaired", "merge", "done", m, none, 1),
+        ("repaired", "check merged", "done", none, none, 1),
+    ]
+    return _union([
+        f"SELECT '{after}' AS \"after\", {RUN} AS run_id, '{step}' AS step, '{status}' AS status, CAST({n} AS BIGINT) AS \"rows\", "
+        f"{version} AS version, CAST({events} AS BIGINT) AS events" for after, step, status, n, version, events in rows
+    ])
+
+
+def _refused_inputs() -> str:
+    n = "(SELECT count(*) FROM orders)"
+    none = "(SELECT count(DISTINCT l_orderkey) FROM lineitem WHERE l_quantity > 50)"
+    cases = [
+        ("empty side", f"CASE WHEN {none} = 0 THEN {_literal(f'model_2_scores, run {fx.RUN}, has no rows')} END"),
+        ("no key on side 2", _literal("the second score set has no key column 'id'")),
+        ("no key on side 1", _literal("the first score set has no key column 'id'")),
+    ]
+    return _union([f"SELECT '{what}' AS what, {error} AS error, {n} AS rows_1, {none} AS rows_2, CAST(0 AS BIGINT) AS merged_rows"
+                   for what, error in cases])
+
+
 ORACLES: dict[str, str] = {
     "feature_scan": _with(F_CTE) + "SELECT * FROM f",
     "feature_select": _with(F_CTE) + "SELECT f_price, f_priority, f_month FROM f",
@@ -250,6 +285,13 @@ ORACLES: dict[str, str] = {
     "stored_report": _with(F_CTE, A_CTE, F2_CTE, B_CTE, M_CTE, XY_CTE, EM_CTE, *SCORE_CHECK_CTES)
     + _union([r for r in SCORE_CHECK_ROWS if "'duplicate_ids' AS" not in r] + _stored_schema_rows()
              + MERGED_CHECK_ROWS + _quality_rows(True)),
+    "refused_report": "SELECT *, NOT passed AS refused, false AS merged FROM ("
+    + _with(F_CTE, A_CTE, F2_CTE, B_CTE, *SCORE_CHECK_CTES)
+    + _union([r for k in (1, 2) for r in _score_check_rows(f"model_{k}", f"c{k}", "0.0") if "'duplicate_ids' AS" not in r]
+             + _stored_schema_rows())
+    + ")",
+    "run_ledger": MERGED + _ledger_rows(),
+    "refused_inputs": _refused_inputs(),
     "validate_merged": _with(F_CTE, A_CTE, F2_CTE, B_CTE, M_CTE, XY_CTE, EM_CTE)
     + _union(MERGED_CHECK_ROWS),
     "validation_report": _with(F_CTE, A_CTE, F2_CTE, B_CTE, M_CTE, XY_CTE, EM_CTE,

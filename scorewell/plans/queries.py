@@ -20,10 +20,12 @@ from scorewell.contracts import score_contract
 from scorewell.functions.columns import run_id_of, weighted_ensemble
 from scorewell.functions.models import feature_columns
 from scorewell.operators.checks import (
+    ValidationError,
     check_join,
     check_schema,
     check_scores,
     duplicate_keys,
+    gate,
     input_counts,
     quality_metrics,
     report,
@@ -32,6 +34,7 @@ from scorewell.operators.merge import merge_scores, merge_unique, unmatched
 from scorewell.operators.score import score, score_frame
 from scorewell.plans import fixtures as fx
 from scorewell.plans.jobs import (
+    LEDGER_TABLE,
     ModelRun,
     PipelineConfig,
     merge_job,
@@ -48,6 +51,7 @@ from scorewell.sources.catalog import (
     write_run,
     write_runs,
 )
+from scorewell.sources.ledger import Ledger, latest_states
 from scorewell.sources.registry import latest_versions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -316,11 +320,12 @@ def q_merge_bucketed(spark, sf):
     return merged.withColumn("only_model_1", only.cast("bigint"))
 
 
-def pipeline_config(spark, sf, db) -> PipelineConfig:
+def pipeline_config(spark, sf, db, model_2=fx.MODEL_2, versions=(None, None), **kw) -> PipelineConfig:
     return PipelineConfig(
         database=db,
-        models=(ModelRun(fx.MODEL_1, _features(spark, sf)),
-                ModelRun(fx.MODEL_2, fx.model_2_features(spark, sf))),
+        models=(ModelRun(fx.MODEL_1, _features(spark, sf), version=versions[0]),
+                ModelRun(model_2, fx.model_2_features(spark, sf), version=versions[1])),
+        **kw,
     )
 
 
@@ -337,6 +342,70 @@ def q_stored_report(spark, sf):
     return read_run(spark, f"{db}.validation_report", fx.RUN)
 
 
+def _refusal(run) -> ValidationError:
+    try:
+        run()
+    except ValidationError as e:
+        return e
+    raise AssertionError("the gate let it pass")
+
+
+def q_refused_report(spark, sf):
+    """What a run leaves whose models are refused (they may have no NULL prediction, and have some),
+    and which of its rows the gate names."""
+    db = _scratch_db(spark, "refused")
+    stored = _refusal(lambda: run_pipeline(spark, pipeline_config(spark, sf, db, max_null_fraction=0.0), fx.RUN, now=fx.NOW))
+    kept = read_run(spark, f"{db}.validation_report", fx.RUN)
+    # The stored report refuses the run again by itself.
+    named = [f"{f['scope']}/{f['check']}/{f['metric']}" for f in _refusal(lambda: gate(kept)).failures]
+    assert len(stored.failures) == len(named)
+    merged = spark.catalog.tableExists(f"{db}.merged_model_scores")
+    row = F.concat_ws("/", "scope", "check", "metric")
+    return kept.withColumns({"refused": row.isin(named), "merged": F.lit(merged)})
+
+
+def q_run_ledger(spark, sf):
+    """The latest state of each step after a run whose second model is refused, and after its repair."""
+    db = _scratch_db(spark, "ledger")
+    ledger = Ledger(spark, f"{db}.{LEDGER_TABLE}")
+
+    def run(model_2, version):
+        config = pipeline_config(spark, sf, db, model_2, ("7", version), ledger_table=LEDGER_TABLE)
+        return run_pipeline(spark, config, fx.RUN, now=fx.NOW)
+
+    _refusal(lambda: run(fx.MODEL_2_REFUSED, "1"))
+    until = ledger.events(fx.RUN).agg(F.max("at").alias("at")).first()["at"]
+    run(fx.MODEL_2, "2")
+    every = ledger.events(fx.RUN)
+    first = latest_states(every.where(F.col("at") <= until)).withColumn("after", F.lit("refused"))
+    both = first.unionByName(latest_states(every).withColumn("after", F.lit("repaired")))
+    return both.select("after", "run_id", "step", "status", "rows", "version", "events")
+
+
+def q_refused_inputs(spark, sf):
+    """What the merge says to an empty side (no line item has a quantity of more than 50) and to a
+    score set without the key, and what it leaves."""
+    db = _scratch_db(spark, "inputs")
+    none = fx.model_2_features(spark, sf, F.col("l_quantity") > 50)
+    rows = [score_job(spark, m, f, db, f"{m.name}_scores", fx.RUN, now=fx.NOW).rows
+            for m, f in ((fx.MODEL_1, _features(spark, sf)), (fx.MODEL_2, none))]
+    s1, s2 = _scores(spark, sf)
+    cases = {
+        "empty side": lambda: merge_job(spark, db, fx.RUN, now=fx.NOW),
+        "no key on side 2": lambda: merge_unique(s1, s2.withColumnRenamed("id", "order")),
+        "no key on side 1": lambda: merge_scores(s1.drop("id"), s2),
+    }
+    got = []
+    for what, run in cases.items():
+        try:
+            run()
+            error = None
+        except ValueError as e:
+            error = str(e).replace(f"{db}.", "")
+        got.append((what, error, *rows, run_rows(spark, f"{db}.merged_model_scores", fx.RUN)))
+    return spark.createDataFrame(got, "what string, error string, rows_1 bigint, rows_2 bigint, merged_rows bigint")
+
+
 # --- validation ----------------------------------------------------------------------------------
 
 
@@ -412,6 +481,9 @@ QUERIES: dict[str, Query] = {
     "merge_bucketed": q_merge_bucketed,
     "daily_run": q_pipeline,
     "stored_report": q_stored_report,
+    "refused_report": q_refused_report,
+    "run_ledger": q_run_ledger,
+    "refused_inputs": q_refused_inputs,
     "validate_scores": q_validate_scores,
     "validate_schema": q_validate_schema,
     "validate_merged": q_validate_merged,
