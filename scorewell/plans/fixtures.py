@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from scorewell.functions.columns import run_id_of
 from scorewell.functions.models import LinearModel, PythonModel
+from scorewell.operators.drift import Grid
 from scorewell.sources.features import read_features
 
 # Model weights (powers of two), pinned clock and run ids used
@@ -130,6 +131,34 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Bins of the two models' predictions (widths are powers of two).
+DRIFT_GRIDS = (Grid("model_1_prediction", 0.0, 8.0, 64), Grid("model_2_prediction", 0.0, 0.03125, 32))
+# Fixed value: an index that the yearly runs of a generated table may exceed.
+DRIFT_MOST = 0.01
+
+
+def model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registry with times: every ``signup`` event is a new version of its user's model."""
+    ev = table(spark, sf_dir, "events").where(F.col("event_type") == "signup")
+    return ev.select(_model_name(), F.col("ts").alias("since"), F.col("event_id").cast("string").alias("version"))
+
+
+def model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of those models: all other events."""
+    ev = table(spark, sf_dir, "events").where(F.col("event_type") != "signup")
+    return ev.select(F.col("event_id").alias("run"), _model_name(), F.col("ts").alias("at"))
+
+
+def _model_name() -> Column:
+    return F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("name")
+
+
+def daily_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(table, at): a daily run for each user on each day with an event of theirs."""
+    day = F.date_trunc("day", F.col("ts")).cast("timestamp_ntz")
+    return table(spark, sf_dir, "events").select(F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("table"), day.alias("at"))
+
+
 def event_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, level): a text column of tenths, some beyond what a TINYINT holds."""
     return table(spark, sf_dir, "events").select(

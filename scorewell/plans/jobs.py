@@ -35,6 +35,7 @@ from scorewell.operators.checks import (
     report,
     schema_check_rows,
 )
+from scorewell.operators.drift import DriftCheck, drift_check_rows, drift_of_run, store_histograms
 from scorewell.operators.merge import MergeMetrics, merge_scores, merge_unique
 from scorewell.operators.score import score_frame
 from scorewell.sources.catalog import (
@@ -231,6 +232,8 @@ class PipelineConfig:
     report_table: str | None = REPORT_TABLE
     #: Where steps are recorded (see ``sources.ledger``), e.g. ``LEDGER_TABLE``.
     ledger_table: str | None = None
+    #: Compares the merged scores with the run before, and gates it.
+    drift: DriftCheck | None = None
     ensemble: Ensemble = mean_ensemble
     location: str | None = None
     strict: bool = True
@@ -347,6 +350,11 @@ def run_pipeline(
     s1, s2, merged = (read_run(spark, qualified(db, t), run_id) for t in tables)
     merged_rows = report(run_id, "merged", *merged_check_frames(
         s1, s2, merged, n1, n2, cfg.ensemble, cfg.eps, join_counts=merge.details.get("join"))).collect()
+    if cfg.drift is not None:
+        counts = qualified(db, cfg.drift.table)
+        store_histograms(merged, cfg.drift.grids, counts, run_id)
+        found = drift_of_run(spark, counts, run_id, cfg.drift.grids, cfg.drift.most)
+        merged_rows += report(run_id, "merged", drift_check_rows(found, cfg.drift.most)).collect()
     judged = _judged("check merged", merged_rows)
     note(*([] if merge.skipped else [Event("merge", "done", merge.rows)]), judged,
          Event("run", judged.status, merge.rows))

@@ -208,7 +208,43 @@ def _refused_inputs() -> str:
                    for what, error in cases])
 
 
+def _drift_sql() -> str:
+    """Counts of every bin of every yearly run, empty ones included, and the index between runs."""
+    year = """strftime(date_trunc('year', "timestamp"), '%Y%m%d_%H%M%S')"""
+    bins, sizes = [], []
+    for g, source in zip(fx.DRIFT_GRIDS, ("a JOIN f USING (id)", "b JOIN f2 USING (id)")):
+        place = f"({g.column} - {g.low}) / {g.width}"
+        bins.append(
+            f"SELECT {year} AS run_id, '{g.column}' AS col, CASE WHEN {g.column} IS NULL THEN -2 WHEN {place} < 0 THEN -1 "
+            f"WHEN {place} >= {g.bins} THEN {g.bins} ELSE CAST(floor({place}) AS INTEGER) END AS bin FROM {source}"
+        )
+        sizes.append(f"SELECT '{g.column}' AS col, {g.bins} AS bins")
+    return _with(
+        F_CTE, A_CTE, F2_CTE, B_CTE,
+        f"h AS (SELECT run_id, col, bin, count(*) AS n FROM ({_union(bins)}) GROUP BY ALL)",
+        f"g AS ({_union(sizes)})",
+        """r AS (SELECT run_id, col, CAST(sum(n) AS BIGINT) AS n, bins, lag(run_id) OVER (PARTITION BY col ORDER BY run_id) AS p
+  FROM h JOIN g USING (col) GROUP BY run_id, col, bins)""",
+        "e AS (SELECT *, unnest(range(-2, bins + 1)) AS bin FROM r)",
+        """s AS (SELECT e.run_id, e.col, e.bin, e.p, (coalesce(h.n, 0) + 0.5::DOUBLE) / (e.n + 0.5::DOUBLE * (e.bins + 3)) AS share
+  FROM e LEFT JOIN h ON h.run_id = e.run_id AND h.col = e.col AND h.bin = e.bin)""",
+        """x AS (SELECT s.run_id, s.col, round(sum((s.share - q.share) * ln(s.share / q.share)), 6) AS psi
+  FROM s JOIN s q ON q.run_id = s.p AND q.col = s.col AND q.bin = s.bin GROUP BY ALL)""",
+    ) + f"""SELECT r.run_id, r.p AS previous_run, r.col AS "column", r.n AS "rows", psi, coalesce(psi <= {fx.DRIFT_MOST}, true) AS passed
+FROM r LEFT JOIN x ON x.run_id = r.run_id AND x.col = r.col"""
+
+
 ORACLES: dict[str, str] = {
+    "score_drift": _drift_sql(),
+    "version_as_of": """WITH e AS (SELECT *, 'user_' || user_id AS name FROM events),
+v AS (SELECT name, ts, max(event_id) AS version FROM e WHERE event_type = 'signup' GROUP BY 1, 2)
+SELECT e.event_id AS run, e.name, e.ts AS "at", CAST(v.version AS VARCHAR) AS version, 'models:/' || e.name || '/' || v.version AS model_uri
+FROM (SELECT * FROM e WHERE event_type <> 'signup') e ASOF LEFT JOIN v ON e.name = v.name AND e.ts >= v.ts""",
+    "run_gaps": """WITH d AS (SELECT DISTINCT 'user_' || user_id AS "table", date_trunc('day', ts) AS day FROM events),
+c AS (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS day FROM d),
+m AS (SELECT t."table", c.day FROM (SELECT DISTINCT "table" FROM d) t, c ANTI JOIN d ON d."table" = t."table" AND d.day = c.day),
+i AS (SELECT *, day - to_days(CAST(row_number() OVER (PARTITION BY "table" ORDER BY day) AS INTEGER)) AS island FROM m)
+SELECT "table", min(day) AS "first", max(day) AS "last", count(*) AS runs FROM i GROUP BY "table", island""",
     "feature_scan": _with(F_CTE) + "SELECT * FROM f",
     "feature_select": _with(F_CTE) + "SELECT f_price, f_priority, f_month FROM f",
     "score_model_1": BASE + "SELECT id, model_1_prediction FROM a",

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scorewell.contracts import score_contract
-from scorewell.functions.columns import run_id_of, weighted_ensemble
+from scorewell.functions.columns import as_timestamp, run_id_of, weighted_ensemble
 from scorewell.functions.models import feature_columns
 from scorewell.operators.checks import (
     ValidationError,
@@ -30,6 +30,7 @@ from scorewell.operators.checks import (
     quality_metrics,
     report,
 )
+from scorewell.operators.drift import drift, histogram_contract, histograms
 from scorewell.operators.merge import merge_scores, merge_unique, unmatched
 from scorewell.operators.score import score, score_frame
 from scorewell.plans import fixtures as fx
@@ -52,7 +53,8 @@ from scorewell.sources.catalog import (
     write_runs,
 )
 from scorewell.sources.ledger import Ledger, latest_states
-from scorewell.sources.registry import latest_versions
+from scorewell.sources.registry import latest_versions, versions_at
+from scorewell.sources.schedule import gaps, missing_runs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -244,24 +246,46 @@ def q_run_rows(spark, sf):
     return spark.createDataFrame(got, "what string, rows bigint")
 
 
-def q_run_status(spark, sf):
-    """Backfill two score tables by year-runs (dynamic overwrite), then pivot."""
-    db = _scratch_db(spark, "status")
+def _yearly_runs(spark, sf, db) -> list[str]:
+    """Two score tables, backfilled by year-runs (dynamic overwrite)."""
     f = _features(spark, sf)
     ts_type = f.schema["timestamp"].dataType
-
-    def backfill(frame, model, table):
+    tables = []
+    for frame, model in ((f, fx.MODEL_1), (fx.model_2_features(spark, sf), fx.MODEL_2)):
         runs = frame.withColumn(
             "run_id", run_id_of(F.date_trunc("year", F.col("timestamp")), ts_type)
         )
         scored = score_frame(runs, model, now=fx.NOW, carry_columns=("run_id",))
-        write_runs(_to_contract(scored), f"{db}.{table}", contract=score_contract(model.name))
+        tables.append(f"{db}.{model.name}_scores")
+        write_runs(_to_contract(scored), tables[-1], contract=score_contract(model.name))
+    return tables
 
-    backfill(f, fx.MODEL_1, "model_1_scores")
-    backfill(fx.model_2_features(spark, sf), fx.MODEL_2, "model_2_scores")
-    return run_status(
-        spark, {"model_1_scores": f"{db}.model_1_scores", "model_2_scores": f"{db}.model_2_scores"}
-    )
+
+def q_run_status(spark, sf):
+    """Two backfilled tables and the rows of their runs, side by side."""
+    t1, t2 = _yearly_runs(spark, sf, _scratch_db(spark, "status"))
+    return run_status(spark, {"model_1_scores": t1, "model_2_scores": t2})
+
+
+def q_score_drift(spark, sf):
+    """Counts of the yearly runs' predictions, stored per run, and each run's drift from the one before."""
+    db = _scratch_db(spark, "drift")
+    counts = [histograms(spark.table(t), [g]) for t, g in zip(_yearly_runs(spark, sf, db), fx.DRIFT_GRIDS)]
+    stored = f"{db}.score_histograms"
+    write_runs(counts[0].unionByName(counts[1]), stored, contract=histogram_contract())
+    return drift(spark.table(stored), fx.DRIFT_GRIDS, fx.DRIFT_MOST)
+
+
+def q_version_as_of(spark, sf):
+    return versions_at(fx.model_runs(spark, sf), fx.model_versions(spark, sf))
+
+
+def q_run_gaps(spark, sf):
+    """Days without a run, in a row, of each user's table, from the first day of all events to the last."""
+    runs = fx.daily_runs(spark, sf)
+    span = runs.agg(F.min("at").alias("first"), F.max("at").alias("last")).first()
+    missing = missing_runs(runs, runs.select("table"), span["first"], span["last"])
+    return gaps(missing)
 
 
 def q_merge_input_counts(spark, sf):
@@ -377,7 +401,7 @@ def q_run_ledger(spark, sf):
     until = ledger.events(fx.RUN).agg(F.max("at").alias("at")).first()["at"]
     run(fx.MODEL_2, "2")
     every = ledger.events(fx.RUN)
-    first = latest_states(every.where(F.col("at") <= until)).withColumn("after", F.lit("refused"))
+    first = latest_states(every.where(F.col("at") <= as_timestamp(until))).withColumn("after", F.lit("refused"))
     both = first.unionByName(latest_states(every).withColumn("after", F.lit("repaired")))
     return both.select("after", "run_id", "step", "status", "rows", "version", "events")
 
@@ -474,6 +498,9 @@ QUERIES: dict[str, Query] = {
     "read_run": q_read_run,
     "run_rows": q_run_rows,
     "run_status": q_run_status,
+    "score_drift": q_score_drift,
+    "version_as_of": q_version_as_of,
+    "run_gaps": q_run_gaps,
     "merge_input_counts": q_merge_input_counts,
     "score_job": q_score_job,
     "skip_existing_run": q_skip_existing_run,

@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scorewell.functions.columns import as_timestamp
+from scorewell.operators.asof import as_of
+
 # Fixed value: the model URI form.
 URI_PREFIX = "models:/"
 
@@ -49,3 +52,26 @@ def resolve(registry: DataFrame, model_name: str, model_stage: str, **cols) -> t
     if not rows:
         raise ValueError(f"the registry has no version of {model_name!r} at stage {model_stage!r}")
     return rows[0]["model_uri"], rows[0]["version"]
+
+
+def versions_at(runs: DataFrame, registry: DataFrame, at: str = "at", since: str = "since", slices: int = 64) -> DataFrame:
+    """``runs`` (name, ``at``, ...) with the version that was current then, and its URI.
+
+    Current is the version of the name that was registered last, at ``since``, by
+    then; of versions registered at the same time the highest (as numbers, where
+    they are).  A run before its model's first version has NULLs.
+    """
+    number = F.col("version").try_cast("decimal(38,0)")
+    known = registry.select("name", since, number.alias("_number"), F.col("version").alias("version"))
+    found = as_of(runs, known, ["name"], at, since, ["_number", "version"], slices).drop("_number")
+    return found.withColumn("model_uri", model_uri(F.col("name"), F.col("version")))
+
+
+def resolve_at(registry: DataFrame, model_name: str, moment, since: str = "since") -> tuple[str, object]:
+    """(uri, version) of the version that was current at ``moment``; error if there was none."""
+    run = registry.sparkSession.createDataFrame([(model_name,)], "name string").withColumn("at", as_timestamp(moment).cast("timestamp_ntz"))
+    mine = registry.where(F.col("name") == F.lit(model_name)).withColumn(since, F.col(since).cast("timestamp_ntz"))
+    row = versions_at(run, mine, since=since, slices=1).first()
+    if row["version"] is None:
+        raise ValueError(f"the registry has no version of {model_name!r} at {moment}")
+    return row["model_uri"], row["version"]

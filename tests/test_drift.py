@@ -1,0 +1,137 @@
+"""Stored counts of scores, and the drift between runs."""
+
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from scorewell.functions.models import LinearModel
+from scorewell.operators.checks import ValidationError
+from scorewell.operators.drift import (
+    DriftCheck,
+    Grid,
+    drift,
+    drift_of_run,
+    histogram_contract,
+    histograms,
+    merge_histograms,
+    store_histograms,
+)
+from scorewell.plans.jobs import ModelRun, PipelineConfig, run_pipeline
+from scorewell.sources.catalog import read_run
+
+X, Y = Grid("x", 0.0, 0.25, 8), Grid("y", -1.0, 2.0, 3)
+NAN, INF = float("nan"), float("inf")
+
+
+def frame(spark, rows, parts=3):
+    return spark.createDataFrame(rows, "run_id string, x double, y double").repartition(parts)
+
+
+def bin_of(g, v):
+    if v is None or math.isnan(v):
+        return -2
+    place = (v - g.low) / g.width
+    return -1 if place < 0 else g.bins if place >= g.bins else math.floor(place)
+
+
+def counts_of(rows, grids=(X, Y)):
+    out = {}
+    for run, *values in rows:
+        for g, v in zip(grids, values):
+            key = run, g.column, bin_of(g, v)
+            out[key] = out.get(key, 0) + 1
+    return out
+
+
+def psi(rows, run, before, g, place):
+    def shares(r):
+        mine = [bin_of(g, x[place]) for x in rows if x[0] == r]
+        return [(mine.count(b) + 0.5) / (len(mine) + 0.5 * g.all_bins) for b in range(-2, g.bins + 1)]
+
+    return sum((p - q) * math.log(p / q) for p, q in zip(shares(run), shares(before)))
+
+
+def sample(runs=("r1", "r2", "r3"), n=300):
+    rnd = random.Random(2)
+    return [(r, rnd.choice([None, NAN, rnd.gauss(1 + k * 0.3, 0.5)]), rnd.choice([-INF, INF, -1.0, 5.0, rnd.uniform(-2, 6)])) for k, r in enumerate(runs) for _ in range(n)]
+
+
+def test_counts_equal_brute_force(spark):
+    rows = sample() + [("r4", 0.0, None), ("r4", 2.0, -1.0), ("r4", 0.25, 0.999)]
+    got = {(r["run_id"], r["column"], r["bin"]): r["n"] for r in histograms(frame(spark, rows), [X, Y]).collect()}
+    assert got == counts_of(rows)
+
+
+def test_counts_of_parts_add_up(spark):
+    rows = sample()
+    whole = histograms(frame(spark, rows), [X, Y])
+    parts = [histograms(frame(spark, rows[k::3]), [X, Y]) for k in range(3)]
+    key = lambda df: sorted(map(tuple, df.select("run_id", "column", "bin", "n").collect()))
+    assert key(merge_histograms(*parts)) == key(whole)
+    assert key(merge_histograms(merge_histograms(*parts[:2]), parts[2])) == key(whole)
+
+
+def test_index_equals_brute_force(spark):
+    rows = sample(("r1", "r2", "r10", "r3"))
+    # In the order of ids; unmerged parts of a run count together.
+    stored = histograms(frame(spark, rows[::2]), [X, Y]).unionByName(histograms(frame(spark, rows[1::2]), [X, Y]))
+    got = {(r["run_id"], r["column"]): r for r in drift(stored, [X, Y], most=0.05).collect()}
+    order = ["r1", "r10", "r2", "r3"]
+    for place, g in ((1, X), (2, Y)):
+        assert got["r1", g.column]["psi"] is None and got["r1", g.column]["passed"] and got["r1", g.column]["previous_run"] is None
+        for before, run in zip(order, order[1:]):
+            row = got[run, g.column]
+            assert row["previous_run"] == before and row["rows"] == 300
+            assert row["psi"] == pytest.approx(psi(rows, run, before, g, place), abs=1e-6)
+            assert row["passed"] == (row["psi"] <= 0.05)
+    assert {r["column"] for r in drift(stored, [X]).collect()} == {"x"}
+
+
+def test_equal_runs_have_no_drift_and_empty_input_no_rows(spark):
+    rows = [(r, 0.1 * k, float(k)) for r in ("a", "b") for k in range(10)]
+    got = drift(histograms(frame(spark, rows), [X, Y]), [X, Y]).where("run_id = 'b'").collect()
+    assert [r["psi"] for r in got] == [0.0, 0.0]
+    assert drift(histograms(frame(spark, rows).where("false"), [X]), [X]).count() == 0
+
+
+def test_a_value_of_a_third_of_all_rows_is_one_row_a_task(spark):
+    df = histograms(frame(spark, [("r", 0.5, 0.5)] * 900 + [("r", k / 100, 1.0) for k in range(200)], 6), [X])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and df.where("bin = 2").first()["n"] == 925
+
+
+def test_counts_are_stored_per_run_and_replaced(spark, db):
+    t = f"{db}.score_histograms"
+    for run, shift in (("r1", 0.0), ("r2", 0.0), ("r3", 0.8), ("r2", 0.4)):
+        df = spark.range(100).select((F.col("id") / 100.0 + shift).alias("x"), F.lit(1.0).alias("y"))
+        assert store_histograms(df, [X, Y], t, run) > 0
+    assert read_run(spark, t, "r2").schema == histogram_contract()
+    rows = {run: [(run, k / 100.0 + shift, 1.0) for k in range(100)] for run, shift in (("r1", 0.0), ("r2", 0.4), ("r3", 0.8))}
+    for before, run in (("r1", "r2"), ("r2", "r3")):
+        got = {r["column"]: r["psi"] for r in drift_of_run(spark, t, run, [X, Y]).collect()}
+        assert got["y"] == 0.0 and got["x"] == pytest.approx(psi(rows[before] + rows[run], run, before, X, 1), abs=1e-6)
+    assert [r["psi"] for r in drift_of_run(spark, t, "r1", [X]).collect()] == [None]
+    with pytest.raises(ValueError, match="no counts of run r9"):
+        drift_of_run(spark, t, "r9", [X])
+    with pytest.raises(ValueError, match="must be positive"):
+        Grid("x", 0, 0, 3)
+
+
+def test_pipeline_refuses_a_run_that_drifted(spark, db):
+    grids = tuple(Grid(c, 0.0, 0.5, 20) for c in ("model_1_score", "model_2_score", "ensemble_score"))
+
+    def run(run_id, shift, **kw):
+        f = spark.range(200).select(F.col("id").cast("string"), (F.col("id") / 25.0 + shift).alias("x"))
+        models = tuple(ModelRun(LinearModel.of(m, {"x": w}), f) for m, w in (("model_1", 0.5), ("model_2", 0.25)))
+        cfg = PipelineConfig(database=db, models=models, drift=DriftCheck(grids, **kw))
+        return run_pipeline(spark, cfg, run_id, now="2026-01-01 12:00:00")
+
+    run("r1", 0.0)
+    run("r2", 0.01)
+    with pytest.raises(ValidationError, match="drift/model_1_score.psi"):
+        run("r3", 5.0)
+    stored = read_run(spark, f"{db}.validation_report", "r3").where("check = 'drift'").collect()
+    assert {r["metric"]: r["passed"] for r in stored} == {f"{g.column}.psi": False for g in grids}
+    run("r4", 5.0, most=50.0)
