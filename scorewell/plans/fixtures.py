@@ -12,8 +12,11 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scorewell.functions.columns import run_id_of
 from scorewell.functions.models import LinearModel, PythonModel
@@ -159,6 +162,54 @@ def daily_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("table"), day.alias("at"))
 
 
+def model_2_json() -> bytes:
+    """Model 2 as a model store may hold it."""
+    return json.dumps({"weights": dict(MODEL_2_LINEAR.weights), "bias": MODEL_2_LINEAR.bias, "link": MODEL_2_LINEAR.link}).encode()
+
+
+# Fixed value: orders before it are the older part of the evolved feature set.
+OLDER = "1997-01-01"
+
+
+def evolved_orders(spark: SparkSession, sf_dir: str, folder: str) -> list[str]:
+    """All orders, written as two parts of different schemas."""
+    o = table(spark, sf_dir, "orders")
+    is_older = F.col("o_orderdate") < F.lit(OLDER).cast("timestamp_ntz")
+    older = o.where(is_older).drop("o_orderpriority").withColumns({
+        "o_custkey": F.col("o_custkey").cast("int"), "o_totalprice": F.col("o_totalprice").cast("float"),
+        "o_clerk": F.concat(F.lit("clerk_"), F.col("o_custkey").cast("string")),
+    })
+    older.write.parquet(f"{folder}/older")
+    o.where(~F.coalesce(is_older, F.lit(False))).write.parquet(f"{folder}/newer")
+    return [f"{folder}/older", f"{folder}/newer"]
+
+
+# Orders with a customer and line items, as their contract has them: ``discount`` isn't there.
+NESTED_CONTRACT = T.StructType([
+    T.StructField("id", T.StringType()),
+    T.StructField("customer", T.StructType([T.StructField("key", T.LongType()), T.StructField("code", T.ByteType())])),
+    T.StructField("items", T.ArrayType(T.StructType([
+        T.StructField("line", T.IntegerType()), T.StructField("tenths", T.ByteType()), T.StructField("discount", T.DoubleType())]))),
+    T.StructField("flags", T.MapType(T.StringType(), T.ShortType())),
+])
+
+
+def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as one row, its line items an array of structs and a map by line."""
+    li = table(spark, sf_dir, "lineitem")
+    tenths = (F.col("l_quantity") * 10).cast("bigint").cast("string")
+    item = F.struct(F.col("l_linenumber").alias("line"), tenths.alias("tenths"), F.col("l_tax").alias("tax"))
+    # An order has a handful of line items.
+    lines = li.groupBy("l_orderkey").agg(F.collect_list(item).alias("items"))
+    o = table(spark, sf_dir, "orders")
+    return o.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.struct(F.col("o_custkey").alias("key"), F.substring("o_orderpriority", 1, 3).alias("code")).alias("customer"),
+        "items",
+        F.create_map(F.lit("status"), F.col("o_orderstatus"), F.lit("customer"), F.col("o_custkey").cast("string")).alias("flags"),
+    )
+
+
 def event_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, level): a text column of tenths, some beyond what a TINYINT holds."""
     return table(spark, sf_dir, "events").select(

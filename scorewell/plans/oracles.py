@@ -234,7 +234,38 @@ def _drift_sql() -> str:
 FROM r LEFT JOIN x ON x.run_id = r.run_id AND x.col = r.col"""
 
 
+def _nested_rows() -> str:
+    """Paths of the nested contract; bad values are counted over single line items and orders."""
+    def bad(path, expected, n, source):
+        return (f"SELECT '{path}' AS path, '{expected}' AS expected, 'string' AS actual, CASE WHEN n > 0 THEN 'bad_values' ELSE 'cast' END AS status, "
+                f"n AS bad_values, n = 0 AS passed FROM (SELECT count(*) FILTER (WHERE {n}) AS n FROM {source})")
+
+    def fixed(path, expected, actual, status):
+        text = [f"'{x}'" if x else "CAST(NULL AS VARCHAR)" for x in (expected, actual)]
+        return (f"SELECT '{path}' AS path, {text[0]} AS expected, {text[1]} AS actual, '{status}' AS status, "
+                f"CAST({0 if status == 'ok' else 'NULL'} AS BIGINT) AS bad_values, {str(status == 'ok').lower()} AS passed")
+
+    lines = "lineitem JOIN orders ON l_orderkey = o_orderkey"
+    code = "substr(o_orderpriority, 1, 3)"
+    return _union([
+        fixed("id", "string", "string", "ok"), fixed("customer.key", "bigint", "bigint", "ok"),
+        bad("customer.code", "tinyint", f"{code} IS NOT NULL AND TRY_CAST({code} AS TINYINT) IS NULL", "orders"),
+        fixed("items.element.line", "int", "int", "ok"),
+        bad("items.element.tenths", "tinyint", "TRY_CAST(CAST(CAST(l_quantity * 10 AS BIGINT) AS VARCHAR) AS TINYINT) IS NULL AND l_quantity IS NOT NULL", lines),
+        fixed("items.element.discount", "double", None, "missing"), fixed("items.element.tax", None, "double", "unexpected"),
+        fixed("flags.key", "string", "string", "ok"),
+        bad("flags.value", "smallint", "x IS NOT NULL AND TRY_CAST(x AS SMALLINT) IS NULL",
+            "(SELECT o_orderstatus AS x FROM orders UNION ALL SELECT CAST(o_custkey AS VARCHAR) FROM orders)"),
+    ])
+
+
 ORACLES: dict[str, str] = {
+    "validate_nested_schema": _nested_rows(),
+    "score_model_stored": BASE + "SELECT id, model_2_prediction FROM b",
+    "feature_scan_evolved": f"""SELECT o_orderkey, o_custkey, o_orderstatus, CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) AS o_totalprice, o_orderdate,
+  'clerk_' || o_custkey AS o_clerk, CAST(NULL AS VARCHAR) AS o_orderpriority FROM orders WHERE o_orderdate < DATE '{fx.OLDER}'
+UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, NULL, o_orderpriority FROM orders
+WHERE NOT coalesce(o_orderdate < DATE '{fx.OLDER}', false)""",
     "score_drift": _drift_sql(),
     "version_as_of": """WITH e AS (SELECT *, 'user_' || user_id AS name FROM events),
 v AS (SELECT name, ts, max(event_id) AS version FROM e WHERE event_type = 'signup' GROUP BY 1, 2)

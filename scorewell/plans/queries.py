@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from scorewell.contracts import score_contract
 from scorewell.functions.columns import as_timestamp, run_id_of, weighted_ensemble
 from scorewell.functions.models import feature_columns
+from scorewell.functions.stored import store_model, stored_model
 from scorewell.operators.checks import (
     ValidationError,
     check_join,
@@ -32,6 +33,7 @@ from scorewell.operators.checks import (
 )
 from scorewell.operators.drift import drift, histogram_contract, histograms
 from scorewell.operators.merge import merge_scores, merge_unique, unmatched
+from scorewell.operators.nested import check_nested_schema
 from scorewell.operators.score import score, score_frame
 from scorewell.plans import fixtures as fx
 from scorewell.plans.jobs import (
@@ -52,6 +54,7 @@ from scorewell.sources.catalog import (
     write_run,
     write_runs,
 )
+from scorewell.sources.evolution import read_evolved_features
 from scorewell.sources.ledger import Ledger, latest_states
 from scorewell.sources.registry import latest_versions, versions_at
 from scorewell.sources.schedule import gaps, missing_runs
@@ -131,6 +134,21 @@ def q_score_model_2(spark, sf):
     return score(fx.model_2_features(spark, sf), fx.MODEL_2).select("id", "model_2_prediction")
 
 
+def q_score_model_stored(spark, sf):
+    """Model 2 from the bytes that a table has under its URI."""
+    t = f"{_scratch_db(spark, 'models')}.models"
+    uri = "models:/model_2/1"
+    store_model(spark, t, uri, fx.model_2_json())
+    store_model(spark, t, "models:/model_2/2", b"{}")
+    model = stored_model(spark.table(t), uri, "model_2", features=fx.MODEL_2.features)
+    return score(fx.model_2_features(spark, sf), model).select("id", "model_2_prediction")
+
+
+def q_feature_scan_evolved(spark, sf):
+    """Orders in two parts: the older has narrower types, no priority, and a column that went later."""
+    return read_evolved_features(spark, fx.evolved_orders(spark, sf, scratch_location(spark, "evolved")), id_col="o_orderkey")
+
+
 def q_score_model_mixed(spark, sf):
     """A model with a text input beside a numeric one."""
     o = fx.table(spark, sf, "orders").select(
@@ -453,6 +471,11 @@ def q_validate_schema(spark, sf):
     return check_schema(frame, contract)
 
 
+def q_validate_nested_schema(spark, sf):
+    """Orders with their line items inside, against a contract for both."""
+    return check_nested_schema(fx.nested_orders(spark, sf), fx.NESTED_CONTRACT)
+
+
 def _strict_merge(spark, sf, label):
     """Both score sets and their merge, stored as the jobs store them, and the counts of the merge."""
     db = _scratch_db(spark, label)
@@ -478,10 +501,12 @@ def q_validation_report(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "feature_scan": q_feature_scan,
+    "feature_scan_evolved": q_feature_scan_evolved,
     "feature_select": q_feature_select,
     "score_model_1": q_score_model_1,
     "score_model_2": q_score_model_2,
     "score_model_mixed": q_score_model_mixed,
+    "score_model_stored": q_score_model_stored,
     "score_stamped": q_score_stamped,
     "run_ids": q_run_ids,
     "latest_model_version": q_latest_model_version,
@@ -513,6 +538,7 @@ QUERIES: dict[str, Query] = {
     "refused_inputs": q_refused_inputs,
     "validate_scores": q_validate_scores,
     "validate_schema": q_validate_schema,
+    "validate_nested_schema": q_validate_nested_schema,
     "validate_merged": q_validate_merged,
     "validation_report": q_validation_report,
 }

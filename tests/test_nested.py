@@ -1,0 +1,67 @@
+"""The schema check through structs, arrays and maps."""
+
+from pyspark.sql import types as T
+
+from scorewell.operators.nested import check_nested_schema, nested_schema_check_rows, walk
+
+
+def got(df, contract):
+    return {r["path"]: (r["expected"], r["actual"], r["status"], r["bad_values"], r["passed"]) for r in check_nested_schema(df, contract).collect()}
+
+
+def schema(text):
+    return T.StructType.fromDDL(text)
+
+
+def test_every_status_at_every_depth(spark):
+    df = spark.createDataFrame(
+        [
+            ("1", [({"a": ["1", "x", None]}, 1), (None, 2)], {"k": ("5", "z")}),
+            ("zwei", [({"b": ["300"], "c": None}, None)], {"l": (None, "q"), "m": None}),
+            (None, None, None),
+            ("3", [], {}),
+        ],
+        "id string, items array<struct<tags:map<string,array<string>>,n:int>>, props map<string,struct<v:string,w:string>>",
+    )
+    contract = schema("id int, items array<struct<tags:map<string,array<tinyint>>,n:int,gone:date>>, props map<string,struct<v:int>>, more struct<x:int>")
+    assert got(df, contract) == {
+        "id": ("int", "string", "bad_values", 1, False),
+        "items.element.tags.key": ("string", "string", "ok", 0, True),
+        "items.element.tags.value.element": ("tinyint", "string", "bad_values", 2, False),
+        "items.element.n": ("int", "int", "ok", 0, True),
+        "items.element.gone": ("date", None, "missing", None, False),
+        "props.key": ("string", "string", "ok", 0, True),
+        "props.value.v": ("int", "string", "cast", 0, True),
+        "props.value.w": (None, "string", "unexpected", None, False),
+        "more": ("struct<x:int>", None, "missing", None, False),
+    }
+
+
+def test_other_kinds_and_unexpected_columns(spark):
+    df = spark.createDataFrame([(1, [1], {"a": 1}, 2)], "s int, a array<int>, m map<string,int>, extra int")
+    found = got(df, schema("s struct<x:int>, a int, m array<int>"))
+    assert {p: f[2] for p, f in found.items()} == {"s": "other_kind", "a": "other_kind", "m": "other_kind", "extra": "unexpected"}
+
+
+def test_equal_schemas_read_no_data(spark):
+    df = spark.createDataFrame([([{"a": (1, None)}],)], "x array<map<string,struct<p:int,q:array<date>>>>")
+    found = check_nested_schema(df, df.schema)
+    assert all(r["passed"] for r in found.collect()) and found.count() == 3
+    assert "ExistingRDD" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_values_and_empty_frames(spark):
+    """An array of a hundred thousand elements in one row, counted inside the row."""
+    df = spark.range(1).selectExpr("transform(sequence(1, 100000), i -> named_struct('v', cast(i as string))) AS items", "'x' AS `odd name`")
+    contract = schema("items array<struct<v:smallint>>, `odd name` string")
+    assert got(df, contract)["items.element.v"] == ("smallint", "string", "bad_values", 100000 - 32767, False)
+    assert got(df.where("false"), contract)["items.element.v"] == ("smallint", "string", "cast", 0, True)
+    plan = check_nested_schema(df, contract)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1  # the rows of the answer, not the elements
+
+
+def test_check_rows_for_a_report(spark):
+    df = spark.createDataFrame([(["1", "y"],)], "a array<string>")
+    rows = nested_schema_check_rows(check_nested_schema(df, schema("a array<int>"))).collect()
+    assert [tuple(r) for r in rows] == [("schema", "a.element:bad_values", 1.0, None, False)]
+    assert [c.path for c in walk(schema("a array<int>, b map<int,int>"), schema("a array<int>"))] == ["a.element", "b"]
