@@ -30,10 +30,10 @@ _DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
 
 
 def wider(a: T.DataType, b: T.DataType) -> T.DataType | None:
-    """The narrowest type that holds every value of both exactly, or None.
+    """The narrowest type that holds every value of both exactly and that files of both can be read in, or None.
 
-    Whole numbers widen among each other, up to 32 bits to double, and up to 16 to
-    float; float to double; decimals, and whole numbers with them, to enough digits (38 at most); dates
+    Whole numbers widen among each other and, up to 32 bits, with float and double to
+    double; decimals, and whole numbers with them, to enough digits (38 at most); dates
     to timestamps without a zone; a column that is NULL throughout to anything.
     """
     if a == b:
@@ -43,12 +43,8 @@ def wider(a: T.DataType, b: T.DataType) -> T.DataType | None:
     if a in _WHOLE and b in _WHOLE:
         return _WHOLE[max(_WHOLE.index(a), _WHOLE.index(b))]
     kinds = {type(a), type(b)}
-    if kinds == {T.FloatType, T.DoubleType}:
+    if kinds <= {T.FloatType, T.DoubleType, *map(type, _WHOLE[:3])}:
         return T.DoubleType()
-    if T.DoubleType in kinds and (a in _WHOLE[:3] or b in _WHOLE[:3]):
-        return T.DoubleType()
-    if T.FloatType in kinds and (a in _WHOLE[:3] or b in _WHOLE[:3]):
-        return T.DoubleType() if T.IntegerType in kinds else T.FloatType()
     if kinds == {T.DateType, T.TimestampNTZType}:
         return T.TimestampNTZType()
     if T.DecimalType in kinds:

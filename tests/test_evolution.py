@@ -87,7 +87,7 @@ def test_wider_holds_every_value_of_both(spark):
     for a, b in itertools.product(kinds, kinds):
         assert wider(a, b) == wider(b, a)
     assert wider(T.LongType(), T.DoubleType()) is None  # 2^53 + 1 isn't a double
-    assert wider(T.IntegerType(), T.FloatType()) == T.DoubleType() and wider(T.ShortType(), T.FloatType()) == T.FloatType() and wider(T.IntegerType(), T.DoubleType()) == T.DoubleType()
+    assert wider(T.IntegerType(), T.FloatType()) == T.DoubleType() and wider(T.ShortType(), T.FloatType()) == T.DoubleType() and wider(T.IntegerType(), T.DoubleType()) == T.DoubleType()
     assert wider(T.DecimalType(5, 2), T.LongType()) == T.DecimalType(21, 2) and wider(T.DecimalType(38, 0), T.DecimalType(5, 2)) is None
     assert wider(T.StringType(), T.NullType()) == T.StringType()
     assert reconcile({}).schema == T.StructType([])
