@@ -16,6 +16,7 @@ regular expressions.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -153,13 +154,41 @@ _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
+class Furthest:
+    """The furthest end among the intervals so far that begin at or before a place (a Fenwick tree)."""
+
+    def __init__(self, begins: list[int]):
+        self.places = sorted(set(begins))
+        self.most = [0] * (len(self.places) + 1)
+
+    def add(self, begin: int, end: int) -> None:
+        k = bisect_left(self.places, begin) + 1
+        while k < len(self.most):
+            self.most[k] = max(self.most[k], end)
+            k += k & -k
+
+    def end(self, begin: int) -> int:
+        k, found = bisect_right(self.places, begin), 0
+        while k:
+            found = max(found, self.most[k])
+            k -= k & -k
+        return found
+
+
 def suppressed(hits: list[Hit], rules: list[Rule]) -> list[Hit]:
-    """The hits without those that lie within a kept one, best first; base hits all stay."""
-    kept: list[Hit] = []
+    """The hits without those that lie within a better one, best first; base hits all stay, and suppress none.
+
+    A hit within a suppressed one lies within what suppressed that as well, so all
+    better hits may be asked, kept or not: n hits take n log n steps.
+    """
+    kept, better = [], Furthest([h.first for h in hits])
     for h in sorted(hits, key=lambda h: (-rules[h.rule].priority, h.first - h.end, h.rule, h.first)):
-        own = rules[h.rule]
-        if own.base or not any(k.first <= h.first and h.end <= k.end and not rules[k.rule].base for k in kept):
+        if rules[h.rule].base:
+            kept.append(h)
+            continue
+        if better.end(h.first) < h.end:
             kept.append(h)
+        better.add(h.first, h.end)
     return sorted(kept, key=lambda h: (h.first, h.end, h.rule))
 
 
@@ -215,7 +244,9 @@ def scan(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
 
     The score is the highest priority among the kept detections, as a share of
     100; 0 without any.  Null and empty texts have no words and no labels.
-    Rows with equal ids are scanned each; other columns play no part.
+    Rows with equal ids are scanned each; a doc_id that is no number is null;
+    other columns play no part.  A text is matched whole, however long; the time
+    grows with its length and the logarithm of its hits.
     """
     rules = RULES if rules is None else rules
 
@@ -241,5 +272,5 @@ def scan(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
                         out[k] |= {"first_word": min(h.first for h in base), "last_word": max(h.first for h in base)}
                 yield pa.RecordBatch.from_pylist(out, _ARROW)
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), blank_text(F.col("text")).alias("text"))
+    rows = docs.select(F.col("doc_id").try_cast("bigint").alias("doc_id"), blank_text(F.col("text")).alias("text"))
     return rows.mapInArrow(tidy(run), RESULT)

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
+from scorewell.llm import licenses
 from scorewell.llm.licenses import BASE, RULES, Hit, Rule, count_words, detect, gated, normal, scan, suppressed
 from scorewell.llm.common import utf8
 
@@ -100,3 +101,33 @@ def test_detections_name_their_words(make):
 
 def test_empty_table(make):
     assert scan(make([(1, "a")]).where("false")).count() == 0
+
+
+def test_suppression_equals_the_plain_rule_on_random_hits():
+    """Within a kept one that is no base hit, by looking at all of them."""
+    import random
+
+    rnd = random.Random(6)
+    for _ in range(300):
+        rules = [licenses.Rule(f"r{k}", "x", rnd.choice([50, 60, 70]), "k", None, rnd.random() < 0.2) for k in range(5)]
+        hits = [licenses.Hit(a := rnd.randrange(25), a + rnd.randrange(1, 8), rnd.randrange(5)) for _ in range(rnd.randrange(30))]
+        kept = []
+        for h in sorted(hits, key=lambda h: (-rules[h.rule].priority, h.first - h.end, h.rule, h.first)):
+            if rules[h.rule].base or not any(k.first <= h.first and h.end <= k.end and not rules[k.rule].base for k in kept):
+                kept.append(h)
+        assert licenses.suppressed(hits, rules) == sorted(kept, key=lambda h: (h.first, h.end, h.rule))
+
+
+def test_time_grows_with_the_hits_of_one_text():
+    import time
+
+    def seconds(n):
+        words = ("released under the mit license and the gnu general public license version 2 " * n).split()
+        began = time.perf_counter()
+        found = licenses.detect(words)
+        assert len(found) >= 2 * n
+        return time.perf_counter() - began
+
+    seconds(500)
+    small, large = seconds(3000), seconds(24_000)  # 48,000 hits and more
+    assert large < 24 * small
