@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewell.llm.common import BLOCK_BYTES, SPACED, blank_text, mix, slices, tidy, utf8, words
+from scorewell.llm.common import BLOCK_BYTES, SPACED, blank_text, mix, removed, slices, stored, tidy, utf8, words
 
 # --- base spans ----------------------------------------------------------------------------
 
@@ -178,6 +179,8 @@ def _shift_end(data: np.ndarray, e: np.ndarray) -> np.ndarray:
 class Settings:
     #: Documents with a base span in the sample, and documents without, in expectation; of windows without a secret, one in so many is used.
     sample: int = 4000
+    #: Windows that the field is fitted on at most, in expectation: long documents have many.
+    windows: int = 65_536
     window: int = 64
     thin: int = 16
     steps: int = 80
@@ -322,20 +325,39 @@ def tagged_spans(data: np.ndarray, w: Words, tags: np.ndarray, least: int) -> di
 # --- training on a sample, scanning of all ------------------------------------------------------------
 
 
-def _gold(text: str, w: Words, rows: np.ndarray, offset: int) -> np.ndarray:
-    """Tags of a document's words by its base spans."""
+def code_points(data: np.ndarray) -> np.ndarray:
+    """How many code points of a text begin before each of its bytes, and before its end."""
+    out = np.zeros(len(data) + 1, np.int64)
+    np.cumsum((data & 0xC0) != 0x80, out=out[1:])
+    return out
+
+
+def _gold(text: str, data: np.ndarray, w: Words, rows: np.ndarray, offset: int) -> np.ndarray:
+    """Tags of a document's words (in order, apart) by its base spans; ``data`` is the text's bytes."""
     tags = np.zeros(len(rows), np.int64)
     begin, end = w.start[rows] - offset, w.end[rows] - offset
+    at = code_points(data)
     for s in base_spans(text):
-        a = len(text[: s.secret].encode())
-        b = a + len(text[s.secret : s.end].encode())
-        inside = np.flatnonzero((begin < b) & (end > a))
-        if len(inside) and not tags[inside].any():
-            tags[inside] = I
-            tags[inside[0]] = B
+        a, b = np.searchsorted(at, (s.secret, s.end), "right") - 1  # the byte that a code point begins at
+        first, last = int(np.searchsorted(end, a, "right")), int(np.searchsorted(begin, b, "left"))
+        if first < last and not tags[first:last].any():
+            tags[first:last] = I
+            tags[first] = B
     return tags
 
 
+class Covered:
+    """Which stretches of a text its base spans touch."""
+
+    def __init__(self, spans: list[Span]):
+        self.starts = [s.start for s in spans]  # sorted, as base_spans gives them
+        self.ends = np.maximum.accumulate([s.end for s in spans]).tolist() if spans else []
+
+    def touches(self, a: int, b: int) -> bool:
+        k = bisect_left(self.starts, b)
+        return k > 0 and self.ends[k - 1] > a
+
+
 def with_spans(column: pa.Array) -> np.ndarray:
     """Which of the texts have base spans."""
     out = np.zeros(len(column), bool)
@@ -364,7 +386,8 @@ def train(docs: DataFrame, s: Settings) -> Field | None:
     The sample takes documents by the hash of their id and text, those with
     and without a base span each at a rate of their own, and windows without
     a secret by the same hash and their place; so neither depends on
-    partitions.  The driver gets the features of its windows.
+    partitions.  The driver gets the features of ``windows`` windows, in expectation;
+    where the sampled documents have more, these are drawn from them by hash.
     """
     scale = 1 << 40
     place = F.pmod(F.xxhash64(F.col("doc_id"), F.length("text"), F.substring("text", 1, 64)), F.lit(scale))
@@ -388,9 +411,10 @@ def train(docs: DataFrame, s: Settings) -> Field | None:
                 edges = np.searchsorted(w.doc, np.arange(rows.num_rows + 1))
                 for k in with_base(data, offsets).tolist():
                     at = np.arange(edges[k], edges[k + 1])
-                    tags[at] = _gold(rows.column("text")[k].as_py(), w, at, int(offsets[k]))
+                    tags[at] = _gold(rows.column("text")[k].as_py(), data[offsets[k] : offsets[k + 1]], w, at, int(offsets[k]))
                 # By the document and the word's place in it: is a window that begins here used without a secret
-                thin = mix(mix(places)[w.doc] ^ (np.arange(len(tags)) - edges[w.doc]).astype(np.uint64)) % np.uint64(s.thin) == 0
+                drawn = mix(mix(places)[w.doc] ^ (np.arange(len(tags)) - edges[w.doc]).astype(np.uint64))
+                thin = drawn % np.uint64(s.thin) == 0
                 starts = np.flatnonzero(w.first)
                 out = []
                 for a, b in zip(starts, np.append(starts[1:], len(tags)), strict=True):
@@ -398,11 +422,14 @@ def train(docs: DataFrame, s: Settings) -> Field | None:
                         t = tags[c : min(c + s.window, b)]
                         if t.any() or thin[c]:
                             t = np.where((t == I) & (np.arange(len(t)) == 0), B, t)
-                            out.append({"n": len(t), "f": w.features[c : c + len(t)].astype("<i4").tobytes(), "t": t.astype("i1").tobytes()})
+                            out.append({"place": int(mix(drawn[c : c + 1])[0] >> np.uint64(24)), "n": len(t), "f": w.features[c : c + len(t)].astype("<i4").tobytes(), "t": t.astype("i1").tobytes()})
                 if out:
-                    yield pa.RecordBatch.from_pylist(out, pa.schema([("n", pa.int32()), ("f", pa.binary()), ("t", pa.binary())]))
+                    yield pa.RecordBatch.from_pylist(out, pa.schema([("place", pa.int64()), ("n", pa.int32()), ("f", pa.binary()), ("t", pa.binary())]))
 
-    got = sample.mapInArrow(tidy(run), "n int, f binary, t binary").toArrow().sort_by([("f", "ascending")])
+    windows, path = stored(sample.mapInArrow(tidy(run), "place bigint, n int, f binary, t binary"), "crf-windows")
+    share = min(1.0, s.windows / max(windows.count(), 1))
+    got = windows.where(F.col("place") < int(share * scale)).toArrow().sort_by([("f", "ascending")])
+    removed(docs.sparkSession, path)
     tags = np.frombuffer(b"".join(got.column("t").to_pylist()), np.int8).astype(np.int64)
     if not (tags == B).any():
         return None
@@ -426,11 +453,12 @@ def scan(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     """One row per document: counts and digest of the base spans, all spans, and the secrets' texts.
 
     Spans of the field that overlap a base span aren't repeated.  Null and
-    empty texts have no spans.  Rows with equal ids are scanned each; other
-    columns play no part.
+    empty texts have no spans.  Rows with equal ids are scanned each; a doc_id that
+    is no number is null; other columns play no part.  A text is read whole,
+    however long: the time grows with its length, and with the logarithm of its spans.
     """
     s = settings or Settings()
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), blank_text(F.col("text")).alias("text"))
+    rows = docs.select(F.col("doc_id").try_cast("bigint").alias("doc_id"), blank_text(F.col("text")).alias("text"))
     m = train(rows, s)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -446,12 +474,11 @@ def scan(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
                 for k in sorted({*with_base(data, offsets).tolist(), *added}):
                     text = texts[k].as_py()
                     base = base_spans(text)
-                    found = list(base)
+                    found, covered = list(base), Covered(base)
+                    points = code_points(data[offsets[k] : offsets[k + 1]]) if k in added else None
                     for a, b in added.get(k, ()):
-                        span = data[a:b].tobytes().decode()
-                        a = len(data[offsets[k] : a].tobytes().decode())  # from bytes to code points
-                        b = a + len(span)
-                        if not any(x.start < b and a < x.end for x in base):
+                        a, b = int(points[a - offsets[k]]), int(points[b - offsets[k]])
+                        if not covered.touches(a, b):
                             found.append(Span(a, 3, b, a))
                     out[k] |= {
                         "n_assign": sum(x.kind == 0 for x in base), "n_access": sum(x.kind == 1 for x in base),
