@@ -33,6 +33,8 @@ CHUNK = 256 << 10
 LEAST_BYTES = 1000
 #: Rows that join equal payloads are dealt over so many tasks a payload.
 SALTS = 32
+#: Payloads held more than once, at about 80 bytes each, that may go to all tasks: 20 MB.
+BROADCAST_COPIES = 250_000
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2026-01-01T00:00:00Z"
@@ -56,11 +58,13 @@ def with_roles(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
     """(page_id, url, html, digest, n_bytes, refers_to): refers_to is null for a response.
 
     The digests of the large payloads are grouped, never the payloads; what is
-    joined back is one row per payload that occurs more than once, repeated for
-    each salt, so that a payload held by a third of the pages spreads.
+    joined back is one row per payload that occurs more than once.  They are
+    counted: up to ``BROADCAST_COPIES`` of them go to all tasks, and no payload is
+    shuffled; more of them are repeated for each salt and meet the pages by digest
+    and salt, so that a payload held by a third of the pages spreads.
     """
     rows = pages.select(
-        F.col("page_id").cast("bigint").alias("page_id"),
+        F.col("page_id").try_cast("bigint").alias("page_id"),
         F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
         blank_text(F.col("html")).alias("html"),
     ).withColumns({"digest": F.sha1(F.col("html").cast("binary")), "n_bytes": F.octet_length("html").cast("bigint")})
@@ -70,8 +74,12 @@ def with_roles(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
         .groupBy("digest", "n_bytes").agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("keeper"))
         .where("n > 1 AND keeper IS NOT NULL").select("digest", "n_bytes", "keeper"),
         "warc-copies",
-    ).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = rows.withColumn("salt", salt).join(ids, ["digest", "n_bytes", "salt"], "left")
+    )
+    if ids.count() <= BROADCAST_COPIES:
+        joined = rows.join(F.broadcast(ids), ["digest", "n_bytes"], "left")
+    else:
+        salted = ids.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = rows.withColumn("salt", salt).join(salted, ["digest", "n_bytes", "salt"], "left")
     # A null page_id isn't equal to the keeper: such a row refers to it.
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("keeper")), F.col("keeper"))
     return joined.select("page_id", "url", "html", "digest", "n_bytes", refers.alias("refers_to"))
@@ -270,11 +278,10 @@ def records(chunks: DataFrame) -> DataFrame:
     """One row per record from its last chunk; a response whose payload doesn't match its header fails."""
     stored = F.col("record_type") == "response"
     sound = (F.col("sha1_so_far") == F.col("header_sha1")) & (F.col("bytes_so_far") == F.col("payload_bytes"))
-    return chunks.where("is_last").select(
-        "page_id",
-        F.when(stored & ~sound, F.raise_error(F.concat(F.lit("damaged record "), "record_id")).cast("bigint"))
-        .otherwise(F.col("payload_bytes")).alias("payload_bytes"),
-        F.col("header_sha1").alias("payload_digest"), "record_type", "refers_to",
+    # Part of the filter, so that it is seen whichever columns are asked for.
+    damaged = F.raise_error(F.concat(F.lit("damaged record "), "record_id")).cast("boolean")
+    return chunks.where(F.when(F.col("is_last") & stored & ~sound, damaged).otherwise(F.col("is_last"))).select(
+        "page_id", "payload_bytes", F.col("header_sha1").alias("payload_digest"), "record_type", "refers_to",
     )
 
 
@@ -283,7 +290,8 @@ def archive_table(pages: DataFrame, folder: str | None = None, least: int = LEAS
 
     Pages with a null or empty html have an empty payload.  Rows that share
     the largest page_id of a payload are all responses; a null page_id is
-    smaller than any.  Other columns play no part; an empty table gives no rows.
+    smaller than any, and one that is no number is null.  Other columns play no
+    part; an empty table gives no rows.
     """
     spark = pages.sparkSession
     folder = scratch_location(spark, "warc") if folder is None else folder

@@ -93,3 +93,26 @@ def test_registered_query_equals_its_sql(spark):
     for name, sql in oracles().items():
         got, want = compare(QUERIES[name](spark, SF_SMALL), con, sql)
         assert got == want
+
+
+def test_damage_shows_whichever_columns_are_asked_for(spark, pages):
+    """A stored payload that isn't its header's fails a count and a selection that leaves the sizes out."""
+    chunks = read_archives(spark, write_archives(pages, scratch_location(spark, "warc-test")))
+    sound = records(chunks)
+    assert sound.count() == len(ROWS) and sound.select("page_id", "record_type").count() == len(ROWS)
+    for change in ({"sha1_so_far": "'0'"}, {"bytes_so_far": "bytes_so_far + 1"}):
+        bad = records(chunks.selectExpr(*[f"{change.get(c, c)} AS {c}" for c in chunks.columns]))
+        for look in (lambda: bad.count(), lambda: bad.select("page_id", "record_type").collect()):
+            with pytest.raises(Exception, match="damaged record"):
+                look()
+
+
+def test_payloads_are_shuffled_only_beyond_the_measured_bound(pages, monkeypatch):
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    few = warc.with_roles(pages)
+    assert "broadcast" in plan(few) and "salt" not in few.columns
+    monkeypatch.setattr(warc, "BROADCAST_COPIES", 0)
+    many = warc.with_roles(pages)
+    assert "strategy=broadcast" not in plan(many)
+    key = lambda df: sorted(map(str, df.drop("html").collect()))
+    assert key(few) == key(many)
