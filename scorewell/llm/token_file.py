@@ -45,6 +45,8 @@ FOOTER = struct.Struct("<qqq8s")
 END_ID = 2
 #: Words whose ids a worker remembers.
 CACHE_WORDS = 1_000_000
+#: Characters of a text that order the rows of one id.
+SPLIT = 32
 
 # --- encoding ------------------------------------------------------------------------------
 
@@ -258,11 +260,16 @@ MANIFEST = "file string, first_id bigint, part int, docs bigint, ids bigint"
 def write_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) -> DataFrame:
     """Writes (doc_id, text) in ascending order of doc_id, a file per partition; returns the manifest.
 
-    Null ids come first; rows with the same id are ordered by their texts; a
-    null text has the end id alone.  Partitions without rows have no file.
+    Null ids come first, and an id that is no number is null; rows with the same id
+    are ordered by the first ``SPLIT`` characters of their texts, then by hash, then
+    by text; a null text has the end id alone.  Partitions without rows have no file.
+    The ranges may part the rows of one id, also equal ones, so an id that a third of
+    all rows share, or null, is written by many tasks.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), blank_text(F.col("text")).alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").try_cast("bigint").alias("doc_id"), blank_text(F.col("text")).alias("text"))
+    order = ["doc_id", F.substring("text", 1, SPLIT), F.xxhash64("text")]
+    # Equal rows go by where they come from; which of them is first makes no difference.
+    rows = rows.repartitionByRange(*order, F.monotonically_increasing_id()).sortWithinPartitions(*order, "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, first, coder, part = None, None, encoder(tokenizer), TaskContext.get().partitionId()

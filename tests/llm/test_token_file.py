@@ -108,3 +108,21 @@ def test_files_cover_the_ids_in_order(spark, make):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert [r.doc_id for r in rows] == list(range(40)) and [r.start for r in rows] == [4 * k for k in range(40)]
+
+
+def test_one_id_of_a_third_of_all_rows_is_written_by_many_tasks(spark, make, tokenizer):
+    """Null ids, some of them with equal texts: no task has much more than its share, and the order holds."""
+    rows = [(None, f"text of row {k % 400}") for k in range(1500)] + [(k, f"row {k}") for k in range(3000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = write_files(make(rows, parts=6), tokenizer_path(), scratch_location(spark, "ids"))
+        docs = [r["docs"] for r in manifest.collect()]
+        got = read_files(spark, manifest).orderBy("start").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(docs) >= 6 and max(docs) < 2 * sum(docs) / len(docs)
+    assert [r.doc_id for r in got] == [None] * 1500 + list(range(3000))
+    ends = [r.start + r.n_tokens for r in got]
+    assert [r.start for r in got] == [0, *ends[:-1]]
+    want = {(i, len(ids) + 1, zlib.crc32(np.array([*ids, 2], "<u4").tobytes())) for (i, _), ids in zip(rows, whole(tokenizer, [r[1] for r in rows]))}
+    assert {(r.doc_id, r.n_tokens, r.ids_crc32) for r in got} == want
