@@ -11,7 +11,7 @@ with one temperature, fitted on a fifth of the sample that the weights never saw
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -298,12 +298,22 @@ def language_table(docs: DataFrame, settings: Settings | None = None) -> DataFra
     return predict(rows.select("doc_id", held, "text"), model).drop("text")
 
 
-def keep_known(docs: DataFrame, least: float, settings: Settings | None = None) -> DataFrame:
+def least_probability(n_labels: int, margin: float) -> float:
+    """The share ``margin`` of the way from chance, one of ``n_labels``, to certainty."""
+    return min(1.0, 1 / n_labels + margin * (1 - 1 / n_labels))
+
+
+def keep_known(docs: DataFrame, least: float | Callable[[int], float], settings: Settings | None = None) -> DataFrame:
     """The documents whose language is found with a probability of ``least`` or more.
 
-    Learns from the documents' own lang column, as ``language_table`` does;
-    those without a letter are rejected.  Where no document has a lang, there is
-    no model to reject by and all documents with a letter stay.
+    ``least`` may depend on the number of learned labels: with ``least_probability``
+    it asks as much of a text with two labels as with fifty, as a text that says
+    nothing gets the probability of chance.  Learns
+    from the documents' own lang column, as ``language_table`` does; those without a
+    letter (null and empty texts are) are rejected.  With a single label every text
+    with a letter is in it, and where no document has a lang there is no model to
+    reject by: all documents with a letter stay.  Rows are judged each by itself,
+    repeated ones alike; columns come back as they are.
     """
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     model = train(rows, F.coalesce(fold_of(F.col("doc_id"), 4) != 2, F.lit(False)), settings)
@@ -312,4 +322,6 @@ def keep_known(docs: DataFrame, least: float, settings: Settings | None = None)
     prefix = free_prefix(docs, "langid_")
     names = (f"{prefix}label", f"{prefix}score")
     found = predict(docs, model, names=names)
+    if callable(least):
+        least = least(len(model.labels))
     return found.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least)).select(*docs.columns)
