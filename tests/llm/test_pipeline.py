@@ -70,3 +70,48 @@ def test_stages_take_odd_rows_and_keep_the_columns(spark, make, empty):
         if name != "tokens":
             assert docs.columns == columns, name
     assert docs.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and (docs.count() == 0) == empty
+
+
+LANGUAGES = {
+    "en": "the house and the garden of that man with which they have been there for you",
+    "de": "das haus und der garten von dem mann mit dem sie nicht mehr für euch waren",
+    "fr": "la maison et le jardin de cet homme avec lequel ils ont été là pour vous",
+    "es": "la casa y el jardín de ese hombre con el que ellos han estado allí para nosotros",
+}
+
+
+@pytest.mark.parametrize("n_labels", [1, 2, 4])
+def test_texts_that_say_nothing_go_whatever_the_number_of_languages(make, spark, n_labels):
+    """Planted junk is rejected by the same rule with one, two and four learned languages."""
+    import random
+
+    rnd = random.Random(n_labels)
+    rows = []
+    for lang in [*LANGUAGES][:n_labels]:
+        words = LANGUAGES[lang].split()
+        rows += [(len(rows) + k, " ".join(rnd.choices(words, k=25)), lang) for k in range(120)]
+    junk = [(5000, "1 2 3 --"), (5001, ""), (5002, None), (5003, "\n\t!")]
+    if n_labels > 1:  # with one language there is no other that a text with letters could be in
+        junk += [(5010, "zq"), (5011, "k"), (5012, "xw qz"), (5013, "Ж 77"), (5014, "7 ぬ")]
+    docs = make(rows + [(i, t, None) for i, t in junk])
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, docs, SF_SMALL).collect()}
+    assert kept == {r[0] for r in rows}
+
+
+def test_bound_of_the_language_stage_is_chance_and_a_margin():
+    from scorewell.llm.langid import least_probability
+
+    assert [round(least_probability(k, corpus_pipeline.MARGIN), 4) for k in (1, 2, 4, 50)] == [1.0, 0.5667, 0.35, 0.1507]
+    assert all(least_probability(k, 0) == 1 / k for k in (1, 2, 9))
+
+
+def test_very_long_text_passes_all_stages(spark, make):
+    """One text of 5 MB, and a line of it repeated in others."""
+    rows = [(k, f"some text of number {k} with few words and others", "en") for k in range(30)]
+    rows.append((100, " ".join(f"word{k % 9973} of line {k}" for k in range(250_000)), "en"))
+    docs = make(rows)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, SF_SMALL), name)
+    ids = {r.doc_id: r.n_tokens for r in docs.collect()}
+    assert ids.get(100, 0) > 1_000_000 or 100 not in ids  # whole, if the mix takes it
+    assert len(ids) > 0
