@@ -1,20 +1,35 @@
 """Language-model scores from a hidden Markov model over words.
 
 A text is its words (A-Z lower-cased, split at ASCII white space) and one end
-token.  Hidden states emit word classes (a hash of the word; the end token is a
-class of its own), and a class emits its words by their smoothed counts in the
-training documents, so every word has a probability and the states' share of
-the parameters stays fixed however large the vocabulary is.
-
-Baum-Welch: each iteration is a Spark job; tasks run forward-backward over
-their documents, cut into segments of ``Settings.segment`` tokens, and the
-expected counts are summed by key across partitions.  Scoring runs the scaled
-forward recursion over each whole document: the sum of the logarithms of the
-scales is its exact likelihood.
+token.  Hidden states emit words: the model has a probability for every word of the
+training documents in every state, from expected counts that Baum-Welch sums across
+partitions, a table with a row per word.
+
+The states are found in two steps.  First on word classes (a hash of the word; the
+end is a class of its own), whose counts are few and pass through the driver: each
+iteration is a job, until the likelihood settles or ``Settings.iterations`` are done.
+That model is one over words, too: a class shares its probability among its words by
+their counts, in all states alike.  From it, ``Settings.word_rounds`` iterations of
+Baum-Welch follow on the words themselves: tasks sum the expected counts of their
+words, Spark sums those by word, and the sums are joined back to each shard's words.
+
+A state's words are smoothed as the base is: half a count for each word and one for
+all unknown ones, given to the states by their share of the tokens,
+``(C[w, k] / share[k] + 0.5) / (N + 0.5 (V + 1))``; an unknown word is thus as likely
+in each state as in the base, and each state's probabilities sum to 1.
+
+For the expected counts documents are cut into segments of ``Settings.segment``
+tokens that overlap by ``Settings.lap`` on each side; every token and every move
+counts once, in the segment whose own part it lies in, and starts count at the
+documents' starts alone.  Segments go through forward and backward in groups of
+bounded size, so a text of any length takes bounded memory.  Scoring runs the scaled
+forward recursion over each whole document: the sum of the logarithms of the scales
+is its exact likelihood.
 
 Texts are tokenised once, into a stored table of blocks (documents of a few
-megabytes with a dictionary of their distinct words).  Counts join on the
-blocks' distinct words, never on single tokens.
+megabytes with a dictionary of their distinct words).  A file of that table is a
+shard; the task that needs its words' counts reads it from the shared folder, so
+only words and counts are shuffled, never the blocks.
 """
 
 from __future__ import annotations
@@ -24,12 +39,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
+from scorewell.llm import files
 from scorewell.llm.common import BLOCK_BYTES, SPACED, blank_text, fold_of, slices, tidy, utf8, words, written
 
 
@@ -37,12 +53,18 @@ from scorewell.llm.common import BLOCK_BYTES, SPACED, blank_text, fold_of, slice
 class Settings:
     states: int = 4
     class_bits: int = 12
+    #: Iterations on classes at most; fewer if a token's log10 likelihood gains less than ``settled``.
     iterations: int = 6
+    settled: float = 1e-3
+    #: Iterations on words after them.
+    word_rounds: int = 1
     #: The start's odds of staying in a state.
     stay: float = 36.0
     segment: int = 256
+    #: Tokens on each side of a segment that are looked at and not counted.
+    lap: int = 8
     seed: int = 5
-    #: Added to each expected count.
+    #: Added to each expected count of starts, moves and classes.
     prior: float = 0.1
 
 
@@ -50,7 +72,9 @@ class Settings:
 class Hmm:
     start: np.ndarray  # states
     move: np.ndarray  # states x states
-    emit: np.ndarray  # classes and the end x states
+    emit: np.ndarray  # classes (or words) and the end x states
+    #: How a segment begins that is no document's start; None: as a document does.
+    cut: np.ndarray | None = None
 
 
 def word_class(h: np.ndarray, s: Settings) -> np.ndarray:
@@ -143,31 +167,92 @@ def forward(m: Hmm, seq: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np
     return out
 
 
-def expected(m: Hmm, seq: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Expected counts of starts, moves and emissions, and the log10 likelihood."""
-    order, active = _by_length(lens)
-    at, s = starts[order], len(m.start)
-    alphas, scales, a = [], [], None
+@dataclass
+class Parts:
+    """Sequences to count over: segments with laps."""
+
+    starts: np.ndarray
+    lens: np.ndarray
+    lo: np.ndarray  # the part that counts: tokens lo to hi of the sequence
+    hi: np.ndarray
+    begins: np.ndarray  # is the first token a document's
+
+    def groups(self, most: int) -> Iterator[Parts]:
+        """The same in runs of about ``most`` tokens (one sequence at least)."""
+        ends, at = np.cumsum(self.lens), 0
+        while at < len(self.lens):
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+            yield Parts(*(x[at:end] for x in (self.starts, self.lens, self.lo, self.hi, self.begins)))
+            at = end
+
+
+def lapped(starts: np.ndarray, lens: np.ndarray, size: int, lap: int) -> Parts:
+    """Documents in segments of ``size`` tokens, each with up to ``lap`` more on both sides."""
+    at, own = segments(starts, lens, size)
+    n = -(-lens // size)
+    first, end = np.repeat(starts, n), np.repeat(starts + lens, n)
+    low, high = np.maximum(at - lap, first), np.minimum(at + own + lap, end)
+    return Parts(low, high - low, at - low, at - low + own, at == first)
+
+
+def expected(m: Hmm, seq: np.ndarray, starts: np.ndarray, lens: np.ndarray, parts: Parts | None = None,
+             count_as: np.ndarray | None = None, size: int | None = None) -> tuple[np.ndarray, ...]:
+    """Expected counts of starts, moves and emissions, and the log10 likelihood.
+
+    Over whole sequences, or over the counted tokens of ``parts``: with each token
+    the move that leads to it.  Emissions are counted by the token, or by what
+    ``count_as`` says for its place, up to ``size``.
+    """
+    if parts is None:
+        parts = Parts(starts, lens, np.zeros_like(lens), lens, np.ones(len(lens), bool))
+    count_as, size = (seq, len(m.emit)) if count_as is None else (count_as, size)
+    order, active = _by_length(parts.lens)
+    at, s = parts.starts[order], len(m.start)
+    lo, hi, begins = parts.lo[order], parts.hi[order], parts.begins[order]
+    first = m.start if m.cut is None else np.where(begins[:, None], m.start, m.cut)
+    alphas, scales, a, ll = [], [], None, 0.0
     for t, n in enumerate(active):
-        a = (m.start if a is None else a[:n] @ m.move) * m.emit[seq[at[:n] + t]]
+        a = (first if a is None else a[:n] @ m.move) * m.emit[seq[at[:n] + t]]
         scale = a.sum(axis=1)
         a = a / scale[:, None]
         alphas.append(a)
         scales.append(scale)
+        ll += np.log10(scale[(lo[:n] <= t) & (t < hi[:n])]).sum()
     moves, symbols, gammas = np.zeros((s, s)), [], []
-    b = np.zeros((0, s))
+    b, begun = np.zeros((0, s)), np.zeros(s)
     for t in range(len(active) - 1, -1, -1):
         n, nxt = active[t], len(b)
         here = np.ones((n, s))
         if nxt:  # b: of the sequences that go on, emission times backward over scale at t + 1
             here[:nxt] = b @ m.move.T
-            moves += alphas[t][:nxt].T @ b
-        gammas.append(alphas[t] * here)
-        symbols.append(seq[at[:n] + t])
-        b = m.emit[symbols[-1]] * here / scales[t][:, None]
-    gamma, symbol = np.concatenate(gammas), np.concatenate(symbols)
-    emit = np.stack([np.bincount(symbol, gamma[:, k], len(m.emit)) for k in range(s)], axis=1)
-    return gammas[-1].sum(axis=0), moves * m.move, emit, sum(np.log10(x).sum() for x in scales)
+            counts = (lo[:nxt] <= t + 1) & (t + 1 < hi[:nxt])
+            moves += alphas[t][:nxt].T @ (b * counts[:, None])
+        own = (lo[:n] <= t) & (t < hi[:n])
+        gamma = alphas[t] * here
+        gammas.append(gamma[own])
+        symbols.append(count_as[(at[:n] + t)[own]])
+        if t == 0:
+            begun = gamma[begins[:n]].sum(axis=0)
+        b = m.emit[seq[at[:n] + t]] * here / scales[t][:, None]
+    gamma, symbol = np.concatenate([*gammas, np.zeros((0, s))]), np.concatenate([*symbols, np.zeros(0, np.int64)])
+    emit = np.stack([np.bincount(symbol, gamma[:, k], size) for k in range(s)], axis=1)
+    return begun, moves * m.move, emit, ll
+
+
+#: Tokens that go through forward and backward together.
+GROUP = 1 << 20
+
+
+def expected_of_documents(m: Hmm, seq: np.ndarray, starts: np.ndarray, lens: np.ndarray, s: Settings,
+                          count_as: np.ndarray | None = None, size: int | None = None) -> tuple[np.ndarray, ...]:
+    """``expected`` over documents cut into segments, group by group."""
+    size = len(m.emit) if size is None else size
+    k = len(m.start)
+    total = [np.zeros(k), np.zeros((k, k)), np.zeros((size, k)), 0.0]
+    for group in lapped(starts, lens, s.segment, s.lap).groups(GROUP):
+        for n, x in enumerate(expected(m, seq, group.starts, group.lens, group, seq if count_as is None else count_as, size)):
+            total[n] += x
+    return tuple(total)
 
 
 def segments(starts: np.ndarray, lens: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -191,7 +276,7 @@ def _packed(start: np.ndarray, moves: np.ndarray, emit: np.ndarray, ll: float) -
 
 
 def iterate(blocks: DataFrame, m: Hmm, s: Settings) -> tuple[Hmm, float]:
-    """One Baum-Welch iteration: (new model, log10 likelihood of the segments under the old one)."""
+    """One Baum-Welch iteration on classes: (new model, log10 likelihood of the training documents under the old one)."""
     k, end = s.states, 1 << s.class_bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,8 +288,7 @@ def iterate(blocks: DataFrame, m: Hmm, s: Settings) -> tuple[Hmm, float]:
                     continue
                 classes = word_class(np.array(row["words"], np.int64).view(np.uint64), s)
                 seq, starts = with_end(classes[x.tokens], x.lens, end)
-                at, lens = segments(starts[x.learn], x.lens[x.learn] + 1, s.segment)
-                total += _packed(*expected(m, seq, at, lens))
+                total += _packed(*expected_of_documents(m, seq, starts[x.learn], x.lens[x.learn] + 1, s))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["at", "value"])
 
@@ -214,17 +298,221 @@ def iterate(blocks: DataFrame, m: Hmm, s: Settings) -> tuple[Hmm, float]:
     total[found.column("at").to_numpy()] = found.column("value").to_numpy()
     start, moves, emit = np.split(total[:-1] + s.prior, [k, k + k * k])
     moves, emit = moves.reshape(k, k), emit.reshape(-1, k)
-    return Hmm(start / start.sum(), moves / moves.sum(axis=1, keepdims=True), emit / emit.sum(axis=0)), total[-1]
+    shares = emit.sum(axis=0) / emit.sum()
+    return Hmm(start / start.sum(), moves / moves.sum(axis=1, keepdims=True), emit / emit.sum(axis=0), shares), total[-1]
 
 
-def baum_welch(blocks: DataFrame, s: Settings) -> tuple[Hmm, list[float]]:
+def baum_welch(blocks: DataFrame, s: Settings, tokens: int = 0) -> tuple[Hmm, list[float]]:
+    """The model on classes, and the likelihood before each iteration; ``tokens``: of training, to see when it settles."""
     m, history = initial(s), []
     for _ in range(s.iterations):
         m, ll = iterate(blocks, m, s)
         history.append(ll)
+        if tokens and len(history) > 1 and ll - history[-2] < s.settled * tokens:
+            break
     return m, history
 
 
+# --- words: their counts in each state ----------------------------------------------------------------
+#
+# Rows of a shard (a file of the blocks): one per distinct word, with its training count
+# and its expected counts in all states but the last, which has the rest; and rows without
+# a word: the file's name, and the starts, moves and likelihood by place.
+
+
+def _columns(s: Settings) -> list[str]:
+    return [f"c{k}" for k in range(s.states - 1)]
+
+
+def _schema(s: Settings) -> str:
+    return "shard bigint, word bigint, train bigint, " + ", ".join(f"{c} double" for c in _columns(s)) + ", file string, place int, value double"
+
+
+class ShardCounts:
+    """The expected counts of one file's words, as its blocks come."""
+
+    def __init__(self, s: Settings):
+        self.s, self.parts, self.rest = s, [], np.zeros(2 * s.states + s.states**2 + 1)
+
+    def add(self, words_: np.ndarray, train: np.ndarray, counts: np.ndarray | None, stats: np.ndarray | None) -> None:
+        none = np.zeros((len(words_), self.s.states - 1), np.float32)
+        self.parts.append((words_, train, none if counts is None else counts[:, :-1].astype(np.float32)))
+        if stats is not None:
+            self.rest += stats
+        if len(self.parts) == 16:
+            self.parts = [self.merged()]
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        words_, train, counts = (np.concatenate(x) for x in zip(*self.parts))
+        if not len(words_):
+            return words_, train, counts
+        order = np.argsort(words_, kind="stable")
+        words_ = words_[order]
+        first = np.flatnonzero(np.concatenate([[True], words_[1:] != words_[:-1]]))
+        return words_[first], np.add.reduceat(train[order], first), np.add.reduceat(counts[order], first, axis=0)
+
+    def batches(self, shard: int, file: str) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema(
+            [("shard", pa.int64()), ("word", pa.int64()), ("train", pa.int64()), *((c, pa.float64()) for c in _columns(self.s)),
+             ("file", pa.string()), ("place", pa.int32()), ("value", pa.float64())]
+        )
+        yield pa.RecordBatch.from_pylist([{"shard": shard, "file": file}, *({"shard": shard, "place": k, "value": v} for k, v in enumerate(self.rest.tolist()) if v)], schema)
+        words_, train, counts = self.merged()
+        for k in range(0, len(words_), 1 << 16):
+            end = min(k + (1 << 16), len(words_))
+            nulls = [pa.nulls(end - k, schema.field(c).type) for c in ("file", "place", "value")]
+            cols = [pa.array(counts[k:end, c].astype(np.float64)) for c in range(counts.shape[1])]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(end - k, shard)), pa.array(words_[k:end]), pa.array(train[k:end]), *cols, *nulls], schema=schema)
+
+
+def _stats(start: np.ndarray, moves: np.ndarray, emit: np.ndarray, ll: float) -> np.ndarray:
+    """Starts, moves, ends by state, and the likelihood."""
+    return np.concatenate([start, moves.ravel(), emit[-1], [ll]])
+
+
+def class_counts(blocks: DataFrame, m: Hmm, s: Settings) -> DataFrame:
+    """The shards' words with their expected counts under the model on classes."""
+    end = 1 << s.class_bits
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, at = None, (0, "")
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                if held is not None and at[1] != row["file"]:
+                    yield from held.batches(*at)
+                    held = None
+                held, at = held or ShardCounts(s), (row["shard"], row["file"])
+                words_, train = (batch.column(c).slice(k, 1).flatten().to_numpy() for c in ("words", "train"))
+                x = open_block(row)
+                counts = stats = None
+                if x.learn.any():
+                    classes = word_class(words_.view(np.uint64), s)
+                    seq, starts = with_end(classes[x.tokens], x.lens, end)
+                    places, _ = with_end(x.tokens.astype(np.int64), x.lens, len(words_))
+                    start, moves, emit, ll = expected_of_documents(m, seq, starts[x.learn], x.lens[x.learn] + 1, s, places, len(words_) + 1)
+                    counts, stats = emit[:-1], _stats(start, moves, emit, ll)
+                held.add(words_, train, counts, stats)
+        if held is not None:
+            yield from held.batches(*at)
+
+    file = F.input_file_name()
+    rows = blocks.select("lens", "tokens", "learn", "words", "train", file.alias("file"), F.xxhash64(file).alias("shard"))
+    return rows.mapInArrow(tidy(run), _schema(s))
+
+
+@dataclass
+class WordModel:
+    """Starts, moves and what the words' probabilities need besides their counts."""
+
+    start: np.ndarray
+    move: np.ndarray
+    shares: np.ndarray  # of the tokens, by state
+    n: int  # training tokens, ends included
+    v: int  # distinct ones
+    ends: np.ndarray  # expected counts of the end, by state
+    n_ends: int
+
+    def emissions(self, train: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Words (and, last, the end) x states, from their counts and the expected counts in all states but the last."""
+        full = np.concatenate([counts, np.maximum(train - counts.sum(axis=1), 0)[:, None]], axis=1)
+        full = np.concatenate([full, self.ends[None]])
+        return (full / self.shares + 0.5) / (self.n + 0.5 * (self.v + 1))
+
+    def base(self, train: np.ndarray) -> np.ndarray:
+        return np.log10((train + 0.5) / (self.n + 0.5 * (self.v + 1)))
+
+
+def word_model(counted: DataFrame, totals: DataFrame, n_ends: int, s: Settings) -> tuple[WordModel, float]:
+    """The model's numbers from the stored counts, and the likelihood that they were counted under.
+
+    The driver gets the sums over all words and 2 ``states`` + ``states``^2 + 1 numbers.
+    """
+    k, cols = s.states, _columns(s)
+    stats = np.zeros(2 * k + k * k + 1)
+    for r in counted.where("place IS NOT NULL").groupBy("place").agg(F.sum("value").alias("value")).collect():
+        stats[r["place"]] = r["value"]
+    sums = totals.agg(F.sum("train").alias("train"), F.count_if(F.col("train") > 0).alias("v"), *[F.sum(c).alias(c) for c in cols]).first()
+    n_words = sums["train"] or 0
+    per_state = np.array([sums[c] or 0.0 for c in cols])
+    per_state = np.append(per_state, max(n_words - per_state.sum(), 0.0))
+    start, moves, ends = stats[:k], stats[k : k + k * k].reshape(k, k), stats[k + k * k : -1]
+    shares = (per_state + ends + s.prior) / (per_state + ends + s.prior).sum()
+    start, moves = start + s.prior, moves + s.prior
+    m = WordModel(start / start.sum(), moves / moves.sum(axis=1, keepdims=True), shares, n_words + n_ends, sums["v"] + (n_ends > 0), ends, n_ends)
+    return m, float(stats[-1])
+
+
+def joined(counted: DataFrame, totals: DataFrame, s: Settings) -> DataFrame:
+    """Each shard's words with their counts in the whole corpus, and the row with its file.
+
+    A common word has one row a shard; the join may split them, as Spark sees fit.
+    The rows are few for the work that a shard is, so their partitions are as many as
+    shards ask for, not as their bytes do.
+    """
+    mine = counted.where("word IS NOT NULL").select("shard", "word").join(totals, "word")
+    names = counted.where("file IS NOT NULL").select("shard", "file")
+    n_shards = names.count()
+    empty = [F.lit(None).cast("bigint").alias("train"), *[F.lit(None).cast("double").alias(c) for c in _columns(s)]]
+    rows = mine.select("shard", "word", "train", *_columns(s), F.lit(None).cast("string").alias("file")).unionByName(
+        names.select("shard", F.lit(None).cast("bigint").alias("word"), *empty, "file")
+    )
+    return rows.repartition(max(1, 2 * n_shards), "shard")
+
+
+@dataclass
+class ShardWords:
+    """A shard's words in order, with their probabilities."""
+
+    words: np.ndarray
+    train: np.ndarray
+    emit: np.ndarray
+    file: str
+
+    @classmethod
+    def of(cls, group: pa.Table, m: WordModel, s: Settings) -> ShardWords:
+        rows = group.filter(pc.is_valid(group.column("word")))
+        order = np.argsort(rows.column("word").to_numpy(), kind="stable")
+        words_, train = (rows.column(c).to_numpy()[order] for c in ("word", "train"))
+        # A file that two tasks read has a word twice, with the same sums.
+        once = np.concatenate([[True], words_[1:] != words_[:-1]])[: len(words_)]
+        counts = np.stack([rows.column(c).to_numpy()[order] for c in _columns(s)], axis=1)[once] if s.states > 1 else np.zeros((int(once.sum()), 0))
+        file = group.column("file").drop_null()[0].as_py()
+        return cls(words_[once], train[once], m.emissions(train[once], counts), file)
+
+    def places(self, words_: np.ndarray) -> np.ndarray:
+        """Where a block's words are; the end of a text is at the last place of ``emit``."""
+        return np.searchsorted(self.words, words_)
+
+
+def blocks_of(file: str) -> Iterator[dict]:
+    """The blocks of a stored file, one at a time."""
+    with files.open_input(file) as source:
+        for batch in pq.ParquetFile(source).iter_batches(batch_size=1):
+            row = batch.drop_columns(["words", "train"]).to_pylist()[0]
+            yield row | {"words": batch.column("words").flatten().to_numpy()}
+
+
+def word_counts(rows: DataFrame, m: WordModel, s: Settings) -> DataFrame:
+    """The shards' words with their expected counts under the model on words."""
+
+    def run(group: pa.Table) -> pa.Table:
+        mine, held, shard = ShardWords.of(group, m, s), ShardCounts(s), group.column("shard")[0].as_py()
+        model, end = Hmm(m.start, m.move, mine.emit, m.shares), len(mine.words)
+        for row in blocks_of(mine.file):
+            x, own = open_block(row), mine.places(row["words"])
+            train = np.bincount(own[x.tokens[np.repeat(x.learn, x.lens)]], minlength=end)
+            counts = stats = None
+            if x.learn.any():
+                seq, starts = with_end(own[x.tokens], x.lens, end)
+                start, moves, emit, ll = expected_of_documents(model, seq, starts[x.learn], x.lens[x.learn] + 1, s)
+                counts, stats = emit[:-1], _stats(start, moves, emit, ll)
+            held.add(mine.words, train, counts, stats)
+        return pa.Table.from_batches([*held.batches(shard, mine.file)])
+
+    return rows.groupBy("shard").applyInArrow(run, _schema(s))
+
+
 # --- scoring ---------------------------------------------------------------------------------------
 
 RESULT = (
@@ -233,73 +521,60 @@ RESULT = (
 )
 
 
+def block_scores(row: dict, mine: ShardWords, m: WordModel) -> pa.RecordBatch:
+    x, own = open_block(row), mine.places(row["words"])
+    end = len(mine.words)
+    before = np.concatenate([[0], np.cumsum(x.lens)])
+    known = np.concatenate([[0], np.cumsum((mine.train > 0)[own][x.tokens])])
+    exact = np.add.reduceat(np.append(m.base(mine.train)[own][x.tokens], 0.0), before[:-1]) * (x.lens > 0)
+    seq, starts = with_end(own[x.tokens], x.lens, end)
+    model = Hmm(m.start, m.move, mine.emit)
+    null = np.frombuffer(row["null_ids"], bool)
+    columns = [
+        pa.array(np.frombuffer(row["ids"], "<i8"), mask=null), pa.array(np.frombuffer(row["held"], bool)), pa.array(x.lens + 1),
+        pa.array(np.diff(known[before]) + (m.n_ends > 0)), pa.array(np.full(len(x.lens), m.n)),
+        pa.array(exact + m.base(np.array([m.n_ends]))[0]), pa.array(np.minimum(forward(model, seq, starts, x.lens + 1), 0.0)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in RESULT.split(", ")])
+
+
+def trained(blocks: DataFrame, n_ends: int, s: Settings) -> tuple[WordModel, DataFrame, list[float]]:
+    """(the model, each shard's words with their counts, log10 likelihoods of the training documents
+    before each iteration on classes and then under the model that each iteration on words began with)."""
+    tokens = n_ends + (blocks.select(F.sum(F.aggregate("train", F.lit(0).cast("bigint"), lambda a, x: a + x))).first()[0] or 0)
+    m, history = baum_welch(blocks, s, tokens)
+    counted = written(class_counts(blocks, m, s), "hmm-counts")
+    for k in range(max(1, s.word_rounds)):
+        sums = [F.sum(c).alias(c) for c in ("train", *_columns(s))]
+        totals = written(counted.where("word IS NOT NULL").groupBy("word").agg(*sums), "hmm-totals")
+        found, ll = word_model(counted, totals, n_ends, s)
+        history.append(ll)
+        rows = joined(counted, totals, s)
+        if k + 1 < s.word_rounds:
+            counted = written(word_counts(rows, found, s), "hmm-counts")
+    return found, rows, history
+
+
 def score(docs: DataFrame, learn: Column, held_out: Column, settings: Settings | None = None) -> DataFrame:
     """Base and model scores of all documents (doc_id, text); the model learns where ``learn`` is true.
 
     Null and empty texts are the end token alone.  Without training documents
-    N and V are 0 and the model is its seeded start.  Rows with equal ids are
-    scored each; other columns play no part.
+    N and V are 0 and every token has probability 1.  A doc_id that is no number is
+    null; rows with equal ids are scored each; other columns play no part.
     """
     s = settings or Settings()
     rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), blank_text(F.col("text")).alias("text"),
+        F.col("doc_id").try_cast("bigint").alias("doc_id"), blank_text(F.col("text")).alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"), F.coalesce(learn, F.lit(False)).alias("learn"),
     )
     blocks = written(make_blocks(rows), "hmm-blocks")
-    m, _ = baum_welch(blocks, s)
+    m, words_, _ = trained(blocks, rows.where("learn").count(), s)
 
-    # A word has one row per block that holds it; its rows meet once, to be summed up.
-    by_word = Window.partitionBy("word")
-    places = blocks.select("block", F.posexplode(F.arrays_zip("words", "train")).alias("place", "x")).select(
-        "block", "place", F.col("x.words").alias("word"), F.col("x.train").alias("train")
-    )
-    counted = written(places.withColumn("c", F.sum("train").over(by_word)).withColumn(
-        "first", F.row_number().over(by_word.orderBy("block")) == 1), "hmm-counts")
-    end = 1 << s.class_bits
-    shift = F.shiftrightunsigned("word", 64 - s.class_bits).cast("int")
-    of_class = (
-        counted.where("first AND c > 0").groupBy(shift.alias("class"))
-        .agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()
-    )  # at most one row a class
-    c_class, v_class = np.zeros(end, np.int64), np.zeros(end, np.int64)
-    for r in of_class:
-        c_class[r["class"]], v_class[r["class"]] = r["c"], r["v"]
-    ends = rows.where("learn").count()
-    n_all, v_all = int(c_class.sum()) + ends, int(v_class.sum()) + (ends > 0)
-
-    def block_scores(row: dict, counts: np.ndarray) -> pd.DataFrame:
-        x = open_block(row)
-        h = np.array(row["words"], np.int64).view(np.uint64)
-        classes = word_class(h, s)
-        word_base = np.log10((counts + 0.5) / (n_all + 0.5 * (v_all + 1)))
-        word_own = np.log10((counts + 0.5) / (c_class[classes] + 0.5 * (v_class[classes] + 1)))
-        sums = lambda v: np.diff(np.concatenate([[0.0], np.cumsum(v)])[np.concatenate([[0], np.cumsum(x.lens)])])
-        exact = lambda v: np.add.reduceat(np.append(v, 0.0), np.cumsum(x.lens) - x.lens) * (x.lens > 0)
-        seq, starts = with_end(classes[x.tokens], x.lens, end)
-        ids = np.frombuffer(row["ids"], "<i8")
-        null = np.frombuffer(row["null_ids"], bool)
-        return pd.DataFrame({
-            "doc_id": pd.array(ids, "Int64").copy() if not null.any() else pd.array(np.where(null, None, ids), "Int64"),
-            "held_out": np.frombuffer(row["held"], bool), "n_tokens": x.lens + 1,
-            "n_known": sums((counts > 0)[x.tokens].astype(float)).astype(np.int64) + (ends > 0),
-            "train_tokens": n_all,
-            "base_score": exact(word_base[x.tokens]) + np.log10((ends + 0.5) / (n_all + 0.5 * (v_all + 1))),
-            "score": forward(m, seq, starts, x.lens + 1) + exact(word_own[x.tokens]),
-        })
-
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for row in left.to_dict("records"):
-            counts = np.zeros(len(row["words"]), np.int64)
-            counts[right["place"].to_numpy()] = right["c"].to_numpy()
-            out.append(block_scores(row, counts))
-        return pd.concat(out) if out else pd.DataFrame({c.split()[0]: [] for c in RESULT.split(", ")})
-
-    return (
-        blocks.drop("train").groupBy("block")
-        .cogroup(counted.select("block", "place", "c").groupBy("block"))
-        .applyInPandas(run, RESULT)
-    )
+    def run(group: pa.Table) -> pa.Table:
+        mine = ShardWords.of(group, m, s)
+        return pa.Table.from_batches([block_scores(row, mine, m) for row in blocks_of(mine.file)])
+
+    return words_.groupBy("shard").applyInArrow(run, RESULT)
 
 
 def score_table(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
