@@ -5,15 +5,21 @@ A-Z lower-cased).  A document is contaminated by an item if one of its
 passages can be turned into the whole item with at most ``Settings.share`` of
 the item's words inserted, deleted or replaced.
 
-Candidates come from windows of a few words, by a shape (words, stride, walks,
-samples) that depends on the item's length: the first of ``Settings.shapes`` whose
-recall at the full number of edits, simulated on random words, reaches
-``Settings.recall``.  Each window of an item, and every ``stride``-th of a document, goes
-through CGK random walks (the walk repeats or advances a word by a coin that
-the step and the word decide, so that few edits change few of its outputs: edit
-distance becomes Hamming distance).  Of each walk some outputs are sampled into a
-hash key; equal keys make a candidate.  Each candidate is verified by the exact edit distance
-between the item and the passage around the window.
+Items are sought by length, each with windows of its own size: of a document, the
+windows of that many words in which enough words are those items' at all.  (A passage
+within the allowed edits misses one word for each edit at most, so the window at its
+start always has enough.)  Each goes through CGK random walks (the walk repeats
+or advances a word by a coin that the step and the word decide, so that few edits
+change few of its outputs: edit distance becomes Hamming distance).  Of each walk's
+outputs some are sampled into a hash key, several times; an equal key makes a
+candidate.  There are as many walks as it takes for the share of passages at the
+full number of edits that become candidates, simulated on random words for each
+length, to reach ``Settings.recall``.  Each candidate is verified by the exact
+edit distance between the item and the passage around the window.
+
+Lengths above ``Settings.exact`` words are taken together in classes that differ by a
+tenth at most; their windows have the size of the shortest, and of a longer item
+its first words.
 
 Items travel to the documents in blocks of bounded size, so documents are never
 shuffled and no pair of texts is formed that shares no key.
@@ -22,7 +28,7 @@ shuffled and no pair of texts is formed that shares no key.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -37,16 +43,19 @@ from scorewell.llm.common import ALNUM, blank_text, mix, slices, tidy, utf8, wor
 class Settings:
     #: Edits allowed, as a share of the item's words.
     share: float = 0.2
-    #: Words of a window, step between a document's windows, walks and samples; from the cheapest to the surest.
-    shapes: tuple[tuple[int, int, int, int], ...] = ((8, 4, 6, 6), (4, 1, 6, 6), (3, 1, 6, 4), (2, 1, 6, 3), (1, 1, 1, 2))
+    #: Outputs of a walk in a key, and keys of a walk.
+    samples: int = 3
+    sets: int = 3
+    #: Walks at most.
+    walks: int = 32
     #: Least share of edited passages, of each item length, that must become candidates; measured on so many random items.
     recall: float = 0.95
-    trials: int = 500
-    samples: int = 6
-    #: Words of a window that no item has, at most; more edits than that in one window aren't sought.
-    strangers: int = 3
+    trials: int = 300
+    #: Lengths that have windows of exactly their size; longer ones share windows within this ratio.
+    exact: int = 32
+    ratio: float = 1.1
     #: Words of items sent to the documents at once.
-    block_words: int = 200_000
+    block_words: int = 1_000_000
     seed: int = 29
 
 
@@ -55,27 +64,34 @@ class Settings:
 PAD = np.uint64(0x2545F4914F6CDD1D)
 
 
-def walk_keys(h: np.ndarray, at: np.ndarray, size: int, walk: int, s: Settings) -> np.ndarray:
-    """Keys of the windows of ``size`` words that start at ``at``: sampled outputs of one CGK walk."""
+def walk_key_sets(h: np.ndarray, at: np.ndarray, size: int, walk: int, s: Settings, ends: np.ndarray | None = None) -> list[np.ndarray]:
+    """Keys of the windows of ``size`` words that start at ``at``, from outputs of one CGK walk sampled ``sets`` times.
+
+    A window that reaches beyond its text's end (``ends``) goes on with padding.
+    """
     rng = np.random.default_rng([s.seed, size, walk])
-    coins = rng.integers(1, 2**63, 3 * size, dtype=np.uint64) | np.uint64(1)
     steps = 2 * size  # by then about half of the walks have read the whole window
-    picked = set(rng.choice(steps, min(s.samples, steps), replace=False).tolist())
-    place, key = np.zeros(len(at), np.int64), np.full(len(at), walk, np.uint64)
+    coins = rng.integers(1, 2**63, steps, dtype=np.uint64) | np.uint64(1)
+    picked = [frozenset(rng.choice(steps, min(s.samples, steps), replace=False).tolist()) for _ in range(s.sets)]
+    length = size if ends is None else np.minimum(size, ends - at)
+    place, keys = np.zeros(len(at), np.int64), [np.full(len(at), walk * s.sets + k, np.uint64) for k in range(s.sets)]
     with np.errstate(over="ignore"):
-        for j in range(max(picked) + 1):
-            word = np.where(place < size, h[np.minimum(at + place, len(h) - 1)], PAD)
-            if j in picked:
-                key = (key ^ word) * np.uint64(0x9E3779B97F4A7C15)
-                key ^= key >> np.uint64(29)
+        for j in range(1 + max(max(p) for p in picked)):
+            word = np.where(place < length, h[np.minimum(at + place, len(h) - 1)], PAD)
+            for k, p in enumerate(picked):
+                if j in p:
+                    key = (keys[k] ^ word) * np.uint64(0x9E3779B97F4A7C15)
+                    keys[k] = key ^ (key >> np.uint64(29))
             place += ((word * coins[j]) >> np.uint64(63)).astype(np.int64)
-    return mix(key)
+    return [mix(key) for key in keys]
 
 
-# --- shapes of windows ----------------------------------------------------------------------------
+def walk_keys(h: np.ndarray, at: np.ndarray, size: int, walk: int, s: Settings) -> np.ndarray:
+    """The first of a walk's keys of each window."""
+    return walk_key_sets(h, at, size, walk, s)[0]
+
 
-#: Items of more words take the shape of this many: with their length they only gain windows.
-LONGEST_TRIAL = 64
+# --- how many walks ---------------------------------------------------------------------------------
 
 
 def edited(item: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
@@ -92,49 +108,48 @@ def edited(item: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray
     return np.array(w, np.uint64)
 
 
-def simulated_recall(n: int, shape: tuple[int, int, int, int], s: Settings) -> float:
-    """Share of items of ``n`` random words that share a key with their passage at the full number of edits."""
-    size, stride, walks, samples = shape
-    rng, most = np.random.default_rng([s.seed, n]), int(s.share * n)
-    text, body, owner, places, windows, whose = [], [], [], [], [], []
-    base = lead = 0
-    for k in range(s.trials):
+def size_of(n: int, s: Settings) -> int:
+    """The size of the windows by which items of ``n`` words are sought."""
+    if n <= s.exact:
+        return n
+    size = s.exact + 1
+    while (longer := max(size + 1, int(size * s.ratio))) <= n:
+        size = longer
+    return size
+
+
+def simulated_recall(n: int, s: Settings) -> list[float]:
+    """By number of walks: the share of items of ``n`` random words that share a key with their passage at
+    the full number of edits, found as ``candidates`` does among other words."""
+    rng, most, size = np.random.default_rng([s.seed, n]), int(s.share * n), size_of(n, s)
+    items, bodies, windows = [], [], []
+    lead = 0
+    for _ in range(s.trials):
         item = rng.integers(1, 2**63, n, dtype=np.uint64)
-        passage = edited(item, most, rng)
-        around = rng.integers(1, 2**63, 2 * size + stride, dtype=np.uint64)
-        before = size + int(rng.integers(stride))
-        doc = np.concatenate([around[:before], passage, around[before:]])
-        at, places_of = np.arange(0, len(doc) - size + 1, stride), np.arange(n - size + 1)
-        windows.append(at + lead)
-        whose.append(np.full(len(at), k))
-        places.append(places_of + base)
-        owner.append(np.full(len(places_of), k))
-        text.append(item)
-        body.append(doc)
-        base, lead = base + n, lead + len(doc)
-    text, body, owner, whose = (np.concatenate(v) for v in (text, body, owner, whose))
-    places, windows, found = np.concatenate(places), np.concatenate(windows), np.zeros(s.trials, bool)
-    for w in range(walks):
-        a = walk_keys(text, places, size, w, replace(s, samples=samples)) ^ mix(owner.astype(np.uint64))
-        b = walk_keys(body, windows, size, w, replace(s, samples=samples)) ^ mix(whose.astype(np.uint64))
-        found[whose[np.isin(b, a)]] = True
-    return float(found.mean())
+        around = rng.integers(1, 2**63, 2 * n, dtype=np.uint64)
+        doc = np.concatenate([around[:n], edited(item, most, rng), around[n:]])
+        windows.append(gated(np.concatenate([[0], np.cumsum(np.isin(doc, item))]), size, most) + lead)
+        items.append(item)
+        bodies.append(doc)
+        lead += len(doc)
+    text, body, at = np.concatenate(items), np.concatenate(bodies), np.concatenate(windows)
+    whose = np.repeat(np.arange(s.trials), [len(w) for w in windows])
+    ends = np.cumsum([len(b) for b in bodies])[whose]
+    found, share = np.zeros(s.trials, bool), []
+    for w in range(s.walks):
+        mine = walk_key_sets(text, np.arange(s.trials) * n, size, w, s)
+        for a, b in zip(mine, walk_key_sets(body, at, size, w, s, ends), strict=True):
+            found[whose[a[whose] == b]] = True
+        share.append(float(found.mean()))
+        if share[-1] >= s.recall:
+            break
+    return share
 
 
 @lru_cache(maxsize=None)
-def shape_of(n: int, s: Settings) -> tuple[int, int, int, int]:
-    """The shape for items of ``n`` words; if none reaches the recall, the one that comes nearest."""
-    n = min(n, LONGEST_TRIAL)
-    most, tried = int(s.share * n), []
-    for shape in s.shapes:
-        size, stride, walks, samples = shape
-        if size + stride - 1 > n - most:
-            continue
-        got = 1.0 if not most else simulated_recall(n, shape, s)
-        if got >= s.recall:
-            return shape
-        tried.append((got, shape))
-    return max(tried)[1] if tried else (1, 1, 1, 2)
+def walks_for(n: int, s: Settings) -> int:
+    """Walks that items of ``n`` words need for the recall, ``Settings.walks`` at most."""
+    return 1 if not int(s.share * n) else len(simulated_recall(n, s))
 
 
 # --- items ----------------------------------------------------------------------------------------
@@ -142,15 +157,16 @@ def shape_of(n: int, s: Settings) -> tuple[int, int, int, int]:
 
 @dataclass
 class Keys:
-    """Sorted keys of the items' windows of one size, whose they are and where in the item."""
+    """Sorted keys of the items of one class, and whose they are."""
 
     size: int
-    stride: int
+    #: Edits allowed to the longest of them.
+    most: int
     walks: int
-    samples: int
     keys: np.ndarray
     item: np.ndarray
-    place: np.ndarray
+    #: Which words of the vocabulary (and, last, of none) they have.
+    has: np.ndarray
 
 
 @dataclass
@@ -168,21 +184,21 @@ def prepare(ids: list[int | None], texts: list[str], s: Settings) -> Items:
     each = [h[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
     used = [k for k, w in enumerate(each) if len(w)]
     each, ids = [each[k] for k in used], [ids[k] for k in used]
-    shapes: dict[tuple[int, int, int, int], list[int]] = {}
+    vocabulary = np.unique(h)
+    members: dict[int, list[int]] = {}
     for k, w in enumerate(each):
-        shapes.setdefault(shape_of(len(w), s), []).append(k)
+        members.setdefault(size_of(len(w), s), []).append(k)
     classes = []
-    for (size, stride, walks, samples), members in sorted(shapes.items()):
-        at = [np.arange(len(each[k]) - size + 1) for k in members]
-        item = np.repeat(members, [len(a) for a in at])
-        text = np.concatenate([each[k] for k in members])
-        starts = np.cumsum([0, *(len(each[k]) for k in members)])[:-1]
-        place = np.concatenate(at)
-        where = place + np.repeat(starts, [len(a) for a in at])
-        keys = np.concatenate([walk_keys(text, where, size, w, replace(s, samples=samples)) for w in range(walks)])
+    for size, mine in sorted(members.items()):
+        longest = max(len(each[k]) for k in mine)
+        walks = max(walks_for(n, s) for n in {len(each[k]) for k in mine})
+        text = np.concatenate([each[k] for k in mine])
+        starts = np.cumsum([0, *(len(each[k]) for k in mine)])[:-1]
+        keys = np.concatenate([key for w in range(walks) for key in walk_key_sets(text, starts, size, w, s)])
         order = np.argsort(keys, kind="stable")
-        classes.append(Keys(size, stride, walks, samples, keys[order], np.tile(item, walks)[order], np.tile(place, walks)[order]))
-    return Items(ids, each, np.unique(h), classes, s)
+        has = np.append(np.isin(vocabulary, text), False)
+        classes.append(Keys(size, int(s.share * longest), walks, keys[order], np.tile(mine, walks * s.sets)[order], has))
+    return Items(ids, each, vocabulary, classes, s)
 
 
 def item_blocks(benchmark: DataFrame, s: Settings) -> Iterator[Items]:
@@ -190,7 +206,7 @@ def item_blocks(benchmark: DataFrame, s: Settings) -> Iterator[Items]:
 
     Rows with the same id, or with none, are items of their own.
     """
-    rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), blank_text(F.col("text")).alias("text"))
+    rows = benchmark.select(F.col("item_id").try_cast("bigint").alias("item_id"), blank_text(F.col("text")).alias("text"))
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-total // (6 * s.block_words)))
     for b in range(blocks):
@@ -230,37 +246,49 @@ def nearest_passage(item: np.ndarray, region: np.ndarray, most: int) -> tuple[in
 PAIRS = 1 << 20
 
 
-def candidates(h: np.ndarray, first: np.ndarray, known: np.ndarray, x: Items) -> Iterator[tuple[int, int, int]]:
+def gated(known: np.ndarray, size: int, most: int) -> np.ndarray:
+    """Places whose window of ``size`` words has all but ``most`` among the known, which ``known`` counts before each place.
+
+    Near a text's end a window may count words of the next text, never fewer than its own.
+    """
+    n = len(known) - 1
+    after = np.concatenate([known[size:], np.full(min(size, n + 1), known[-1])])[: n]
+    return np.flatnonzero(after - known[:n] >= max(1, size - most))
+
+
+def candidates(h: np.ndarray, first: np.ndarray, x: Items) -> Iterator[tuple[int, int, int]]:
     """(document, item, word where the item would start), from equal keys; each once.
 
-    ``known`` counts the words before each place that some item has; a region
-    with too few of them for its item is left out.
+    A region with too few words that the item's class has is left out.
     """
     s, lens = x.settings, np.array([len(w) for w in x.words], np.int64)
     most = (s.share * lens).astype(np.int64)
+    at = np.minimum(np.searchsorted(x.vocabulary, h), max(len(x.vocabulary) - 1, 0))
+    word = np.where(x.vocabulary[at] == h, at, len(x.vocabulary)) if len(x.vocabulary) else np.zeros(len(h), np.int64)
     for c in x.classes:
-        n = np.maximum(np.diff(first) - c.size, -1) // c.stride + 1
-        k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        at = np.repeat(first[:-1], n) + k * c.stride
-        keep = known[at + c.size] - known[at] >= max(1, c.size - s.strangers)
-        at, doc = at[keep], np.repeat(np.arange(len(n)), n)[keep]
+        known = np.zeros(len(h) + 1, np.int32)
+        np.cumsum(c.has[word], out=known[1:])
+        at = gated(known, c.size, c.most)
+        doc = np.searchsorted(first, at, "right") - 1
+        ends = first[doc + 1]
+        keep = ends - at >= c.size - c.most
+        at, doc, ends = at[keep], doc[keep], ends[keep]
         found = []
-        for w in range(c.walks):
-            keys = walk_keys(h, at, c.size, w, replace(s, samples=c.samples)) if len(at) else np.zeros(0, np.uint64)
+        for keys in (key for w in range(c.walks) for key in (walk_key_sets(h, at, c.size, w, s, ends) if len(at) else ())):
             low = np.searchsorted(c.keys, keys, "left")
             count = np.searchsorted(c.keys, keys, "right") - low
             hit = np.flatnonzero(count)
-            ends = np.cumsum(count[hit])
-            for part in np.split(hit, np.unique(np.searchsorted(ends, np.arange(PAIRS, ends[-1] if len(hit) else 0, PAIRS)))):
+            ends_of = np.cumsum(count[hit])
+            for part in np.split(hit, np.unique(np.searchsorted(ends_of, np.arange(PAIRS, ends_of[-1] if len(hit) else 0, PAIRS)))):
                 times = count[part]
                 entry = np.repeat(low[part] - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
                 part = np.repeat(part, times)
-                of, item, start = doc[part], c.item[entry], at[part] - c.place[entry]
+                of, item, start = doc[part], c.item[entry], at[part]
                 a = np.maximum(first[of], start - most[item])
                 b = np.minimum(first[of + 1], start + lens[item] + 3 * most[item])
                 enough = known[b] - known[a] >= lens[item] - most[item]
                 if enough.any():
-                    found.append(np.stack([of, item, start], axis=1)[enough])
+                    found.append(np.unique(np.stack([of, item, start], axis=1)[enough], axis=0))
         if found:
             yield from np.unique(np.concatenate(found), axis=0).tolist()
 
@@ -276,8 +304,7 @@ def matches(column: pa.Array, x: Items) -> dict[tuple[int, int], tuple[int, int]
     h, _, _, first = words(*utf8(column), ALNUM)
     best: dict[tuple[int, int], tuple[int, int]] = {}
     done: dict[tuple[int, int], int] = {}
-    known = np.concatenate([[0], np.cumsum(_among(h, x.vocabulary))])
-    for doc, item, start in candidates(h, first, known, x):
+    for doc, item, start in candidates(h, first, x):
         w = x.words[item]
         most = int(x.settings.share * len(w))
         # The candidates of a pair come in order; one region serves all starts within its slack.
@@ -296,13 +323,14 @@ RESULT = "doc_id bigint, item_id bigint, edits bigint, item_words bigint, first_
 
 
 def _text_only(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), blank_text(F.col("text")).alias("text"))
+    return docs.select(F.col("doc_id").try_cast("bigint").alias("doc_id"), blank_text(F.col("text")).alias("text"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = None) -> DataFrame:
     """One row per (document, item) found: the fewest edits and where the passage starts, in words.
 
-    Null and empty texts hold nothing; a row of ``docs`` with a repeated id gives
+    Null and empty texts hold nothing; an id that is no number is null; texts of any
+    length are read whole, and of passages with equally few edits the first counts; a row of ``docs`` with a repeated id gives
     rows of its own.  Other columns play no part; no documents or no items, no rows.
     """
     s, found = settings or Settings(), None

@@ -4,7 +4,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from scorewell.llm.decontam import Settings, clean, contamination, matches, nearest_passage, passage_distance, prepare, walk_keys
+from scorewell.llm.decontam import (
+    Settings, clean, contamination, gated, matches, nearest_passage, passage_distance, prepare, simulated_recall, size_of, walk_keys, walks_for,
+)
 
 rnd = random.Random(1)
 VOCAB = ["word%d" % k for k in range(3000)]
@@ -179,3 +181,55 @@ def test_items_without_an_id_take_part(spark, make):
     docs = make([(1, " ".join(text(9) + item)), (2, " ".join(text(40)))])
     assert [tuple(r) for r in contamination(docs, table).collect()] == [(1, None, 0, 30, 9)]
     assert [r.doc_id for r in clean(docs, table).collect()] == [2]
+
+
+@pytest.mark.parametrize("n", [22, 25, 28, 32, 33, 36, 40, 45, 50, 57, 64, 90])
+def test_recall_of_longer_items_at_the_full_share(n):
+    """The same beyond 20 words, also where lengths share a window size."""
+    r = random.Random(n)
+    items = {k: text(n, r) for k in range(150)}
+    docs = [(k, " ".join(text(20 + k % 4, r) + edited(w, int(0.2 * n), r) + text(20, r))) for k, w in items.items()]
+    found = matches(pa.array([t for _, t in docs]), prepare(list(items), [" ".join(w) for w in items.values()], Settings()))
+    assert sum((k, k) in found for k in items) >= 0.9 * len(items)
+
+
+def test_windows_have_the_size_of_their_items():
+    s = Settings()
+    assert [size_of(n, s) for n in range(1, 34)] == list(range(1, 34))
+    sizes = [size_of(n, s) for n in range(33, 3000)]
+    assert sizes == sorted(sizes) and all(0.9 * n <= size <= n for n, size in zip(range(33, 3000), sizes))
+    assert len(set(sizes)) < 60
+    x = prepare([1, 2, 3], [" ".join(text(n)) for n in (7, 40, 41)], s)
+    assert [(c.size, c.most) for c in x.classes] == [(7, 1), (39, 8)]
+
+
+def test_gate_never_leaves_out_the_window_at_a_passages_start():
+    """However the allowed edits fall, that window has all but ``most`` of the item's words, or the text ends before."""
+    r = random.Random(12)
+    for _ in range(400):
+        n = r.randrange(5, 40)
+        item, most = text(n, r), int(0.2 * n)
+        passage = edited(item, r.randrange(most + 1), r)
+        doc = [["other"] * r.randrange(5), passage, ["other"] * r.randrange(3)]
+        words_ = sum(doc, [])
+        known = np.concatenate([[0], np.cumsum([w in item for w in words_])])
+        start = len(doc[0])
+        while passage and passage[0] not in item:  # a passage may begin with the first word that the item has
+            passage, start = passage[1:], start + 1
+        assert start in gated(known, n, most)
+
+
+def test_passages_at_the_end_of_a_text_are_found_by_padded_windows():
+    for cut in (1, 3, 7):
+        w = text(40, random.Random(cut))
+        x = prepare([7], [" ".join(w)], Settings())
+        docs = ["before " * 9 + " ".join(w[: 40 - cut]), " ".join(w[:10]) + " unrelated words"]
+        assert matches(pa.array(docs), x) == {(0, 0): (cut, 9)}
+
+
+def test_simulated_recall_grows_with_the_walks():
+    s = Settings(recall=1.1, walks=6, trials=200)
+    for n in (6, 17, 40, 70):
+        share = simulated_recall(n, s)
+        assert len(share) == 6 and share == sorted(share) and share[0] < share[-1] and share[-1] > 0.85
+    assert walks_for(4, Settings()) == 1 and walks_for(17, Settings()) == len(simulated_recall(17, Settings()))
