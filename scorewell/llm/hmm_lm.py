@@ -240,7 +240,7 @@ def expected(m: Hmm, seq: np.ndarray, starts: np.ndarray, lens: np.ndarray, part
 
 
 #: Tokens that go through forward and backward together.
-GROUP = 1 << 20
+GROUP = 1 << 19
 
 
 def expected_of_documents(m: Hmm, seq: np.ndarray, starts: np.ndarray, lens: np.ndarray, s: Settings,
