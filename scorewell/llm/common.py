@@ -172,14 +172,32 @@ def tidy(run: Callable) -> Callable:
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim is not None:
-                trim(0)
+            give_back()
 
     return inner
 
 
+def tidy_group(run: Callable) -> Callable:
+    """The same for a function of a whole group."""
+
+    @wraps(run)
+    def inner(group):
+        try:
+            return run(group)
+        finally:
+            give_back()
+
+    return inner
+
+
+def give_back() -> None:
+    """Freed memory to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, text: str, most: int = 4 * BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts have about ``most`` bytes (one row at least)."""
     _, offsets = utf8(batch.column(text))

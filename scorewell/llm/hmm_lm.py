@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorewell.llm import files
-from scorewell.llm.common import BLOCK_BYTES, SPACED, blank_text, fold_of, slices, tidy, utf8, words, written
+from scorewell.llm.common import BLOCK_BYTES, SPACED, blank_text, fold_of, slices, tidy, tidy_group, utf8, words, written
 
 
 @dataclass(frozen=True)
@@ -282,11 +282,11 @@ def iterate(blocks: DataFrame, m: Hmm, s: Settings) -> tuple[Hmm, float]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(k + k * k + (end + 1) * k + 1)
         for batch in batches:
-            for row in batch.to_pylist():
-                x = open_block(row)
+            for k_ in range(batch.num_rows):
+                x = open_block({c: batch.column(c)[k_].as_py() for c in ("lens", "tokens", "learn")})
                 if not x.learn.any():
                     continue
-                classes = word_class(np.array(row["words"], np.int64).view(np.uint64), s)
+                classes = word_class(batch.column("words").slice(k_, 1).flatten().to_numpy().view(np.uint64), s)
                 seq, starts = with_end(classes[x.tokens], x.lens, end)
                 total += _packed(*expected_of_documents(m, seq, starts[x.learn], x.lens[x.learn] + 1, s))
         at = np.flatnonzero(total)
@@ -317,7 +317,7 @@ def baum_welch(blocks: DataFrame, s: Settings, tokens: int = 0) -> tuple[Hmm, li
 #
 # Rows of a shard (a file of the blocks): one per distinct word, with its training count
 # and its expected counts in all states but the last, which has the rest; and rows without
-# a word: the file's name, and the starts, moves and likelihood by place.
+# a word: the starts, moves, ends and likelihood by place.
 
 
 def _columns(s: Settings) -> list[str]:
@@ -325,7 +325,7 @@ def _columns(s: Settings) -> list[str]:
 
 
 def _schema(s: Settings) -> str:
-    return "shard bigint, word bigint, train bigint, " + ", ".join(f"{c} double" for c in _columns(s)) + ", file string, place int, value double"
+    return "shard int, word bigint, train bigint, " + "".join(f"{c} double, " for c in _columns(s)) + "place int, value double"
 
 
 class ShardCounts:
@@ -351,18 +351,18 @@ class ShardCounts:
         first = np.flatnonzero(np.concatenate([[True], words_[1:] != words_[:-1]]))
         return words_[first], np.add.reduceat(train[order], first), np.add.reduceat(counts[order], first, axis=0)
 
-    def batches(self, shard: int, file: str) -> Iterator[pa.RecordBatch]:
+    def batches(self, shard: int) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
-            [("shard", pa.int64()), ("word", pa.int64()), ("train", pa.int64()), *((c, pa.float64()) for c in _columns(self.s)),
-             ("file", pa.string()), ("place", pa.int32()), ("value", pa.float64())]
+            [("shard", pa.int32()), ("word", pa.int64()), ("train", pa.int64()), *((c, pa.float64()) for c in _columns(self.s)),
+             ("place", pa.int32()), ("value", pa.float64())]
         )
-        yield pa.RecordBatch.from_pylist([{"shard": shard, "file": file}, *({"shard": shard, "place": k, "value": v} for k, v in enumerate(self.rest.tolist()) if v)], schema)
+        yield pa.RecordBatch.from_pylist([{"shard": shard, "place": k, "value": v} for k, v in enumerate(self.rest.tolist()) if v], schema)
         words_, train, counts = self.merged()
         for k in range(0, len(words_), 1 << 16):
             end = min(k + (1 << 16), len(words_))
-            nulls = [pa.nulls(end - k, schema.field(c).type) for c in ("file", "place", "value")]
+            nulls = [pa.nulls(end - k, schema.field(c).type) for c in ("place", "value")]
             cols = [pa.array(counts[k:end, c].astype(np.float64)) for c in range(counts.shape[1])]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(end - k, shard)), pa.array(words_[k:end]), pa.array(train[k:end]), *cols, *nulls], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(end - k, shard, np.int32)), pa.array(words_[k:end]), pa.array(train[k:end]), *cols, *nulls], schema=schema)
 
 
 def _stats(start: np.ndarray, moves: np.ndarray, emit: np.ndarray, ll: float) -> np.ndarray:
@@ -370,19 +370,24 @@ def _stats(start: np.ndarray, moves: np.ndarray, emit: np.ndarray, ll: float) ->
     return np.concatenate([start, moves.ravel(), emit[-1], [ll]])
 
 
-def class_counts(blocks: DataFrame, m: Hmm, s: Settings) -> DataFrame:
+def shard_files(blocks: DataFrame) -> list[str]:
+    """The files of the blocks; a shard's number is its place here.  One name for each task that wrote blocks."""
+    return sorted(r[0] for r in blocks.select(F.input_file_name()).distinct().collect())
+
+
+def class_counts(blocks: DataFrame, shards: list[str], m: Hmm, s: Settings) -> DataFrame:
     """The shards' words with their expected counts under the model on classes."""
-    end = 1 << s.class_bits
+    end, number = 1 << s.class_bits, {file: k for k, file in enumerate(shards)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, at = None, (0, "")
+        held, at = None, 0
         for batch in batches:
             for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
-                if held is not None and at[1] != row["file"]:
-                    yield from held.batches(*at)
+                row = {c: batch.column(c)[k].as_py() for c in ("lens", "tokens", "learn", "file")}
+                if held is not None and at != number[row["file"]]:
+                    yield from held.batches(at)
                     held = None
-                held, at = held or ShardCounts(s), (row["shard"], row["file"])
+                held, at = held or ShardCounts(s), number[row["file"]]
                 words_, train = (batch.column(c).slice(k, 1).flatten().to_numpy() for c in ("words", "train"))
                 x = open_block(row)
                 counts = stats = None
@@ -394,10 +399,9 @@ def class_counts(blocks: DataFrame, m: Hmm, s: Settings) -> DataFrame:
                     counts, stats = emit[:-1], _stats(start, moves, emit, ll)
                 held.add(words_, train, counts, stats)
         if held is not None:
-            yield from held.batches(*at)
+            yield from held.batches(at)
 
-    file = F.input_file_name()
-    rows = blocks.select("lens", "tokens", "learn", "words", "train", file.alias("file"), F.xxhash64(file).alias("shard"))
+    rows = blocks.select("lens", "tokens", "learn", "words", "train", F.input_file_name().alias("file"))
     return rows.mapInArrow(tidy(run), _schema(s))
 
 
@@ -443,21 +447,16 @@ def word_model(counted: DataFrame, totals: DataFrame, n_ends: int, s: Settings)
     return m, float(stats[-1])
 
 
-def joined(counted: DataFrame, totals: DataFrame, s: Settings) -> DataFrame:
-    """Each shard's words with their counts in the whole corpus, and the row with its file.
+def joined(counted: DataFrame, totals: DataFrame, n_shards: int) -> DataFrame:
+    """Each shard's words with their counts in the whole corpus, a partition a shard.
 
     A common word has one row a shard; the join may split them, as Spark sees fit.
-    The rows are few for the work that a shard is, so their partitions are as many as
-    shards ask for, not as their bytes do.
+    A shard without any word has a row of nulls.
     """
     mine = counted.where("word IS NOT NULL").select("shard", "word").join(totals, "word")
-    names = counted.where("file IS NOT NULL").select("shard", "file")
-    n_shards = names.count()
-    empty = [F.lit(None).cast("bigint").alias("train"), *[F.lit(None).cast("double").alias(c) for c in _columns(s)]]
-    rows = mine.select("shard", "word", "train", *_columns(s), F.lit(None).cast("string").alias("file")).unionByName(
-        names.select("shard", F.lit(None).cast("bigint").alias("word"), *empty, "file")
-    )
-    return rows.repartition(max(1, 2 * n_shards), "shard")
+    every = counted.sparkSession.range(n_shards).select(F.col("id").cast("int").alias("shard"))
+    rows = mine.select("shard", *totals.columns).unionByName(every, allowMissingColumns=True)
+    return rows.repartitionById(max(1, n_shards), "shard")
 
 
 @dataclass
@@ -467,7 +466,6 @@ class ShardWords:
     words: np.ndarray
     train: np.ndarray
     emit: np.ndarray
-    file: str
 
     @classmethod
     def of(cls, group: pa.Table, m: WordModel, s: Settings) -> ShardWords:
@@ -477,8 +475,7 @@ class ShardWords:
         # A file that two tasks read has a word twice, with the same sums.
         once = np.concatenate([[True], words_[1:] != words_[:-1]])[: len(words_)]
         counts = np.stack([rows.column(c).to_numpy()[order] for c in _columns(s)], axis=1)[once] if s.states > 1 else np.zeros((int(once.sum()), 0))
-        file = group.column("file").drop_null()[0].as_py()
-        return cls(words_[once], train[once], m.emissions(train[once], counts), file)
+        return cls(words_[once], train[once], m.emissions(train[once], counts))
 
     def places(self, words_: np.ndarray) -> np.ndarray:
         """Where a block's words are; the end of a text is at the last place of ``emit``."""
@@ -493,13 +490,13 @@ def blocks_of(file: str) -> Iterator[dict]:
             yield row | {"words": batch.column("words").flatten().to_numpy()}
 
 
-def word_counts(rows: DataFrame, m: WordModel, s: Settings) -> DataFrame:
+def word_counts(rows: DataFrame, shards: list[str], m: WordModel, s: Settings) -> DataFrame:
     """The shards' words with their expected counts under the model on words."""
 
     def run(group: pa.Table) -> pa.Table:
         mine, held, shard = ShardWords.of(group, m, s), ShardCounts(s), group.column("shard")[0].as_py()
         model, end = Hmm(m.start, m.move, mine.emit, m.shares), len(mine.words)
-        for row in blocks_of(mine.file):
+        for row in blocks_of(shards[shard]):
             x, own = open_block(row), mine.places(row["words"])
             train = np.bincount(own[x.tokens[np.repeat(x.learn, x.lens)]], minlength=end)
             counts = stats = None
@@ -508,9 +505,9 @@ def word_counts(rows: DataFrame, m: WordModel, s: Settings) -> DataFrame:
                 start, moves, emit, ll = expected_of_documents(model, seq, starts[x.learn], x.lens[x.learn] + 1, s)
                 counts, stats = emit[:-1], _stats(start, moves, emit, ll)
             held.add(mine.words, train, counts, stats)
-        return pa.Table.from_batches([*held.batches(shard, mine.file)])
+        return pa.Table.from_batches([*held.batches(shard)])
 
-    return rows.groupBy("shard").applyInArrow(run, _schema(s))
+    return rows.groupBy("shard").applyInArrow(tidy_group(run), _schema(s))
 
 
 # --- scoring ---------------------------------------------------------------------------------------
@@ -538,20 +535,20 @@ def block_scores(row: dict, mine: ShardWords, m: WordModel) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in RESULT.split(", ")])
 
 
-def trained(blocks: DataFrame, n_ends: int, s: Settings) -> tuple[WordModel, DataFrame, list[float]]:
+def trained(blocks: DataFrame, shards: list[str], n_ends: int, s: Settings) -> tuple[WordModel, DataFrame, list[float]]:
     """(the model, each shard's words with their counts, log10 likelihoods of the training documents
     before each iteration on classes and then under the model that each iteration on words began with)."""
     tokens = n_ends + (blocks.select(F.sum(F.aggregate("train", F.lit(0).cast("bigint"), lambda a, x: a + x))).first()[0] or 0)
     m, history = baum_welch(blocks, s, tokens)
-    counted = written(class_counts(blocks, m, s), "hmm-counts")
+    counted = written(class_counts(blocks, shards, m, s), "hmm-counts")
     for k in range(max(1, s.word_rounds)):
         sums = [F.sum(c).alias(c) for c in ("train", *_columns(s))]
         totals = written(counted.where("word IS NOT NULL").groupBy("word").agg(*sums), "hmm-totals")
         found, ll = word_model(counted, totals, n_ends, s)
         history.append(ll)
-        rows = joined(counted, totals, s)
+        rows = joined(counted, totals, len(shards))
         if k + 1 < s.word_rounds:
-            counted = written(word_counts(rows, found, s), "hmm-counts")
+            counted = written(word_counts(rows, shards, found, s), "hmm-counts")
     return found, rows, history
 
 
@@ -568,13 +565,14 @@ def score(docs: DataFrame, learn: Column, held_out: Column, settings: Settings |
         F.coalesce(held_out, F.lit(False)).alias("held_out"), F.coalesce(learn, F.lit(False)).alias("learn"),
     )
     blocks = written(make_blocks(rows), "hmm-blocks")
-    m, words_, _ = trained(blocks, rows.where("learn").count(), s)
+    shards = shard_files(blocks)
+    m, words_, _ = trained(blocks, shards, rows.where("learn").count(), s)
 
     def run(group: pa.Table) -> pa.Table:
-        mine = ShardWords.of(group, m, s)
-        return pa.Table.from_batches([block_scores(row, mine, m) for row in blocks_of(mine.file)])
+        mine, file = ShardWords.of(group, m, s), shards[group.column("shard")[0].as_py()]
+        return pa.Table.from_batches([block_scores(row, mine, m) for row in blocks_of(file)])
 
-    return words_.groupBy("shard").applyInArrow(run, RESULT)
+    return words_.groupBy("shard").applyInArrow(tidy_group(run), RESULT)
 
 
 def score_table(docs: DataFrame, settings: Settings | None = None) -> DataFrame:

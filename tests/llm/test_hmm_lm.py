@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scorewell.llm import hmm_lm
 from scorewell.llm.hmm_lm import (
-    Hmm, Settings, baum_welch, expected, expected_of_documents, forward, initial, lapped, make_blocks, open_block, score, score_table, segments, trained,
+    Hmm, Settings, baum_welch, expected, expected_of_documents, forward, initial, lapped, make_blocks, open_block, score, score_table, segments, shard_files, trained,
 )
 from scorewell.llm.common import SPACED, blank_text, utf8, words, written
 
@@ -179,7 +179,7 @@ def test_scores_equal_plain_recursion_row_by_row(make, rounds, states):
     docs = make(rows, clash=True, parts=4)
     learn = F.coalesce(F.col("doc_id") % 3 != 0, F.lit(False))
     n_ends = sum(r[0] is not None and r[0] % 3 != 0 for r in rows)
-    m, words_, _ = trained(stored_blocks(docs, learn), n_ends, s)
+    m, words_, _ = trained(b := stored_blocks(docs, learn), shard_files(b), n_ends, s)
     table_ = {}
     for r in words_.where("word IS NOT NULL").collect():
         c = [r[f"c{k}"] for k in range(states - 1)]
@@ -221,7 +221,7 @@ def test_each_state_has_one_word_and_what_is_known_sums_to_one(make):
     """All known words, the end and one unknown: the probabilities of each state sum to 1."""
     docs = make(corpus(80), parts=3)
     s = Settings(iterations=4, class_bits=6)
-    m, words_, _ = trained(stored_blocks(docs), 80, s)
+    m, words_, _ = trained(b := stored_blocks(docs), shard_files(b), 80, s)
     rows = {r["word"]: r for r in words_.where("word IS NOT NULL").collect()}.values()
     counts = np.array([[r[f"c{k}"] for k in range(s.states - 1)] for r in rows])
     e = m.emissions(np.array([r["train"] for r in rows]), counts)
@@ -235,7 +235,7 @@ def test_likelihood_never_falls_and_settles(make):
     docs = make(corpus(150, 4), parts=3)
     blocks = stored_blocks(docs)
     s = Settings(iterations=30, word_rounds=5, class_bits=5, prior=0.0, lap=10**6, settled=1e-4)
-    _, _, history = trained(blocks, 150, s)
+    _, _, history = trained(blocks, shard_files(blocks), 150, s)
     on_words, on_classes = history[-s.word_rounds + 1 :], history[: -s.word_rounds + 1]
     assert all(b >= a - 1e-6 for a, b in zip(on_classes, on_classes[1:]))
     assert all(b >= a - 0.02 * abs(a) / 100 for a, b in zip(on_words, on_words[1:]))  # up to the half counts
@@ -283,8 +283,11 @@ def test_words_do_better_on_held_out_texts_than_classes_alone(make):
 def test_common_word_is_one_row_a_shard_and_blocks_are_not_shuffled(make):
     docs = make([(k, "the " * 30 + f"w{k}") for k in range(300)], parts=6)
     blocks = stored_blocks(docs)
-    m, words_, _ = trained(blocks, 300, Settings(iterations=1))
+    m, words_, _ = trained(blocks, shard_files(blocks), 300, Settings(iterations=1))
     per = words_.where("word IS NOT NULL").groupBy("word").count().agg(F.max("count")).first()[0]
     assert per == len(blocks.select(F.input_file_name()).distinct().collect())
+    # a shard is a task by itself
+    parts = words_.groupBy(F.spark_partition_id().alias("p")).agg(F.count_distinct("shard").alias("n")).collect()
+    assert {r["n"] for r in parts} == {1}
     plan = score(docs, F.lit(True), F.lit(False), Settings(iterations=1))._jdf.queryExecution().optimizedPlan().toString()
     assert " lens#" not in plan and "lens" not in plan and "CoGroup" not in plan
