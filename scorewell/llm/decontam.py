@@ -49,7 +49,7 @@ class Settings:
     #: Walks at most.
     walks: int = 32
     #: Least share of edited passages, of each item length, that must become candidates; measured on so many random items.
-    recall: float = 0.95
+    recall: float = 0.99
     trials: int = 300
     #: Lengths that have windows of exactly their size; longer ones share windows within this ratio.
     exact: int = 32
