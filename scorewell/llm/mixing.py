@@ -32,6 +32,7 @@ LEAF = ["domain", "language", "origin"]
 DIGITS, LEVELS = 2, 3
 #: Leaves (some 100 bytes each) that are sent to every executor, at most.
 BROADCAST_LEAVES = 200_000
+SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -122,6 +123,20 @@ def quotas(leaves: DataFrame, plan: MixPlan) -> DataFrame:
     return leaves.select(*LEAF, "tokens").join(level.select(*LEAF, "quota"), LEAF)
 
 
+def met(rows: DataFrame, leaves: DataFrame) -> DataFrame:
+    """Each row with its leaf's columns.
+
+    Stored ``leaves`` are counted: ``BROADCAST_LEAVES`` of them or fewer go to all
+    tasks, and the rows stay where they are; more meet the rows by leaf and salt, so
+    that a leaf with a third of the rows spreads over ``SALTS`` tasks.
+    """
+    if leaves.count() <= BROADCAST_LEAVES:
+        return rows.join(F.broadcast(leaves), LEAF)
+    salted = leaves.withColumn("mix_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("doc", "n_tokens"), F.lit(SALTS)).cast("int")
+    return rows.withColumn("mix_salt", salt).join(salted, [*LEAF, "mix_salt"]).drop("mix_salt")
+
+
 def order_of(plan: MixPlan, epoch: Column, doc: Column) -> Column:
     """Where a document stands in an epoch."""
     return F.md5(F.concat_ws("|", F.lit(str(plan.seed)), epoch.cast("string"), F.coalesce(doc.cast("string"), F.lit(""))))
@@ -148,7 +163,7 @@ def cuts(slim: DataFrame, plan: MixPlan) -> DataFrame:
     for level in range(1, LEVELS + 1):
         n = DIGITS * level
         rows = (
-            slim.join(state.where("need > 0"), LEAF)
+            met(slim, state.where("need > 0"))
             .withColumn("h", F.substring(_order(plan), 1, n))
             .where(F.col("h").startswith(F.col("prefix")))
         )
@@ -161,7 +176,7 @@ def cuts(slim: DataFrame, plan: MixPlan) -> DataFrame:
             f"mix-level{level}",
         )
     last = (
-        slim.join(state, LEAF)
+        met(slim, state)
         .withColumn("h", _order(plan))
         .where(F.col("h").startswith(F.col("prefix")))
         .groupBy(*LEAF, "need", "h").agg(F.sum("n_tokens").alias("t"))
@@ -200,12 +215,13 @@ def mix_table(docs: DataFrame, plan: MixPlan, domain: Column | None = None) -> D
     ``docs`` needs doc_id, text, lang and source; other columns play no part.
     Null texts have no tokens; a document without tokens comes along if its
     hash lies in the prefix.  Rows with equal doc_id in a leaf stand at one place of
-    the order and are taken together.  An empty table gives no rows.
+    the order and are taken together.  A null doc_id stands where an empty text would.
+    Texts are counted whole, however long.  An empty table gives no rows.
     """
     domain = domain_of(F.col("source")) if domain is None else domain
     slim = written(leaf_columns(docs, domain), "mix-slim")
     return (
-        slim.join(cuts(slim, plan), LEAF)
+        met(slim, cuts(slim, plan))
         .withColumn("copies", copies(plan, F.col("epochs"), F.col("doc"), F.col("cut")))
         .where("copies > 0")
         .select(F.col("doc").alias("doc_id"), "domain", F.col("language").alias("lang"),

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from scorewell.llm import mixing
 from scorewell.llm.mixing import MixPlan, PLAN, mix, mix_sql, mix_table, quotas
 from tests.oracle_util import canonical
 
@@ -93,3 +94,17 @@ def test_empty_table(make, spark):
 def test_no_python_in_the_plan(make):
     plan = mix_table(make(docs_of(20)), PLAN)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_leaves_beyond_the_bound_meet_by_salt_with_the_same_rows(make, monkeypatch):
+    """One leaf has a third of the rows; the plan is chosen by the measured number of leaves."""
+    rows = [(k, f"word{k} " * (k % 7), ["en", "de"][k % 2], "wiki_1" if k % 3 == 0 else f"web_{k % 40}") for k in range(600)]
+    plan_of = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    docs = make(rows + [(None, "no id", "en", None), (5000, None, None, "x")], clash=True)
+    few = mixing.mix_table(docs, mixing.PLAN)
+    want = sorted(map(str, few.collect()))
+    assert "strategy=broadcast" in plan_of(few) and len(want) > 100
+    monkeypatch.setattr(mixing, "BROADCAST_LEAVES", 0)
+    many = mixing.mix_table(docs, mixing.PLAN)
+    assert "strategy=broadcast" not in plan_of(many) and "mix_salt" in plan_of(many)
+    assert sorted(map(str, many.collect())) == want
