@@ -78,19 +78,14 @@ def _scores(spark, sf):
     return s1, s2
 
 
-def _stored_scores(spark, sf, db):
-    """Both score sets written as the jobs write them, and read back as run partitions."""
-    _score_both(spark, sf, db)
-    return [read_run(spark, f"{db}.{m}_scores", fx.RUN) for m in ("model_1", "model_2")]
-
-
 def _score_both(spark, sf, db):
-    """Both scoring jobs, side by side as in the daily run."""
+    """Both scoring jobs, side by side as in the daily run; the rows that each read."""
     sides = [(fx.MODEL_1, _features(spark, sf)), (fx.MODEL_2, fx.model_2_features(spark, sf))]
     with ThreadPoolExecutor(max_workers=2) as pool:
-        list(pool.map(
+        jobs = pool.map(
             lambda s: score_job(spark, s[0], s[1], db, f"{s[0].name}_scores", fx.RUN, now=fx.NOW), sides
-        ))
+        )
+        return [j.details["rows_in"] for j in jobs]
 
 
 def _merged(spark, sf, **kw):
@@ -265,18 +260,22 @@ def q_run_rows(spark, sf):
 
 
 def _yearly_runs(spark, sf, db) -> list[str]:
-    """Two score tables, backfilled by year-runs (dynamic overwrite)."""
+    """Two score tables, backfilled by year-runs (dynamic overwrite), side by side."""
     f = _features(spark, sf)
     ts_type = f.schema["timestamp"].dataType
-    tables = []
-    for frame, model in ((f, fx.MODEL_1), (fx.model_2_features(spark, sf), fx.MODEL_2)):
+
+    def backfill(side):
+        frame, model = side
         runs = frame.withColumn(
             "run_id", run_id_of(F.date_trunc("year", F.col("timestamp")), ts_type)
         )
         scored = score_frame(runs, model, now=fx.NOW, carry_columns=("run_id",))
-        tables.append(f"{db}.{model.name}_scores")
-        write_runs(_to_contract(scored), tables[-1], contract=score_contract(model.name))
-    return tables
+        table = f"{db}.{model.name}_scores"
+        write_runs(_to_contract(scored), table, contract=score_contract(model.name))
+        return table
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        return list(pool.map(backfill, [(f, fx.MODEL_1), (fx.model_2_features(spark, sf), fx.MODEL_2)]))
 
 
 def q_run_status(spark, sf):
@@ -451,10 +450,12 @@ def q_refused_inputs(spark, sf):
 # --- validation ----------------------------------------------------------------------------------
 
 
-def _score_checks(spark, sf, s1, s2):
+def _score_checks(spark, sf, s1, s2, rows_in=(None, None)):
+    """V1 and V3 of both; features are counted unless the score jobs have (``rows_in``)."""
+    f1, f2 = _features(spark, sf), fx.model_2_features(spark, sf)
     return [
-        report(fx.RUN, "model_1", check_scores(_features(spark, sf), s1, "model_1")),
-        report(fx.RUN, "model_2", check_scores(fx.model_2_features(spark, sf), s2, "model_2")),
+        report(fx.RUN, "model_1", check_scores(f1, s1, "model_1", rows_in=rows_in[0])),
+        report(fx.RUN, "model_2", check_scores(f2, s2, "model_2", rows_in=rows_in[1])),
     ]
 
 
@@ -477,23 +478,24 @@ def q_validate_nested_schema(spark, sf):
 
 
 def _strict_merge(spark, sf, label):
-    """Both score sets and their merge, stored as the jobs store them, and the counts of the merge."""
+    """Both score sets and their merge, stored as the jobs store them, the counts of the merge, and the rows scored."""
     db = _scratch_db(spark, label)
-    s1, s2 = _stored_scores(spark, sf, db)
+    rows_in = _score_both(spark, sf, db)
+    s1, s2 = (read_run(spark, f"{db}.{m}_scores", fx.RUN) for m in ("model_1", "model_2"))
     job = merge_job(spark, db, fx.RUN, now=fx.NOW)
-    return s1, s2, read_run(spark, job.table, fx.RUN), job.details["join"]
+    return s1, s2, read_run(spark, job.table, fx.RUN), job.details["join"], rows_in
 
 
 def q_validate_merged(spark, sf):
-    s1, s2, merged, counts = _strict_merge(spark, sf, "vmerged")
+    s1, s2, merged, counts, _ = _strict_merge(spark, sf, "vmerged")
     join_rows, merged_rows = merged_check_frames(s1, s2, merged, join_counts=counts)
     # V4 and V5 (the quality rows of V6 have their own query)
     return report(fx.RUN, "merged", join_rows, merged_rows.where(F.col("check") != "quality"))
 
 
 def q_validation_report(spark, sf):
-    s1, s2, merged, counts = _strict_merge(spark, sf, "vreport")
-    a, b = _score_checks(spark, sf, s1, s2)
+    s1, s2, merged, counts, rows_in = _strict_merge(spark, sf, "vreport")
+    a, b = _score_checks(spark, sf, s1, s2, rows_in)
     return a.unionByName(b).unionByName(
         report(fx.RUN, "merged", *merged_check_frames(s1, s2, merged, join_counts=counts))
     )

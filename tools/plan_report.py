@@ -22,12 +22,22 @@ from scorewell.session import get_session  # noqa: E402
 
 def final_plan(df) -> str:
     """The plan that ran: ``collect`` executes the frame's own plan, and of an
-    adaptive one only the final part is kept."""
+    adaptive one, and of each subquery in it, only the final part is kept."""
     df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    if "== Final Plan ==" in plan:
-        plan = plan.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
-    return plan
+    return without_initial(df._jdf.queryExecution().executedPlan().toString())
+
+
+def without_initial(plan: str) -> str:
+    """The plan's lines without those that stand under an initial plan, at any depth."""
+    kept, under = [], None
+    for line in plan.splitlines():
+        at = len(line) - len(line.lstrip(" :+-"))
+        if under is not None and at >= under:
+            continue
+        under = at if "== Initial Plan ==" in line else None
+        if under is None:
+            kept.append(line)
+    return "\n".join(kept)
 
 
 def summary(plan: str) -> dict:
