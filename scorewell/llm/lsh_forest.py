@@ -142,7 +142,9 @@ def search(vectors: DataFrame, is_query: Column, settings: Settings | None = Non
     ``vectors`` has vec_id and embedding.  Rows with a null id, an unusable
     vector, or a dimension other than the most frequent one take no part.
     Queries with the same id are one (the smallest vector counts); rows with a
-    query's id aren't its neighbours.  Without rows or queries the result is empty.
+    query's id aren't its neighbours.  Equal distances rank by the smaller vec_id;
+    repeated rows are found each.  Other columns play no part.  Without rows or
+    queries the result is empty.
     """
     s = settings or Settings()
     spark = vectors.sparkSession

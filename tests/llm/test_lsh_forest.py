@@ -92,3 +92,20 @@ def test_prefixes_are_the_longest_of_all_trees():
         assert shard.prefixes(codes[:, q]).tolist() == want.tolist()
         at_least = shard.prefixes(codes[:, q], 5)
         assert np.where(want >= 5, want, 0).tolist() == at_least.tolist()
+
+
+def test_clustered_vectors_need_a_reach_of_a_few_percent(spark):
+    """Where vectors lie in clusters, prefixes find the neighbours among two in a hundred rows."""
+    rng = np.random.default_rng(1)
+    n, middles = 4000, rng.standard_normal((100, 32))
+    x = middles[rng.integers(0, 100, n)] + 0.15 * rng.standard_normal((n, 32))
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id bigint, embedding array<double>").repartition(4)
+    found = {}
+    for r in search(df, F.col("vec_id") % 100 == 0, Settings(reach=0.02)).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for q in range(0, n, 100):
+        d = ((x - x[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        hits += len(found[q] & set(np.argsort(d, kind="stable")[:10].tolist()))
+    assert hits >= 0.9 * 10 * (n // 100)
