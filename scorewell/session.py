@@ -105,6 +105,17 @@ def scratch_location(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/scorewell/{safe}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_scratch(spark: SparkSession) -> bool:
+    """Deletes all scratch folders of this application; were there any?
+
+    For callers that have stored what they want elsewhere: frames that read a
+    scratch folder (results of the corpus operators, tables of checked queries)
+    can't be read after it.  The checkpoint folder's other contents stay.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/scorewell")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def unique_name(prefix: str) -> str:
     """A catalog-safe unique identifier (database or view name)."""
     return f"{prefix}_{uuid.uuid4().hex[:12]}"

@@ -108,6 +108,18 @@ def main():
     merged = merge_unique(s1, s2, now=fx.NOW, metrics=MergeMetrics())
     print(final_plan(merged).strip())
     print("```")
+    print("\n## What the merge of runs in buckets by key writes (no shuffle)\n")
+    print("```")
+    from scorewell.plans.jobs import score_job
+    from scorewell.plans.queries import _scratch_db
+    from scorewell.sources.catalog import read_run_by_key
+
+    db = _scratch_db(spark, "plans")
+    for model, side in ((fx.MODEL_1, f), (fx.MODEL_2, fx.model_2_features(spark, sf))):
+        score_job(spark, model, side, db, f"{model.name}_scores", fx.RUN, now=fx.NOW, buckets=8)
+    sides = [read_run_by_key(spark, f"{db}.{m}_scores", fx.RUN).where("id IS NOT NULL") for m in ("model_1", "model_2")]
+    print(final_plan(merge_unique(*sides, now=fx.NOW, clustered=True)).strip())
+    print("```")
     spark.stop()
 
 
