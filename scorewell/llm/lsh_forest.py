@@ -180,6 +180,21 @@ def search(vectors: DataFrame, is_query: Column, settings: Settings | None = Non
 RESULT = "query_id bigint, rank int, vec_id bigint, score double"
 
 
+#: Queries that meet all rows of a shard in one matrix product.
+QUERIES = 256
+
+
+def squares(x: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(squared distances, rows x queries, up to rounding; for each query a bound of twice that rounding)."""
+    xx, qq = (x * x).sum(axis=1), (q * q).sum(axis=1)
+    with np.errstate(over="ignore", invalid="ignore"):
+        found = xx[:, None] - 2 * (x @ q.T) + qq
+        slack = 1e-12 * x.shape[1] * (xx.max(initial=0.0) + qq)
+    # Beyond what doubles hold, nothing is left out.
+    sound = np.isfinite(found).all(axis=0) & np.isfinite(slack)
+    return np.where(sound, found, 0.0), np.where(sound, slack, np.inf)
+
+
 def _search_block(index: DataFrame, ids: np.ndarray, q: np.ndarray, planes: Planes, n: int, s: Settings) -> DataFrame:
     """The nearest of each shard for each query of a block."""
     spark = index.sparkSession
@@ -210,15 +225,18 @@ def _search_block(index: DataFrame, ids: np.ndarray, q: np.ndarray, planes: Plan
             for row in batch.to_pylist():
                 shard, out = Shard.of(row, s.trees), []
                 for k, query in enumerate(ids.tolist()):
+                    if k % QUERIES == 0:  # all rows against a block of queries in one product
+                        rough = squares(shard.vectors, q[k : k + QUERIES])
                     least = int(stop[k])
                     near = shard.prefixes(strings[:, k], max(least, 1)) >= least
                     at = np.flatnonzero(near & (shard.ids != query))
                     if not len(at):
                         continue
-                    d = np.sqrt(((shard.vectors[at] - q[k]) ** 2).sum(axis=1))
                     if len(at) > s.nearest:
-                        worst = np.partition(d, s.nearest - 1)[s.nearest - 1]
-                        at, d = at[d <= worst], d[d <= worst]
+                        # The product rounds; whatever may be among the nearest is measured exactly.
+                        r, slack = rough[0][at, k % QUERIES], rough[1][k % QUERIES]
+                        at = at[r <= np.partition(r, s.nearest - 1)[s.nearest - 1] + slack]
+                    d = np.sqrt(((shard.vectors[at] - q[k]) ** 2).sum(axis=1))
                     best = np.lexsort((shard.ids[at], d))[: s.nearest]
                     out.append((np.full(len(best), query), shard.ids[at[best]], d[best]))
                 if out:

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scorewell.llm.lsh_forest import BITS, Settings, Shard, nearest_table, search
+from scorewell.llm.lsh_forest import BITS, Settings, Shard, nearest_table, search, squares
 from tests.conftest import SF_ORACLE
 
 SCHEMA = "vec_id bigint, embedding array<float>"
@@ -109,3 +109,17 @@ def test_clustered_vectors_need_a_reach_of_a_few_percent(spark):
         d[q] = np.inf
         hits += len(found[q] & set(np.argsort(d, kind="stable")[:10].tolist()))
     assert hits >= 0.9 * 10 * (n // 100)
+
+
+def test_rough_distances_bound_the_exact_ones():
+    """Also for nearly equal and for very large vectors: what the slack lets through holds the exact nearest."""
+    rng = np.random.default_rng(7)
+    for scale in (1e-3, 1.0, 1e6, 1e200):
+        x = scale * (1 + 1e-9 * rng.standard_normal((300, 16)))
+        q = x[:5] + scale * 1e-9 * rng.standard_normal((5, 16))
+        rough, slack = squares(x, q)
+        with np.errstate(over="ignore"):
+            exact = ((x[:, None] - q[None]) ** 2).sum(axis=2)
+        for k in range(5):
+            allowed = rough[:, k] <= np.partition(rough[:, k], 9)[9] + slack[k]
+            assert allowed[np.argsort(exact[:, k], kind="stable")[:10]].all()
