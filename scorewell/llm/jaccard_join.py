@@ -9,7 +9,9 @@ metric space; r is the largest distance of a link.
    shingle among the first n - ceil(0.9 n) + 1 of each.  Every such shingle that
    several points have opens a region with those points; regions with the same
    points are one, and points whose sizes differ too much for a link come
-   apart.  Frequent shingles come last in the order, so that passages
+   apart: at steps of size that no link crosses, or, for a shingle of very many
+   points, by ranges of size that overlap, so that no task sorts all its points.
+   Frequent shingles come last in the order, so that passages
    found everywhere open regions only for documents made of little else.  (Which
    shingles count as frequent changes the work, never the result.)
 3. Sketches.  A region's points are first held against each other by sketches:
@@ -22,11 +24,16 @@ metric space; r is the largest distance of a link.
    pivots among its points.  Each point goes to its nearest pivot's region and, by
    the triangle inequality, to that of every other pivot p with
    d(x, p) <= d(x, nearest) + 2 r: any link then has a region with both ends.  This
-   repeats until regions are small or splitting would copy most points: such a
-   dense region is cut into blocks, and each pair of blocks is one region.
-5. Small regions are compared completely, by exact intersections, and give the
+   repeats until regions are small or splitting would copy most points.
+5. Dense regions, as those of many near copies, aren't compared pair by pair.  What
+   links with the same pivot is one component already, so pivots are drawn in rounds
+   among the points that aren't connected with most of their region yet, and held
+   against all its points.  Only what stays apart after the last round is compared
+   with all points, block by block.  Regions of step 2 that are too large for one task
+   are treated alike, by sketches.
+6. Small regions are compared completely, by exact intersections, and give the
    edges of a spanning forest of their links, at most one a point.
-6. Components (of clusters and of links) by large-star and small-star steps.
+7. Components (of clusters and of links) by large-star and small-star steps.
 
 Every step's unit has a bounded number of points; no group is collected whole.
 """
@@ -34,7 +41,8 @@ Every step's unit has a bounded number of points; no group is collected whole.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -55,11 +63,16 @@ class Settings:
     cap: int = 128
     pivots: int = 8
     depth: int = 4
+    #: Rounds of pivots in dense regions, each with twice as many as the one before; they
+    #: end sooner where a round leaves more than half of what was apart.
+    rounds: int = 4
     #: Documents in one slice of a partition that make a shingle worth counting, occurrences in
     #: all slices that make it frequent, and how many frequent ones are used at most.
     local: int = 3
     frequent: int = 48
     most_frequent: int = 1 << 20
+    #: Points (in all slices) beyond which a shingle's points are dealt over many tasks.
+    wide: int = 1 << 12
     #: Sets of n shingles have about n / 2 ** sketch_bits buckets in their sketch.
     sketch_bits: int = 4
     #: Points of a region that are held against its pivots in one task.
@@ -164,10 +177,11 @@ def mark(rows: DataFrame, s: Settings) -> DataFrame:
 # --- regions ---------------------------------------------------------------------------------------
 
 
-def prefixes(rows: DataFrame, order: np.ndarray, s: Settings) -> DataFrame:
-    """(token, node, n) for the first shingles of each point; a point may repeat.
+def prefixes(rows: DataFrame, order: np.ndarray, wide: np.ndarray, s: Settings) -> DataFrame:
+    """(token, node, n, wide) for the first shingles of each point; a point may repeat.
 
     ``order``: frequent shingles, the rarest first; they follow all others.
+    ``wide``: those of very many points.
     """
     known = np.sort(order)
     rank = np.argsort(order, kind="stable")  # place in ``order`` of each of ``known``
@@ -190,37 +204,73 @@ def prefixes(rows: DataFrame, order: np.ndarray, s: Settings) -> DataFrame:
                     nodes.append(np.full(take, node))
                     sizes.append(np.full(take, len(x)))
                 if tokens:
+                    every = np.concatenate(tokens)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(nodes), pa.int64()),
-                         pa.array(np.concatenate(sizes), pa.int32())], names=["token", "node", "n"],
+                        [pa.array(every.view(np.int64)), pa.array(np.concatenate(nodes), pa.int64()),
+                         pa.array(np.concatenate(sizes), pa.int32()), pa.array(np.isin(every, wide))], names=["token", "node", "n", "wide"],
                     )
 
-    return rows.select("text").mapInArrow(tidy(run), "token bigint, node bigint, n int")
+    return rows.select("text").mapInArrow(tidy(run), "token bigint, node bigint, n int, wide boolean")
 
 
-def regions(first: DataFrame, s: Settings) -> DataFrame:
+def wide_regions(first: DataFrame, s: Settings) -> DataFrame:
+    """(region, node, size) as ``regions`` gives them, for shingles of any number of points.
+
+    Sizes fall into classes so wide that linked ones are in the same or in
+    neighbouring classes; a region is two neighbouring classes of a shingle.
+    Rows are dealt by shingle and point, and a region's description is summed
+    per task before it is shuffled.
+    """
+    # a little wider than the ratio of linked sizes, for the rounding of logarithms
+    size_class = F.floor(F.log(F.col("n")) / F.lit(1.01 * math.log(100 / s.percent)))
+    dealt = written(
+        first.dropDuplicates(["token", "node"]).withColumn("c", size_class)
+        .select("token", "node", F.explode(F.array("c", F.col("c") - 1)).alias("part")),
+        "jaccard-wide",
+    )
+    whole = written(
+        dealt.groupBy("token", "part").agg(
+            F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size"),
+            F.bit_xor(F.xxhash64("node")).alias("x"),
+        ).where("size > 1"),
+        "jaccard-wide-regions",
+    )
+    return dealt.join(_to_all(whole, s), ["token", "part"]).select(
+        F.xxhash64("low", "high", "size", "x").alias("region"), "node", "size"
+    )
+
+
+def _to_all(rows: DataFrame, s: Settings) -> DataFrame:
+    """Written rows, to be broadcast while there are few; beyond that skewed joins are split at run time."""
+    return F.broadcast(rows) if rows.count() <= s.broadcast_rows else rows
+
+
+def regions(first: DataFrame, any_wide: bool, s: Settings) -> DataFrame:
     """(region, node, size): points that share a prefix shingle, each set of points once.
 
     Linked sets differ little in size (the smaller has 0.9 of the larger's
     shingles or more), so a shingle's points, sorted by size, come apart at
-    every step that is too large: nothing links across it.
+    every step that is too large: nothing links across it.  Shingles marked wide
+    are left to ``wide_regions``.
     """
+    if any_wide:
+        first = written(first, "jaccard-prefixes")
     w = Window.partitionBy("token")
     up = w.orderBy("n", "node")
     w_part = Window.partitionBy("token", "part")
     step = F.coalesce(100 * F.lag("n").over(up) < s.percent * F.col("n"), F.lit(False))
     rows = (
-        first.repartition("token").dropDuplicates(["token", "node"])
+        first.where("NOT wide").repartition("token").dropDuplicates(["token", "node"])
         .withColumn("size", F.count(F.lit(1)).over(w)).where("size > 1")
         .withColumn("step", step).withColumn("part", F.sum(F.col("step").cast("int")).over(up))
         .withColumn("low", F.min("node").over(w_part)).withColumn("high", F.max("node").over(w_part))
         .withColumn("size", F.count(F.lit(1)).over(w_part)).withColumn("x", F.bit_xor(F.xxhash64("node")).over(w_part))
         .where("size > 1")
     )
-    return written(
-        rows.select(F.xxhash64("low", "high", "size", "x").alias("region"), "node", "size").dropDuplicates(["region", "node"]),
-        "jaccard-regions",
-    )
+    rows = rows.select(F.xxhash64("low", "high", "size", "x").alias("region"), "node", "size")
+    if any_wide:
+        rows = rows.unionByName(wide_regions(first.where("wide"), s))
+    return written(rows.dropDuplicates(["region", "node"]), "jaccard-regions")
 
 
 SETS = "node bigint, n bigint, tokens binary"
@@ -317,6 +367,46 @@ def may_link(sketches: list[np.ndarray], n: np.ndarray, percent: int) -> np.ndar
     return differences(sketches) * (100 + percent) <= (100 - percent) * (n[:, None] + n[None])
 
 
+def sketches_meet(x: list[bytes], n: np.ndarray, y: list[bytes], m: np.ndarray, percent: int) -> np.ndarray:
+    """``may_link`` for each sketch of one list and each of another."""
+    fold = lambda t, size: np.minimum(t.reshape(*t.shape[:-1], size, -1).sum(axis=-1, dtype=np.int32), 255)
+    lengths, out = np.array([len(t) for t in x]), np.zeros((len(x), len(y)), bool)
+    for length in np.unique(lengths):
+        at = np.flatnonzero(lengths == length)
+        mine = np.stack([np.frombuffer(x[k], np.uint8) for k in at])
+        for k, theirs in enumerate(y):
+            size = min(int(length), len(theirs))
+            d = np.abs(fold(mine, size) - fold(np.frombuffer(theirs, np.uint8), size)).sum(axis=1)
+            out[at, k] = d * (100 + percent) <= (100 - percent) * (n[at] + m[k])
+    return out
+
+
+def sets_link(x: list[bytes], n: np.ndarray, y: list[bytes], m: np.ndarray, percent: int, columns: int = 4096) -> np.ndarray:
+    """``linked`` for each set of one list and each of another."""
+    mine, theirs = as_sets(x), as_sets(y)
+    known, col_y = np.unique(np.concatenate(theirs), return_inverse=True)
+    row_y = np.repeat(np.arange(len(y)), [len(t) for t in theirs])
+    every = np.concatenate(mine)
+    col_x = np.minimum(np.searchsorted(known, every), len(known) - 1)
+    row_x = np.repeat(np.arange(len(x)), [len(t) for t in mine])
+    shared = known[col_x] == every
+    row_x, col_x = row_x[shared], col_x[shared]
+    ends = np.arange(0, len(known) + columns, columns)
+    both = np.zeros((len(x), len(y)), np.int64)
+    cells = []
+    for row, col in ((row_x, col_x), (row_y, col_y)):
+        order = np.argsort(col, kind="stable")
+        cells.append((row[order], col[order], np.searchsorted(col[order], ends)))
+    for k in range(len(ends) - 1):
+        parts = []
+        for (row, col, cut), size in zip(cells, both.shape, strict=True):
+            part = np.zeros((size, columns), np.float32)
+            part[row[cut[k] : cut[k + 1]], col[cut[k] : cut[k + 1]] - ends[k]] = 1
+            parts.append(part)
+        both += (parts[0] @ parts[1].T).astype(np.int64)
+    return 100 * both >= percent * (n[:, None] + m[None] - both)
+
+
 def by_region(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """The rows of each region, from batches that are sorted by region."""
     held: pa.Table | None = None
@@ -413,40 +503,142 @@ def spread(members: DataFrame, sets: DataFrame, level: int, s: Settings) -> Data
 
 
 def blocks(members: DataFrame, cap: int) -> DataFrame:
-    """Regions cut into blocks of about ``cap`` points; each pair of blocks is a region (a lone block is one by itself)."""
-    n = F.ceil(F.col("size") / F.lit(cap)).cast("int")
-    mine = F.pmod(F.xxhash64("node", "region"), F.col("n_blocks")).cast("int")
-    return (
-        members.withColumn("n_blocks", n).withColumn("mine", mine)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-        .where("n_blocks = 1 OR other != mine")
-        .select(F.xxhash64("region", F.least("mine", "other"), F.greatest("mine", "other")).alias("region"), "node")
+    """(region, node): cells of two blocks of about ``cap`` points each, which hold every pair of points of a region
+    of which one is ``apart`` (all are, where there is no such column)."""
+    if "apart" not in members.columns:
+        members = members.withColumns({"apart": F.lit(True), "n_apart": F.col("size")})
+    hashed = F.xxhash64("node", "region")
+    count = lambda n: F.ceil(F.col(n) / F.lit(cap)).cast("int")
+    one, two = F.col("one"), F.col("two")  # the block of the point that is apart, and of the other
+    both_apart = F.col("n_apart") == F.col("size")  # then the cells (1, 2) and (2, 1) are one
+    own = F.pmod(hashed, count("n_apart"))
+    first = members.where("apart").select(
+        "*", own.alias("one"), F.explode(F.sequence(F.lit(0), count("size") - 1)).alias("two")
     )
+    second = members.where("n_apart < size").select(
+        "*", F.explode(F.sequence(F.lit(0), count("n_apart") - 1)).alias("one"), F.pmod(hashed, count("size")).alias("two")
+    ).where(~F.col("apart") | (F.col("one") != own))  # its own cells hold it already
+    return first.unionByName(second).select(
+        F.xxhash64(
+            "region", F.when(both_apart, F.least(one, two)).otherwise(one), F.when(both_apart, F.greatest(one, two)).otherwise(two)
+        ).alias("region"), "node",
+    )
+
+
+Meets = Callable[[list[bytes], np.ndarray, list[bytes], np.ndarray, int], np.ndarray]
+STARS = "region bigint, node bigint, pivot bigint"
+
 
+def stars(members: DataFrame, values: DataFrame, meets: Meets, level: int, s: Settings) -> DataFrame:
+    """(region, node, pivot): the pivots of this round that each point of a region meets (a pivot itself, too).
 
-def small_regions(rows: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """(region, node) of bounded regions that hold both ends of every link of the given regions."""
-    done, left = [rows.where(F.col("size") <= s.cap).select("region", "node")], rows.where(F.col("size") > s.cap)
+    Pivots are drawn by hash among the points that are apart, about ``pivots`` of
+    each region and twice as many in each round; points are dealt out in chunks.
+    """
+    draw = F.pmod(F.xxhash64("region", "node", F.lit(level), F.lit("star")), F.lit(1 << 30))
+    chunks = F.ceil(F.col("size") / F.lit(s.chunk)).cast("int")
+    drawn = members.where("apart").where(draw < F.lit(float(s.pivots << (30 + level))) / F.col("n_apart"))
+    pivots = drawn.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).join(values, "node").select(
+        *[F.col(c).alias(f"pivot_{c}") for c in ("region", "chunk", "node", "n", "value")]
+    )
+    points = members.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int")).join(values, "node").select(
+        "region", "chunk", "node", "n", "value"
+    )
+
+    def run(x: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
+        met = np.zeros((len(x), len(p)), bool)
+        if len(x) and len(p):
+            met = meets(x["value"].tolist(), x["n"].to_numpy(), p["pivot_value"].tolist(), p["pivot_n"].to_numpy(), s.percent)
+        at, to = np.nonzero(met)
+        return pd.DataFrame({c: f[k].to_numpy()[i] for c, f, k, i in (
+            ("region", x, "region", at), ("node", x, "node", at), ("pivot", p, "pivot_node", to)
+        )})
+
+    both = points.groupBy("region", "chunk").cogroup(pivots.groupBy("pivot_region", "pivot_chunk"))
+    return written(both.applyInPandas(run, STARS), "jaccard-stars")
+
+
+def star_roots(found: DataFrame, s: Settings) -> DataFrame:
+    """(region, node, root) of each point that met a pivot: the smallest of the pivots it is connected with."""
+    first = found.groupBy("region", "node").agg(F.min("pivot").alias("first"))
+    # pivots with a point in common: no more than pairs of pivots of a region
+    pairs = found.join(first, ["region", "node"]).select("region", "first", "pivot").distinct()
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        names, at = np.unique(rows[["first", "pivot"]].to_numpy(), return_inverse=True)
+        links, at = np.eye(len(names), dtype=bool), at.reshape(-1, 2)
+        links[at[:, 0], at[:, 1]] = links[at[:, 1], at[:, 0]] = True
+        return pd.DataFrame({"region": rows["region"].iloc[0], "first": names, "root": names[forest(links)]})
+
+    of_pivot = written(pairs.groupBy("region").applyInPandas(run, "region bigint, first bigint, root bigint"), "jaccard-star-roots")
+    return first.join(_to_all(of_pivot, s), ["region", "first"]).select("region", "node", "root")
+
+
+def dense(members: DataFrame, values: DataFrame, meets: Meets, s: Settings) -> tuple[list[DataFrame], DataFrame]:
+    """Edges that connect points of large regions, and cells (region, node) with all pairs that may connect more.
+
+    ``members`` is (region, node, size), ``values`` (node, n, value).  Points that
+    the edges found so far connect need no comparison.  So a region's points are
+    apart only if they aren't in the component that holds most of them; pivots of the
+    next round come from those, and what is apart at the end is compared with all
+    points of its region.  Regions with none apart are done.
+    """
+    rows = written(members.select("region", "node", "size", F.lit(True).alias("apart"), F.col("size").alias("n_apart")), "jaccard-dense")
+    found: list[DataFrame] = []
+    before = rows.count()
+    for level in range(s.rounds):
+        if not before:
+            break
+        found.append(stars(rows, values, meets, level, s))
+        named = rows.join(star_roots(_union(found), s), ["region", "node"], "left").select(
+            "region", "node", "size", F.coalesce("root", "node").alias("root")
+        )
+        most = written(
+            named.groupBy("region", "root").agg(F.count(F.lit(1)).alias("k"))
+            .groupBy("region").agg(F.max_by("root", F.struct("k", "root")).alias("main"), (F.sum("k") - F.max("k")).alias("n_apart"))
+            .where("n_apart > 0"),
+            "jaccard-most",
+        )
+        rows = written(
+            named.join(_to_all(most, s), "region")
+            .select("region", "node", "size", (F.col("root") != F.col("main")).alias("apart"), "n_apart"),
+            "jaccard-dense",
+        )
+        left = rows.where("apart").count()
+        if 2 * left > before:
+            break
+        before = left
+    edges = [f.where("node != pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")) for f in found]
+    most_apart = 2 * F.col("n_apart") > F.col("size")  # then all pairs of blocks, each once, are fewer
+    rows = rows.withColumns({"apart": F.col("apart") | most_apart, "n_apart": F.when(most_apart, F.col("size")).otherwise(F.col("n_apart"))})
+    return edges, blocks(rows, s.cap)
+
+
+def small_regions(rows: DataFrame, sets: DataFrame, s: Settings) -> tuple[list[DataFrame], DataFrame]:
+    """Edges, and (region, node) of bounded regions that hold both ends of all links of the given regions but for
+    those between points that the edges connect."""
+    done, whole = [rows.where(F.col("size") <= s.cap).select("region", "node")], []
+    left = written(rows.where(F.col("size") > s.cap), "jaccard-large")
     for level in range(s.depth):
-        left = written(left, "jaccard-large")
         if left.isEmpty():
-            return _union(done)
+            break
         moved = spread(left, sets, level, s)
         # A split is worth it if it copies few points; regions that drew no pivot stay whole.
         worth = moved.groupBy("region").agg(
             (F.count(F.lit(1)) <= 1.5 * F.count(F.when(F.col("home"), 1))).alias("worth")
         )
         judged = written(left.join(worth, "region", "left").withColumn("worth", F.coalesce("worth", F.lit(False))), "jaccard-judged")
-        done.append(blocks(judged.where(~F.col("worth")), s.cap))
+        whole.append(judged.where(~F.col("worth")).select("region", "node", "size"))
         split = moved.join(judged.where("worth").select("region", "node"), ["region", "node"]).select(
             F.xxhash64("region", "pivot", F.lit(level)).alias("region"), "node"
         )
         counts = written(split.groupBy("region").agg(F.count(F.lit(1)).alias("size")), "jaccard-sizes")
         split = written(split.join(counts, "region"), "jaccard-split")
         done.append(split.where(F.col("size") <= s.cap).select("region", "node"))
-        left = split.where(F.col("size") > s.cap)
-    done.append(blocks(left, s.cap))
-    return _union(done)
+        left = written(split.where(F.col("size") > s.cap), "jaccard-large")
+    whole.append(left.select("region", "node", "size"))
+    edges, cells = dense(_union(whole), sets.withColumnRenamed("tokens", "value"), sets_link, s)
+    return edges, _union([*done, cells])
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -502,31 +694,30 @@ def grouped(docs: DataFrame, s: Settings) -> DataFrame:
     order = hot.column("token").combine_chunks().to_numpy().view(np.uint64) if hot.num_rows else np.zeros(0, np.uint64)
     docs_ = marks.where("key IS NOT NULL")
     marks = docs_.select("key", "tx", "n", "node")
-    found = regions(prefixes(rows, order, s), s)
+    wide = np.sort(order[hot.column("times").to_numpy() >= s.wide])
+    found = regions(prefixes(rows, order, wide, s), len(wide) > 0, s)
     lows = written(marks.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("key", "tx")).alias("low")), "jaccard-lows")
 
     stands = lambda nodes: lows.join(nodes, "node").select("low.key", "low.tx")
 
-    # Regions and pairs of blocks of large ones, by sketches; then clusters by sets.
-    cells = written(
-        found.where(F.col("size") <= s.cap).select("region", "node").unionByName(blocks(found.where(F.col("size") > s.cap), s.cap)),
-        "jaccard-cells",
-    )
-    # a point's sketch from the document that stands for it
+    # Regions by sketches; then clusters by sets.  A point's sketch is that of the document that stands for it.
     sketches = written(
-        docs_.join(written(stands(cells.select("node").distinct()), "jaccard-stands"), ["key", "tx"])
+        docs_.join(written(stands(found.select("node").distinct()), "jaccard-stands"), ["key", "tx"])
         .select("node", "n", "sketch").dropDuplicates(["node"]),
         "jaccard-sketches",
     )
-    clusters = written(components(near(cells.join(sketches, "node"), s)), "jaccard-clusters")
+    close, cells = dense(found.where(F.col("size") > s.cap), sketches.withColumnRenamed("sketch", "value"), sketches_meet, s)
+    cells = written(found.where(F.col("size") <= s.cap).select("region", "node").unionByName(cells), "jaccard-cells")
+    clusters = written(components(_union([near(cells.join(sketches, "node"), s), *close])), "jaccard-clusters")
     sizes = written(clusters.groupBy("root").agg(F.count(F.lit(1)).alias("size")), "jaccard-sizes")
     members = written(clusters.join(sizes, "root").select(F.col("root").alias("region"), "node", "size"), "jaccard-members")
     sets = sets_of(rows, written(stands(members.select("node")), "jaccard-wanted"), s)
-    small = written(small_regions(members, sets, s), "jaccard-small")
+    links, small = small_regions(members, sets, s)
+    small = written(small, "jaccard-small")
     # (region, node) is 16 bytes: while there are few, the sets move once, to their regions
     few = F.broadcast(small) if small.count() <= s.broadcast_rows else small
     edges = compare(sets.select("node", "tokens").join(few, "node"), s)
-    comp = written(components(edges), "jaccard-components")
+    comp = written(components(_union([edges, *links])), "jaccard-components")
     tops = written(
         comp.join(lows, "node").groupBy("root").agg(F.min("low").alias("top")), "jaccard-tops"
     )
