@@ -4,8 +4,8 @@ import numpy as np
 import pytest
 
 from scorewell.llm.jaccard_join import (
-    Settings, blocks, component_table, components, differences, distance, forest, intersections, linked, may_link, one_of_each,
-    prefix_size, shingle_sets, sketch_of,
+    Settings, blocks, compare, component_table, components, dense, differences, distance, forest, intersections, linked, may_link,
+    one_of_each, prefix_size, sets_link, shingle_sets, sketch_of, sketches_meet, wide_regions,
 )
 
 
@@ -173,3 +173,70 @@ def test_shingles_ignore_ascii_case_only():
 
     a, b, c = shingle_sets(pa.array(["A b É d", "a B É d", "a b é d"]), 3)
     assert (a == b).all() and not (a == c).all()
+
+
+def drawn_sets(rnd, count, size, changed):
+    """Sets of one base set, each with some of its elements changed."""
+    base = rnd.integers(0, 2**63, size, dtype=np.uint64)
+    out = []
+    for _ in range(count):
+        x = base.copy()
+        for k in rnd.integers(0, size, int(rnd.integers(0, changed + 1))):
+            x[k] = rnd.integers(0, 2**63, dtype=np.uint64)
+        out.append(np.unique(x))
+    return out
+
+
+def test_two_lists_meet_as_one_does():
+    rnd, s = np.random.default_rng(5), Settings()
+    sets = [x for size in (3, 40, 90, 700) for x in drawn_sets(rnd, 8, size, size // 8)]
+    n = np.array([len(x) for x in sets])
+    a, b = slice(0, None, 2), slice(1, None, 3)
+    raw = [x.tobytes() for x in sets]
+    for columns in (5, 4096):
+        assert (sets_link(raw[a], n[a], raw[b], n[b], 90, columns) == linked(sets, 90)[a, b]).all()
+    sketches = [sketch_of(x, s) for x in sets]
+    want = may_link([np.frombuffer(t, np.uint8) for t in sketches], n, 90)
+    assert (sketches_meet(sketches[a], n[a], sketches[b], n[b], 90) == want[a, b]).all()
+
+
+@pytest.mark.parametrize("changed, all_cells", [(4, False), (12, True)])
+def test_dense_region_is_connected_by_stars(spark, changed, all_cells):
+    # near copies: 600 in cells of 16 would be 600 * 38 rows; of the wider group many aren't linked at all
+    rnd, s = np.random.default_rng(changed), Settings(cap=16)
+    sets = drawn_sets(rnd, 600, 100, changed)
+    values = spark.createDataFrame([(k, len(x), x.tobytes()) for k, x in enumerate(sets)], "node bigint, n bigint, value binary")
+    members = spark.createDataFrame([(7, k, len(sets)) for k in range(len(sets))], "region bigint, node bigint, size bigint")
+    edges, cells = dense(members, values, sets_link, s)
+    assert all_cells or cells.count() < 10 * len(sets)
+    links = compare(cells.join(values.withColumnRenamed("value", "tokens"), "node").select("region", "node", "tokens"), s)
+    for e in edges:
+        assert all(linked([sets[r.u], sets[r.v]], 90)[0, 1] for r in e.limit(50).collect())
+        links = links.unionByName(e)
+    got = {r.node: r.root for r in components(links).collect()}
+    root = forest(linked(sets, 90))
+    assert [got.get(k, k) for k in range(len(sets))] == root.tolist()
+
+
+def test_wide_shingles_equal_brute_force(make):
+    rows = corpus(3, groups=6, big=40) + EDGES
+    got = component_table(make(rows, clash=True, parts=4), Settings(local=1, frequent=10**9, wide=3)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+
+
+def test_wide_regions_hold_what_may_link(spark):
+    rows = [(5, k, 1 + k % 130, True) for k in range(400)] + [(6, 9, 30, True)]  # one shingle of a third and more of all points
+    first = spark.createDataFrame(rows + rows[:50], "token bigint, node bigint, n int, wide boolean")
+    per, sizes = {}, {}
+    for r in wide_regions(first, Settings()).collect():
+        per.setdefault(r.region, set()).add(r.node)
+        sizes[r.region] = r.size
+    assert all(len(v) == sizes[k] > 1 for k, v in per.items())
+    of = {}
+    for region, nodes in per.items():
+        for node in nodes:
+            of.setdefault(node, set()).add(region)
+    for a, (_, _, n, _) in enumerate(rows[:400]):
+        for b, (_, _, m, _) in enumerate(rows[:a]):
+            if 100 * min(n, m) >= 90 * max(n, m):
+                assert of[a] & of[b]
