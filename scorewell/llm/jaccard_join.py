@@ -525,12 +525,33 @@ def blocks(members: DataFrame, cap: int) -> DataFrame:
     )
 
 
+def spanning(met: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of entries that connect all that the matrix connects: each row's first, others only if they join columns."""
+    root, keep, last, base = list(range(met.shape[1])), [], -1, -1
+
+    def find(k: int) -> int:
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    for row, column in np.argwhere(met).tolist():
+        if row != last:
+            last, base = row, column
+            keep.append((row, column))
+        elif (a := find(base)) != (b := find(column)):
+            root[a] = b
+            keep.append((row, column))
+    at = np.array(keep, np.int64).reshape(-1, 2)
+    return at[:, 0], at[:, 1]
+
+
 Meets = Callable[[list[bytes], np.ndarray, list[bytes], np.ndarray, int], np.ndarray]
 STARS = "region bigint, node bigint, pivot bigint"
 
 
 def stars(members: DataFrame, values: DataFrame, meets: Meets, level: int, s: Settings) -> DataFrame:
-    """(region, node, pivot): the pivots of this round that each point of a region meets (a pivot itself, too).
+    """(region, node, pivot): a pivot of this round that each point of a region meets, and more where they connect pivots.
 
     Pivots are drawn by hash among the points that are apart, about ``pivots`` of
     each region and twice as many in each round; points are dealt out in chunks.
@@ -549,7 +570,7 @@ def stars(members: DataFrame, values: DataFrame, meets: Meets, level: int, s: Se
         met = np.zeros((len(x), len(p)), bool)
         if len(x) and len(p):
             met = meets(x["value"].tolist(), x["n"].to_numpy(), p["pivot_value"].tolist(), p["pivot_n"].to_numpy(), s.percent)
-        at, to = np.nonzero(met)
+        at, to = spanning(met)
         return pd.DataFrame({c: f[k].to_numpy()[i] for c, f, k, i in (
             ("region", x, "region", at), ("node", x, "node", at), ("pivot", p, "pivot_node", to)
         )})
