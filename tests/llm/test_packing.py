@@ -6,7 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from scorewell.llm.bin_completion import Packing, best_fit, bound, complete, dominated, fillings
+from scorewell.llm import bin_completion
+from scorewell.llm.bin_completion import Packing, best_fit, bound, complete, dive, dominated, fillings, ways
 from scorewell.llm.packing import Settings, Slots, numbered, packed, pieces, pieces_of, sequences
 from scorewell.llm.queries import tokenizer_path
 from scorewell.llm.token_file import encoder
@@ -107,6 +108,73 @@ def test_search_that_ends_early_packs_every_item():
         complete({11: 1}, 10)
 
 
+def crowded(n, spare):
+    """Lengths of which most are about 310, with so many tokens to spare in the fewest sequences."""
+    rnd = random.Random(5)
+    counts = Counter(max(20, min(4096, int(rnd.gauss(310, 12) if rnd.random() < 0.6 else rnd.paretovariate(1.2) * 90))) for _ in range(n))
+    counts[(-sum(k * m for k, m in counts.items()) - spare) % 4096] += 1
+    return +counts
+
+
+def test_little_room_to_spare_is_met_without_a_long_search(monkeypatch):
+    """The search took 300 nodes and 38 seconds here, and found nothing."""
+    counts, visited = crowded(6000, 150), []
+    real = bin_completion.best_fit
+    monkeypatch.setattr(bin_completion, "best_fit", lambda *a: visited.append(a) or real(*a))
+    p = complete(counts, 4096)
+    assert items_of(p.bins, 4096) == counts and p.proven
+    assert p.n == -(-sum(k * n for k, n in counts.items()) // 4096) < sum(real(counts, 4096).values())
+    assert len(visited) < 10
+
+
+def test_nodes_are_made_when_they_are_due(monkeypatch):
+    counts = {k: 1 + k % 7 for k in range(1200, 1500)}  # best fit and the dive stay above the bound
+    asked, real = [], bin_completion.bound
+    monkeypatch.setattr(bin_completion, "bound", lambda *a: asked.append(a) or real(*a))
+    p = complete(counts, 4096, nodes=10)
+    assert not p.proven and items_of(p.bins, 4096) == counts
+    assert len(asked) < 30  # before 644: of all fillings of each node
+
+
+def test_many_sizes_that_each_fill_a_bin():
+    """One way a size, each a level deeper: this was a RecursionError."""
+    counts = {size: 1 for size in range(1010, 2049)}
+    found, whole = fillings(counts, 2048, 4096, 50)
+    assert found == [[(2047, 1)]] and not whole
+    assert items_of(complete(counts, 4096, nodes=3).bins, 4096) == counts
+
+
+def test_ways_are_all_but_those_with_room_for_the_smallest():
+    left = {2: 2, 3: 2, 5: 1}
+    got = list(ways([2, 3, 5], left, 8))
+    assert [room for taken, room in got] == [8 - sum(s * n for s, n in taken) for taken, _ in got]
+    every = {(a, b, c) for a in range(3) for b in range(3) for c in range(2) if 2 * a + 3 * b + 5 * c <= 8}
+    kept = {(a, b, c) for a, b, c in every if (a + 1, b, c) not in every}
+    assert sorted(tuple(dict(taken).get(s, 0) for s in (2, 3, 5)) for taken, _ in got) == sorted(kept)
+    assert got[0] == (((5, 1), (3, 1)), 0) and list(ways([], {}, 4)) == [((), 4)]
+
+
+@pytest.mark.parametrize("most, spare", [(1, 0), (3, 10), (1000, 10**6)])
+def test_dive_packs_every_item(most, spare):
+    rnd = random.Random(6)
+    for _ in range(100):
+        capacity = rnd.choice([1, 9, 60])
+        counts = Counter(rnd.randrange(1, capacity + 1) for _ in range(rnd.randrange(40)))
+        assert items_of(dive(counts, capacity, most, spare), capacity) == counts
+
+
+def test_domination_equals_trying_every_part():
+    rnd = random.Random(7)
+    for _ in range(500):
+        filling = [(size, rnd.randrange(1, 4)) for size in sorted(rnd.sample(range(1, 12), rnd.randrange(4)), reverse=True)]
+        items = [size for size, n in filling for _ in range(n)]
+        room, x = rnd.randrange(5), rnd.randrange(1, 30)
+        parts = [[size for k, size in enumerate(items) if m >> k & 1] for m in range(1 << len(items))]
+        # In place of none or one, it is larger; of more, it may be as large.
+        want = any(sum(p) + (len(p) < 2) <= x <= sum(p) + room for p in parts)
+        assert dominated(filling, 1 << x, room) == want
+
+
 # --- places ------------------------------------------------------------------------------------
 
 
